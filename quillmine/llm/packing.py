@@ -20,6 +20,8 @@ from quillmine.llm.common import stored
 
 SEQUENCE_LENGTH = 1024
 END_ID = 0
+#: Rows whose ids a task holds at once.
+ROWS_AT_ONCE = 250
 VOCABULARY = "byte_bpe_50k"
 TOKEN_SCHEMA = "part int, part_start long, doc_id long, n_ids long, ids binary"
 
@@ -53,12 +55,12 @@ def tokenized(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_I
 
     def encode_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, part, start = encoder(vocabulary), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in (rows.iloc[at : at + ROWS_AT_ONCE] for rows in batches for at in range(0, len(rows), ROWS_AT_ONCE)):
             ids = [np.array([*encode(text or ""), end_id], dtype="<u4") for text in batch["text"]]
             sizes = np.array([len(x) for x in ids], dtype=np.int64)
             starts = start + np.cumsum(sizes) - sizes
             start += int(sizes.sum())
-            yield pd.DataFrame({"part": part, "part_start": starts, "doc_id": batch["doc_id"], "n_ids": sizes, "ids": [x.tobytes() for x in ids]})
+            yield pd.DataFrame({"part": part, "part_start": starts, "doc_id": batch["doc_id"].to_numpy(), "n_ids": sizes, "ids": [x.tobytes() for x in ids]})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(encode_part, TOKEN_SCHEMA)
 
