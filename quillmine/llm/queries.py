@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmine.llm import fingerprints, media, mixing, packing, simhash
+from quillmine.llm import fingerprints, language, media, mixing, packing, pii, simhash, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,9 +32,26 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(_table(spark, sf_dir, "documents"))
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(_table(spark, sf_dir, "documents"))
+    return found.withColumn("spans", pii.spans_as_text(F.col("spans")))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(_table(spark, sf_dir, "pages"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op3_simhash, op4_mixing, op5_packing, op9_fingerprints)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_media_columns, op3_simhash, op4_mixing, op5_packing, op6_language, op7_personal_data, op8_url_filter, op9_fingerprints, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
