@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from quillmine.plans import corpus, graphs, texts
+
+QUERIES = corpus.QUERIES | texts.QUERIES | graphs.QUERIES
+ORACLE_SQL = corpus.ORACLE_SQL | texts.ORACLE_SQL | graphs.ORACLE_SQL
