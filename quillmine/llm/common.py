@@ -50,6 +50,10 @@ def in_fold(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(crc_of_id(doc_id) % modulus == remainder, F.lit(True))
 
 
-def scattered(*key: Column) -> Column:
-    """A pseudorandom long that depends on the values alone, for reproducible samples."""
-    return F.xxhash64(*key)
+def bounded_sample(rows: DataFrame, most: int, salt: str, *key: Column) -> DataFrame:
+    """At most `most` rows by a hash of the key, and with some margin that many where there are. Rows beyond a share that the
+    table's size gives go before anything is ordered, so no task orders more than a few times `most` rows."""
+    n = rows.count()
+    luck = F.pmod(F.xxhash64(F.lit(salt), *key), F.lit(1 << 40))
+    share = min(1.0, 4 * most / max(n, 1))
+    return rows.where(luck < int(share * (1 << 40)) + 1).orderBy(luck, *key).limit(most)

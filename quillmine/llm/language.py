@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmine.llm.common import in_fold, scattered
+from quillmine.llm.common import in_fold
 
 WINDOW, HIDDEN = 64, 8
 #: Documents of each language that are learned from at most (in expectation; LANGUAGES times it in all), and windows of each.
@@ -224,8 +224,8 @@ def training_windows(docs: DataFrame, docs_of_language: int = DOCS_OF_LANGUAGE)
     # the counts need no text; languages are few
     counts = docs.where(F.col("lang").isNotNull() & ~in_fold(F.col("doc_id"), FOLD, HELD_OUT)).groupBy("lang").count()
     share = F.broadcast(counts.orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang", (F.lit(float(docs_of_language)) / F.col("count")).alias("share")))
-    luck = F.pmod(scattered(F.lit("language"), F.col("doc_id")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    drawn = usable.join(share, "lang").where(luck < F.col("share")).orderBy(scattered(F.col("doc_id")), "doc_id", "text").limit(docs_of_language * LANGUAGES)
+    luck = F.pmod(F.xxhash64(F.lit("language"), F.col("doc_id")), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    drawn = usable.join(share, "lang").where(luck < F.col("share")).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(docs_of_language * LANGUAGES)
     at = lambda k: F.pmod(F.xxhash64(F.lit("window"), F.col("doc_id"), k), F.greatest(F.lit(1), F.length("text") - WINDOW)) + 1
     pieces = F.transform(F.sequence(F.lit(1), F.lit(WINDOWS_OF_DOC)), lambda k: F.substring(F.col("text"), at(k).cast("int"), F.lit(WINDOW)))
     return drawn.select("lang", F.explode(pieces).alias("piece"))

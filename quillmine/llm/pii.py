@@ -18,11 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmine.llm import boosting
-from quillmine.llm.common import scattered
+from quillmine.llm.common import bounded_sample
 
 KINDS = ("email", "ip", "card", "phone")
 #: Texts that the trees learn from at most, and candidates taken from them at most.
-SAMPLE_TEXTS, SAMPLE_SPANS = 2000, 20_000
+SAMPLE_TEXTS, SAMPLE_SPANS = 5000, 20_000
 PRECISION = 0.995
 TREES, DEPTH = 40, 3
 
@@ -199,9 +199,9 @@ def examples(text: str, luck: int) -> list[tuple[list[float], int]]:
 
 
 def train(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Model:
-    """From at most sample_texts texts that hold an @ or a digit, taken by a hash. Their candidates' features come to the driver."""
-    usable = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[@0-9]"))
-    sample = usable.orderBy(scattered(F.lit("pii"), F.col("doc_id"), F.length("text")), "doc_id", "text").limit(sample_texts)
+    """From at most sample_texts texts, taken by a hash. Their candidates' features come to the driver."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sample = bounded_sample(texts, sample_texts, "pii", F.col("doc_id"))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -13,12 +13,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmine.llm.common import in_fold, scattered
+from quillmine.llm.common import bounded_sample, in_fold
 
 SIZES = (3, 4, 5, 6, 7)
 TABLE_BITS = 20
 #: Labelled rows of each label that the model is fitted on at most.
-SAMPLE_OF_LABEL = 3000
+SAMPLE_OF_LABEL = 2500
 #: Features kept at most, by how many standard errors the log-count ratio is from chance.
 FEATURES, LEAST_Z, LEAST_DOCS = 30_000, 2.5, 3
 SMOOTHING = 0.5
@@ -133,7 +133,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample_of_label: int = SAM
     """(text, label) of a sample of the labelled rows outside the held-out fold: at most sample_of_label of each label, by
     a hash of doc_id. Labels are read without texts first, so the joined side holds at most twice the bound."""
     known = labels.where(F.col("toxic").isin(0, 1) & ~in_fold(F.col("doc_id"), FOLD, HELD_OUT)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    samples = [known.where(F.col("label") == k).orderBy(scattered(F.lit("toxicity"), F.col("doc_id")), "doc_id").limit(sample_of_label) for k in (0, 1)]
+    samples = [bounded_sample(known.where(F.col("label") == k), sample_of_label, "toxicity", F.col("doc_id")) for k in (0, 1)]
     sample = F.broadcast(samples[0].unionByName(samples[1]))
     # one row per id, so repeated documents don't exceed the bound
     return docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label", "doc_id")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmine.llm import boosting
-from quillmine.llm.common import lower_ascii, scattered
+from quillmine.llm.common import bounded_sample, lower_ascii
 
 #: (verdict, host and path).
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net/de/"), ("allow", "example.net/de/8"), ("block", "org/es/"))
@@ -85,7 +85,7 @@ def judged(pages: DataFrame, rules=RULES, sample: int = SAMPLE) -> DataFrame:
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("ruled", verdict)
     features = lexical(F.col("url"), F.col("host"), F.col("path"))
-    labelled = rows.where(F.col("ruled").isNotNull()).orderBy(scattered(F.col("url"), F.col("page_id")), "url").limit(sample)
+    labelled = bounded_sample(rows.where(F.col("ruled").isNotNull()), sample, "urls", F.col("url"), F.col("page_id"))
     known = [r.asDict() for r in labelled.select(suffix_of(F.col("host")).alias("suffix"), top_of(F.col("path")).alias("top"), (F.col("ruled") == "block").cast("double").alias("label"), *[c.alias(n) for n, c in features.items()]).toLocalIterator()]
     shares, mean = {}, (sum(r["label"] for r in known) + 1) / (len(known) + 2)
     for name in ("suffix", "top"):
