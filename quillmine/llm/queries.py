@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmine.llm import fingerprints, language, media, mixing, packing, pii, simhash, toxicity, urls
+from quillmine.llm import fingerprints, language, media, mixing, packing, pii, simhash, suffix_tree, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens", "padded_length")
 
 
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.scored(_table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -53,5 +57,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op3_simhash, op4_mixing, op5_packing, op6_language, op7_personal_data, op8_url_filter, op9_fingerprints, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_media_columns, op2_suffix_tree, op3_simhash, op4_mixing, op5_packing, op6_language, op7_personal_data, op8_url_filter, op9_fingerprints, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
