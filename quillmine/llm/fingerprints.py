@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PIECE = r"[^\n.!?]+[.!?]*|[.!?]+"
-HALF, LOW, BOTH = 1 << 32, (1 << 32) - 1, (1 << 32) + 1
+HALF, LOW = 1 << 32, (1 << 32) - 1
+GROUP, EIGHTS, BYTES = 127, 0x0101010101010101, 0x000000FF000000FF
 #: At most QUANTILES * PARTS buckets of neighbouring ids, so their boundaries are a small table at any size.
 QUANTILES, PARTS, BUCKET_ROWS = 256, 256, 1024
 
@@ -30,13 +31,24 @@ def piece_hashes(text: Column) -> Column:
 
 
 def lane_sums(hashes: Column) -> Column:
-    """The 128 sums, two to a long (upper and lower half); the count of pieces comes first."""
+    """The 128 sums, two to a long (upper and lower half); the count of pieces comes first.
 
-    def one(name, j):
-        return F.aggregate(hashes, _long(0), lambda s, h: s + F.shiftrightunsigned(h[name], j).bitwiseAND(_long(BOTH)))
+    Up to 127 pieces (a long is signed) are added eight lanes of eight bits at a time, then widened, so the common text takes 16 sums of its
+    pieces and not 64."""
 
-    bits = [one(name, j) for name in "ab" for j in range(32)]
-    return F.array(F.size(hashes).cast("long"), *bits)
+    def narrow(pieces, name, j):
+        return F.aggregate(pieces, _long(0), lambda s, h: s + F.shiftrightunsigned(h[name], j).bitwiseAND(_long(EIGHTS)))
+
+    n_groups = F.ceil(F.size(hashes) / GROUP)
+    groups = F.transform(F.sequence(F.lit(1), F.greatest(n_groups, F.lit(1))), lambda g: F.slice(hashes, ((g - 1) * GROUP + 1).cast("int"), GROUP))
+    sums = F.transform(groups, lambda pieces: F.array(*[narrow(pieces, name, j) for name in "ab" for j in range(8)]))
+
+    def wide(found, side, j):
+        return F.aggregate(found, _long(0), lambda s, x: s + F.shiftrightunsigned(x[8 * side + j % 8], 8 * (j // 8)).bitwiseAND(_long(BYTES)))
+
+    # one item, so that the sums are made once for all 64 uses
+    widened = F.transform(F.array(sums), lambda found: F.array(*[wide(found, side, j) for side in (0, 1) for j in range(32)]))
+    return F.concat(F.array(F.size(hashes).cast("long")), F.get(widened, F.lit(0)))
 
 
 def fingerprint_text(sums: Column) -> Column:
@@ -127,3 +139,26 @@ def compared(docs: DataFrame) -> DataFrame:
         likeness(F.col("sums"), F.col("edited_sums"), F.col("square"), F.col("edited_square")).alias("near_edited"),
         likeness(F.col("sums"), F.col("next_sums"), F.col("square"), F.col("next_square")).alias("near_next"),
     )
+
+
+def compared_sql() -> str:
+    """compared() in SQL, over the table documents."""
+    lanes = [(f"sum((w{2 * side} >> {j}) & 1)", f"sum((w{2 * side + 1} >> {j}) & 1)") for side in (0, 1) for j in range(32)]
+    digits = " || ".join(f"printf('%08x', coalesce({x}, 0)::BIGINT)" for pair in lanes for x in pair)
+    listed = ", ".join(f"coalesce({x}, 0)::DOUBLE" for pair in lanes for x in pair)
+    words = ", ".join(f"('0x' || substr(h, {1 + 8 * k}, 8))::UBIGINT AS w{k}" for k in range(4))
+    square = "list_sum(list_transform({a}.lanes, lambda v: (2 * v - {a}.n) * (2 * v - {a}.n)))"
+    apart = "list_sum(list_transform(list_zip({a}.lanes, {b}.lanes), lambda v: (2 * (v[1] - v[2]) - ({a}.n - {b}.n)) * (2 * (v[1] - v[2]) - ({a}.n - {b}.n))))"
+
+    def near(a: str, b: str) -> str:
+        return f"CASE WHEN {a}.fp = {b}.fp THEN 1.0::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, coalesce(1.0::DOUBLE - {apart.format(a=a, b=b)} / nullif({square.format(a=a)} + {square.format(a=b)}, 0), 0.0))) END"
+
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS following FROM d),
+e AS (SELECT *, length(text)::BIGINT AS n_chars, substr(text, 1, length(text) - length(text) // 3) || substr(following, 1, length(text) // 3) AS edited FROM n),
+t AS (SELECT text FROM e UNION SELECT edited FROM e),
+p AS (SELECT text, {words} FROM (SELECT text, md5(unnest(regexp_extract_all(text, '{PIECE}'))) AS h FROM t)),
+f AS (SELECT t.text, count(w0)::DOUBLE AS n, printf('%016x', count(w0)) || {digits} AS fp, [{listed}] AS lanes FROM t LEFT JOIN p ON t.text = p.text GROUP BY t.text)
+SELECT e.doc_id, e.n_chars, sha256(e.edited) AS edited_sha256, a.fp AS fingerprint, b.fp AS edited_fingerprint, {near('a', 'b')} AS near_edited, {near('a', 'c')} AS near_next
+FROM e JOIN f a ON a.text = e.text JOIN f b ON b.text = e.edited JOIN f c ON c.text = e.following"""

@@ -256,5 +256,6 @@ def identified(docs: DataFrame, docs_of_language: int = DOCS_OF_LANGUAGE) -> Dat
                 found = model.value.predict(part["text"].tolist())
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "held_out": part["held_out"].to_numpy(), "lang_pred": [x for x, _ in found], "score": [y for _, y in found]})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), in_fold(F.col("doc_id"), FOLD, HELD_OUT).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    # doc_id crosses Python as text: beside nulls pandas would hold it as a float
+    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), in_fold(F.col("doc_id"), FOLD, HELD_OUT).alias("held_out"), F.col("text").cast("string").alias("text"))
+    return rows.mapInPandas(predict, "doc_id string, held_out boolean, lang_pred string, score double").withColumn("doc_id", F.col("doc_id").cast("long"))

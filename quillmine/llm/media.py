@@ -27,7 +27,7 @@ REACH = 2
 #: A peak is at least so many times its band's mean magnitude.
 STANDS_OUT = 2.0
 FRAMES_AT_ONCE = 4096
-SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, times array<int>, codes array<int>, media binary"
+SCHEMA = "doc_id string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, times array<int>, codes array<int>, media binary"
 
 
 def to_payload(text: str | None) -> tuple[bytes, int]:
@@ -115,7 +115,9 @@ def media_columns(docs: DataFrame, with_media: bool = True) -> DataFrame:
                 out.insert(0, "doc_id", part["doc_id"].to_numpy())
                 yield out
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(convert, SCHEMA)
+    # doc_id crosses Python as text: beside nulls pandas would hold it as a float
+    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInPandas(convert, SCHEMA).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def landmark_text(times, codes):

@@ -20,9 +20,9 @@ SHARE = 1.5
 MOST_REPEATS = 2
 WEIGHTS = (5, 2, 1)
 #: Rows that one task puts in order; the number of buckets follows the table.
-BUCKET_ROWS = 1 << 14
-#: Slots that one row stands for before it is spread over tasks.
-RUN_SLOTS = 1 << 12
+BUCKET_ROWS = 1 << 11
+#: Slots that one row stands for before it is spread over tasks, and slots of a task.
+RUN_SLOTS, TASK_SLOTS = 1 << 12, 1 << 16
 ROUNDS = 24
 
 
@@ -74,7 +74,9 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     dealt = dealt.withColumn("n_slots", F.col("whole") + (F.col("rest") > 0).cast("long")).where("n_slots > 0")
     in_order = Window.orderBy("source_id")
     dealt = dealt.withColumn("first_slot", F.sum("n_slots").over(in_order) - F.col("n_slots")).withColumn("all_slots", F.sum("n_slots").over(Window.partitionBy()))
-    runs = dealt.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / RUN_SLOTS)))).repartition("source_id", "run")
+    # a fixed number of tasks: by the bytes of these few rows they would all be put into one
+    n_tasks = -(-int(dealt.agg(F.sum("n_slots")).first()[0] or 1) // TASK_SLOTS)
+    runs = dealt.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / RUN_SLOTS)))).repartition(n_tasks, "source_id", "run")
     last = F.least(F.col("n_slots"), (F.col("run") + 1) * RUN_SLOTS) - 1
     each = runs.withColumn("slot", F.explode(F.sequence(F.col("run") * RUN_SLOTS, last)))
     each = each.withColumn("pass", F.floor(F.col("slot") / F.col("blocks")))

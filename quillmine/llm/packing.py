@@ -23,7 +23,8 @@ END_ID = 0
 #: Rows whose ids a task holds at once.
 ROWS_AT_ONCE = 250
 VOCABULARY = "byte_bpe_50k"
-TOKEN_SCHEMA = "part int, part_start long, doc_id long, n_ids long, ids binary"
+#: doc_id crosses Python as text: beside nulls pandas would hold it as a float.
+TOKEN_SCHEMA = "part int, part_start long, doc_id string, n_ids long, ids binary"
 
 
 @lru_cache(maxsize=2)
@@ -39,11 +40,13 @@ def encoder(vocabulary: str):
     with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     fast = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    full = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
+    full: list[Tokenizer] = []  # read on the first text that needs it
 
     def encode(text: str) -> list[int]:
         if "<|endoftext|>" in text:
-            return full.encode(text, add_special_tokens=False).ids
+            if not full:
+                full.append(Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json")))
+            return full[0].encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
     return encode
@@ -62,7 +65,8 @@ def tokenized(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_I
             start += int(sizes.sum())
             yield pd.DataFrame({"part": part, "part_start": starts, "doc_id": batch["doc_id"].to_numpy(), "n_ids": sizes, "ids": [x.tobytes() for x in ids]})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(encode_part, TOKEN_SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInPandas(encode_part, TOKEN_SCHEMA).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def pack(docs: DataFrame, length: int = SEQUENCE_LENGTH, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:

@@ -20,7 +20,7 @@ TABLE_BITS = 20
 #: Labelled rows of each label that the model is fitted on at most.
 SAMPLE_OF_LABEL = 2500
 #: Features kept at most, by how many standard errors the log-count ratio is from chance.
-FEATURES, LEAST_Z, LEAST_DOCS = 30_000, 2.5, 3
+FEATURES, LEAST_Z, LEAST_DOCS = 10_000, 2.5, 3
 SMOOTHING = 0.5
 STEPS, RIDGE = 250, 2e-3
 #: Bytes hashed at once.
@@ -96,9 +96,9 @@ def fit(rows: list[tuple[str | None, int]]) -> Model:
     columns, values, row_of, lengths = [], [], [], []
     for k, (text, _) in enumerate(rows):
         slots, counts, length = gram_counts(text, wanted)
-        columns.append(place[slots])
-        values.append(np.log1p(counts) * ratio[slots])
-        row_of.append(np.full(len(slots), k))
+        columns.append(place[slots].astype(np.int32))
+        values.append((np.log1p(counts) * ratio[slots]).astype(np.float32))
+        row_of.append(np.full(len(slots), k, np.int32))
         lengths.append(length)
     columns, values, row_of = np.concatenate(columns), np.concatenate(values), np.concatenate(row_of)
     lengths, label = np.array(lengths), np.array([x for _, x in rows], np.float64)
