@@ -206,7 +206,8 @@ def train(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Model:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [e for text in batch["text"] if text for e in examples(text, len(text))]
-            yield pd.DataFrame({"x": [x for x, _ in found], "y": [y for _, y in found]})
+            if found:  # an empty column would have no type that Arrow takes for lists
+                yield pd.DataFrame({"x": [x for x, _ in found], "y": [y for _, y in found]})
 
     got = [(tuple(r.x), r.y) for r in sample.mapInPandas(rows, "x array<double>, y int").limit(SAMPLE_SPANS).toLocalIterator()]
     got.sort()
