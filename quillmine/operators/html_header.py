@@ -134,7 +134,7 @@ def header_fields(pages: DataFrame, page_column: str = "html") -> DataFrame:
     is_dates = lambda row: ~is_category(row) & any_date(row)
     is_proceeding = lambda row: ~is_category(row) & ~any_date(row) & has(row, PROCEEDING)
     is_register = lambda row: ~is_category(row) & ~any_date(row) & ~has(row, PROCEEDING) & has(row, REGISTER)
-    last = lambda test: F.element_at(F.filter("_rows", test), -1)
+    last = lambda test: F.try_element_at(F.filter("_rows", test), F.lit(-1))
     bold = lambda row, k: F.get(row["bold_values"], F.lit(k))
 
     def date(k):
