@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillmine.plans import corpus, graphs, texts
+from quillmine.plans import corpus, graphs, listings, texts
 
-QUERIES = corpus.QUERIES | texts.QUERIES | graphs.QUERIES
-ORACLE_SQL = corpus.ORACLE_SQL | texts.ORACLE_SQL | graphs.ORACLE_SQL
+QUERIES = corpus.QUERIES | texts.QUERIES | listings.QUERIES | graphs.QUERIES
+ORACLE_SQL = corpus.ORACLE_SQL | texts.ORACLE_SQL | listings.ORACLE_SQL | graphs.ORACLE_SQL
