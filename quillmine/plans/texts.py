@@ -81,7 +81,8 @@ w AS (SELECT doc_id, unnest(range(0, greatest(len(ids), 1), 126)) AS pos, ids FR
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos)::INTEGER AS n, (len(part) + 2)::INTEGER AS length, (list_sum(part) + 203)::BIGINT AS id_sum FROM s WHERE len(part) >= 32""")
 def token_windows(spark, sf_dir):
     ids = F.transform(T.tokens(F.col("text")), F.length)
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(paragraphs.token_windows(ids, 128, 32)).alias("at", "w"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids"))  # a column of its own, so that it is made once
+    rows = docs.select("doc_id", F.posexplode(paragraphs.token_windows(F.col("ids"), 128, 32)).alias("at", "w"))
     return rows.select("doc_id", (F.col("at") + 1).alias("n"), F.size("w.attention_mask").alias("length"), F.aggregate("w.input_ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("id_sum"))
 
 
