@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -57,3 +58,15 @@ def bounded_sample(rows: DataFrame, most: int, salt: str, *key: Column) -> DataF
     luck = F.pmod(F.xxhash64(F.lit(salt), *key), F.lit(1 << 40))
     share = min(1.0, 4 * most / max(n, 1))
     return rows.where(luck < int(share * (1 << 40)) + 1).orderBy(luck, *key).limit(most)
+
+
+def give_back_memory() -> None:
+    """Returns what a Python worker has freed to the system: workers outlive their tasks, and what they keep unused counts
+    against the executor while others run."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

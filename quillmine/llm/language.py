@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmine.llm.common import in_fold
+from quillmine.llm.common import give_back_memory, in_fold
 
 WINDOW, HIDDEN = 64, 8
 #: Documents of each language that are learned from at most (in expectation; LANGUAGES times it in all), and windows of each.
@@ -255,6 +255,7 @@ def identified(docs: DataFrame, docs_of_language: int = DOCS_OF_LANGUAGE) -> Dat
                 part = batch.iloc[at : at + 2000]
                 found = model.value.predict(part["text"].tolist())
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "held_out": part["held_out"].to_numpy(), "lang_pred": [x for x, _ in found], "score": [y for _, y in found]})
+        give_back_memory()
 
     # doc_id crosses Python as text: beside nulls pandas would hold it as a float
     rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), in_fold(F.col("doc_id"), FOLD, HELD_OUT).alias("held_out"), F.col("text").cast("string").alias("text"))

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillmine.llm.common import give_back_memory
+
 BLOCK = 192
 RATE = 8000
 FRAME = 2 * BLOCK
@@ -114,6 +116,7 @@ def media_columns(docs: DataFrame, with_media: bool = True) -> DataFrame:
                 out = pd.DataFrame([media_row(text, with_media) for text in part["text"]], columns=names)
                 out.insert(0, "doc_id", part["doc_id"].to_numpy())
                 yield out
+        give_back_memory()
 
     # doc_id crosses Python as text: beside nulls pandas would hold it as a float
     rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmine.llm.common import stored
+from quillmine.llm.common import give_back_memory, stored
 
 SEQUENCE_LENGTH = 1024
 END_ID = 0
@@ -64,6 +64,7 @@ def tokenized(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_I
             starts = start + np.cumsum(sizes) - sizes
             start += int(sizes.sum())
             yield pd.DataFrame({"part": part, "part_start": starts, "doc_id": batch["doc_id"].to_numpy(), "n_ids": sizes, "ids": [x.tobytes() for x in ids]})
+        give_back_memory()
 
     rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInPandas(encode_part, TOKEN_SCHEMA).withColumn("doc_id", F.col("doc_id").cast("long"))

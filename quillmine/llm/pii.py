@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmine.llm import boosting
-from quillmine.llm.common import bounded_sample
+from quillmine.llm.common import bounded_sample, give_back_memory
 
 KINDS = ("email", "ip", "card", "phone")
 #: Texts that the trees learn from at most, and candidates taken from them at most.
@@ -254,6 +254,7 @@ def span_column(text: Column, shared) -> Column:
         for text in texts:
             base = base_spans(text)
             rows.append((*(sum(k == kind for k, *_ in base) for kind in KINDS), hashlib.sha256(span_text(base).encode()).hexdigest(), [{"kind": k, "start": a, "end": b} for k, a, b in shared.value.spans(text)]))
+        give_back_memory()
         return pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
 
     return find(text)
@@ -279,7 +280,9 @@ def without_personal_data(docs: DataFrame, model: Model | None = None) -> DataFr
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
-        return pd.Series([redacted(x, shared.value.spans(x)) for x in texts], dtype="object")
+        found = pd.Series([redacted(x, shared.value.spans(x)) for x in texts], dtype="object")
+        give_back_memory()
+        return found
 
     names = docs.columns
     rows = docs.select(F.struct(*names).alias("row"), clean(F.col("text").cast("string")).alias("cleaned"))

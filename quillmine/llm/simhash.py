@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmine.llm.common import stored
+from quillmine.llm.common import give_back_memory, stored
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 BANDS = 4
@@ -49,7 +49,9 @@ def text_fingerprint(text: str | None, width: int = SHINGLE) -> int:
 def fingerprint_column(text: Column, width: int = SHINGLE) -> Column:
     @F.pandas_udf("long")
     def fingerprint(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([text_fingerprint(x, width) for x in texts], dtype=np.uint64).astype(np.int64))
+        found = np.array([text_fingerprint(x, width) for x in texts], dtype=np.uint64).astype(np.int64)
+        give_back_memory()
+        return pd.Series(found)
 
     return fingerprint(text)
 
@@ -193,6 +195,7 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
             last = rows[edges[-2] :]
         yield from bucket(last)
         yield from settle()
+        give_back_memory()
 
     return dealt.mapInPandas(compare, "fingerprint long, other long").dropDuplicates()
 

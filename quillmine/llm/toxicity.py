@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmine.llm.common import bounded_sample, in_fold
+from quillmine.llm.common import bounded_sample, give_back_memory, in_fold
 
 SIZES = (3, 4, 5, 6, 7)
 TABLE_BITS = 20
@@ -149,7 +149,9 @@ def score_column(text: Column, model: Model, spark) -> Column:
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(x) for x in texts], dtype="float64")
+        found = [shared.value.score(x) for x in texts]
+        give_back_memory()
+        return pd.Series(found, dtype="float64")
 
     return score(text)
 
