@@ -2,10 +2,15 @@
 
 A text's words, joined by single spaces and ended by an end mark, are a sequence of symbols (bytes; rare ones share an
 escape symbol). All training texts' counts of a symbol with the symbols before it give contexts of length 0 to DEPTH. A
-context is a state of the tree if it makes up at least LEAST_SHARE of the corpus, so there are at most 1 / LEAST_SHARE of
-each length, and its next-symbol distribution diverges enough from that of its longest suffix in the tree. A state's
-distribution is smoothed with its suffix's in proportion to its number of different symbols. Each symbol is scored by the
-state that is the longest suffix of what stands before it.
+context is a state of the tree if it occurs LEAST_COUNT times, at any size of the corpus, and its next-symbol distribution
+diverges enough from that of its longest suffix in the tree. A state's distribution is smoothed with its suffix's in
+proportion to its number of different symbols. Each symbol is scored by the state that is the longest suffix of what
+stands before it.
+
+The tree grows with the corpus, so it is never whole in one place. Contexts up to NEAR symbols, as many as the alphabet
+allows, are a head that every task has. Longer ones are dealt out by their KEYED nearest symbols: all suffixes of a context
+that the head lacks are in its part, so each part grows by itself. A chunk of texts asks each part for its own different
+codes, and gets their probabilities.
 
 The unigram score over words lies beside it. Its counts are joined by chunk: a chunk of texts asks for its own different
 words, and gets their counts.
@@ -18,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +32,7 @@ from quillmine.llm.common import give_back_memory, in_fold, stored
 BITS, DEPTH = 7, 6
 END, ESCAPE = 0, 127
 PLAIN = b"abcdefghijklmnopqrstuvwxyz 0123456789.,;:!?'\"()-_/@#%&=+*|"
-LEAST_SHARE = 3e-6
+LEAST_COUNT = 2
 #: Nats by which a context's counts must be likelier under its own distribution than under its suffix's.
 DIVERGENCE = 5.0
 SMOOTHING = 0.1
@@ -34,8 +40,10 @@ SMOOTHING = 0.1
 PART, CHUNK_BYTES, HELD, WORDS_HELD = 1 << 21, 1 << 24, 3 << 20, 3 << 17
 #: Bytes of text whose counts a task sums up before it passes them on: more of them, fewer rows to shuffle.
 COUNTED_BYTES = 64 << 20
-#: Length of contexts that are looked up in a table.
-NEAR = 2
+#: Length of the contexts that every task has, and symbols by which longer ones are dealt out.
+NEAR, KEYED = 2, 3
+#: Bytes of text for each part of the tree, and codes in a row of a part.
+BYTES_A_PART, CODES_A_ROW = 1 << 25, 1 << 18
 #: Rows whose codes are made together.
 ROWS_AT_ONCE = 1000
 #: Texts in a part; with DEPTH + 1 symbols their number fits one 64-bit word.
@@ -125,15 +133,37 @@ def _summed(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return code[first], np.add.reduceat(count, first)
 
 
-def gram_counts(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(code, n) over all texts: each task sums up its own first."""
+def changes(ordered: np.ndarray) -> np.ndarray:
+    """Where a new value begins."""
+    return np.append(True, ordered[1:] != ordered[:-1]) if len(ordered) else np.empty(0, bool)
+
+
+def by_part(codes: np.ndarray, parts: int, depth: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, places of its codes, in order) by the codes' KEYED nearest context symbols."""
+    keyed = min(KEYED, depth)
+    key = (codes >> BITS * (depth - keyed)) & ((1 << BITS * keyed) - 1)
+    part = ((((key * 0x9E3779B1) & 0xFFFFFFFF) >> 8) % parts).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+    order = np.argsort(part, kind="stable")
+    first = np.flatnonzero(changes(part[order]))
+    for a, b in zip(first, np.append(first[1:], len(order))):
+        yield int(part[order[a]]), order[a:b]
+
+
+def gram_counts(texts: DataFrame, parts: int, depth: int = DEPTH) -> DataFrame:
+    """(part, codes, counts) over all texts: rows of different codes, in order, and their counts, as bytes. Each task sums up
+    its own first."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes, counts, size = [], [], 0
+
+        def out(code, n):
+            rows = [(part, code[at].tobytes(), n[at].tobytes()) for part, at in by_part(code, parts, depth)]
+            return pd.DataFrame(rows, columns=["part", "codes", "counts"])
+
         for batch in (rows.iloc[at : at + ROWS_AT_ONCE] for rows in batches for at in range(0, len(rows), ROWS_AT_ONCE)):
             for found, _ in coded([b" ".join(words_of(x)) for x in batch["text"]], depth):
                 found.sort()
-                first = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+                first = np.flatnonzero(changes(found))
                 codes.append(found[first])
                 counts.append(np.diff(np.append(first, len(found))))
                 size += len(first)
@@ -141,105 +171,152 @@ def gram_counts(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
                     code, n = _summed(codes, counts)
                     codes, counts, size = [code], [n], len(code)
                     if size > HELD * 3 // 4:
-                        yield pd.DataFrame({"code": code, "n": n})
+                        yield out(code, n)
                         codes, counts, size = [], [], 0
         if codes:
+            yield out(*_summed(codes, counts))
+        give_back_memory()
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, codes, counts, size, least = None, [], [], 0, 2 * HELD
+
+        def settle():
             code, n = _summed(codes, counts)
-            for at in range(0, len(code), 1 << 19):
-                yield pd.DataFrame({"code": code[at : at + (1 << 19)], "n": n[at : at + (1 << 19)]})
+            rows = [(part, code[at : at + CODES_A_ROW].tobytes(), n[at : at + CODES_A_ROW].tobytes()) for at in range(0, len(code), CODES_A_ROW)]
+            return pd.DataFrame(rows, columns=["part", "codes", "counts"])
+
+        for batch in batches:
+            for p, c, n in zip(batch["part"], batch["codes"], batch["counts"]):
+                if p != part and codes:
+                    yield settle()
+                    codes, counts, size, least = [], [], 0, 2 * HELD
+                part = p
+                codes.append(np.frombuffer(c, np.int64))
+                counts.append(np.frombuffer(n, np.int64))
+                size += len(codes[-1])
+                if size > least:
+                    code, total = _summed(codes, counts)
+                    codes, counts, size = [code], [total], len(code)
+                    least = 2 * max(size, HELD)
+        if codes:
+            yield settle()
         give_back_memory()
 
-    return texts.select("text").mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    schema = "part int, codes binary, counts binary"
+    return texts.select("text").mapInPandas(count, schema).repartition(parts, "part").sortWithinPartitions("part").mapInPandas(merge, schema)
 
 
 class Tree:
     """levels[d - 1]: sorted contexts of length d that are states, their counts and kinds of next symbols; sorted codes of
     symbols with these contexts, and their counts. root: probabilities."""
 
-    def __init__(self, root: np.ndarray, depth: int):
-        self.root, self.depth = root, depth
+    def __init__(self, root: np.ndarray):
+        self.root = root
         self.levels: list[tuple[np.ndarray, ...]] = []
-        self._table: tuple[int, np.ndarray] | None = None
-
-    def __getstate__(self):
-        return self.__dict__ | {"_table": None}
-
-    @property
-    def states(self) -> int:
-        return 1 + sum(len(level[0]) for level in self.levels)
-
-    def probability(self, codes: np.ndarray, depth: int | None = None) -> np.ndarray:
-        """Of each code's symbol after the longest suffix that is a state. depth: context symbols in the codes."""
-        depth = self.depth if depth is None else depth
-        return self._extended(codes, self._shallow()[codes >> BITS * (depth - NEAR)] if depth > NEAR else self.root[codes >> BITS * depth], NEAR if depth > NEAR else 0, depth)
-
-    def _shallow(self) -> np.ndarray:
-        """Probabilities after all contexts of NEAR symbols, as a table: most searches are for these."""
-        if self._table is None or self._table[0] != min(NEAR, len(self.levels)):
-            every = np.arange(1 << BITS * (NEAR + 1))
-            self._table = min(NEAR, len(self.levels)), self._extended(every, self.root[every >> BITS * NEAR], 0, NEAR)
-        return self._table[1]
-
-    def _extended(self, codes: np.ndarray, p: np.ndarray, known: int, depth: int) -> np.ndarray:
-        """p, by contexts of `known` symbols, refined by those of known + 1 to depth symbols."""
-        for d, (contexts, totals, kinds, grams, counts) in list(enumerate(self.levels[:depth], 1))[known:]:
+
+    def probability(self, codes: np.ndarray, depth: int) -> np.ndarray:
+        """Of each code's symbol after the longest suffix that is a state. codes: in order, of `depth` context symbols. What
+        codes share is looked up once: from one length of context to the next, only different ones are refined."""
+        known = codes >> BITS * depth
+        new = changes(known)
+        place, p = np.cumsum(new) - 1, self.root[known[new]]
+        for d, (contexts, totals, kinds, grams, counts) in enumerate(self.levels[:depth], 1):
             if not len(contexts):
                 continue
             gram = codes >> BITS * (depth - d)
+            new = changes(gram)
+            gram, p = gram[new], p[place[new]]
+            place = np.cumsum(new) - 1
             context = gram & ((1 << BITS * d) - 1)
             at = np.searchsorted(contexts, context)
             at[at == len(contexts)] = 0
             hit = np.flatnonzero(contexts[at] == context)
             at, gram = at[hit], gram[hit]
-            place = np.searchsorted(grams, gram)
-            place[place == len(grams)] = 0
-            n = np.where(grams[place] == gram, counts[place], 0)
+            n_at = np.searchsorted(grams, gram)
+            n_at[n_at == len(grams)] = 0
+            n = np.where(grams[n_at] == gram, counts[n_at], 0)
             p[hit] = (n + kinds[at] * p[hit]) / (totals[at] + kinds[at])
-        return p
+        return p[place]
+
+
+def grow(tree: Tree, codes: np.ndarray, counts: np.ndarray, depth: int, least: float, divergence: float) -> Tree:
+    """The tree with the levels it lacks, up to depth. codes: different ones in order, of `depth` context symbols."""
+    grown = Tree(tree.root)
+    grown.levels = list(tree.levels)
+    for d in range(len(grown.levels) + 1, depth + 1):
+        gram = codes >> BITS * (depth - d)
+        first = np.flatnonzero(changes(gram))
+        gram, n = gram[first], np.add.reduceat(counts, first) if len(first) else counts
+        before = grown.probability(gram, d)
+        context = gram & ((1 << BITS * d) - 1)
+        order = np.argsort(context, kind="stable")
+        context, gram, n, before = context[order], gram[order], n[order], before[order]
+        first = np.flatnonzero(changes(context))
+        totals, kinds = np.add.reduceat(n, first) if len(first) else n, np.diff(np.append(first, len(gram)))
+        gain = np.add.reduceat(n * np.log(n / np.repeat(totals, kinds) / before), first) if len(first) else before
+        kept = (totals >= least) & (gain >= divergence)
+        some = np.repeat(kept, kinds)
+        own, own_counts = gram[some], n[some]
+        order = np.argsort(own)
+        grown.levels.append((context[first][kept], totals[kept], kinds[kept], own[order], own_counts[order]))
+    return grown
+
 
+def head(grams: DataFrame, depth: int, least_share: float, divergence: float) -> tuple[Tree, float]:
+    """The tree up to NEAR context symbols, and the least count of a state. What comes to the driver are different runs of
+    NEAR + 1 symbols: the alphabet bounds them."""
+    near = min(NEAR, depth)
 
-def grow(grams: list[tuple[np.ndarray, np.ndarray]], divergence: float = DIVERGENCE) -> Tree:
-    """grams[d]: sorted codes of d context symbols and a next one, and counts; of contexts that are frequent enough."""
-    codes, counts = grams[0] if grams else (np.empty(0, np.int64), np.empty(0, np.int64))
+    def shorten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for c, n in zip(batch["codes"], batch["counts"]):
+                gram = np.frombuffer(c, np.int64) >> BITS * (depth - near)
+                first = np.flatnonzero(changes(gram))
+                yield pd.DataFrame({"gram": gram[first], "n": np.add.reduceat(np.frombuffer(n, np.int64), first)})
+
+    got = grams.select("codes", "counts").mapInPandas(shorten, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    gram, n = got.column("gram").to_numpy(), got.column("n").to_numpy()
+    order = np.argsort(gram)
+    gram, n = gram[order], n[order]
     root = np.full(1 << BITS, SMOOTHING)
-    root[codes] += counts
-    tree = Tree(root / root.sum(), len(grams) - 1)
-    for d in range(1, len(grams)):
-        codes, counts = grams[d]
-        if not len(codes):
-            break
-        order = np.argsort(codes & ((1 << BITS * d) - 1), kind="stable")
-        codes, counts = codes[order], counts[order]
-        own = codes & ((1 << BITS * d) - 1)
-        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        totals, kinds = np.add.reduceat(counts, first), np.diff(np.append(first, len(codes)))
-        each = np.repeat(totals, kinds)
-        gain = np.add.reduceat(counts * np.log(counts / each / tree.probability(codes, d)), first)
-        kept = gain >= divergence
-        some = np.repeat(kept, kinds)
-        codes, counts = codes[some], counts[some]
-        order = np.argsort(codes)
-        tree.levels.append((own[first][kept], totals[kept], kinds[kept], codes[order], counts[order]))
-    return tree
-
-
-def train(texts: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE, divergence: float = DIVERGENCE) -> Tree:
-    """The tree of all texts. Counting and the choice of frequent contexts are distributed; what comes to the driver holds at
-    most (depth + 1) / least_share contexts."""
-    all_grams = stored(gram_counts(texts, depth), "grams")
-    total = all_grams.agg(F.sum("n")).first()[0] or 0
-    each = F.array(*[F.struct(F.lit(d).alias("d"), F.shiftright("code", BITS * (depth - d)).alias("gram")) for d in range(depth + 1)])
-    levels = all_grams.select("n", F.explode(each).alias("x")).groupBy("x.d", "x.gram").agg(F.sum("n").alias("n"))
-    masks = F.array(*[F.lit((1 << BITS * d) - 1).cast("long") for d in range(depth + 1)])
-    by_context = levels.groupBy("d", F.col("gram").bitwiseAND(F.get(masks, F.col("d"))).alias("context")).agg(F.sum("n").alias("total"), F.collect_list(F.struct("gram", "n")).alias("next")).where(F.col("total") >= max(2, least_share * total))
-    got = by_context.select(F.col("d").cast("byte").alias("d"), F.inline("next")).toArrow()
-    level, gram, n = (got.column(c).to_numpy() for c in ("d", "gram", "n"))
-    grams = []
-    for d in range(depth + 1):
-        own = np.flatnonzero(level == d)
-        own = own[np.argsort(gram[own])]
-        grams.append((gram[own], n[own]))
-    return grow(grams, divergence)
+    np.add.at(root, gram >> BITS * near, n)
+    least = max(LEAST_COUNT, least_share * int(n.sum()))
+    return grow(Tree(root / root.sum()), gram, n, near, least, divergence), least
+
+
+def answered(asked: DataFrame, grams: DataFrame, parts: int, near: Broadcast, depth: int, least: float, divergence: float) -> DataFrame:
+    """asked (part, chunk, codes) -> (part, chunk, logs): log10 probabilities, as 32-bit numbers in the codes' order. A task
+    grows a part of the tree and then reads the codes that chunks ask it for."""
+
+    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, tree, codes, counts = None, None, [], []
+        for batch in batches:
+            for p, chunk, c, n in zip(batch["part"], batch["chunk"], batch["codes"], batch["counts"]):
+                if p != part:
+                    part, tree, codes, counts = p, None, [], []
+                if chunk < 0:
+                    codes.append(np.frombuffer(c, np.int64))
+                    counts.append(np.frombuffer(n, np.int64))
+                    continue
+                if tree is None:
+                    tree = near.value
+                    if codes:
+                        code, total = np.concatenate(codes), np.concatenate(counts)
+                        order = np.argsort(code)
+                        tree = grow(tree, code[order], total[order], depth, least, divergence)
+                        codes, counts = [], []
+                logs = np.log10(tree.probability(np.frombuffer(c, np.int64), depth)).astype(np.float32)
+                yield pd.DataFrame({"part": [part], "chunk": [chunk], "logs": [logs.tobytes()]})
+        give_back_memory()
+
+    both = grams.select("part", F.lit(-1).alias("chunk"), "codes", "counts").unionByName(asked.withColumn("counts", F.lit(None).cast("binary")))
+    return both.repartition(parts, "part").sortWithinPartitions("part", "chunk").mapInPandas(answer, "part int, chunk int, logs binary")
+
+
+def different(texts: list[bytes], depth: int) -> np.ndarray:
+    """The texts' different codes, in order."""
+    found = [np.unique(codes) for codes, _ in coded(texts, depth)]
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -261,10 +338,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInPandas(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def log_scores(tree: Tree, texts: list[bytes]) -> np.ndarray:
-    """log10 probability of each text. Codes and the texts they are of are sorted as one word, so that each different code
-    is looked up once, in order, and nothing has to be put back in place."""
-    total, depth = np.zeros(len(texts)), tree.depth
+def log_scores(known: np.ndarray, logs: np.ndarray, texts: list[bytes], depth: int) -> np.ndarray:
+    """log10 probability of each text, by those of its codes. Codes and the texts they are of are sorted as one word, so that
+    each different code is looked up once, in order, and nothing has to be put back in place."""
+    total = np.zeros(len(texts))
     for codes, owner in coded(texts, depth):
         base = int(owner.min()) if len(owner) else 0
         bits = int(owner.max() - base).bit_length() if len(owner) else 0
@@ -275,15 +352,13 @@ def log_scores(tree: Tree, texts: list[bytes]) -> np.ndarray:
         codes.sort()
         owner = (codes & ((1 << bits) - 1)).astype(np.int32) + base
         codes >>= bits
-        ordered = codes
-        first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-        different = ordered[first]
-        value = np.log10(tree.probability(different)) - np.where(different >> BITS * depth == ESCAPE, np.log10(max(1, ESCAPED)), 0.0)
-        total += np.bincount(owner, np.repeat(value, np.diff(np.append(first, len(ordered)))), len(texts))
+        first = np.flatnonzero(changes(codes))
+        value = logs[np.searchsorted(known, codes[first])] - np.where(codes[first] >> BITS * depth == ESCAPE, np.log10(max(1, ESCAPED)), 0.0)
+        total += np.bincount(owner, np.repeat(value, np.diff(np.append(first, len(codes)))), len(texts))
     return total
 
 
-def scored(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE, divergence: float = DIVERGENCE) -> DataFrame:
+def scored(docs: DataFrame, depth: int = DEPTH, least_share: float = 0.0, divergence: float = DIVERGENCE) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each document.
 
     Null text counts as empty: one token, the end. A null doc_id counts as held out; repeated rows are scored and, outside
@@ -294,12 +369,15 @@ def scored(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE
     n_training, n_bytes = rows.agg(F.count_if(~F.col("held_out")), F.sum(F.octet_length("text"))).first()
     n_tasks = max(-(-(n_bytes or 0) // COUNTED_BYTES), docs.sparkSession.sparkContext.defaultParallelism)
     training = rows.where(~F.col("held_out")).coalesce(n_tasks)
-    tree = docs.sparkSession.sparkContext.broadcast(train(training, depth, least_share, divergence))
+    parts = max(-(-(n_bytes or 0) // BYTES_A_PART), docs.sparkSession.sparkContext.defaultParallelism)
+    grams = stored(gram_counts(training, parts, depth), "grams")
+    tree, least = head(grams, depth, least_share, divergence)
+    near = docs.sparkSession.sparkContext.broadcast(tree)
     counts = stored(word_counts(training), "words")
     word_tokens, types = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     n, v = (word_tokens or 0) + n_training, types + (n_training > 0)
     n_chunks = max(1, -(-(n_bytes or 0) // CHUNK_BYTES))
-    # both uses below share this one shuffle
+    # all uses below share this one shuffle
     chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)).cast("int")).repartition(n_chunks, "chunk")
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -318,10 +396,21 @@ def scored(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE
         yield from settle()
         give_back_memory()
 
+    def ask_tree(part: pd.DataFrame) -> pd.DataFrame:
+        codes = different([b" ".join(words_of(x)) for x in part["text"]], depth)
+        rows = [(p, part["chunk"].iloc[0], codes[at].tobytes()) for p, at in by_part(codes, parts, depth)]
+        give_back_memory()
+        return pd.DataFrame(rows, columns=["part", "chunk", "codes"])
+
+    asked = chunked.select("chunk", "text").groupBy("chunk").applyInPandas(ask_tree, "part int, chunk int, codes binary")
+    read = answered(asked, grams, parts, near, depth, least, divergence)
     answers = chunked.mapInPandas(ask, "chunk int, word binary").join(counts, "word")
+    answers = answers.unionByName(read, allowMissingColumns=True)
 
     def score(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         scale = np.log10(max(n, 1) + 0.1 * (v + 1)) if n else np.log10(0.1 * (v + 1))
+        of_tree = dict(zip(known["part"][known["logs"].notna()], known["logs"].dropna()))
+        known = known[known["logs"].isna()]
         logs = dict(zip(known["word"], np.log10(known["c"].to_numpy(np.float64) + 0.1).tolist()))
         unknown, end = float(np.log10(0.1)), float(np.log10(n_training + 0.1))
         give_back_memory()
@@ -334,7 +423,11 @@ def scored(docs: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE
             out.append((len(words) + 1, len(words) - missing + (n_training > 0), base))
             texts.append(b" ".join(words))
         sizes, known_sizes, base_scores = zip(*out) if out else ((), (), ())
-        return pd.DataFrame({"doc_id": part["doc_id"], "held_out": part["held_out"], "n_tokens": sizes, "n_known": known_sizes, "base_score": base_scores, "score": log_scores(tree.value, texts)})
+        codes = different(texts, depth)
+        values = np.empty(len(codes))
+        for p, at in by_part(codes, parts, depth):
+            values[at] = np.frombuffer(of_tree[p], np.float32)
+        return pd.DataFrame({"doc_id": part["doc_id"], "held_out": part["held_out"], "n_tokens": sizes, "n_known": known_sizes, "base_score": base_scores, "score": log_scores(codes, values, texts, depth)})
 
     schema = "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     out = chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(score, schema)

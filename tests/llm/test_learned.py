@@ -294,3 +294,15 @@ def test_scores_of_odd_rows(spark):
     assert len(got) == odd_documents(spark).count() and all(r.score < 0 and math.isfinite(r.score) and math.isfinite(r.base_score) for r in got)
     assert suffix_tree.scored(empty_documents(spark)).count() == 0
     assert suffix_tree.scored(odd_documents(spark).where("doc_id is null")).count() == 2
+
+
+def test_evidence_counts_alike_beside_a_large_corpus(spark):
+    """A spelling that occurs 8 times is learned however much else there is: 3e-6 of this table would be 13 occurrences."""
+    r = np.random.default_rng(4)
+    phrase = "qzxjvkwpq zjqxwkvbq xqjzkwvqp"
+    filler = [" ".join(map("".join, r.choice(list("aeioutnrs"), (900, 5)))) for _ in range(800)]
+    ids = [k for k in range(2000) if crc(k, 10)]
+    held = next(k for k in range(2000) if not crc(k, 10))
+    rows = [*zip(ids, [phrase] * 8 + filler), (held, phrase)]
+    got = {r.doc_id: r for r in suffix_tree.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[held].held_out and got[held].score / (len(phrase) + 1) > -0.4
