@@ -1,7 +1,7 @@
 """Language-model scoring by a probabilistic suffix tree.
 
-A text's words, joined by single spaces and ended by an end mark, are a sequence of symbols (bytes; rare ones share an
-escape symbol). All training texts' counts of a symbol with the symbols before it give contexts of length 0 to DEPTH. A
+A text's words, joined by single spaces and ended by an end mark, are a sequence of symbols: every byte
+that UTF-8 text in lower case can hold is one. All training texts' counts of a symbol with the symbols before it give contexts of length 0 to DEPTH. A
 context is a state of the tree if it occurs LEAST_COUNT times, at any size of the corpus, and its next-symbol distribution
 diverges enough from that of its longest suffix in the tree. A state's distribution is smoothed with its suffix's in
 proportion to its number of different symbols. Each symbol is scored by the state that is the longest suffix of what
@@ -29,8 +29,7 @@ from pyspark.sql import functions as F
 
 from quillmine.llm.common import give_back_memory, in_fold, stored
 
-BITS, DEPTH = 7, 6
-END, ESCAPE = 0, 127
+BITS, DEPTH = 8, 6
 PLAIN = b"abcdefghijklmnopqrstuvwxyz 0123456789.,;:!?'\"()-_/@#%&=+*|"
 LEAST_COUNT = 2
 #: Nats by which a context's counts must be likelier under its own distribution than under its suffix's.
@@ -47,12 +46,18 @@ BYTES_A_PART, CODES_A_ROW = 1 << 25, 1 << 18
 #: Rows whose codes are made together.
 ROWS_AT_ONCE = 1000
 #: Texts in a part; with DEPTH + 1 symbols their number fits one 64-bit word.
-TEXTS = 1 << 14
+TEXTS = 1 << 7
 FOLD, HELD_OUT = 10, 0
 
-_KNOWN = [*PLAIN, 0xC2, 0xC3, *range(0x80, 0xC0)]
-SYMBOL = bytes(_KNOWN.index(b) + 1 if b in _KNOWN else ESCAPE for b in range(256))
-ESCAPED = sum(s == ESCAPE for s in SYMBOL)
+#: Bytes that no word has: white space, letters that are made small, and what UTF-8 never uses. They share the last symbol.
+NEVER = {*range(9, 14), *b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", 0xC0, 0xC1, *range(0xF5, 0x100)}
+END, ESCAPE = 0, 255
+_KNOWN = [*PLAIN, 0xC2, 0xC3, *range(0x80, 0xC0), *b"$[]{}<>\\^~`"]
+_KNOWN += [b for b in range(256) if b not in {*_KNOWN} | NEVER]
+SYMBOL = bytes(ESCAPE if b in NEVER else _KNOWN.index(b) + 1 for b in range(256))
+ESCAPED = len(NEVER)
+#: Symbols that are smoothed in full; the others share one's smoothing.
+SMOOTHED = 128
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -73,10 +78,10 @@ def joined(symbols: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def coded(texts: list[bytes], depth: int = DEPTH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def coded(texts: list[bytes], depth: int = DEPTH, most: int = TEXTS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(codes, text of each): for every symbol of every text and its end mark, the symbol in the highest bits and the `depth`
     symbols before it below, the nearest first, end marks before the text's start. So a code without its lowest bits is
-    that of a shorter context, and codes in order stay in order. About PART symbols at a time, however long a text is."""
+    that of a shorter context, and codes in order stay in order. About PART symbols at a time, however long a text is, and at most `most` texts."""
     pad = bytes(depth)
     held: list[bytes] = []
     owners: list[int] = []
@@ -99,7 +104,7 @@ def coded(texts: list[bytes], depth: int = DEPTH) -> Iterator[tuple[np.ndarray,
             held.append(piece)
             owners.append(k)
             size += len(piece)
-            if size >= PART or len(held) == TEXTS:
+            if size >= PART or len(held) == most:
                 yield settle()
                 held, owners, size = [], [], 0
     if held:
@@ -108,29 +113,32 @@ def coded(texts: list[bytes], depth: int = DEPTH) -> Iterator[tuple[np.ndarray,
 
 def _summed(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes and their counts' sums. Where both fit a word they are sorted as one, which is much faster than an
-    argument sort; a count too large for its bits goes in as several. The lists are emptied, to need less memory at once."""
+    argument sort; the few whose counts are too large for that are summed apart. The lists are emptied, to need less memory
+    at once."""
     code, count = np.concatenate(codes), np.concatenate(counts)
     codes.clear()
     counts.clear()
     room = 63 - int(code.max(initial=0)).bit_length()
-    if room >= 12:
-        most = (1 << room) - 1
-        large = np.flatnonzero(count > most)
-        if len(large):
-            times = -(-count[large] // most)
-            code = np.concatenate([code, np.repeat(code[large], times - 1)])
-            count = np.concatenate([count, np.full(int((times - 1).sum()), most, np.int64)])
-            count[large] -= (times - 1) * most
-        code <<= room
-        code |= count
-        code.sort()
-        np.bitwise_and(code, most, out=count)
-        code >>= room
-    else:
-        order = np.argsort(code)
-        code, count = code[order], count[order]
-    first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
-    return code[first], np.add.reduceat(count, first)
+    most = (1 << room) - 1
+    large = count > most
+    code_l, count_l = code[large], count[large]
+    code, count = code[~large], count[~large]
+    code <<= room
+    code |= count
+    code.sort()
+    np.bitwise_and(code, most, out=count)
+    code >>= room
+    first = np.flatnonzero(changes(code))
+    code, count = code[first], np.add.reduceat(count, first) if len(first) else count
+    if len(code_l):
+        order = np.argsort(code_l)
+        first = np.flatnonzero(changes(code_l[order]))
+        code_l, count_l = code_l[order][first], np.add.reduceat(count_l[order], first)
+        place = np.searchsorted(code, code_l)
+        same = np.append(code, -1)[place] == code_l
+        count[place[same]] += count_l[same]
+        code, count = np.insert(code, place[~same], code_l[~same]), np.insert(count, place[~same], count_l[~same])
+    return code, count
 
 
 def changes(ordered: np.ndarray) -> np.ndarray:
@@ -161,7 +169,7 @@ def gram_counts(texts: DataFrame, parts: int, depth: int = DEPTH) -> DataFrame:
             return pd.DataFrame(rows, columns=["part", "codes", "counts"])
 
         for batch in (rows.iloc[at : at + ROWS_AT_ONCE] for rows in batches for at in range(0, len(rows), ROWS_AT_ONCE)):
-            for found, _ in coded([b" ".join(words_of(x)) for x in batch["text"]], depth):
+            for found, _ in coded([b" ".join(words_of(x)) for x in batch["text"]], depth, ROWS_AT_ONCE):
                 found.sort()
                 first = np.flatnonzero(changes(found))
                 codes.append(found[first])
@@ -279,6 +287,7 @@ def head(grams: DataFrame, depth: int, least_share: float, divergence: float) ->
     order = np.argsort(gram)
     gram, n = gram[order], n[order]
     root = np.full(1 << BITS, SMOOTHING)
+    root[SMOOTHED:] /= len(root) - SMOOTHED
     np.add.at(root, gram >> BITS * near, n)
     least = max(LEAST_COUNT, least_share * int(n.sum()))
     return grow(Tree(root / root.sum()), gram, n, near, least, divergence), least
@@ -315,7 +324,7 @@ def answered(asked: DataFrame, grams: DataFrame, parts: int, near: Broadcast, de
 
 def different(texts: list[bytes], depth: int) -> np.ndarray:
     """The texts' different codes, in order."""
-    found = [np.unique(codes) for codes, _ in coded(texts, depth)]
+    found = [np.unique(codes) for codes, _ in coded(texts, depth, ROWS_AT_ONCE)]
     return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
 
 
@@ -353,7 +362,7 @@ def log_scores(known: np.ndarray, logs: np.ndarray, texts: list[bytes], depth: i
         owner = (codes & ((1 << bits) - 1)).astype(np.int32) + base
         codes >>= bits
         first = np.flatnonzero(changes(codes))
-        value = logs[np.searchsorted(known, codes[first])] - np.where(codes[first] >> BITS * depth == ESCAPE, np.log10(max(1, ESCAPED)), 0.0)
+        value = logs[np.searchsorted(known, codes[first])]
         total += np.bincount(owner, np.repeat(value, np.diff(np.append(first, len(codes)))), len(texts))
     return total
 

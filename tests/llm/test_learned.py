@@ -306,3 +306,24 @@ def test_evidence_counts_alike_beside_a_large_corpus(spark):
     rows = [*zip(ids, [phrase] * 8 + filler), (held, phrase)]
     got = {r.doc_id: r for r in suffix_tree.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[held].held_out and got[held].score / (len(phrase) + 1) > -0.4
+
+
+def test_letters_of_every_script_are_told_apart(spark):
+    possible = {b for c in map(chr, [*range(0xD800), *range(0xE000, 0x10000), *range(0x10000, 0x110000, 64)]) for b in c.lower().encode()} - set(range(9, 14))
+    assert len({suffix_tree.SYMBOL[b] for b in possible}) == len(possible)
+    held = [k for k in range(200) if not crc(k, 10)][:4]
+    texts = ["мова що вчиться з тексту", "文字を学ぶ模型", "“{x} <y> [z]” — $5", "język łączy źdźbło"]
+    rows = [(k, texts[k % 4]) for k in range(200) if crc(k, 10)] + [*zip(held, texts)]
+    got = {r.doc_id: r.score for r in suffix_tree.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[k] / len(t.encode()) > -0.25 for k, t in zip(held, texts))
+
+
+def test_counts_too_large_for_a_word_are_summed():
+    r = np.random.default_rng(7)
+    codes = r.integers(0, 50, 400) << 50
+    counts = r.integers(1, 400, 400)
+    want = collections.Counter()
+    for c, n in zip(codes.tolist(), counts.tolist()):
+        want[c] += n
+    got = suffix_tree._summed([codes[:100], codes[100:]], [counts[:100], counts[100:]])
+    assert [*zip(got[0].tolist(), got[1].tolist())] == sorted(want.items())
