@@ -4,7 +4,8 @@ Each source's words, laid end to end in a fixed order, are packed into blocks of
 as its target holds blocks. A pseudorandom permutation of all slots deals them out over output shards, so that a shard's
 counts of sources are a multinomial draw under the condition that the sources' totals come out exactly (drawn without
 replacement); within a source, slots go through a permutation of block indices, one for each pass over the source, and
-blocks are joined by index.
+blocks are joined by index. The mix comes out in that order: shards whole, their slots by place, a slot's pieces as in its
+block.
 """
 
 from __future__ import annotations
@@ -91,7 +92,8 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
 
 def mixture(docs: DataFrame, row_key: Column | None = None, block_words: int = BLOCK_WORDS, weights=WEIGHTS, share: float = SHARE, most_repeats: int = MOST_REPEATS) -> DataFrame:
     """What the mix takes of each document: row_key, doc_id, source, size, source_size, target, taken (words, repeats
-    counted), takes (array of pass, first, last: the document's words first..last-1 are taken in that pass).
+    counted), takes (array of pass, first, last, shard, place, at: the document's words first..last-1 are taken in that pass,
+    for the slot at that place of the shard, in which they begin at word `at`).
 
     Null text has size 0 and is never taken; a null source is a source of its own, the last one; documents with a null
     doc_id take part; equal rows each count, and which of them gives which words is of no consequence as they are equal;
@@ -112,7 +114,10 @@ def mixture(docs: DataFrame, row_key: Column | None = None, block_words: int = B
     placed = placed.join(bases, same(placed, bases, "source", "bucket")).select(placed["*"], (bases["base"] + placed["within"]).alias("start"))
     placed = placed.join(sources, same(placed, sources, "source")).select(placed["*"], sources["source_id"], sources["source_size"], sources["target"])
     placed = placed.withColumn("block_words", F.ceil(F.col("source_size") / F.ceil(F.col("source_size") / block_words)))
-    used = slots(sources, block_words).groupBy("source_id", "block").agg(*[F.sum(F.when(F.col("pass") == p, F.col("words")).otherwise(0)).alias(f"pass{p}") for p in range(most_repeats)])
+    used = slots(sources, block_words).groupBy("source_id", "block").agg(
+        *[F.sum(F.when(F.col("pass") == p, F.col("words")).otherwise(0)).alias(f"pass{p}") for p in range(most_repeats)],
+        *[F.max(F.when(F.col("pass") == p, F.struct("shard", "place"))).alias(f"slot{p}") for p in range(most_repeats)],
+    )
     touched = placed.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.col("block_words")), F.floor((F.col("start") + F.col("size") - 1) / F.col("block_words")))))
     touched = touched.join(used, ["source_id", "block"], "left")
     begin = F.col("block") * F.col("block_words")
@@ -120,7 +125,8 @@ def mixture(docs: DataFrame, row_key: Column | None = None, block_words: int = B
     def take(p):
         low = F.greatest(begin, F.col("start")) - F.col("start")
         high = F.least(begin + F.coalesce(F.col(f"pass{p}"), F.lit(0)), F.col("start") + F.col("size")) - F.col("start")
-        return F.struct(F.lit(p).alias("pass"), low.alias("first"), high.alias("last"))
+        at = F.greatest(begin, F.col("start")) - begin
+        return F.struct(F.lit(p).alias("pass"), low.alias("first"), high.alias("last"), F.col(f"slot{p}.shard").alias("shard"), F.col(f"slot{p}.place").alias("place"), at.alias("at"))
 
     takes = F.filter(F.array(*map(take, range(most_repeats))), lambda x: x["last"] > x["first"])
     touched = touched.withColumn("takes", takes).withColumn("took", F.aggregate("takes", F.lit(0).cast("long"), lambda a, x: a + x["last"] - x["first"]))
@@ -130,9 +136,10 @@ def mixture(docs: DataFrame, row_key: Column | None = None, block_words: int = B
     return summed.select(*nothing.columns).unionByName(nothing)
 
 
-def mixed(docs: DataFrame, **parameters) -> DataFrame:
-    """The mix itself: a row per document and pass that takes words of it, with the document's columns, its text cut to
-    the words taken (white space after a word stays with it) and n_chars set anew where that column exists."""
+def dealt(docs: DataFrame, **parameters) -> DataFrame:
+    """The mix with shard, place and at: a row per document and slot that takes words of it, with the document's columns, its
+    text cut to the words taken (white space after a word stays with it) and n_chars set anew where that column exists.
+    Each shard is in one partition, in order."""
     columns = docs.columns
     key = F.xxhash64(*[F.col(c) for c in columns])
     plan = mixture(docs, key, **parameters).where("taken > 0")
@@ -142,8 +149,14 @@ def mixed(docs: DataFrame, **parameters) -> DataFrame:
     rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("row_key").orderBy("row_key")))
     rows = rows.withColumn("takes", F.get("chosen", F.col("copy") - 1)).where(F.col("takes").isNotNull())
     rows = rows.withColumn("words", F.regexp_extract_all(F.col("row")["text"], F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)))
-    rows = rows.withColumn("pass", F.explode(F.array_distinct(F.transform("takes", lambda x: x["pass"]))))
-    cut = F.transform(F.filter("takes", lambda x: x["pass"] == F.col("pass")), lambda x: F.array_join(F.slice("words", x["first"].cast("int") + 1, (x["last"] - x["first"]).cast("int")), ""))
-    rows = rows.withColumn("new_text", F.array_join(cut, ""))
-    new = {"text": F.col("new_text"), "n_chars": F.length("new_text").cast(docs.schema["n_chars"].dataType) if "n_chars" in columns else None}
-    return rows.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in columns])
+    # cut before they are spread: a long text is not repeated for each of its pieces
+    cut = F.transform("takes", lambda x: F.struct(x["shard"].alias("shard"), x["place"].alias("place"), x["at"].alias("at"), F.array_join(F.slice("words", x["first"].cast("int") + 1, (x["last"] - x["first"]).cast("int")), "").alias("text")))
+    rows = rows.select(F.struct(*[F.col("row")[c].alias(c) for c in columns if c not in ("text", "n_chars")]).alias("row"), F.explode(cut).alias("piece"))
+    new = {"text": F.col("piece.text"), "n_chars": F.length("piece.text").cast(docs.schema["n_chars"].dataType) if "n_chars" in columns else None}
+    rows = rows.select(F.struct(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in columns]).alias("row"), "piece.shard", "piece.place", "piece.at")
+    return rows.repartition("shard").sortWithinPartitions("shard", "place", "at")
+
+
+def mixed(docs: DataFrame, **parameters) -> DataFrame:
+    """The mix itself, as dealt() orders it, with the documents' columns."""
+    return dealt(docs, **parameters).select("row.*")

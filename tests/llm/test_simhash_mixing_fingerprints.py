@@ -194,3 +194,27 @@ def test_fingerprints_add_up(spark):
     sums = {c: fingerprints.lane_sums(fingerprints.piece_hashes(F.col(c))) for c in df.columns}
     r = df.select(*[v.alias(c) for c, v in sums.items()]).select("x", "both", fingerprints.combined(F.col("x"), F.col("y")).alias("sum"), fingerprints.combined(F.col("both"), F.col("y"), -1).alias("less")).first()
     assert r.sum == r.both and r.less == r.x
+
+
+def test_mix_comes_out_shard_by_shard(spark, sf, monkeypatch):
+    from pyspark.sql import functions as F
+
+    planned = []
+    slots = mixing.slots
+    monkeypatch.setattr(mixing, "slots", lambda sources, block_words: planned.append(slots(sources, block_words, 16)) or planned[-1])
+    docs = documents(spark, sf)
+    mix = mixing.mixed(docs, block_words=256).select("doc_id", "source", "text", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row")).orderBy("row").collect()
+    rows = mixing.dealt(docs, block_words=256).select("shard", "place", "at", "row.*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("n")).orderBy("n").collect()
+    assert [(r.doc_id, r.text) for r in rows] == [(r.doc_id, r.text) for r in mix]
+    assert len({(r.shard, r.part) for r in rows}) == len({r.shard for r in rows}) > 10
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
+    source_of, filled, last = {}, Counter(), None
+    for r in rows:
+        slot = (r.shard, r.place)
+        assert last is None or last[0] != r.part or last[1:] < (*slot, r.at)
+        last = (r.part, *slot, r.at)
+        assert source_of.setdefault(slot, r.source) == r.source and r.at == filled[slot]
+        filled[slot] += words(r.text)
+    assert filled == Counter({(r.shard, r.place): r.words for r in planned[0].collect()})
+    # a shard holds several sources: a draw, not one source after the other
+    assert sum(len({s for (k, _), s in source_of.items() if k == shard}) > 1 for shard in {k for k, _ in source_of}) > 0.9 * len({k for k, _ in source_of})
