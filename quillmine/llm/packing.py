@@ -7,6 +7,7 @@ gets one piece in each window it touches. No ids are shuffled in either pass.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,6 +24,10 @@ END_ID = 0
 #: Rows whose ids a task holds at once.
 ROWS_AT_ONCE = 250
 VOCABULARY = "byte_bpe_50k"
+#: A run of white space from this length on goes to the JSON file's own tokenizer: the faster library goes back over such
+#: a run once for each character and fails beyond some hundred thousand.
+LONG_RUN = 1 << 15
+_LONG_RUN = re.compile(r"\s{%d}" % LONG_RUN)
 #: doc_id crosses Python as text: beside nulls pandas would hold it as a float.
 TOKEN_SCHEMA = "part int, part_start long, doc_id string, n_ids long, ids binary"
 
@@ -30,7 +35,8 @@ TOKEN_SCHEMA = "part int, part_start long, doc_id string, n_ids long, ids binary
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str):
     """text -> ids of the public vocabulary. The ranks file holds the same vocabulary as the JSON file and is read by the
-    faster library; a text that holds the special token's string goes to the JSON file's own tokenizer."""
+    faster library; a text that holds the special token's string or a very long run of white space goes to the JSON file's
+    own tokenizer."""
     import base64
 
     import public_tokenizers
@@ -43,7 +49,7 @@ def encoder(vocabulary: str):
     full: list[Tokenizer] = []  # read on the first text that needs it
 
     def encode(text: str) -> list[int]:
-        if "<|endoftext|>" in text:
+        if "<|endoftext|>" in text or len(text) >= LONG_RUN and _LONG_RUN.search(text):
             if not full:
                 full.append(Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json")))
             return full[0].encode(text, add_special_tokens=False).ids

@@ -1,15 +1,18 @@
 """SimHash near-duplicates: 64-bit fingerprints of word shingles, linked within a Hamming radius by bit-sliced comparison.
 
-Two fingerprints within radius 3 agree on at least one of four 16-bit bands, so every link lies within a band bucket.
-Buckets are dealt out as a table of distinct fingerprints; a bucket with many is cut into chunks, and pairs of chunks
-are dealt out. In a task, fingerprints lie in bit planes; distances of one block to another add up plane by plane in
-carry-save counters, 64 at a time, and a block is abandoned once every counter is above the radius. A block gives a
-spanning set of its links, not every pair. Stars of links are then merged to components by joins.
+Fingerprints cut into radius + k blocks of bits agree on k of them if they are within the radius, so every link lies
+within a bucket of one of the keys made of k blocks. k follows the number of fingerprints: radius 3 takes 4 keys of 16
+bits, 10 of 25 or 20 of 31, and a bucket of evenly spread fingerprints stays small. Buckets are dealt out as a table of
+distinct fingerprints; a bucket with many is cut into chunks, and pairs of chunks are dealt out. In a task, fingerprints
+lie in bit planes; distances of one block to another add up plane by plane in carry-save counters, 64 at a time, and a
+block is abandoned once every counter is above the radius. A block gives a spanning set of its links, not every pair.
+Stars of links are then merged to components by joins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -17,12 +20,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmine.llm.common import give_back_memory, stored
+from quillmine.llm.common import give_back_memory, remove, stored, stored_at
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
-BANDS = 4
 #: Fingerprints that are compared at once, and the size from which a bucket is cut into chunks.
 BLOCK = 1024
+#: Rows of one fingerprint that are joined in one slice.
+HOT = 1 << 16
 #: Planes between two looks at whether a block can be abandoned.
 LOOK = 8
 
@@ -64,10 +68,23 @@ def planes(fingerprints: np.ndarray) -> np.ndarray:
     return np.packbits(padded, axis=1, bitorder="little").view(np.uint64)
 
 
+def above(counters: list[np.ndarray], over: np.ndarray, radius: int) -> np.ndarray:
+    """Where the number that the counter planes hold is above the radius."""
+    more, same = over.copy(), ~over
+    for k in reversed(range(len(counters))):
+        if radius >> k & 1:
+            same = same & counters[k]
+        else:
+            more |= same & counters[k]
+            same = same & ~counters[k]
+    return more
+
+
 def near_pairs(left: np.ndarray, right: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Indices (into left, into right) of all pairs within the radius. radius: up to 3.
+    """Indices (into left, into right) of all pairs within the radius.
 
-    For each row of left, two counter planes and one of overflow hold its distances to 64 fingerprints of right a word.
+    For each row of left, planes of counters hold its distances to 64 fingerprints of right a word; a plane of differing
+    bits is added by carries from plane to plane, and what leaves the last one is kept as overflow.
     """
     found_left, found_right = [], []
     vertical = planes(right)
@@ -78,28 +95,27 @@ def near_pairs(left: np.ndarray, right: np.ndarray, radius: int = RADIUS) -> tup
     for at in range(0, len(left), rows):
         bits = np.unpackbits(left[at : at + rows].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         flips = (-(bits.astype(np.int64))).view(np.uint64)
-        ones = np.zeros((len(bits), vertical.shape[1]), np.uint64)
-        twos, over = np.zeros_like(ones), np.zeros_like(ones)
+        over = np.zeros((len(bits), vertical.shape[1]), np.uint64)
+        counters = [np.zeros_like(over) for _ in range(max(1, radius.bit_length()))]
         over |= ~valid
         live = np.arange(len(bits))
         for b in range(64):
-            differ = vertical[b][None, :] ^ flips[live, b][:, None]
-            carry = ones & differ
-            ones ^= differ
-            over |= twos & carry
-            twos ^= carry
+            carry = vertical[b][None, :] ^ flips[live, b][:, None]
+            for plane in counters:
+                beyond = plane & carry
+                plane ^= carry
+                carry = beyond
+            over |= carry
             if b % LOOK == LOOK - 1 and b < 63:
-                keep = (~over).any(axis=1)
+                keep = (~above(counters, over, radius)).any(axis=1)
                 if not keep.any():
                     live = live[:0]
                     break
                 if not keep.all():
-                    live, ones, twos, over = live[keep], ones[keep], twos[keep], over[keep]
+                    live, over, counters = live[keep], over[keep], [plane[keep] for plane in counters]
         if not len(live):
             continue
-        near = ~over
-        if radius < 3:
-            near &= ~(twos & ones) if radius == 2 else ~twos if radius == 1 else ~(twos | ones)
+        near = ~above(counters, over, radius)
         row, bit = np.nonzero(np.unpackbits(near.view(np.uint8), axis=1, bitorder="little"))
         found_left.append(at + live[row])
         found_right.append(bit)
@@ -125,10 +141,12 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def block_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(fingerprint, least fingerprint linked to it within this block) for all but the least."""
-    nodes = left if right is None else np.concatenate([left, right])
-    a, b = near_pairs(left, left if right is None else right, radius)
+    """left, right: columns node and fingerprint. (node, least node linked to it within this block) for all but the least."""
+    rows = left if right is None else np.concatenate([left, right])
+    prints = np.ascontiguousarray(rows[:, 1]).view(np.uint64)
+    a, b = near_pairs(prints[: len(left)], prints if right is None else prints[len(left) :], radius)
     b = b if right is None else b + len(left)
+    nodes = rows[:, 0]
     if not len(a):
         return nodes[:0], nodes[:0]
     order = np.argsort(nodes, kind="stable")
@@ -140,70 +158,119 @@ def block_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tupl
     return node[moved], node[root[moved]]
 
 
-def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Distinct fingerprints (column fingerprint) -> links (fingerprint, other) whose components are those of all pairs
-    within the radius: whole, and at most one link per fingerprint and block."""
-    banded = nodes.select("fingerprint", F.posexplode(F.array(*[F.shiftrightunsigned("fingerprint", 16 * k).bitwiseAND(F.lit(0xFFFF).cast("long")) for k in range(BANDS)])).alias("band", "value"))
-    banded = banded.select("fingerprint", (F.col("band") * 65536 + F.col("value")).alias("key"))
-    crowded = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK).withColumn("chunks", F.ceil(F.col("members") / (BLOCK // 2)).cast("int"))
-    banded = banded.join(crowded.select("key", "chunks"), "key", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    chunk = F.pmod(F.xxhash64("fingerprint"), F.col("chunks")).cast("int")
-    # a chunk meets each chunk once: pair (low, high), side 0 for the low one
-    meet = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(j, chunk).alias("low"), F.greatest(j, chunk).alias("high"), (chunk > j).cast("int").alias("side")))
-    dealt = banded.select("fingerprint", "key", F.explode(meet).alias("pair")).select("fingerprint", "key", "pair.*")
-    # small buckets by their key's upper bits, so that a task's rows are whole buckets in order
-    dealt = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "side")
+def schemes(radius: int = RADIUS) -> list[tuple[list[tuple[int, int]], int]]:
+    """Ways to make keys, widest last: (blocks of bits as (lowest bit, width), blocks in a key). Of radius + k blocks, k have
+    no differing bit if two fingerprints are within the radius, so they share at least one key of k blocks."""
+    found = []
+    for chosen in range(1, 4):
+        edges = [64 * k // (radius + chosen) for k in range(radius + chosen + 1)]
+        found.append(([(a, b - a) for a, b in zip(edges, edges[1:])], chosen))
+    return found
+
+
+def scheme_for(n: int, radius: int = RADIUS) -> tuple[list[tuple[int, int]], int]:
+    """The narrowest keys whose buckets hold no more than half a block of n evenly spread fingerprints: so the rows that
+    are dealt out follow n, not its square."""
+    ways = schemes(radius)
+    return next((way for way in ways if n >> sum(sorted(w for _, w in way[0])[: way[1]]) <= BLOCK // 2), ways[-1])
+
+
+def key_columns(fingerprint: Column, way: tuple[list[tuple[int, int]], int]) -> list[Column]:
+    """One key for each choice of blocks: the number of the choice, then the blocks' bits."""
+    blocks, chosen = way
+    out = []
+    for number, choice in enumerate(combinations(blocks, chosen)):
+        key = F.lit(number).cast("long")
+        for low, width in choice:
+            key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned(fingerprint, low).bitwiseAND(F.lit((1 << width) - 1).cast("long")))
+        out.append(key)
+    return out
+
+
+def dealt(rows: DataFrame, key: list[str], spread: Column, chunks: Column) -> DataFrame:
+    """rows with low, high, side: all of a key's rows meet in the groups (key, low, high), each of at most two of the key's
+    chunks; side 0 is the chunk low, side 1 the chunk high, and where low = high all is side 0. spread deals rows over
+    chunks; the number of chunks must be the same for a key's rows."""
+    chunk = F.pmod(spread, chunks).cast("int")
+    # a chunk meets each chunk once
+    meet = F.transform(F.sequence(F.lit(0), chunks.cast("int") - 1), lambda j: F.struct(F.least(j, chunk).alias("low"), F.greatest(j, chunk).alias("high"), (chunk > j).cast("int").alias("side")))
+    return rows.withColumn("pair", F.explode(meet)).select("*", "pair.*").drop("pair").repartition(*key, "low", "high").sortWithinPartitions(*key, "low", "high", "side")
+
+
+def block_compare(radius: int, joined: bool):
+    """A function over batches (node, fingerprint, key, low, high, side) in order -> (node, other): spanning links of each
+    group. joined: the nodes are the fingerprints themselves, so that small groups can be compared together."""
+
+    def out(a, b):
+        return pd.DataFrame({"node": a.astype(np.int64), "other": b.astype(np.int64)})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
-        waiting: list[np.ndarray] = []
         count = 0
 
-        def out(a, b):
-            return pd.DataFrame({"fingerprint": a.astype(np.int64), "other": b.astype(np.int64)})
-
-        def bucket(rows: np.ndarray) -> Iterator[pd.DataFrame]:
-            nonlocal waiting, count
+        def group(rows: np.ndarray) -> Iterator[pd.DataFrame]:
+            nonlocal count
             if len(rows) < 2:
                 return
-            side = rows[:, 4] == 1
-            values = rows[:, 0].copy().view(np.uint64)
+            side = rows[:, 5] == 1
             if side.any():
-                yield out(*block_links(values[~side], values[side], radius))
-                return
-            waiting.append(values)
-            count += len(values)
-            if count >= BLOCK:
-                yield from settle()
+                yield out(*block_links(rows[~side, :2], rows[side, :2], radius))
+            elif not joined:
+                yield out(*block_links(rows[:, :2], None, radius))
+            else:
+                held.append(rows[:, :2])
+                count += len(rows)
+                if count >= BLOCK:
+                    yield from settle()
 
         def settle() -> Iterator[pd.DataFrame]:
-            """Small buckets are compared together: a link between two of them is a true one as well."""
-            nonlocal waiting, count
-            if waiting:
-                values = np.unique(np.concatenate(waiting))
-                waiting, count = [], 0
+            """A link between two small groups is a true one as well."""
+            nonlocal count
+            if held:
+                values = np.unique(np.concatenate(held), axis=0)
+                held.clear()
+                count = 0
                 yield out(*block_links(values, None, radius))
 
-        last = np.empty((0, 5), np.int64)
+        last = np.empty((0, 6), np.int64)
         for batch in batches:
-            rows = np.concatenate([last, batch[["fingerprint", "key", "low", "high", "side"]].to_numpy(np.int64)])
-            cuts = np.flatnonzero((rows[1:, 1:4] != rows[:-1, 1:4]).any(axis=1)) + 1
+            rows = np.concatenate([last, batch[["node", "fingerprint", "key", "low", "high", "side"]].to_numpy(np.int64)])
+            cuts = np.flatnonzero((rows[1:, 2:5] != rows[:-1, 2:5]).any(axis=1)) + 1
             edges = [0, *cuts.tolist(), len(rows)]
             for a, b in zip(edges[:-2], edges[1:-1]):
                 if b - a > 1:
-                    yield from bucket(rows[a:b])
+                    yield from group(rows[a:b])
             last = rows[edges[-2] :]
-        yield from bucket(last)
+        yield from group(last)
         yield from settle()
         give_back_memory()
 
-    return dealt.mapInPandas(compare, "fingerprint long, other long").dropDuplicates()
+    return compare
 
 
-def components(edges: DataFrame, a: str = "fingerprint", b: str = "other") -> DataFrame:
+def bucket_links(keyed: DataFrame, radius: int, joined: bool) -> DataFrame:
+    """keyed: node, fingerprint, key. Links (node, other) whose components are those of all pairs that share a key and are
+    within the radius: at most one link per node and group."""
+    crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK)
+    crowded = crowded.select("key", F.ceil(F.col("members") / (BLOCK // 2)).cast("int").alias("chunks"))
+    keyed = keyed.join(crowded, "key", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    rows = dealt(keyed, ["key"], F.xxhash64("node"), F.col("chunks")).select("node", "fingerprint", "key", "low", "high", "side")
+    return rows.mapInPandas(block_compare(radius, joined), "node long, other long").dropDuplicates()
+
+
+def links(nodes: DataFrame, radius: int = RADIUS, way: tuple | None = None) -> DataFrame:
+    """Distinct fingerprints (column fingerprint) -> links (node, other) whose components are those of all pairs
+    within the radius: whole, and at most one link per fingerprint and block."""
+    way = way or scheme_for(nodes.count(), radius)
+    keyed = nodes.select(F.col("fingerprint").alias("node"), "fingerprint", F.explode(F.array(*key_columns(F.col("fingerprint"), way))).alias("key"))
+    return bucket_links(keyed, radius, joined=True)
+
+
+def components(edges: DataFrame, a: str = "node", b: str = "other") -> DataFrame:
     """(node, root): the least node of each component, for nodes with links. Large-star and small-star steps in turn; a
-    step's links are written to the shared folder, and only counts come to the driver."""
-    links_now = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links")
+    step's links are written to the shared folder, the step's before removed, and only counts come to the driver."""
+    spark = edges.sparkSession
+    links_now, path = stored_at(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links")
     before = None
     while True:
         # large star: each node's larger neighbours get its least neighbour; small star: its smaller ones and itself do
@@ -212,18 +279,19 @@ def components(edges: DataFrame, a: str = "fingerprint", b: str = "other") -> Da
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("low"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v").unionByName(least.select("u", F.col("low").alias("v"))).distinct()
-        links_now = stored(small, "links")
+        links_now, next_path = stored_at(small, "links")
+        remove(spark, path)
+        path = next_path
         now = links_now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return links_now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = now
 
 
-def labelled(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """rows (doc_id, fingerprint, more) -> with root, the least fingerprint of the component."""
-    nodes = rows.select("fingerprint").distinct()
-    roots = components(links(nodes, radius))
-    return rows.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+def labelled(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """nodes (one row per fingerprint, more columns) -> with root, the least fingerprint of the component."""
+    roots = components(links(nodes.select("fingerprint"), radius))
+    return nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -234,23 +302,13 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS)
     """
     rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint_column(F.col("text").cast("string"), width).alias("fingerprint")), "simhash")
     # one row per fingerprint first: a large group of copies is one node
-    nodes = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"))
+    nodes = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("members")), "simhash-nodes")
     named = labelled(nodes, radius)
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    names = named.join(ids, "root").select("fingerprint", "component_id")
-    return rows.join(names, "fingerprint").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def deduplicated(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """docs with one document of each component: the one with the smallest doc_id (null last), and of equal ids that with
-    the least fingerprint; the first of equal rows."""
-    columns = docs.columns
-    rows = stored(docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("id"), fingerprint_column(F.col("text").cast("string"), width).alias("fingerprint")), "simhash")
-    nodes = rows.groupBy("fingerprint").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id"))).alias("first_id"))
-    named = labelled(nodes, radius)
-    kept = named.groupBy("root").agg(F.min(F.struct("first_id", "fingerprint")).alias("first")).select(F.col("first.fingerprint").alias("fingerprint"), F.col("first.first_id.id").alias("kept_id"))
-    # joined by id and fingerprint, as one fingerprint can hold a large part of the rows
-    id_key = lambda c: [F.coalesce(c, F.lit(0)).alias("id_key"), c.isNull().alias("no_id")]
-    rows, kept = rows.select("row", "fingerprint", *id_key(F.col("id"))), kept.select("fingerprint", *id_key(F.col("kept_id")))
-    survivors = rows.join(kept, ["fingerprint", "id_key", "no_id"])
-    return survivors.groupBy("fingerprint", "id_key", "no_id").agg(F.first("row").alias("row")).select("row.*")
+    names = named.join(ids, "root").select("fingerprint", "members", "component_id")
+    # a fingerprint that a large part of the rows has is joined in slices; there are at most rows / HOT such fingerprints
+    slices = F.ceil(F.col("members") / HOT).cast("int")
+    hot = F.broadcast(nodes.where(F.col("members") > HOT).select("fingerprint", slices.alias("slices")))
+    sliced = rows.join(hot, "fingerprint", "left").withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.coalesce("slices", F.lit(1))).cast("int"))
+    names = names.select("fingerprint", "component_id", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
+    return sliced.join(names, ["fingerprint", "slice"]).select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")

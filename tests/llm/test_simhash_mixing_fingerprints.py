@@ -79,18 +79,32 @@ def test_crowded_buckets_lose_no_link(spark, monkeypatch):
 
 
 def test_long_chain_becomes_one_component(spark):
-    edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101)], "fingerprint long, other long")
+    edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101)], "node long, other long")
     got = {r.node: r.root for r in simhash.components(edges).collect()}
     assert all(got[k] == 0 for k in range(1, 61)) and got[101] == 100
 
 
-def test_one_of_each_group_stays(spark, sf):
-    for docs in (odd_documents(spark), documents(spark, sf)):
-        expected = {c for *_, c in plain_components([(r.doc_id, plain_fingerprint(r.text)) for r in docs.select("doc_id", "text").collect()])}
-        kept = simhash.deduplicated(docs)
-        assert kept.columns == docs.columns
-        ids = [r.doc_id for r in kept.select("doc_id").collect()]
-        assert len(ids) == len(expected) and {x for x in ids if x is not None} == {x for x in expected if x is not None}
+@pytest.mark.parametrize("way", simhash.schemes())
+def test_every_width_of_key_finds_every_link(spark, way):
+    r = np.random.default_rng(way[1])
+    values = []
+    for _ in range(60):
+        centre = int(r.integers(0, 1 << 63)) * 2
+        values += [centre, *(centre ^ sum({1 << int(b) for b in r.integers(0, 64, 3)}) for _ in range(3))]
+    values = sorted({v - (1 << 64) if v >= 1 << 63 else v for v in values})
+    rows = spark.createDataFrame([(v,) for v in values], "fingerprint long")
+    found = {r.node: r.root for r in simhash.components(simhash.links(rows, way=way)).collect()}
+    groups = lambda pairs: {frozenset(k for k, g in pairs if g == name) for name in {g for _, g in pairs}}
+    expected = plain_components([(k, v & (1 << 64) - 1) for k, v in enumerate(values)])
+    assert groups([(k, found.get(v, v)) for k, v in enumerate(values)]) == groups([(d, c) for d, _, c in expected])
+
+
+def test_rows_dealt_follow_the_fingerprints():
+    """A bucket of evenly spread fingerprints stays within half a block up to the widest keys' 2^40, so no chunks are paired."""
+    for bits in range(10, 41):
+        blocks, chosen = simhash.scheme_for(1 << bits)
+        assert (1 << bits) >> sum(sorted(w for _, w in blocks)[:chosen]) <= simhash.BLOCK // 2
+        assert len(simhash.key_columns(simhash.F.lit(0), (blocks, chosen))) <= 20
 
 
 def plain_targets(sizes):
