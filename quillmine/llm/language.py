@@ -7,25 +7,40 @@ by backpropagation through time on windows of a bounded sample of labelled docum
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmine.llm.common import give_back_memory, in_fold
 
 WINDOW, HIDDEN = 64, 8
-#: Documents of each language that are learned from at most (in expectation; LANGUAGES times it in all), and windows of each.
-DOCS_OF_LANGUAGE, WINDOWS_OF_DOC, LANGUAGES = 250, 4, 64
+#: Documents of each language that are learned from at most, and windows of each.
+DOCS_OF_LANGUAGE, WINDOWS_OF_DOC = 250, 4
 STEPS, BATCH, RATE = 220, 192, 0.02
 #: Windows that are read side by side.
 AT_ONCE = 2048
 FOLD, HELD_OUT = 4, 2
-LETTER = re.compile(r"[^\W\d_]")
-_IS_LETTER = np.array([chr(b).isalpha() and b < 128 or b >= 128 for b in range(256)])
+LETTER = regex.compile(r"\p{L}")
+_ASCII_LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
+
+
+@cache
+def _letters() -> np.ndarray:
+    """Which code points are letters."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
+def letter_bytes(text: str, data: bytes) -> np.ndarray:
+    """Which of the text's bytes belong to letters."""
+    if len(data) == len(text):
+        return _ASCII_LETTER[np.frombuffer(data, np.uint8)]
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.repeat(_letters()[points], 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))
 
 
 def windows(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -165,8 +180,8 @@ class Model:
         logits /= logits.sum(axis=1, keepdims=True)
         return logits.reshape(steps, n, -1).transpose(1, 0, 2)
 
-    def pooled(self, texts: list[bytes]) -> np.ndarray:
-        """Mean probabilities of each text over its letters' bytes. Windows of all texts are read together; equal texts once."""
+    def pooled(self, texts: list[str]) -> np.ndarray:
+        """Mean probabilities of each text over its letters' bytes. Windows of all texts are read together."""
         out = np.zeros((len(texts), len(self.languages)))
         if not texts or not self.languages:
             return out
@@ -177,9 +192,8 @@ class Model:
 
         def settle():
             nonlocal held, size
-            batch, lengths = np.concatenate([x for _, x, _ in held]), np.concatenate([x for *_, x in held])
-            owner = np.repeat([k for k, *_ in held], [len(x) for *_, x in held])
-            counted = _IS_LETTER[batch] & (np.arange(WINDOW) < lengths[:, None])
+            batch, lengths, counted = (np.concatenate(x) for x in zip(*(x for _, *x in held)))
+            owner = np.repeat([k for k, *_ in held], [len(x) for _, x, *_ in held])
             short = lengths < WINDOW
             for which in (np.flatnonzero(~short), np.flatnonzero(short)):
                 for at in range(0, len(which), AT_ONCE):
@@ -187,13 +201,15 @@ class Model:
                     odds = self.read(batch[w], lengths[w])
                     # not optimize: the mask as a product keeps it within one pass
                     np.add.at(out, owner[w], np.einsum("ntl,nt->nl", odds, counted[w].astype(np.float32)))
-            np.add.at(weight, owner, counted.sum(axis=1))
+            np.add.at(weight, owner, counted.sum(axis=1, dtype=np.int64))
             held, size = [], 0
 
-        for k, data in enumerate(texts):
+        for k, text in enumerate(texts):
+            data = text.encode("utf-8", "surrogatepass")
+            letters = letter_bytes(text, data)
             for at in range(0, len(data), AT_ONCE * WINDOW):
                 x, lengths = windows(data[at : at + AT_ONCE * WINDOW])
-                held.append((k, x, lengths))
+                held.append((k, x, lengths, windows(letters[at : at + AT_ONCE * WINDOW].tobytes())[0]))
                 size += len(x)
                 if size >= 4 * AT_ONCE:
                     settle()
@@ -207,9 +223,8 @@ class Model:
         result: list[tuple[str, float]] = [("und", 0.0)] * len(texts)
         if not self.languages or not readable:
             return result
-        data = [texts[k].encode("utf-8", "surrogatepass") for k in readable]
-        place: dict[bytes, int] = {}
-        index = [place.setdefault(x, len(place)) for x in data]
+        place: dict[str, int] = {}
+        index = [place.setdefault(texts[k], len(place)) for k in readable]
         odds = self.pooled(list(place))
         for k, i in zip(readable, index):
             best = int(odds[i].argmax())
@@ -218,17 +233,21 @@ class Model:
 
 
 def training_windows(docs: DataFrame, docs_of_language: int = DOCS_OF_LANGUAGE) -> DataFrame:
-    """(lang, piece): stretches of texts at pseudorandom places, from about docs_of_language documents of each language
-    outside the held-out fold (all, where there are fewer), at most LANGUAGES times as many in all."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~in_fold(F.col("doc_id"), FOLD, HELD_OUT))
-    # the counts need no text; languages are few
-    counts = docs.where(F.col("lang").isNotNull() & ~in_fold(F.col("doc_id"), FOLD, HELD_OUT)).groupBy("lang").count()
-    share = F.broadcast(counts.orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang", (F.lit(float(docs_of_language)) / F.col("count")).alias("share")))
-    luck = F.pmod(F.xxhash64(F.lit("language"), F.col("doc_id")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    drawn = usable.join(share, "lang").where(luck < F.col("share")).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(docs_of_language * LANGUAGES)
+    """(lang, piece): stretches of texts at pseudorandom places, from docs_of_language documents of each language outside
+    the held-out fold (all, where there are fewer). Every language is learned, however rare; only stretches are ordered and
+    gathered, so the sample takes at most docs_of_language * WINDOWS_OF_DOC * WINDOW characters a language."""
+    named = docs.select(F.col("lang").cast("string").alias("lang"), "doc_id", F.col("text").cast("string").alias("text")).where(F.col("lang").isNotNull() & ~in_fold(F.col("doc_id"), FOLD, HELD_OUT))
+    usable = named.where(F.col("text").rlike(r"\p{L}"))
+    luck = F.pmod(F.xxhash64(F.lit("language"), F.col("doc_id")), F.lit(1 << 20))
+    # the counts need no text, and one row per language; with the margin nearly all texts of a large table go before they are ordered
+    margin = F.lit(4.0 * docs_of_language * (1 << 20))
+    share = F.broadcast(named.groupBy("lang").agg((margin / F.count(F.lit(1))).alias("share")))
+    drawn = usable.withColumn("luck", luck).join(share, "lang").where(F.col("luck") < F.col("share"))
     at = lambda k: F.pmod(F.xxhash64(F.lit("window"), F.col("doc_id"), k), F.greatest(F.lit(1), F.length("text") - WINDOW)) + 1
     pieces = F.transform(F.sequence(F.lit(1), F.lit(WINDOWS_OF_DOC)), lambda k: F.substring(F.col("text"), at(k).cast("int"), F.lit(WINDOW)))
-    return drawn.select("lang", F.explode(pieces).alias("piece"))
+    drawn = drawn.select("lang", "luck", "doc_id", pieces.alias("pieces"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("luck", "doc_id", "pieces"))
+    return drawn.withColumn("place", first).where(F.col("place") <= docs_of_language).select("lang", F.explode("pieces").alias("piece"))
 
 
 def train(docs: DataFrame, docs_of_language: int = DOCS_OF_LANGUAGE) -> Model:
@@ -245,7 +264,7 @@ def identified(docs: DataFrame, docs_of_language: int = DOCS_OF_LANGUAGE) -> Dat
 
     `und` and 0 for a null text and for one without a letter. Rows without lang are only predicted; a null doc_id counts
     as held out; repeated rows get equal results; with one language in training every text with a letter is in it, with
-    none every text is `und`; an empty table gives no rows; other columns are ignored.
+    none every text is `und`; an empty table gives no rows; other columns are ignored, whatever their names.
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, docs_of_language))
 

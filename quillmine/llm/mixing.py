@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmine.llm.common import WORD, stored
+from quillmine.llm.common import WORD, row_columns, row_struct, stored
 
 BLOCK_WORDS = 1024
 SHARD_SLOTS = 256
@@ -24,6 +24,8 @@ WEIGHTS = (5, 2, 1)
 BUCKET_ROWS = 1 << 11
 #: Slots that one row stands for before it is spread over tasks, and slots of a task.
 RUN_SLOTS, TASK_SLOTS = 1 << 12, 1 << 16
+#: Slots whose texts a task puts in order.
+TASK_SHARD_SLOTS = 1 << 12
 ROUNDS = 24
 
 
@@ -90,31 +92,33 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     )
 
 
-def mixture(docs: DataFrame, row_key: Column | None = None, block_words: int = BLOCK_WORDS, weights=WEIGHTS, share: float = SHARE, most_repeats: int = MOST_REPEATS) -> DataFrame:
-    """What the mix takes of each document: row_key, doc_id, source, size, source_size, target, taken (words, repeats
-    counted), takes (array of pass, first, last, shard, place, at: the document's words first..last-1 are taken in that pass,
-    for the slot at that place of the shard, in which they begin at word `at`).
+def mixture(docs: DataFrame, row_id: str | None = None, block_words: int = BLOCK_WORDS, weights=WEIGHTS, share: float = SHARE, most_repeats: int = MOST_REPEATS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """What the mix takes of each document: doc_id, source, size, source_size, target, taken (words, repeats counted), takes
+    (array of pass, first, last, shard, place, at: the document's words first..last-1 are taken in that pass, for the slot
+    at that place of the shard, in which they begin at word `at`), and row_id, if that column is named.
 
     Null text has size 0 and is never taken; a null source is a source of its own, the last one; documents with a null
     doc_id take part; equal rows each count, and which of them gives which words is of no consequence as they are equal;
-    an empty table gives no rows; other columns only matter through row_key. Reruns over the same rows agree.
+    an empty table gives no rows; other columns are ignored. Reruns over the same rows agree. Sources are ordered in one
+    task, a row for each.
     """
-    key = F.xxhash64("doc_id", "source", "text") if row_key is None else row_key
-    sizes = docs.select(key.alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    own = [F.col(row_id).alias("row_id")] if row_id else []
+    sizes = docs.select(*own, F.xxhash64("doc_id", "source", "text").alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
     sizes = stored(sizes, "sizes")
     n_buckets = max(1, -(-sizes.count() // BUCKET_ROWS))
     sizes = sizes.withColumn("bucket", F.pmod(F.xxhash64("row_key", "doc_id"), F.lit(n_buckets)))
     totals = sizes.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     sources = stored(targets(totals.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, share, most_repeats), "sources")
     # offsets in two steps: buckets within a source (one row per bucket), then documents within a bucket
-    in_bucket = Window.partitionBy("source", "bucket").orderBy("row_key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    ids = ["row_id"] if row_id else []
+    in_bucket = Window.partitionBy("source", "bucket").orderBy("row_key", "doc_id", *ids).rowsBetween(Window.unboundedPreceding, 0)
     bases = totals.withColumn("base", F.sum("bucket_size").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("bucket_size"))
     same = lambda a, b, *names: [a[n].eqNullSafe(b[n]) for n in names]
     placed = sizes.withColumn("within", F.sum("size").over(in_bucket) - F.col("size"))
     placed = placed.join(bases, same(placed, bases, "source", "bucket")).select(placed["*"], (bases["base"] + placed["within"]).alias("start"))
     placed = placed.join(sources, same(placed, sources, "source")).select(placed["*"], sources["source_id"], sources["source_size"], sources["target"])
     placed = placed.withColumn("block_words", F.ceil(F.col("source_size") / F.ceil(F.col("source_size") / block_words)))
-    used = slots(sources, block_words).groupBy("source_id", "block").agg(
+    used = slots(sources, block_words, shard_slots).groupBy("source_id", "block").agg(
         *[F.sum(F.when(F.col("pass") == p, F.col("words")).otherwise(0)).alias(f"pass{p}") for p in range(most_repeats)],
         *[F.max(F.when(F.col("pass") == p, F.struct("shard", "place"))).alias(f"slot{p}") for p in range(most_repeats)],
     )
@@ -130,33 +134,38 @@ def mixture(docs: DataFrame, row_key: Column | None = None, block_words: int = B
 
     takes = F.filter(F.array(*map(take, range(most_repeats))), lambda x: x["last"] > x["first"])
     touched = touched.withColumn("takes", takes).withColumn("took", F.aggregate("takes", F.lit(0).cast("long"), lambda a, x: a + x["last"] - x["first"]))
-    per_doc = ["row_key", "doc_id", "source", "size", "source_size", "target"]
+    per_doc = [*ids, "row_key", "doc_id", "source", "size", "source_size", "target"]
     summed = touched.groupBy("source_id", "start", *per_doc).agg(F.sum("took").alias("taken"), F.array_sort(F.flatten(F.collect_list("takes"))).alias("takes"))
     nothing = placed.where("size = 0").select(*per_doc, F.lit(0).cast("long").alias("taken"), F.array().cast(summed.schema["takes"].dataType).alias("takes"))
-    return summed.select(*nothing.columns).unionByName(nothing)
+    return summed.select(*nothing.columns).unionByName(nothing).drop("row_key")
 
 
-def dealt(docs: DataFrame, **parameters) -> DataFrame:
+def slot_text(takes: Column) -> Column:
+    """The slots that a document is in, `shard:place`, comma-joined in order."""
+    return F.array_join(F.transform(F.array_sort(F.transform(takes, lambda x: F.struct(x["shard"].alias("shard"), x["place"].alias("place")))), lambda x: F.concat_ws(":", x["shard"].cast("string"), x["place"].cast("string"))), ",")
+
+
+def dealt(docs: DataFrame, shard_slots: int = SHARD_SLOTS, **parameters) -> DataFrame:
     """The mix with shard, place and at: a row per document and slot that takes words of it, with the document's columns, its
     text cut to the words taken (white space after a word stays with it) and n_chars set anew where that column exists.
-    Each shard is in one partition, in order."""
+    Each shard is in one partition, in order. Rows are numbered and stored first, so a row is cut by its own takes whatever
+    its columns hold."""
     columns = docs.columns
-    key = F.xxhash64(*[F.col(c) for c in columns])
-    plan = mixture(docs, key, **parameters).where("taken > 0")
-    plan = plan.groupBy("row_key").agg(F.collect_list("takes").alias("chosen"))
-    rows = docs.select(key.alias("row_key"), F.struct(*columns).alias("row")).join(plan, "row_key")
-    # equal rows have one key: the first of them gets the first list of words, and so on
-    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("row_key").orderBy("row_key")))
-    rows = rows.withColumn("takes", F.get("chosen", F.col("copy") - 1)).where(F.col("takes").isNotNull())
-    rows = rows.withColumn("words", F.regexp_extract_all(F.col("row")["text"], F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)))
+    rows = stored(docs.select(row_struct(columns), F.monotonically_increasing_id().alias("row_id")), "mixing-rows")
+    plan = mixture(rows.select("row_id", "row.doc_id", "row.source", "row.text"), "row_id", shard_slots=shard_slots, **parameters)
+    plan = stored(plan.where("taken > 0").select("row_id", "takes"), "mixing-plan")
+    last = plan.agg(F.max(F.array_max(F.transform("takes", lambda x: x["shard"])))).first()[0]
+    rows = rows.join(plan, "row_id").withColumn("words", F.regexp_extract_all(F.col("row").getField("text"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)))
     # cut before they are spread: a long text is not repeated for each of its pieces
     cut = F.transform("takes", lambda x: F.struct(x["shard"].alias("shard"), x["place"].alias("place"), x["at"].alias("at"), F.array_join(F.slice("words", x["first"].cast("int") + 1, (x["last"] - x["first"]).cast("int")), "").alias("text")))
-    rows = rows.select(F.struct(*[F.col("row")[c].alias(c) for c in columns if c not in ("text", "n_chars")]).alias("row"), F.explode(cut).alias("piece"))
+    kept = [c for c in columns if c not in ("text", "n_chars")]
+    rows = rows.select(F.struct(F.lit(0).alias("_"), *row_columns(kept)).alias("row"), F.explode(cut).alias("piece"))
     new = {"text": F.col("piece.text"), "n_chars": F.length("piece.text").cast(docs.schema["n_chars"].dataType) if "n_chars" in columns else None}
-    rows = rows.select(F.struct(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in columns]).alias("row"), "piece.shard", "piece.place", "piece.at")
-    return rows.repartition("shard").sortWithinPartitions("shard", "place", "at")
+    rows = rows.select(F.struct(*[new[c].alias(c) if c in new else row_columns([c])[0] for c in columns]).alias("row"), "piece.shard", "piece.place", "piece.at")
+    n_tasks = -(-((last or 0) + 1) * shard_slots // TASK_SHARD_SLOTS)
+    return rows.repartition(n_tasks, "shard").sortWithinPartitions("shard", "place", "at")
 
 
 def mixed(docs: DataFrame, **parameters) -> DataFrame:
     """The mix itself, as dealt() orders it, with the documents' columns."""
-    return dealt(docs, **parameters).select("row.*")
+    return dealt(docs, **parameters).select(*row_columns(docs.columns))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmine.llm import boosting
-from quillmine.llm.common import bounded_sample, give_back_memory
+from quillmine.llm.common import bounded_sample, give_back_memory, row_columns, row_struct
 
 KINDS = ("email", "ip", "card", "phone")
 #: Texts that the trees learn from at most, and candidates taken from them at most.
@@ -285,9 +285,9 @@ def without_personal_data(docs: DataFrame, model: Model | None = None) -> DataFr
         return found
 
     names = docs.columns
-    rows = docs.select(F.struct(*names).alias("row"), clean(F.col("text").cast("string")).alias("cleaned"))
+    rows = docs.select(row_struct(names), clean(F.col("text").cast("string")).alias("cleaned"))
     new = {"text": F.col("cleaned")}
     if "n_chars" in names:
-        same = F.col("row")["text"].eqNullSafe(F.col("cleaned"))
-        new["n_chars"] = F.when(same, F.col("row")["n_chars"]).otherwise(F.length("cleaned")).cast(docs.schema["n_chars"].dataType)
-    return rows.select(*[new.get(c, F.col("row")[c]).alias(c) for c in names])
+        same = F.col("row").getField("text").eqNullSafe(F.col("cleaned"))
+        new["n_chars"] = F.when(same, F.col("row").getField("n_chars")).otherwise(F.length("cleaned")).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[new[c].alias(c) if c in new else row_columns([c])[0] for c in names])

@@ -33,7 +33,8 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixture(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    mix = mixing.mixture(_table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken", mixing.slot_text(F.col("takes")).alias("slots"))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

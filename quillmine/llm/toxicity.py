@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmine.llm.common import bounded_sample, give_back_memory, in_fold
+from quillmine.llm.common import bounded_sample, give_back_memory, in_fold, row_columns, row_struct
 
 SIZES = (3, 4, 5, 6, 7)
 TABLE_BITS = 20
@@ -172,5 +172,5 @@ def accepted(docs: DataFrame, labels: DataFrame, sample_of_label: int = SAMPLE_O
     """docs without those that the classifier rejects."""
     model = train(docs, labels, sample_of_label)
     columns = docs.columns
-    rows = docs.select(F.struct(*columns).alias("row"), score_column(F.col("text").cast("string"), model, docs.sparkSession).alias("score"))
-    return rows.where("score < 0.5").select("row.*")
+    rows = docs.select(row_struct(columns), score_column(F.col("text").cast("string"), model, docs.sparkSession).alias("score"))
+    return rows.where("score < 0.5").select(*row_columns(columns))

@@ -115,7 +115,7 @@ def test_reading_by_plain_loops():
         return odds
 
     expected = np.mean(plain(data[: language.WINDOW]) + plain(data[language.WINDOW :]), axis=0)
-    assert model.pooled([data, data])[1] == pytest.approx(expected, rel=1e-4)
+    assert model.pooled([data.decode(), data.decode()])[1] == pytest.approx(expected, rel=1e-4)
 
 
 def test_language_on_held_out_rows(spark):
@@ -136,6 +136,34 @@ def test_language_odd_rows(spark):
     assert language.identified(empty_documents(spark)).count() == 0
 
 
+def test_marks_that_are_no_letters(spark):
+    docs = spark.createDataFrame([(k, "words of one kind", "aa") for k in range(20)] + [(k, "слова иного рода", "bb") for k in range(20, 40)] + [(50, "²", None), (51, "½ 12", None), (52, "Ⅷ", None), (53, "12 — «»", None), (54, "ª", None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.identified(docs).collect()}
+    assert [got[k] for k in (50, 51, 52, 53)] == ["und"] * 4 and got[54] != "und"
+    assert (got[19], got[20]) == ("aa", "bb")
+
+
+def test_only_bytes_of_letters_count():
+    for text in ("a–b é½", "日本 x²", "", "😀ß", "ab1"):
+        data = text.encode()
+        plain = [c.isalpha() for c in text for _ in c.encode()]
+        assert language.letter_bytes(text, data).tolist() == plain
+
+
+def test_rare_languages_are_learned_beside_seventy(spark):
+    r = np.random.default_rng(8)
+    rows, n = [], 0
+    for k in range(70):
+        sign = chr(0x4E00 + 40 * k)
+        for _ in range(9 if k else 3):
+            rows.append((n, "".join(chr(ord(sign) + i) for i in r.integers(0, 8, 30)), f"l{k:02d}"))
+            n += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {x.lang for x in language.training_windows(docs).collect()} == {f"l{k:02d}" for k in range(70)}
+    counts = collections.Counter(x.lang for x in language.training_windows(docs, 2).collect())
+    assert set(counts.values()) == {2 * language.WINDOWS_OF_DOC}
+
+
 # ---- personal data
 
 EMAIL, IP, CARD, PHONE = (re.compile(p) for p in (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"))
@@ -183,7 +211,7 @@ def test_looser_spellings_are_found_and_clean_text_is_left(spark):
 
 
 def test_redaction(spark):
-    out = pii.without_personal_data(odd_documents(spark).union(spark.createDataFrame([(99, "é x@y.zz 1.2.3.4!", None, None, 5, None, None, None, None)], odd_documents(spark).schema)))
+    out = pii.without_personal_data(odd_documents(spark).union(spark.createDataFrame([(99, "é x@y.zz 1.2.3.4!", None, None, 5, *[None] * 9)], odd_documents(spark).schema)))
     assert out.columns == odd_documents(spark).columns
     got = {r.doc_id: r for r in out.collect() if r.doc_id is not None}
     assert got[99].text == "é [EMAIL] [IP]!" and got[99].n_chars == len(got[99].text) and got[0].text is None

@@ -145,6 +145,75 @@ def test_mixture_meets_targets(spark, sf):
     assert mixing.mixture(empty_documents(spark)).count() == 0
 
 
+def row_hash(*values):
+    """The 64-bit hash of a row: text, 4-byte and 8-byte numbers in turn, each seeded with the one before; nulls are passed over."""
+    seed = 42
+    for kind, v in values:
+        if v is not None:
+            seed = xxhash.xxh64_intdigest(v.encode() if kind == "s" else int(v).to_bytes(4 if kind == "i" else 8, "little", signed=True), seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_permuted(x, n, *key):
+    for k in range(1, 25):
+        mirror = (row_hash(("s", "pivot"), ("i", k), *key) % n - x) % n
+        if row_hash(("s", "bit"), ("i", k), ("l", max(x, mirror)), *key) & 1:
+            x = mirror
+    return x
+
+
+def plain_mix(items, block_words, shard_slots):
+    """items: (doc_id, source, text) -> (doc_id, source, size, taken, slots) of each."""
+    docs = [(d, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), row_hash(("l", d), ("s", s), ("s", t))) for d, s, t in items]
+    total = Counter()
+    for _, s, n, _ in docs:
+        total[s] += n
+    names = sorted((s for s in total if s is not None), key=lambda s: s.encode()) + [None] * (None in total)
+    target = plain_targets(total)
+    plan, all_slots = {}, 0
+    for number, s in enumerate(names, 1):
+        size, wanted = total[s], int(target[s] + 0.5)
+        if not size or not wanted:
+            continue
+        bw = -(-size // -(-size // block_words))
+        blocks = -(-size // bw)
+        whole, rest = wanted // size * blocks + wanted % size // bw, wanted % size % bw
+        plan[s] = (number, size, bw, blocks, whole, rest, all_slots, whole + (rest > 0))
+        all_slots += whole + (rest > 0)
+    used = {}
+    for s, (number, size, bw, blocks, whole, rest, first, n) in plan.items():
+        for slot in range(n):
+            block = plain_permuted(slot % blocks, blocks, ("l", number), ("l", slot // blocks))
+            out = plain_permuted(first + slot, all_slots, ("s", "shards"))
+            length = min(bw, size - block * bw)
+            used.setdefault((s, block), []).append((length if slot < whole else min(length, rest), out // shard_slots, out % shard_slots))
+    n_buckets = max(1, -(-len(docs) // mixing.BUCKET_ROWS))
+    at, found = Counter(), []
+    for d, s, n, h in sorted(docs, key=lambda x: (row_hash(("l", x[3]), ("l", x[0])) % n_buckets, x[3], x[0] is not None, x[0] or 0)):
+        start, taken, slots = at[s], 0, []
+        at[s] += n
+        if n and s in plan:
+            bw = plan[s][2]
+            for block in range(start // bw, (start + n - 1) // bw + 1):
+                for words, shard, place in used.get((s, block), []):
+                    took = min(block * bw + words, start + n) - max(block * bw, start)
+                    if took > 0:
+                        taken += took
+                        slots.append((shard, place))
+        found.append((d, s, n, taken, ",".join(f"{a}:{b}" for a, b in sorted(slots))))
+    return found
+
+
+@pytest.mark.parametrize("block_words, shard_slots", [(1024, 256), (64, 16), (7, 3)])
+def test_the_whole_mix_by_plain_code(spark, sf, block_words, shard_slots):
+    from pyspark.sql import functions as F
+
+    for docs in (odd_documents(spark), documents(spark, sf)):
+        rows = mixing.mixture(docs, block_words=block_words, shard_slots=shard_slots).withColumn("slots", mixing.slot_text(F.col("takes")))
+        got = Counter((r.doc_id, r.source, r["size"], r.taken, r.slots) for r in rows.collect())
+        assert got == Counter(plain_mix([(r.doc_id, r.source, r.text) for r in docs.select("doc_id", "source", "text").collect()], block_words, shard_slots))
+
+
 def test_permutations_are_permutations(spark):
     from pyspark.sql import functions as F
 
@@ -215,10 +284,11 @@ def test_mix_comes_out_shard_by_shard(spark, sf, monkeypatch):
 
     planned = []
     slots = mixing.slots
-    monkeypatch.setattr(mixing, "slots", lambda sources, block_words: planned.append(slots(sources, block_words, 16)) or planned[-1])
+    monkeypatch.setattr(mixing, "slots", lambda *given: planned.append(slots(*given)) or planned[-1])
+    monkeypatch.setattr(mixing, "TASK_SHARD_SLOTS", 64)
     docs = documents(spark, sf)
-    mix = mixing.mixed(docs, block_words=256).select("doc_id", "source", "text", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row")).orderBy("row").collect()
-    rows = mixing.dealt(docs, block_words=256).select("shard", "place", "at", "row.*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("n")).orderBy("n").collect()
+    mix = mixing.mixed(docs, block_words=256, shard_slots=16).select("doc_id", "source", "text", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row")).orderBy("row").collect()
+    rows = mixing.dealt(docs, block_words=256, shard_slots=16).select("shard", "place", "at", "row.*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("n")).orderBy("n").collect()
     assert [(r.doc_id, r.text) for r in rows] == [(r.doc_id, r.text) for r in mix]
     assert len({(r.shard, r.part) for r in rows}) == len({r.shard for r in rows}) > 10
     words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
@@ -232,3 +302,12 @@ def test_mix_comes_out_shard_by_shard(spark, sf, monkeypatch):
     assert filled == Counter({(r.shard, r.place): r.words for r in planned[0].collect()})
     # a shard holds several sources: a draw, not one source after the other
     assert sum(len({s for (k, _), s in source_of.items() if k == shard}) > 1 for shard in {k for k, _ in source_of}) > 0.9 * len({k for k, _ in source_of})
+
+
+def test_rows_with_maps_and_dotted_names_are_mixed(spark):
+    rows = [(k, f"words of text number {k} here", f"s{k % 2}", "x", {"a": k}) for k in range(40)]
+    docs = spark.createDataFrame([*rows, rows[0], rows[0]], "doc_id long, text string, source string, `a.b` string, m map<string,int>")
+    out = mixing.mixed(docs, block_words=8)
+    assert out.columns == docs.columns
+    for r in out.collect():
+        assert r.m == {"a": r.doc_id} and set(r.text.split()) <= set(rows[r.doc_id][1].split())
