@@ -9,20 +9,20 @@ stands before it.
 
 The tree grows with the corpus, so it is never whole in one place. Contexts up to NEAR symbols, as many as the alphabet
 allows, are a head that every task has. Longer ones are dealt out by their KEYED nearest symbols: all suffixes of a context
-that the head lacks are in its part, so each part grows by itself. A chunk of texts asks each part for its own different
-codes, and gets their probabilities.
-
-The unigram score over words lies beside it. Its counts are joined by chunk: a chunk of texts asks for its own different
-words, and gets their counts.
+that the head lacks are in its part, so each part grows by itself. The unigram score over words lies beside it; words and
+their counts are dealt out over the same parts by a hash. A chunk of texts asks each part for its own different codes and
+words, and gets their probabilities and counts. Codes, words and counts travel as compressed columns, a row for each chunk
+and part.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +36,7 @@ LEAST_COUNT = 2
 DIVERGENCE = 5.0
 SMOOTHING = 0.1
 #: Bytes of text that are coded at once, that a chunk holds about, and counts and words that a task holds before it passes them on.
-PART, CHUNK_BYTES, HELD, WORDS_HELD = 1 << 21, 1 << 24, 3 << 20, 3 << 17
+PART, CHUNK_BYTES, HELD, WORDS_HELD = 1 << 21, 1 << 24, 3 << 20, 1 << 20
 #: Bytes of text whose counts a task sums up before it passes them on: more of them, fewer rows to shuffle.
 COUNTED_BYTES = 64 << 20
 #: Length of the contexts that every task has, and symbols by which longer ones are dealt out.
@@ -60,8 +60,64 @@ ESCAPED = len(NEVER)
 SMOOTHED = 128
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def normal(texts: pa.Array) -> pa.Array:
+    """Words in lower case, joined by single spaces; null as empty."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    return pc.binary_join(pc.ascii_split_whitespace(texts), " ")
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(all words of normal texts in order, how many each text has)."""
+    lists = pc.split_pattern(texts, " ")
+    counts = np.where(pc.binary_length(texts).to_numpy(False) > 0, pc.list_value_length(lists).to_numpy(False), 0)
+    words = lists.flatten()
+    return words.filter(pc.greater(pc.binary_length(words), 0)), counts
+
+
+def whole(column) -> pa.Array:
+    """A column as one array."""
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) and column.num_chunks != 1 else column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+
+
+def packed(values: np.ndarray, ordered: bool = False) -> bytes:
+    """An array as bytes: of an ordered one the steps; bytes of equal weight side by side, compressed."""
+    if ordered:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
+
+
+def unpacked(data: bytes, dtype, ordered: bool = False) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    values = np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(size, -1).T).view(dtype).reshape(-1)
+    return np.cumsum(values, dtype=dtype) if ordered else values
+
+
+def packed_words(words: pa.Array) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b" ".join(pc.cast(words, pa.binary()).to_pylist()))
+
+
+def unpacked_words(data: bytes) -> pa.Array:
+    text = zstandard.ZstdDecompressor().decompress(data).decode()
+    return pa.array(text.split(" ") if text else [], pa.string())
+
+
+_WEIGHTS = np.random.default_rng(2).integers(0, 1 << 63, 1 << 12, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def word_parts(words: pa.Array, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, places of its words) by a hash of each word."""
+    lengths = pc.binary_length(words).to_numpy(False).astype(np.int64)
+    if not len(lengths):
+        return
+    data = np.frombuffer(b"".join(pc.cast(words, pa.binary()).to_pylist()), np.uint8)
+    starts = np.cumsum(lengths) - lengths
+    place = np.arange(len(data)) - np.repeat(starts, lengths)
+    hashes = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * _WEIGHTS[place & (len(_WEIGHTS) - 1)], starts)
+    part = ((hashes >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    first = np.flatnonzero(changes(part[order]))
+    for a, b in zip(first, np.append(first[1:], len(order))):
+        yield int(part[order[a]]), order[a:b]
 
 
 def joined(symbols: np.ndarray, width: int) -> np.ndarray:
@@ -157,19 +213,53 @@ def by_part(codes: np.ndarray, parts: int, depth: int) -> Iterator[tuple[int, np
         yield int(part[order[a]]), order[a:b]
 
 
-def gram_counts(texts: DataFrame, parts: int, depth: int = DEPTH) -> DataFrame:
-    """(part, codes, counts) over all texts: rows of different codes, in order, and their counts, as bytes. Each task sums up
-    its own first."""
+COUNTS = "part int, codes binary, counts binary, words binary, word_counts binary, n_words long, n_types long"
+
+
+def _row(part: int, codes=None, counts=None, words=None, word_counts=None) -> dict:
+    return {
+        "part": part, "codes": None if codes is None else packed(codes, True), "counts": None if codes is None else packed(counts),
+        "words": None if words is None else packed_words(words), "word_counts": None if words is None else packed(word_counts),
+        "n_words": 0 if words is None else int(word_counts.sum()), "n_types": 0 if words is None else len(words),
+    }
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+_COUNTS = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("codes", "counts", "words", "word_counts")), ("n_words", pa.int64()), ("n_types", pa.int64())])
+
+
+def _summed_words(held: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(held).group_by("w").aggregate([("n", "sum")]).rename_columns(["w", "n"])
+
+
+def counted(texts: DataFrame, parts: int, depth: int = DEPTH) -> DataFrame:
+    """Rows of COUNTS over all normal texts: different codes in order and their counts, words and their counts. Each task sums
+    up its own first, then each part those of all tasks."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, counts, size = [], [], 0
+        held: list[pa.Table] = []
+        n_held = 0
 
         def out(code, n):
-            rows = [(part, code[at].tobytes(), n[at].tobytes()) for part, at in by_part(code, parts, depth)]
-            return pd.DataFrame(rows, columns=["part", "codes", "counts"])
-
-        for batch in (rows.iloc[at : at + ROWS_AT_ONCE] for rows in batches for at in range(0, len(rows), ROWS_AT_ONCE)):
-            for found, _ in coded([b" ".join(words_of(x)) for x in batch["text"]], depth, ROWS_AT_ONCE):
+            return pa.RecordBatch.from_pylist([_row(part, code[at], n[at]) for part, at in by_part(code, parts, depth)], _COUNTS)
+
+        def out_words():
+            words = _summed_words(held)
+            w, n = whole(words["w"]), words["n"].to_numpy()
+            held.clear()
+            return pa.RecordBatch.from_pylist([_row(part, words=w.take(at), word_counts=n[at]) for part, at in word_parts(w, parts)], _COUNTS)
+
+        for batch in (rows.slice(at, ROWS_AT_ONCE) for rows in batches for at in range(0, len(rows), ROWS_AT_ONCE)):
+            found = words_of(batch["text"])[0].value_counts()
+            held.append(pa.table({"w": found.field("values"), "n": found.field("counts")}))
+            n_held += len(found)
+            if n_held > WORDS_HELD:
+                held = [_summed_words(held)]
+                n_held = len(held[0])
+                if n_held > WORDS_HELD // 2:
+                    yield out_words()
+                    n_held = 0
+            for found, _ in coded(pc.cast(batch["text"], pa.binary()).to_pylist(), depth, ROWS_AT_ONCE):
                 found.sort()
                 first = np.flatnonzero(changes(found))
                 codes.append(found[first])
@@ -183,35 +273,52 @@ def gram_counts(texts: DataFrame, parts: int, depth: int = DEPTH) -> DataFrame:
                         codes, counts, size = [], [], 0
         if codes:
             yield out(*_summed(codes, counts))
+        if held:
+            yield out_words()
         give_back_memory()
 
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, codes, counts, size, least = None, [], [], 0, 2 * HELD
+        held: list[pa.Table] = []
+        n_held, least_words = 0, 2 * WORDS_HELD
 
         def settle():
-            code, n = _summed(codes, counts)
-            rows = [(part, code[at : at + CODES_A_ROW].tobytes(), n[at : at + CODES_A_ROW].tobytes()) for at in range(0, len(code), CODES_A_ROW)]
-            return pd.DataFrame(rows, columns=["part", "codes", "counts"])
+            rows = []
+            if codes:
+                code, n = _summed(codes, counts)
+                rows += [_row(part, code[at : at + CODES_A_ROW], n[at : at + CODES_A_ROW]) for at in range(0, len(code), CODES_A_ROW)]
+            if held:
+                words = _summed_words(held)
+                w, n = whole(words["w"]), words["n"].to_numpy()
+                rows += [_row(part, words=w.slice(at, CODES_A_ROW), word_counts=n[at : at + CODES_A_ROW]) for at in range(0, len(w), CODES_A_ROW)]
+            return pa.RecordBatch.from_pylist(rows, _COUNTS)
 
         for batch in batches:
-            for p, c, n in zip(batch["part"], batch["codes"], batch["counts"]):
-                if p != part and codes:
-                    yield settle()
-                    codes, counts, size, least = [], [], 0, 2 * HELD
-                part = p
-                codes.append(np.frombuffer(c, np.int64))
-                counts.append(np.frombuffer(n, np.int64))
-                size += len(codes[-1])
-                if size > least:
-                    code, total = _summed(codes, counts)
-                    codes, counts, size = [code], [total], len(code)
-                    least = 2 * max(size, HELD)
-        if codes:
+            for row in batch.to_pylist():
+                if row["part"] != part:
+                    if part is not None:
+                        yield settle()
+                    part, codes, counts, size, least, held, n_held, least_words = row["part"], [], [], 0, 2 * HELD, [], 0, 2 * WORDS_HELD
+                if row["codes"] is not None:
+                    codes.append(unpacked(row["codes"], np.int64, True))
+                    counts.append(unpacked(row["counts"], np.int64))
+                    size += len(codes[-1])
+                    if size > least:
+                        code, total = _summed(codes, counts)
+                        codes, counts, size = [code], [total], len(code)
+                        least = 2 * max(size, HELD)
+                else:
+                    held.append(pa.table({"w": unpacked_words(row["words"]), "n": unpacked(row["word_counts"], np.int64)}))
+                    n_held += len(held[-1])
+                    if n_held > least_words:
+                        held = [_summed_words(held)]
+                        n_held = len(held[0])
+                        least_words = 2 * max(n_held, WORDS_HELD)
+        if part is not None:
             yield settle()
         give_back_memory()
 
-    schema = "part int, codes binary, counts binary"
-    return texts.select("text").mapInPandas(count, schema).repartition(parts, "part").sortWithinPartitions("part").mapInPandas(merge, schema)
+    return texts.select("text").mapInArrow(count, COUNTS).repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, COUNTS)
 
 
 class Tree:
@@ -270,19 +377,19 @@ def grow(tree: Tree, codes: np.ndarray, counts: np.ndarray, depth: int, least: f
     return grown
 
 
-def head(grams: DataFrame, depth: int, least_share: float, divergence: float) -> tuple[Tree, float]:
+def head(counts: DataFrame, depth: int, least_share: float, divergence: float) -> tuple[Tree, float]:
     """The tree up to NEAR context symbols, and the least count of a state. What comes to the driver are different runs of
     NEAR + 1 symbols: the alphabet bounds them."""
     near = min(NEAR, depth)
 
-    def shorten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c, n in zip(batch["codes"], batch["counts"]):
-                gram = np.frombuffer(c, np.int64) >> BITS * (depth - near)
+            for c, n in zip(batch["codes"].to_pylist(), batch["counts"].to_pylist()):
+                gram = unpacked(c, np.int64, True) >> BITS * (depth - near)
                 first = np.flatnonzero(changes(gram))
-                yield pd.DataFrame({"gram": gram[first], "n": np.add.reduceat(np.frombuffer(n, np.int64), first)})
+                yield pa.RecordBatch.from_arrays([pa.array(gram[first]), pa.array(np.add.reduceat(unpacked(n, np.int64), first))], ["gram", "n"])
 
-    got = grams.select("codes", "counts").mapInPandas(shorten, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    got = counts.where("codes is not null").select("codes", "counts").mapInArrow(shorten, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     gram, n = got.column("gram").to_numpy(), got.column("n").to_numpy()
     order = np.argsort(gram)
     gram, n = gram[order], n[order]
@@ -293,58 +400,63 @@ def head(grams: DataFrame, depth: int, least_share: float, divergence: float) ->
     return grow(Tree(root / root.sum()), gram, n, near, least, divergence), least
 
 
-def answered(asked: DataFrame, grams: DataFrame, parts: int, near: Broadcast, depth: int, least: float, divergence: float) -> DataFrame:
-    """asked (part, chunk, codes) -> (part, chunk, logs): log10 probabilities, as 32-bit numbers in the codes' order. A task
-    grows a part of the tree and then reads the codes that chunks ask it for."""
+ANSWERS = "chunk int, codes binary, logs binary, words binary, word_counts binary"
+_ANSWERS = pa.schema([("chunk", pa.int32()), *((c, pa.binary()) for c in ("codes", "logs", "words", "word_counts"))])
+
+
+def answered(asked: DataFrame, counts: DataFrame, parts: int, near: Broadcast, depth: int, least: float, divergence: float) -> DataFrame:
+    """asked (part, chunk, codes, words) -> rows of ANSWERS: codes with log10 probabilities, words with counts. A task grows a
+    part of the tree and then reads what chunks ask it for."""
 
-    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, tree, codes, counts = None, None, [], []
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, tree, known, own, codes, counts, words = None, None, None, None, [], [], []
         for batch in batches:
-            for p, chunk, c, n in zip(batch["part"], batch["chunk"], batch["codes"], batch["counts"]):
-                if p != part:
-                    part, tree, codes, counts = p, None, [], []
-                if chunk < 0:
-                    codes.append(np.frombuffer(c, np.int64))
-                    counts.append(np.frombuffer(n, np.int64))
+            for row in batch.to_pylist():
+                if row["part"] != part:
+                    part, tree, known, own, codes, counts, words = row["part"], None, None, None, [], [], []
+                if row["chunk"] < 0:
+                    if row["codes"] is not None:
+                        codes.append(unpacked(row["codes"], np.int64, True))
+                        counts.append(unpacked(row["counts"], np.int64))
+                    else:
+                        words.append((unpacked_words(row["words"]), unpacked(row["word_counts"], np.int64)))
                     continue
-                if tree is None:
-                    tree = near.value
-                    if codes:
-                        code, total = np.concatenate(codes), np.concatenate(counts)
-                        order = np.argsort(code)
-                        tree = grow(tree, code[order], total[order], depth, least, divergence)
-                        codes, counts = [], []
-                logs = np.log10(tree.probability(np.frombuffer(c, np.int64), depth)).astype(np.float32)
-                yield pd.DataFrame({"part": [part], "chunk": [chunk], "logs": [logs.tobytes()]})
+                out = {"chunk": row["chunk"]}
+                if row["codes"] is not None:
+                    if tree is None:
+                        tree = near.value
+                        if codes:
+                            code, total = np.concatenate(codes), np.concatenate(counts)
+                            order = np.argsort(code)
+                            tree = grow(tree, code[order], total[order], depth, least, divergence)
+                            codes, counts = [], []
+                    logs = np.log10(tree.probability(unpacked(row["codes"], np.int64, True), depth)).astype(np.float32)
+                    out |= {"codes": row["codes"], "logs": packed(logs)}
+                if row["words"] is not None:
+                    if known is None:
+                        known = pa.concat_arrays([w for w, _ in words]) if words else pa.array([], pa.string())
+                        own = np.append(np.concatenate([n for _, n in words]) if words else np.empty(0, np.int64), 0)
+                        words = []
+                    at = pc.index_in(unpacked_words(row["words"]), value_set=known).fill_null(len(known)).to_numpy(False)
+                    out |= {"words": row["words"], "word_counts": packed(own[at])}
+                yield pa.RecordBatch.from_pylist([out], _ANSWERS)
         give_back_memory()
 
-    both = grams.select("part", F.lit(-1).alias("chunk"), "codes", "counts").unionByName(asked.withColumn("counts", F.lit(None).cast("binary")))
-    return both.repartition(parts, "part").sortWithinPartitions("part", "chunk").mapInPandas(answer, "part int, chunk int, logs binary")
+    both = counts.select("part", F.lit(-1).alias("chunk"), "codes", "words", "counts", "word_counts").unionByName(asked, allowMissingColumns=True)
+    return both.repartition(parts, "part").sortWithinPartitions("part", "chunk").mapInArrow(answer, ANSWERS)
 
 
 def different(texts: list[bytes], depth: int) -> np.ndarray:
     """The texts' different codes, in order."""
-    found = [np.unique(codes) for codes, _ in coded(texts, depth, ROWS_AT_ONCE)]
-    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
-
-
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, c) over all texts."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
-        for batch in batches:
-            for text in batch["text"]:
-                held.update(words_of(text))
-                if len(held) > WORDS_HELD:
-                    yield pd.DataFrame({"word": list(held), "c": list(held.values())})
-                    held = Counter()
-        if held:
-            yield pd.DataFrame({"word": list(held), "c": list(held.values())})
-        held.clear()
-        give_back_memory()
-
-    return texts.select("text").mapInPandas(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    found = []
+    for codes, _ in coded(texts, depth, ROWS_AT_ONCE):
+        codes.sort()
+        found.append(codes[changes(codes)])
+    if not found:
+        return np.empty(0, np.int64)
+    codes = np.concatenate(found)
+    codes.sort()
+    return codes[changes(codes)]
 
 
 def log_scores(known: np.ndarray, logs: np.ndarray, texts: list[bytes], depth: int) -> np.ndarray:
@@ -367,6 +479,35 @@ def log_scores(known: np.ndarray, logs: np.ndarray, texts: list[bytes], depth: i
     return total
 
 
+def normal_rows(docs: DataFrame) -> DataFrame:
+    """doc_id (as text), held_out, text in normal form, and place, a number of its own."""
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], normal(batch["text"]), batch["place"]], ["doc_id", "held_out", "text", "place"])
+        give_back_memory()
+
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), in_fold(F.col("doc_id"), FOLD, HELD_OUT).alias("held_out"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("place"))
+    return rows.mapInArrow(convert, "doc_id string, held_out boolean, text string, place long")
+
+
+def asking(parts: int, depth: int) -> Callable[[pa.Table], pa.Table]:
+    """A chunk's texts -> a row for each part with the chunk's different codes and words of that part."""
+
+    def ask(chunk: pa.Table) -> pa.Table:
+        texts = whole(chunk["text"])
+        codes, words = different(pc.cast(texts, pa.binary()).to_pylist(), depth), words_of(texts)[0].unique()
+        rows: dict[int, dict] = {part: {"codes": packed(codes[at], True)} for part, at in by_part(codes, parts, depth)}
+        for part, at in word_parts(words, parts):
+            rows.setdefault(part, {})["words"] = packed_words(words.take(at))
+        number = chunk["chunk"][0].as_py()
+        out = pa.Table.from_pylist([{"part": part, "chunk": number} | row for part, row in rows.items()], pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("codes", pa.binary()), ("words", pa.binary())]))
+        give_back_memory()
+        return out
+
+    return ask
+
+
 def scored(docs: DataFrame, depth: int = DEPTH, least_share: float = 0.0, divergence: float = DIVERGENCE) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each document.
 
@@ -374,70 +515,46 @@ def scored(docs: DataFrame, depth: int = DEPTH, least_share: float = 0.0, diverg
     the held-out fold, counted each; with no training text counts are zero and symbols equally likely; an empty table
     gives no rows; other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), in_fold(F.col("doc_id"), FOLD, HELD_OUT).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    spark = docs.sparkSession
+    rows = stored(normal_rows(docs), "normal-texts")
     n_training, n_bytes = rows.agg(F.count_if(~F.col("held_out")), F.sum(F.octet_length("text"))).first()
-    n_tasks = max(-(-(n_bytes or 0) // COUNTED_BYTES), docs.sparkSession.sparkContext.defaultParallelism)
-    training = rows.where(~F.col("held_out")).coalesce(n_tasks)
-    parts = max(-(-(n_bytes or 0) // BYTES_A_PART), docs.sparkSession.sparkContext.defaultParallelism)
-    grams = stored(gram_counts(training, parts, depth), "grams")
-    tree, least = head(grams, depth, least_share, divergence)
-    near = docs.sparkSession.sparkContext.broadcast(tree)
-    counts = stored(word_counts(training), "words")
-    word_tokens, types = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
-    n, v = (word_tokens or 0) + n_training, types + (n_training > 0)
-    n_chunks = max(1, -(-(n_bytes or 0) // CHUNK_BYTES))
-    # all uses below share this one shuffle
-    chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)).cast("int")).repartition(n_chunks, "chunk")
-
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted: dict[int, set[bytes]] = {}
-
-        def settle() -> Iterator[pd.DataFrame]:
-            while wanted:
-                chunk, words = wanted.popitem()
-                yield pd.DataFrame({"chunk": chunk, "word": list(words)})
-
-        for batch in batches:
-            for chunk, text in zip(batch["chunk"], batch["text"]):
-                wanted.setdefault(chunk, set()).update(words_of(text))
-            if sum(map(len, wanted.values())) > 2 * WORDS_HELD:
-                yield from settle()  # a word asked for twice is answered twice, to no harm
-        yield from settle()
-        give_back_memory()
-
-    def ask_tree(part: pd.DataFrame) -> pd.DataFrame:
-        codes = different([b" ".join(words_of(x)) for x in part["text"]], depth)
-        rows = [(p, part["chunk"].iloc[0], codes[at].tobytes()) for p, at in by_part(codes, parts, depth)]
-        give_back_memory()
-        return pd.DataFrame(rows, columns=["part", "chunk", "codes"])
-
-    asked = chunked.select("chunk", "text").groupBy("chunk").applyInPandas(ask_tree, "part int, chunk int, codes binary")
-    read = answered(asked, grams, parts, near, depth, least, divergence)
-    answers = chunked.mapInPandas(ask, "chunk int, word binary").join(counts, "word")
-    answers = answers.unionByName(read, allowMissingColumns=True)
-
-    def score(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    cores = spark.sparkContext.defaultParallelism
+    n_tasks, parts, n_chunks = (max(-(-(n_bytes or 0) // size), cores) for size in (COUNTED_BYTES, BYTES_A_PART, CHUNK_BYTES))
+    counts = stored(counted(rows.where(~F.col("held_out")).coalesce(n_tasks), parts, depth), "counts")
+    tree, least = head(counts, depth, least_share, divergence)
+    near = spark.sparkContext.broadcast(tree)
+    word_tokens, types = counts.agg(F.sum("n_words"), F.sum("n_types")).first()
+    n, v = (word_tokens or 0) + n_training, (types or 0) + (n_training > 0)
+    # by a number of the row's own, so that equal rows spread like any others; all uses below share this one shuffle
+    chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("place"), F.lit(n_chunks)).cast("int")).drop("place").repartition(n_chunks, "chunk")
+    asked = chunked.select("chunk", "text").groupBy("chunk").applyInArrow(asking(parts, depth), "part int, chunk int, codes binary, words binary")
+    answers = answered(asked, counts, parts, near, depth, least, divergence)
+
+    def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         scale = np.log10(max(n, 1) + 0.1 * (v + 1)) if n else np.log10(0.1 * (v + 1))
-        of_tree = dict(zip(known["part"][known["logs"].notna()], known["logs"].dropna()))
-        known = known[known["logs"].isna()]
-        logs = dict(zip(known["word"], np.log10(known["c"].to_numpy(np.float64) + 0.1).tolist()))
-        unknown, end = float(np.log10(0.1)), float(np.log10(n_training + 0.1))
+        texts = whole(chunk["text"])
+        words, sizes = words_of(texts)
+        codes, logs, known, known_counts = [], [], [], []
+        for row in answers.to_pylist():
+            if row["codes"] is not None:
+                codes.append(unpacked(row["codes"], np.int64, True))
+                logs.append(unpacked(row["logs"], np.float32))
+            if row["words"] is not None:
+                known.append(unpacked_words(row["words"]))
+                known_counts.append(unpacked(row["word_counts"], np.int64))
+        count = np.concatenate(known_counts)[pc.index_in(words, value_set=pa.concat_arrays(known)).to_numpy(False)] if len(words) else np.empty(0, np.int64)
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        base = np.bincount(owner, np.log10(count + 0.1), len(texts)) + np.log10(n_training + 0.1) - (sizes + 1) * scale
+        n_known = np.bincount(owner, count > 0, len(texts)).astype(np.int64) + (n_training > 0)
+        codes, logs = np.concatenate(codes), np.concatenate(logs)
+        order = np.argsort(codes)
+        codes, logs = codes[order], logs[order]
+        scores = log_scores(codes, logs, pc.cast(texts, pa.binary()).to_pylist(), depth)
+        out = pa.table({"doc_id": whole(chunk["doc_id"]), "held_out": whole(chunk["held_out"]), "n_tokens": sizes.astype(np.int64) + 1, "n_known": n_known, "base_score": base, "score": scores})
+        del words, known, codes, logs, order
         give_back_memory()
-        texts, out = [], []
-        for text in part["text"]:
-            words = words_of(text)
-            values = list(map(logs.get, words))
-            missing = values.count(None)
-            base = sum(filter(None, values)) + missing * unknown + end - (len(words) + 1) * scale
-            out.append((len(words) + 1, len(words) - missing + (n_training > 0), base))
-            texts.append(b" ".join(words))
-        sizes, known_sizes, base_scores = zip(*out) if out else ((), (), ())
-        codes = different(texts, depth)
-        values = np.empty(len(codes))
-        for p, at in by_part(codes, parts, depth):
-            values[at] = np.frombuffer(of_tree[p], np.float32)
-        return pd.DataFrame({"doc_id": part["doc_id"], "held_out": part["held_out"], "n_tokens": sizes, "n_known": known_sizes, "base_score": base_scores, "score": log_scores(codes, values, texts, depth)})
+        return out
 
     schema = "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    out = chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(score, schema)
+    out = chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

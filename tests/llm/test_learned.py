@@ -355,3 +355,30 @@ def test_counts_too_large_for_a_word_are_summed():
         want[c] += n
     got = suffix_tree._summed([codes[:100], codes[100:]], [counts[:100], counts[100:]])
     assert [*zip(got[0].tolist(), got[1].tolist())] == sorted(want.items())
+
+
+def test_normal_texts_and_their_words():
+    import pyarrow as pa
+
+    texts = [None, "", " \n", "A b", "\tx\x0b\x0cY \r\n z\x1c\x85  É ", "  ", "one"]
+    plain = [" ".join(w.decode() for w in (t or "").encode().lower().split()) for t in texts]
+    got = suffix_tree.normal(pa.array(texts))
+    assert got.to_pylist() == plain
+    words, counts = suffix_tree.words_of(got)
+    assert words.to_pylist() == [w for t in plain for w in t.encode().decode().split(" ") if w] and counts.tolist() == [len([w for w in t.split(" ") if w]) for t in plain]
+    parts = dict(suffix_tree.word_parts(words, 3))
+    assert sorted(np.concatenate(list(parts.values())).tolist()) == list(range(len(words)))
+    assert suffix_tree.unpacked_words(suffix_tree.packed_words(words)).to_pylist() == words.to_pylist()
+
+
+def test_packed_arrays_come_back():
+    r = np.random.default_rng(1)
+    for values, ordered in ((np.sort(r.integers(0, 1 << 56, 1000)), True), (r.integers(0, 9, 1000), False), (r.random(1000).astype(np.float32), False), (np.empty(0, np.int64), True)):
+        assert np.array_equal(suffix_tree.unpacked(suffix_tree.packed(values, ordered), values.dtype, ordered), values)
+
+
+def test_many_equal_rows_spread_over_chunks(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "CHUNK_BYTES", 1000)
+    rows = [(1, "the same words in every row")] * 300 + [(2, "other words"), (10, None)]
+    got = suffix_tree.scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert collections.Counter(r.doc_id for r in got) == {1: 300, 2: 1, 10: 1} and len({r.score for r in got if r.doc_id == 1}) <= 2
