@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from quillmine.llm.common import bounded_sample, lower_ascii
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net/de/"), ("allow", "example.net/de/8"), ("block", "org/es/"))
 #: Rule-labelled URLs that the trees are fitted on at most.
 SAMPLE = 10_000
+FOLDS = 5
 TREES, DEPTH = 25, 3
 
 
@@ -65,47 +67,76 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     }
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def openings(host: Column, path: Column) -> dict[str, Column]:
+    """What statistics are kept of: the host's last label, the path's first segment, and both with the sign after them."""
+    suffix, top = F.substring_index(host, ".", -1), F.regexp_extract(path, r"^/([^/]*)", 1)
+    return {"suffix": suffix, "top": top, "stem": F.concat_ws("/", suffix, top, F.regexp_extract(path, r"^/[^/]*/(.?)", 1))}
 
 
-def top_of(path: Column) -> Column:
-    return F.regexp_extract(path, r"^/([^/]*)", 1)
+@dataclass
+class Model:
+    """Trees over the lexical features and, for each opening, the share of blocked URLs among those that have it."""
 
+    forest: boosting.Forest
+    shares: dict[str, dict[str, float]]
 
-def judged(pages: DataFrame, rules=RULES, sample: int = SAMPLE) -> DataFrame:
+
+def share_tables(openings_of: list[dict[str, str]], labels: np.ndarray, weights: np.ndarray) -> dict[str, dict[str, float]]:
+    """Weighted share of label 1 of each opening, drawn to one half as by two rows."""
+    found = {}
+    for name in openings_of[0] if openings_of else ():
+        keys, place = np.unique([o[name] for o in openings_of], return_inverse=True)
+        blocked, all_ = np.bincount(place, labels * weights), np.bincount(place, weights)
+        found[name] = dict(zip(keys.tolist(), ((blocked + 1.0) / (all_ + 2.0)).tolist()))
+    return found
+
+
+def train(pages: DataFrame, rules=RULES, sample: int = SAMPLE) -> Model:
+    """From at most `sample` rule-labelled URLs, taken by a hash. Both verdicts weigh alike. A URL's own label is not in the
+    shares it is trained with: these come from the other folds, dealt by a hash of the URL."""
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
+    rows = rows.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
+    ruled = matching_rule(F.col("host"), F.col("path"), rules)[1]
+    features, opened = lexical(F.col("url"), F.col("host"), F.col("path")), openings(F.col("host"), F.col("path"))
+    labelled = bounded_sample(rows.withColumn("ruled", ruled).where(F.col("ruled").isNotNull()), sample, "urls", F.col("url"), F.col("page_id"))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "url"), F.lit(FOLDS)).cast("int")
+    known = [r.asDict() for r in labelled.select(fold.alias("fold"), (F.col("ruled") == "block").cast("double").alias("label"), *[c.alias(n) for n, c in (features | opened).items()]).toLocalIterator()]
+    if not known:
+        return Model(boosting.Forest(-math.log(99)), {})
+    labels, folds = np.array([r["label"] for r in known]), np.array([r["fold"] for r in known])
+    of_label = np.array([(labels == k).sum() for k in (0, 1)])
+    weights = len(known) / 2 / of_label[labels.astype(int)]
+    own = [{n: r[n] for n in opened} for r in known]
+    shares = np.full((len(known), len(opened)), 0.5)
+    for k in range(FOLDS):
+        others = np.flatnonzero(folds != k)
+        tables = share_tables([own[i] for i in others], labels[others], weights[others])
+        for i in np.flatnonzero(folds == k):
+            shares[i] = [tables[n].get(own[i][n], 0.5) if tables else 0.5 for n in opened]
+    x = np.concatenate([np.array([[r[n] for n in features] for r in known]), shares], axis=1)
+    return Model(boosting.train(x, labels, TREES, DEPTH, weight=weights), share_tables(own, labels, weights))
+
+
+def judged(pages: DataFrame, rules=RULES, sample: int = SAMPLE, model: Model | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict, score (the trees' probability of block) of each page.
 
     A null URL and one without :// have empty host and path, fit no rule, and are judged by their features like any other.
     The trees learn from at most `sample` rule-labelled URLs, taken by a hash. If these are all of one verdict, or there are
-    none, that verdict or allow holds for the rest. A null page_id and repeated rows are kept; an empty table gives no rows.
+    none, that verdict or allow holds for the rest. A null page_id and repeated rows are kept; an empty table gives no rows;
+    other columns are ignored.
     """
+    model = model or train(pages, rules, sample)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
     rows = rows.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("ruled", verdict)
-    features = lexical(F.col("url"), F.col("host"), F.col("path"))
-    labelled = bounded_sample(rows.where(F.col("ruled").isNotNull()), sample, "urls", F.col("url"), F.col("page_id"))
-    known = [r.asDict() for r in labelled.select(suffix_of(F.col("host")).alias("suffix"), top_of(F.col("path")).alias("top"), (F.col("ruled") == "block").cast("double").alias("label"), *[c.alias(n) for n, c in features.items()]).toLocalIterator()]
-    shares, mean = {}, (sum(r["label"] for r in known) + 1) / (len(known) + 2)
-    for name in ("suffix", "top"):
-        seen: dict[str, list[float]] = {}
-        for r in known:
-            n = seen.setdefault(r[name], [0.0, 0.0])
-            n[0] += r["label"]
-            n[1] += 1
-        shares[name] = {k: (blocked + 2 * mean) / (n + 2) for k, (blocked, n) in seen.items()}
-    names = list(features)
-    x = np.array([[*(r[n] for n in names), *(shares[k][r[k]] for k in ("suffix", "top"))] for r in known]).reshape(len(known), len(names) + 2)
-    forest = boosting.train(x, np.array([r["label"] for r in known]), TREES, DEPTH)
-    if not known:
-        forest = boosting.Forest(-math.log(99))
-    # these tables have at most as many rows as the sample
-    spark = pages.sparkSession
-    for name, of in (("suffix", suffix_of(F.col("host"))), ("top", top_of(F.col("path")))):
-        table = spark.createDataFrame(sorted(shares[name].items()), f"{name} string, {name}_share double")
-        rows = rows.withColumn(name, of).join(F.broadcast(table), name, "left").withColumn(f"{name}_share", F.coalesce(f"{name}_share", F.lit(mean)))
-    valued = rows.select("page_id", "host", "path", "rule", "ruled", *[c.alias(n) for n, c in features.items()], "suffix_share", "top_share")
-    margin = forest.column([F.col(n) for n in (*names, "suffix_share", "top_share")])
+    features, opened = lexical(F.col("url"), F.col("host"), F.col("path")), openings(F.col("host"), F.col("path"))
+    for name, of in opened.items():
+        # these tables have at most as many rows as the sample
+        table = pages.sparkSession.createDataFrame(sorted(model.shares.get(name, {}).items()), f"{name} string, {name}_share double")
+        rows = rows.withColumn(name, of).join(F.broadcast(table), name, "left").withColumn(f"{name}_share", F.coalesce(f"{name}_share", F.lit(0.5)))
+    shares = [f"{name}_share" for name in opened]
+    valued = rows.select("page_id", "host", "path", "rule", "ruled", *[c.alias(n) for n, c in features.items()], *shares)
+    margin = model.forest.column([F.col(n) for n in (*features, *shares)])
     valued = valued.withColumn("score", 1 / (1 + F.exp(-margin)))
     return valued.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"), "score")

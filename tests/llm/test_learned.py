@@ -244,6 +244,53 @@ def test_rules_and_hosts_by_plain_code(spark):
     assert urls.judged(pages.limit(0)).count() == 0
 
 
+def test_lexical_features_by_plain_code(spark):
+    odd = [None, "", "http://", "https://a-b.Example.com/x/y.html?p=1&q=&r#f", "ftp://1.2.3.4/", "http://h/?", "http://h?a=b", "x://é.net/ñ/7//", "https://h/p#x?y=1&z"]
+    rows = spark.createDataFrame([(k, u) for k, u in enumerate(odd)], "page_id long, url string")
+    rows = rows.unionByName(spark.read.parquet(f"{BIG}/pages.parquet").select((F.col("page_id") + 1000).alias("page_id"), "url"))
+    rows = rows.withColumn("host", urls.host_of(F.col("url"))).withColumn("path", urls.path_of(F.col("url")))
+    of = urls.lexical(F.col("url"), F.col("host"), F.col("path"))
+    opened = urls.openings(F.col("host"), F.col("path"))
+
+    def bits(text):
+        counts = collections.Counter(text)
+        return -sum(n / len(text) * math.log2(n / len(text)) for n in counts.values())
+
+    for r in rows.select("url", "host", "path", *[c.alias(f"f_{n}") for n, c in (of | opened).items()]).collect():
+        url, host, path = r.url or "", r.host, r.path
+        query = re.match(r"[^?#]*\?([^#]*)", url)
+        query = query.group(1) if query else ""
+        plain = {
+            "url_length": len(url), "host_length": len(host), "path_length": len(path), "host_parts": host.count("."), "depth": path.count("/"), "hyphens": host.count("-"),
+            "digit_ratio": len(re.findall("[0-9]", url)) / max(1, len(url)), "path_digits": len(re.findall("[0-9]", path)), "entropy": bits(url), "host_entropy": bits(host),
+            "parameters": query.count("&") + 1 if query else 0, "query_length": len(query), "fragment": "#" in url, "secure": url.startswith("https://"),
+            "page_suffix": 2 if path.endswith("/") else len(re.findall(r"\.[a-z]+$", path)),
+        }
+        assert {n: r[f"f_{n}"] for n in of} == pytest.approx({n: float(v) for n, v in plain.items()}), url
+        segments = path.split("/")[1:] if path.startswith("/") else []
+        top = segments[0] if segments else ""
+        after = segments[1][:1] if len(segments) > 1 else ""
+        if len(segments) > 2 and segments[1] == "":
+            after = "/"
+        assert [r.f_suffix, r.f_top, r.f_stem] == [host.split(".")[-1], top, f"{host.split('.')[-1]}/{top}/{after}"], url
+
+
+def test_trees_agree_with_rules_on_urls_they_did_not_see(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    held = F.crc32(F.col("url").cast("binary")) % 4 == 0
+    model = urls.train(pages.where(~held))
+    got = urls.judged(pages.where(held), model=model).where("rule is not null").select("verdict", "score").collect()
+    right = {v: [(r.score >= 0.5) == (v == "block") for r in got if r.verdict == v] for v in ("allow", "block")}
+    assert len(right["allow"]) >= 15 and all(sum(x) >= 0.9 * len(x) for x in right.values()), {k: (sum(x), len(x)) for k, x in right.items()}
+
+
+def test_one_verdict_or_none_holds_for_the_rest(spark):
+    page = lambda *urls_: spark.createDataFrame([*enumerate(urls_), (0, urls_[0])], "page_id long, url string")
+    assert {r.verdict for r in urls.judged(page("http://x.org/a", "http://x.org/b")).collect()} == {"allow"}
+    assert {r.verdict for r in urls.judged(page("http://x.org/es/1", "http://x.org/b")).collect()} == {"block"}
+    assert {r.verdict for r in urls.judged(page("http://example.com/en/7", "http://x.org/b")).collect()} == {"allow"}
+
+
 def test_trees_learn_and_read_alike(spark):
     r = np.random.default_rng(6)
     x = r.integers(0, 20, (800, 3)).astype(float)
