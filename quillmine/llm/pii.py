@@ -1,15 +1,18 @@
 """Personal data: fixed patterns first, then candidate spans judged by boosted trees.
 
 Four kinds have patterns whose matches always count. High-recall generators propose more spans, which may overlap: looser
-spellings of addresses and runs of digits with any of the usual separators. Boosted trees judge them by format and by
-context; they are trained on spans of a bounded sample of texts that the patterns decide, and on those spans rewritten in
-looser spellings, beside runs of digits that the patterns refuse. The threshold is calibrated on rows left out of training.
+spellings of addresses, and every stretch of groups of digits that could be a number. Boosted trees judge them by format and
+by context; they are trained on spans of a bounded sample of texts that the patterns decide, and on those spans rewritten
+in looser spellings, beside stretches of digits that the patterns refuse. Each kind's threshold is calibrated on texts left
+out of training.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +26,10 @@ from quillmine.llm.common import bounded_sample, give_back_memory, row_columns,
 KINDS = ("email", "ip", "card", "phone")
 #: Texts that the trees learn from at most, and candidates taken from them at most.
 SAMPLE_TEXTS, SAMPLE_SPANS = 5000, 20_000
-PRECISION = 0.995
+PRECISION, FOLDS = 0.995, 4
 TREES, DEPTH = 40, 3
+#: Candidates whose features are held at once.
+AT_ONCE = 1 << 14
 
 _DIGIT = re.compile("[0-9]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -88,7 +93,39 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
 
 
 _LOOSE_AT = re.compile(r" ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]+(?:(?:\.| ?(?:\(dot\)|\[dot\]|\{dot\}) ?| dot )[A-Za-z0-9-]+)+| at [A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+|＠[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", re.I)
-_DIGITS = re.compile(r"(?<![0-9])[0-9][0-9\x20().\-/ ‐-–]{5,48}[0-9]")
+_RUN = re.compile(r"[0-9]+(?:[\x20().\-/‐-–]{1,3}[0-9]+)*")
+_GROUP = re.compile("[0-9]+")
+#: Digits that a number has at most, and code points that it takes at most: a run is read from each of its groups up to these.
+MOST_DIGITS, MOST_LENGTH = 19, 48
+
+
+def number_candidates(text: str) -> list[tuple[str, int, int]]:
+    """From each run of groups of digits all stretches of whole groups that could be a number of some kind: so of two numbers
+    side by side each is proposed, and so is what stands beside a pattern's span."""
+    found = []
+    for run in _RUN.finditer(text):
+        if run.end() - run.start() < 7:
+            continue
+        groups = [m.span() for m in _GROUP.finditer(text, run.start(), run.end())]
+        for k, (start, _) in enumerate(groups):
+            signed = start
+            for shift in (1, 2):  # an opening bracket or plus sign belongs to the number
+                if start >= shift and text[start - shift : start] in ("+", "(", "+("):
+                    signed = start - shift
+                    break
+            n = 0
+            for j in range(k, len(groups)):
+                end = groups[j][1]
+                n += end - groups[j][0]
+                if n > MOST_DIGITS or end - start > MOST_LENGTH:
+                    break
+                if 9 <= n <= 15 or 7 <= n <= 8 and signed < start:
+                    found.append(("phone", signed, end))
+                if 13 <= n:
+                    found.append(("card", start, end))
+                if j - k == 3 and text.count(".", start, end) == 3:
+                    found.append(("ip", start, end))
+    return found
 
 
 def candidates(text: str | None) -> list[tuple[str, int, int]]:
@@ -96,7 +133,7 @@ def candidates(text: str | None) -> list[tuple[str, int, int]]:
     if not text:
         return []
     found = []
-    if "at" in text or "AT" in text or "＠" in text:
+    if "at" in text or "AT" in text or "At" in text or "aT" in text or "＠" in text:
         for m in _LOOSE_AT.finditer(text):
             start = m.start()
             while start > 0 and text[start - 1] in _LOCAL and m.start() - start < 64:
@@ -104,19 +141,7 @@ def candidates(text: str | None) -> list[tuple[str, int, int]]:
             if start < m.start():
                 found.append(("email", start, m.end()))
     if _DIGIT.search(text):
-        for m in _DIGITS.finditer(text):
-            start, end = m.span()
-            for shift in (1, 2):  # an opening bracket or plus sign belongs to the number
-                if start >= shift and text[start - shift : start] in ("+", "(", "+("):
-                    start -= shift
-                    break
-            n = sum(c.isdigit() for c in text[start:end])
-            if 9 <= n <= 15 or 7 <= n <= 8 and text[start] in "+(":
-                found.append(("phone", start, end))
-            if 13 <= n <= 19:
-                found.append(("card", start, end))
-            if text.count(".", start, end) == 3:
-                found.append(("ip", start, end))
+        found += number_candidates(text)
     return found
 
 
@@ -165,59 +190,96 @@ def loosened(text: str, kind: str, start: int, end: int, luck: int) -> list[tupl
 
 
 class Model:
-    def __init__(self, forest: boosting.Forest, threshold: float):
-        self.forest, self.threshold = forest, threshold
+    """Trees, and of each kind the least probability that selects a span (above 1: none is)."""
+
+    def __init__(self, forest: boosting.Forest, thresholds: dict[str, float]):
+        self.forest, self.thresholds = forest, thresholds
 
     def spans(self, text: str | None) -> list[tuple[str, int, int]]:
-        """The patterns' spans, and the candidates that the trees accept and no other span overlaps, best first."""
+        """The patterns' spans, and the candidates that the trees accept and no other span overlaps, best first, of equal
+        ones the longest."""
         base = base_spans(text)
         kept = list(base)
-        proposed = [c for c in candidates(text) if not any(a < c[2] and c[1] < b for _, a, b in base)]
-        if proposed and self.threshold <= 1:
-            p = self.forest.probability(np.array([features(text, *c) for c in proposed], np.float64))
-            for k in np.argsort(-p, kind="stable"):
-                kind, start, end = proposed[k]
-                if p[k] >= self.threshold and not any(a < end and start < b for _, a, b in kept):
+        taken = sorted((a, b) for _, a, b in base)
+        proposed = [c for c in candidates(text) if self.thresholds.get(c[0], 2.0) <= 1 and not overlaps(taken, c)]
+        if proposed:
+            p = np.concatenate([self.forest.probability(np.array([features(text, *c) for c in proposed[at : at + AT_ONCE]], np.float64)) for at in range(0, len(proposed), AT_ONCE)])
+            least = np.array([self.thresholds[kind] for kind, *_ in proposed])
+            length = np.array([b - a for _, a, b in proposed])
+            for k in np.lexsort((-length, -p)):
+                if p[k] >= least[k] and not overlaps(taken, proposed[k]):
                     kept.append(proposed[k])
+                    insort(taken, proposed[k][1:])
         return sorted(kept, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
-def examples(text: str, luck: int) -> list[tuple[list[float], int]]:
-    """Labelled candidates of one text: what a pattern takes is personal data and so is its looser spelling; numbers that
-    the patterns of their kind refuse are not."""
+def overlaps(taken: list[tuple[int, int]], span: tuple[str, int, int]) -> bool:
+    """taken: in order of starts. Patterns of two kinds may overlap each other, so a few before the place are looked at."""
+    _, start, end = span
+    at = bisect_left(taken, (end, 0))
+    return any(b > start for _, b in taken[max(0, at - 4) : at])
+
+
+def examples(text: str, luck: int) -> list[tuple[str, list[float], int, bool]]:
+    """Labelled candidates of one text, as (kind, features, label, whether it is a looser one): what a pattern takes is personal
+    data and so is its looser spelling; what the patterns refuse is not, unless a word before it hints at its kind: that is
+    left out, as nothing decides it."""
     base = base_spans(text)
-    taken = {(kind, a, b) for kind, a, b in base}
+    taken = sorted((a, b) for _, a, b in base)
     out = []
     for kind, start, end in base:
         for around, k, a, b in loosened(text, kind, start, end, luck):
-            out.append((features(around, k, a, b), 1))
-        out.append((features(text, kind, start, end), 1))
-    for kind, start, end in candidates(text):
-        if (kind, start, end) not in taken and not any(a < end and start < b for _, a, b in base):
-            out.append((features(text, kind, start, end), 0))
+            out.append((k, features(around, k, a, b), 1, True))
+            # parts of a number are not the number
+            out += [(k2, features(around, k2, a2, b2), 0, True) for k2, a2, b2 in candidates(around) if (k2, a2, b2) != (k, a, b) and a <= a2 and b2 <= b]
+        out.append((kind, features(text, kind, start, end), 1, False))
+    hinted = FEATURES.index("hint_before")
+    for c in candidates(text):
+        if not overlaps(taken, c):
+            x = features(text, *c)
+            if not x[hinted]:
+                out.append((c[0], x, 0, True))
     return out
 
 
-def train(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Model:
-    """From at most sample_texts texts, taken by a hash. Their candidates' features come to the driver."""
+def example_rows(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, sample_spans: int = SAMPLE_SPANS) -> DataFrame:
+    """kind, x, y, loose, fold of at most sample_spans candidates, taken by a hash, from at most sample_texts texts, taken by a
+    hash. fold follows the text: what is learned from one is never measured on it."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = bounded_sample(texts, sample_texts, "pii", F.col("doc_id"))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [e for text in batch["text"] if text for e in examples(text, len(text))]
-            if found:  # an empty column would have no type that Arrow takes for lists
-                yield pd.DataFrame({"x": [x for x, _ in found], "y": [y for _, y in found]})
-
-    got = [(tuple(r.x), r.y) for r in sample.mapInPandas(rows, "x array<double>, y int").limit(SAMPLE_SPANS).toLocalIterator()]
-    got.sort()
-    if not got:
-        return Model(boosting.Forest(0.0), 1.1)
-    x, y = np.array([v for v, _ in got]), np.array([v for _, v in got], np.float64)
-    left_out = np.arange(len(y)) % 4 == 0
-    forest = boosting.train(x[~left_out], y[~left_out], TREES, DEPTH)
-    p = forest.probability(x[left_out])
-    return Model(forest, max(0.5, boosting.cut_for_precision(p, y[left_out], PRECISION)) if len(p) else 1.1)
+            for text in batch["text"]:
+                found = examples(text, len(text)) if text else []
+                if found:  # an empty column would have no type that Arrow takes for lists
+                    kinds, x, y, loose = zip(*found)
+                    yield pd.DataFrame({"kind": kinds, "x": x, "y": y, "loose": loose, "fold": zlib.crc32(text.encode("utf-8", "surrogatepass")) % FOLDS})
+
+    found = sample.mapInPandas(rows, "kind string, x array<double>, y int, loose boolean, fold int")
+    return found.orderBy(F.xxhash64("x", "y"), "kind", "y", "fold").limit(sample_spans)
+
+
+def fit(rows: list[tuple[str, tuple[float, ...], int, bool, int]], left_out: int = 0, precision: float = PRECISION) -> Model:
+    """rows: (kind, features, label, loose, fold). Trees from the folds but one; each kind's threshold from that one's looser
+    spans: the least that keeps the precision."""
+    rows = sorted(rows)
+    if not rows:
+        return Model(boosting.Forest(0.0), {})
+    kinds, loose, folds = np.array([r[0] for r in rows]), np.array([r[3] for r in rows]), np.array([r[4] for r in rows])
+    x, y = np.array([r[1] for r in rows]), np.array([r[2] for r in rows], np.float64)
+    forest = boosting.train(x[folds != left_out], y[folds != left_out], TREES, DEPTH)
+    thresholds = {}
+    for kind in KINDS:
+        of = (folds == left_out) & (kinds == kind) & loose
+        if y[of].any():
+            thresholds[kind] = max(0.5, boosting.cut_for_precision(forest.probability(x[of]), y[of], precision))
+    return Model(forest, thresholds)
+
+
+def train(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Model:
+    """From a bounded sample of candidates' features, which come to the driver."""
+    return fit([(r.kind, tuple(r.x), r.y, r.loose, r.fold) for r in example_rows(docs, sample_texts).toLocalIterator()])
 
 
 def span_text(spans: list[tuple[str, int, int]]) -> str:

@@ -210,6 +210,69 @@ def test_looser_spellings_are_found_and_clean_text_is_left(spark):
     assert added <= 0.05 * sum(len(r.spans) for r in rows)
 
 
+def plain_numbers(text):
+    groups = [m.span() for m in re.finditer("[0-9]+", text)]
+    found = set()
+    for i in range(len(groups)):
+        start = groups[i][0]
+        signed = start - 1 if text[max(0, start - 1) : start] in ("+", "(") else start - 2 if text[max(0, start - 2) : start] == "+(" else start
+        for j in range(i, len(groups)):
+            between = [text[groups[k][1] : groups[k + 1][0]] for k in range(i, j)]
+            end, n = groups[j][1], sum(b - a for a, b in groups[i : j + 1])
+            if n > 19 or end - start > 48 or not all(re.fullmatch(r"[\x20().\-/‐-–]{1,3}", x) for x in between):
+                break
+            if 9 <= n <= 15 or n in (7, 8) and signed < start:
+                found.add(("phone", signed, end))
+            if n >= 13:
+                found.add(("card", start, end))
+            if j - i == 3 and text[start:end].count(".") == 3:
+                found.add(("ip", start, end))
+    return found
+
+
+def test_candidates_by_plain_code():
+    r = np.random.default_rng(12)
+    texts = ["030 1234567 040 7654321", "(030) 1234-567 / 12.05.2024", "+(1) 23 45 67 89", "1.2.3.4.5 6", "a4111–1111/1111.1111b"]
+    texts += ["".join(r.choice(list("0123456 .-(+/x"), r.integers(5, 90))) for _ in range(300)]
+    for text in texts:
+        got = [c for c in pii.number_candidates(text)]
+        assert len(got) == len(set(got)) and set(got) == {c for c in plain_numbers(text) if any(m.end() - m.start() >= 7 and m.start() <= c[2] - 1 < m.end() for m in pii._RUN.finditer(text))}
+
+
+def test_spans_of_the_query_by_plain_choice(spark, tmp_path):
+    """Loose spans planted in a table come out of the query, which takes each text's best candidates that overlap nothing."""
+    from quillmine.llm import queries
+
+    docs = documents(spark, BIG)
+    planted = {10_000_001: "please write to jane.doe (at) example (dot) com before noon", 10_000_002: "mail bob[at]mail[dot]example[dot]org today", 10_000_003: "the card 4845/1681/1440/7329 was used"}
+    extra = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in planted.items()], docs.select("doc_id", "text", "lang", "source", "n_chars").schema)
+    docs.unionByName(extra).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.spans for r in queries.op7_personal_data(spark, str(tmp_path)).collect()}
+    for k, t in planted.items():
+        kind, a, b = got[k].split(":")
+        assert (kind, t[int(a) : int(b)]) in {("email", "jane.doe (at) example (dot) com"), ("email", "bob[at]mail[dot]example[dot]org"), ("card", "4845/1681/1440/7329")}
+    model = pii.train(spark.read.parquet(str(tmp_path / "documents.parquet")))
+    for doc_id, text in [*planted.items(), *((r.doc_id, r.text) for r in docs.limit(300).collect())]:
+        kept = plain_spans(text or "")
+        scored = sorted(((-model.forest.probability(np.array([pii.features(text, *c)]))[0], a - b, k, (kind, a, b)) for k, c in enumerate(pii.candidates(text)) for kind, a, b in [c]), key=lambda x: x[:3])
+        for p, _, _, (kind, a, b) in scored:
+            if -p >= model.thresholds.get(kind, 2) and not any(x < b and a < y for _, x, y in kept):
+                kept.append((kind, a, b))
+        assert got[doc_id] == ",".join(f"{kind}:{a}:{b}" for kind, a, b in sorted(kept, key=lambda s: (pii.KINDS.index(s[0]), s[1], s[2])))
+
+
+def test_loose_spans_of_unseen_texts_are_recalled(spark):
+    """By kind, on texts that neither trees nor thresholds have seen."""
+    docs = documents(spark, "/root/testdata/sf0.1")
+    model = pii.train(docs.where("doc_id % 2 = 0"))
+    hits = collections.defaultdict(list)
+    for r in docs.where("doc_id % 2 = 1 and text rlike '[0-9@]'").select("text").collect():
+        for kind, a, b in pii.base_spans(r.text):
+            for around, k, x, y in pii.loosened(r.text, kind, a, b, len(r.text)):
+                hits[k].append((k, x, y) in model.spans(around))
+    assert all(sum(v) >= 0.85 * len(v) for v in hits.values()) and set(hits) == {"email", "card", "phone"}, {k: (sum(v), len(v)) for k, v in hits.items()}
+
+
 def test_redaction(spark):
     out = pii.without_personal_data(odd_documents(spark).union(spark.createDataFrame([(99, "é x@y.zz 1.2.3.4!", None, None, 5, *[None] * 9)], odd_documents(spark).schema)))
     assert out.columns == odd_documents(spark).columns

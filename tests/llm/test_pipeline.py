@@ -96,5 +96,5 @@ def test_odd_and_empty_tables_pass_through(spark, sf):
 
 
 def test_personal_data_model_is_reused(spark, sf):
-    model = pii.Model(pii.boosting.Forest(0.0), 1.1)
+    model = pii.Model(pii.boosting.Forest(0.0), {})
     assert pii.personal_data(documents(spark, sf), model).count() == documents(spark, sf).count()
