@@ -108,7 +108,8 @@ def similar_links(sets: list[np.ndarray], prints: np.ndarray, split: int | None,
 
 
 def text_links(members: DataFrame, width: int, similarity: float, radius: int) -> DataFrame:
-    """members: root, copy (the text's digest), text, one row per copy. Links (node, other) between copies of one root."""
+    """members: centre, copy (the text's digest), text, one row per copy and centre. Links (node, other) between copies of one
+    centre."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names: list[str] = []
@@ -123,11 +124,11 @@ def text_links(members: DataFrame, width: int, similarity: float, radius: int) -
             return pd.DataFrame({"node": [names[i] for i, _ in found], "other": [names[j] for _, j in found]}, columns=["node", "other"], dtype="object")
 
         for batch in batches:
-            for root, low, high, side, copy, text in zip(batch["root"], batch["low"], batch["high"], batch["side"], batch["copy"], batch["text"]):
-                if (root, low, high) != group:
+            for centre, low, high, side, copy, text in zip(batch["centre"], batch["low"], batch["high"], batch["side"], batch["copy"], batch["text"]):
+                if (centre, low, high) != group:
                     if len(names) > 1:
                         yield settle()
-                    names, sets, prints, sides, group = [], [], [], [], (root, low, high)
+                    names, sets, prints, sides, group = [], [], [], [], (centre, low, high)
                 hashes = shingle_hashes(text, width)
                 names.append(copy)
                 sides.append(side)
@@ -138,9 +139,9 @@ def text_links(members: DataFrame, width: int, similarity: float, radius: int) -
         names, sets = [], []
         give_back_memory()
 
-    sizes = members.groupBy("root").agg(F.greatest(F.count(F.lit(1)) / TEXTS, F.sum(F.octet_length("text")) / TEXT_BYTES).alias("size"))
-    chunks = sizes.select("root", F.when(F.col("size") <= 1, 1).otherwise(F.ceil(2 * F.col("size"))).cast("int").alias("chunks"))
-    rows = dealt(members.join(chunks, "root"), ["root"], F.xxhash64("copy"), F.col("chunks")).select("root", "low", "high", "side", "copy", "text")
+    sizes = members.groupBy("centre").agg(F.greatest(F.count(F.lit(1)) / TEXTS, F.sum(F.octet_length("text")) / TEXT_BYTES).alias("size"))
+    chunks = sizes.select("centre", F.when(F.col("size") <= 1, 1).otherwise(F.ceil(2 * F.col("size"))).cast("int").alias("chunks"))
+    rows = dealt(members.join(chunks, "centre"), ["centre"], F.xxhash64("copy"), F.col("chunks")).select("centre", "low", "high", "side", "copy", "text")
     return rows.mapInPandas(compare, "node string, other string").dropDuplicates()
 
 
@@ -157,42 +158,33 @@ def _keys(doc_id: Column, text: Column) -> list[Column]:
     return [F.coalesce(number, F.lit(0).cast("long")).alias("id_key"), number.isNull().alias("no_id"), F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")).alias("copy")]
 
 
-def classes(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
-    """(rows, texts). rows: no_id, id_key, copy of each row; texts: for each different text its copy, first (the smallest id
-    that has it) and class (the least copy that links reach)."""
-    rows = stored(docs.select(*_keys(F.col("doc_id"), F.col("text")), sketch_column(F.col("text").cast("string"), width).alias("sketch")), "sketches")
-    # one row per text: a large group of exact copies is one node
-    texts = rows.groupBy("copy").agg(F.min(F.struct("no_id", "id_key")).alias("first"), F.first("sketch").alias("sketch"))
-    # the number only leads to candidates; two texts that share it by chance are told apart by their shingles
-    texts = stored(texts.select("copy", F.conv(F.substring("copy", 1, 16), 16, -10).cast("long").alias("node"), "first", "sketch.fingerprint", "sketch.bands"), "texts")
-    found = components(bucket_links(texts.select("node", "fingerprint", F.explode("bands").alias("key")), radius, joined=False))
-    found = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
-    members = stored(texts.join(found, "node").select("copy", "first.*", "root"), "members")
-    # a text comes from the first row that has it; repeated rows give it once
-    wanted = docs.select(*_keys(F.col("doc_id"), F.col("text")), F.col("text").cast("string").alias("text")).join(members, ["no_id", "id_key", "copy"])
-    wanted = wanted.groupBy("copy").agg(F.first("root").alias("root"), F.first("text").alias("text"))
-    linked = components(text_links(stored(wanted, "candidates"), width, similarity, radius))
-    named = texts.join(linked.withColumnRenamed("node", "copy"), "copy", "left").select("copy", "first", F.coalesce("root", "copy").alias("class"))
-    return rows.select("no_id", "id_key", "copy"), named
-
-
 def deduplicated(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """docs with one document of each class of near copies: the one with the smallest doc_id (null last), and of equal ids
     that with the least digest of its text.
 
     Texts without words (null, empty) are copies of each other; a text of fewer words than a shingle is like those with the
     same words only; of rows with one id and text one stays; an empty table gives no rows; other columns may have any names
-    and are kept. docs is read three times: store it first if it is dear to compute.
+    and are kept. docs is read twice: store it first if it is dear to compute.
     """
     columns, keys = docs.columns, ["no_id", "id_key", "copy"]
-    rows, texts = classes(docs, width, similarity, radius)
-    kept = texts.groupBy("class").agg(F.min(F.struct("first.no_id", "first.id_key", "copy")).alias("first")).select("first.*")
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).join(kept.withColumn("kept", F.lit(True)), keys, "left")
-    counted = stored(counted.where("kept is null or n > 1"), "decisions")
-    # stored, so that the planner knows their size: where it is small, no text is shuffled
-    left = docs.select(row_struct(columns), *_keys(F.col("doc_id"), F.col("text"))).join(counted.where("kept is null").select(*keys), keys, "left_anti")
-    repeated = counted.where("kept").select(*keys)
-    if repeated.isEmpty():
-        return left.select(*row_columns(columns))
-    once = left.join(repeated, keys, "left_anti").select("row")
-    return once.unionByName(left.join(repeated, keys, "left_semi").groupBy(*keys).agg(F.first("row").alias("row")).select("row")).select(*row_columns(columns))
+    known_by = _keys(F.col("doc_id"), F.col("text"))
+    rows = stored(docs.select(*known_by, sketch_column(F.col("text").cast("string"), width).alias("sketch")), "sketches")
+    # one row per text: a large group of exact copies is one node
+    texts = rows.groupBy("copy").agg(F.min(F.struct("no_id", "id_key")).alias("first"), F.first("sketch").alias("sketch"))
+    # the number only leads to candidates; two texts that share it by chance are told apart by their shingles
+    texts = stored(texts.select("copy", F.conv(F.substring("copy", 1, 16), 16, -10).cast("long").alias("node"), "first", "sketch.fingerprint", "sketch.bands"), "texts")
+    # two similar texts that share a bucket are linked to the same least node there, or one of them is that node
+    found = stored(bucket_links(texts.select("node", "fingerprint", F.explode("bands").alias("key")), radius, joined=False), "candidate-links")
+    pairs = found.select("node", F.col("other").alias("centre")).unionByName(found.select(F.col("other").alias("node"), F.col("other").alias("centre")).distinct())
+    members = stored(texts.select("copy", "node").join(pairs, "node").select("copy", "centre"), "members")
+    firsts = texts.select("first.*", "copy").join(members.select("copy").distinct().withColumn("candidate", F.lit(True)), "copy", "left").withColumn("candidate", F.coalesce("candidate", F.lit(False)))
+    # the texts move once, whatever the tables' sizes; rows that are not the first of their text go
+    first_rows = stored(docs.select(row_struct(columns), *known_by).join(firsts.hint("merge"), keys), "first-rows")
+    if first_rows.count() > texts.count():  # rows of one id and text
+        first_rows = stored(first_rows.groupBy(*keys, "candidate").agg(F.first("row").alias("row")), "first-rows")
+    candidates = first_rows.where("candidate").select("copy", F.col("row").getField("text").cast("string").alias("text"))
+    linked = components(text_links(stored(candidates.join(members, "copy"), "candidates"), width, similarity, radius))
+    classes = firsts.where("candidate").join(linked.withColumnRenamed("node", "copy"), "copy", "left").withColumn("class", F.coalesce("root", "copy"))
+    kept = classes.groupBy("class").agg(F.min(F.struct("no_id", "id_key", "copy")).alias("first")).select("first.copy")
+    alone = first_rows.where("not candidate").select("row")
+    return alone.unionByName(first_rows.where("candidate").join(kept, "copy").select("row")).select(*row_columns(columns))

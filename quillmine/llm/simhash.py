@@ -25,6 +25,8 @@ from quillmine.llm.common import give_back_memory, remove, stored, stored_at
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Fingerprints that are compared at once, and the size from which a bucket is cut into chunks.
 BLOCK = 1024
+#: Rows of small groups that are compared together.
+TOGETHER = 256
 #: Rows of one fingerprint that are joined in one slice.
 HOT = 1 << 16
 #: Planes between two looks at whether a block can be abandoned.
@@ -140,22 +142,29 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def block_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """left, right: columns node and fingerprint. (node, least node linked to it within this block) for all but the least."""
+def block_links(left: np.ndarray, right: np.ndarray | None, radius: int, groups: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """left, right: columns node and fingerprint. (node, least node linked to it within this block) for all but the least.
+    groups: a number for each row of left; only rows of one group are linked."""
     rows = left if right is None else np.concatenate([left, right])
     prints = np.ascontiguousarray(rows[:, 1]).view(np.uint64)
     a, b = near_pairs(prints[: len(left)], prints if right is None else prints[len(left) :], radius)
     b = b if right is None else b + len(left)
-    nodes = rows[:, 0]
+    if groups is not None:
+        same = groups[a] == groups[b]
+        a, b = a[same], b[same]
+    if groups is None:
+        nodes, rank = np.unique(rows[:, 0], return_inverse=True)
+        label = nodes
+    else:  # a node has a place in each of its groups
+        order = np.lexsort((rows[:, 0], groups))
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        label = rows[order, 0]
     if not len(a):
-        return nodes[:0], nodes[:0]
-    order = np.argsort(nodes, kind="stable")
-    rank = np.empty_like(order)
-    rank[order] = np.arange(len(order))
-    root = spanning(len(nodes), rank[a], rank[b])
-    node = nodes[order]
-    moved = node != node[root]
-    return node[moved], node[root[moved]]
+        return label[:0], label[:0]
+    root = spanning(len(label), rank[a], rank[b])
+    moved = label != label[root]
+    return label[moved], label[root[moved]]
 
 
 def schemes(radius: int = RADIUS) -> list[tuple[list[tuple[int, int]], int]]:
@@ -215,22 +224,24 @@ def block_compare(radius: int, joined: bool):
             side = rows[:, 5] == 1
             if side.any():
                 yield out(*block_links(rows[~side, :2], rows[side, :2], radius))
-            elif not joined:
+            elif len(rows) >= TOGETHER:
                 yield out(*block_links(rows[:, :2], None, radius))
             else:
                 held.append(rows[:, :2])
                 count += len(rows)
-                if count >= BLOCK:
+                if count >= TOGETHER:
                     yield from settle()
 
         def settle() -> Iterator[pd.DataFrame]:
-            """A link between two small groups is a true one as well."""
+            """Small groups are compared together. Where only fingerprints are compared, a link between two groups is a true one
+            as well."""
             nonlocal count
-            if held:
-                values = np.unique(np.concatenate(held), axis=0)
-                held.clear()
-                count = 0
-                yield out(*block_links(values, None, radius))
+            if held and joined:
+                yield out(*block_links(np.unique(np.concatenate(held), axis=0), None, radius))
+            elif held:
+                yield out(*block_links(np.concatenate(held), None, radius, np.repeat(np.arange(len(held)), [len(x) for x in held])))
+            held.clear()
+            count = 0
 
         last = np.empty((0, 6), np.int64)
         for batch in batches:
