@@ -47,13 +47,35 @@ def grounding_error(quote: Column, source: Column) -> Column:
     return bound({"q": T.one_line(F.coalesce(quote, F.lit(""))), "s": T.one_line(F.coalesce(source, F.lit("")))}, judge)
 
 
-def checked_observations(observations: DataFrame, paragraphs: DataFrame, has_content: Column) -> DataFrame:
-    """Observations (document_id, paragraph_index, source_quote, ...) with verdict: kept, dropped (no content), or
-    the error. paragraphs: document_id, paragraph_index, text."""
-    joined = observations.join(paragraphs.select("document_id", "paragraph_index", F.col("text").alias("_source")), ["document_id", "paragraph_index"], "left")
-    error = grounding_error(F.col("source_quote"), F.col("_source"))
-    verdict = F.when(~has_content, F.lit("dropped")).when(F.col("_source").isNull(), F.lit("unknown paragraph")).otherwise(F.coalesce(error, F.lit("kept")))
-    return joined.withColumn("verdict", verdict).drop("_source")
+def nested_error(citations: Column, outer: Column, targets: Column, texts: Column) -> Column:
+    """What is wrong with the first nested record that is not grounded, else null. citations: as nested.citations gives
+    them; targets, texts: the batch's paragraph numbers and their texts.
+
+    Each must name a target. One that names another paragraph than the outer record needs a quote of its own; a quote must
+    stand in the paragraph that the record names."""
+
+    def judge(x):
+        index, quote = x["paragraph_index"], x["source_quote"]
+        text = F.get(texts, F.coalesce(F.array_position(targets, index).cast("int"), F.lit(0)) - 1)
+        blank = F.coalesce(T.strip(quote), F.lit("")) == ""
+        wrong = (
+            F.when(text.isNull(), F.lit("paragraph_index must name a target"))
+            .when(blank & (index != outer), F.lit("source_quote is required for another paragraph"))
+            .when(~blank, grounding_error(quote, text))
+        )
+        return F.concat(x["path"], F.lit(": "), wrong)
+
+    return F.get(F.filter(F.transform(citations, judge), lambda e: e.isNotNull()), F.lit(0))
+
+
+def checked_observations(observations: DataFrame, has_content: Column, citations: Column) -> DataFrame:
+    """Observations (paragraph_index, source_quote, targets, texts, ...) with verdict: kept, dropped (no content),
+    or the error of the outer or else of the first nested record. targets, texts: numbers and texts of the paragraphs that
+    the call was about."""
+    source = F.get(F.col("texts"), F.coalesce(F.array_position("targets", F.col("paragraph_index")).cast("int"), F.lit(0)) - 1)
+    error = F.coalesce(grounding_error(F.col("source_quote"), source), nested_error(citations, F.col("paragraph_index"), F.col("targets"), F.col("texts")))
+    verdict = F.when(~has_content, F.lit("dropped")).when(source.isNull(), F.lit("unknown paragraph")).otherwise(F.coalesce(error, F.lit("kept")))
+    return observations.withColumn("verdict", verdict)
 
 
 def foreign_indexes(indexes: Column, observed: Column) -> Column:

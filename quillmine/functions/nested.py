@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 from typing import Any
 
 import pandas as pd
@@ -71,9 +72,10 @@ def json_body(answer: Column) -> Column:
     return F.when(bare.rlike(r"(?is)\A```(?:json)?\s*.*?\s*```\z"), fenced).otherwise(bare)
 
 
-def parsed_object(answer: Column, schema: str) -> Column:
-    """struct(value, error): the object under the schema, or why there is none."""
-    body = json_body(answer)
+def parsed_object(answer: Column, schema: str, repair: Callable[[str], str | None] | None = None) -> Column:
+    """struct(value, error): the object under the schema, or why there is none. A broken text that ends as an object does
+    goes through repair first (repair_object if none is given); one that is cut off is never mended."""
+    body = repaired(json_body(answer), repair or repair_object)
     value = F.from_json(body, schema, {"mode": "PERMISSIVE"})
     # one value and nothing behind it
     alone = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))).cast("array<variant>")
@@ -259,6 +261,54 @@ def paragraph_indexes(value: Column, kind: S.StructType) -> Column:
     return F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull())))
 
 
+CITATION = "array<struct<path:string,paragraph_index:int,source_quote:string>>"
+
+
+def citations(value: Column, kind: S.DataType, path: Column) -> Column:
+    """Every record with a paragraph_index at any depth of a value, in the order of the schema, with its path and quote
+    (null where the record has no such field)."""
+    none = F.array().cast(CITATION)
+
+    def walk(value: Column, kind: S.DataType, path: Column) -> Column:
+        if isinstance(kind, S.StructType):
+            parts = []
+            if "paragraph_index" in kind.names:
+                quote = value["source_quote"].cast("string") if "source_quote" in kind.names else F.lit(None).cast("string")
+                parts.append(F.array(F.struct(path.alias("path"), value["paragraph_index"].cast("int").alias("paragraph_index"), quote.alias("source_quote"))))
+            parts += [walk(value[f.name], f.dataType, F.concat(path, F.lit(f".{f.name}"))) for f in kind if isinstance(f.dataType, (S.StructType, S.ArrayType))]
+            return F.when(value.isNotNull(), F.concat(none, *parts)).otherwise(none)
+        if isinstance(kind, S.ArrayType) and isinstance(kind.elementType, (S.StructType, S.ArrayType)):
+            items = F.transform(value, lambda x, i: walk(x, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
+            return F.coalesce(F.flatten(items), none)
+        return none
+
+    return walk(value, kind, path)
+
+
+def at_path(value: Column, kind: S.DataType, path: str) -> tuple[Column, S.DataType]:
+    """The field at a dotted path of a struct, and its type; null where a parent is null. An unknown name is an error."""
+    for name in path.split("."):
+        if not isinstance(kind, S.StructType) or name not in kind.names:
+            raise KeyError(f"no field {name!r} on the way to {path!r}")
+        value, kind = value[name], kind[name].dataType
+    return value, kind
+
+
+def has_equal(value: Column, kind: S.DataType, field: str, wanted: Column) -> Column:
+    """Whether some field of that name at any depth equals the wanted text."""
+    if isinstance(kind, S.StructType):
+        hit = F.lit(False)
+        for f in kind:
+            if f.name == field and not isinstance(f.dataType, (S.StructType, S.ArrayType, S.MapType)):
+                hit = hit | F.coalesce(value[f.name].cast("string") == wanted, F.lit(False))
+            else:
+                hit = hit | has_equal(value[f.name], f.dataType, field, wanted)
+        return F.coalesce(value.isNotNull() & hit, F.lit(False))
+    if isinstance(kind, S.ArrayType) and isinstance(kind.elementType, (S.StructType, S.ArrayType)):
+        return F.coalesce(F.exists(value, lambda x: has_equal(x, kind.elementType, field, wanted)), F.lit(False))
+    return F.lit(False)
+
+
 # ---- validation of JSON text against a schema
 
 

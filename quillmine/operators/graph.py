@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmine.sources.shared import stored
+
 
 def simple_edges(edges: DataFrame) -> DataFrame:
     """Each undirected edge once, src < dst, no loops."""
@@ -43,36 +45,40 @@ def clustering(edges: DataFrame) -> DataFrame:
     return joined.withColumn("coefficient", F.when(F.col("degree") < 2, 0.0).otherwise(2 * F.col("triangles") / F.nullif(pairs, F.lit(0).cast("long"))))
 
 
-def pagerank_step(edges: DataFrame, ranks: DataFrame, damping: float) -> DataFrame:
-    """Node, rank after one step from ranks (node, rank): damping x neighbours' rank over their degree + (1 - damping) / N."""
-    d = degrees(edges)
-    n = ranks.count()
-    given = both_ways(edges).join(d, F.col("src") == F.col("node")).drop("node").join(ranks, F.col("src") == F.col("node")).groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("rank") / F.col("degree")).alias("given"))
+def pagerank_step(edges: DataFrame, ranks: DataFrame, damping: float, n: int | None = None) -> DataFrame:
+    """Node, rank after one step from ranks (node, rank): damping x neighbours' rank over their degree + (1 - damping) / N.
+    n: the number of nodes, if known."""
+    links = both_ways(edges)
+    n = ranks.count() if n is None else n
+    own = ranks.join(links.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("degree")), "node")
+    given = links.join(own, F.col("src") == F.col("node")).groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("rank") / F.col("degree")).alias("given"))
     return ranks.select("node").join(given, "node", "left").select("node", (F.coalesce("given", F.lit(0.0)) * damping + (1 - damping) / n).alias("rank"))
 
 
 def pagerank(edges: DataFrame, damping: float = 0.8, steps: int = 1) -> DataFrame:
-    """`steps` of G3 from equal ranks."""
-    nodes = degrees(edges).select("node")
-    n = nodes.count()
-    ranks = nodes.withColumn("rank", F.lit(1.0 / n if n else 0.0))
+    """`steps` of G3 from equal ranks. Edges and nodes are worked out once."""
+    edges = stored(simple_edges(edges), "edges")
+    ranks = stored(degrees(edges).select("node"), "nodes")
+    n = ranks.count()
+    ranks = ranks.withColumn("rank", F.lit(1.0 / n if n else 0.0))
     for k in range(steps):
-        ranks = pagerank_step(edges, ranks, damping)
-        if k % 4 == 3:
-            ranks = ranks.checkpoint()
+        ranks = pagerank_step(edges, ranks, damping, n)
+        if k < steps - 1:
+            ranks = stored(ranks, "ranks")
     return ranks
 
 
-def distances(edges: DataFrame, sources: DataFrame, most_steps: int = 64) -> DataFrame:
-    """source, node, distance by breadth-first joins: each step joins only the last step's nodes."""
-    links = both_ways(edges)
-    found = sources.select(F.col("node").alias("source"), "node", F.lit(0).alias("distance"))
-    edge_of = found
-    for step in range(1, most_steps + 1):
+def distances(edges: DataFrame, sources: DataFrame) -> DataFrame:
+    """source, node, distance by breadth-first joins until no new node is reached: each step joins only the last step's nodes.
+    The result has a row for each source and node that it reaches, so this is for small graphs or few sources."""
+    links = stored(both_ways(edges), "links")
+    edge_of = stored(sources.select(F.col("node").alias("source"), "node", F.lit(0).alias("distance")), "distances")
+    found, step = edge_of, 0
+    while not edge_of.isEmpty():
+        step += 1
         reached = edge_of.join(links, F.col("node") == F.col("src")).select("source", F.col("dst").alias("node")).distinct()
-        edge_of = reached.join(found.select("source", "node"), ["source", "node"], "left_anti").withColumn("distance", F.lit(step)).checkpoint()
-        if edge_of.isEmpty():
-            break
+        # what lies two steps back cannot be met again from here
+        edge_of = stored(reached.join(found.where(F.col("distance") >= step - 2).select("source", "node"), ["source", "node"], "left_anti").withColumn("distance", F.lit(step)), "distances")
         found = found.unionByName(edge_of)
     return found
 

@@ -192,3 +192,52 @@ def fetched(rows: DataFrame, url_column: str, fetch: Callable[[str], tuple[int,
             yield batch.assign(**{name: [g[k] for g in got] for k, name in enumerate(("html", "status", "fetch_error"))})
 
     return rows.mapInPandas(go, f"struct<{schema}>")
+
+
+#: What a header page must give some of.
+VALUES = ("case_category", "sent_by_court", "registered", "public_access_provided", "court_proceeding_number", "criminal_proceeding_number")
+
+
+def with_parse_error(parsed: DataFrame, status_column: str = "status", error_column: str = "fetch_error") -> DataFrame:
+    """H3: parsed headers with error: the fetch's own, else one where the page gave none of the values."""
+    empty = F.lit(True)
+    for c in VALUES:
+        empty = empty & (F.coalesce(T.strip(F.col(c)), F.lit("")) == "")
+    return parsed.withColumn("error", F.coalesce(F.col(error_column), F.when(empty, F.lit("the page has no header values"))))
+
+
+def decoded(body: Column, charset: Column) -> Column:
+    """A page's bytes by the charset of its response, else UTF-8; what cannot be read is replaced."""
+
+    @F.pandas_udf("string")
+    def read(bodies: pd.Series, charsets: pd.Series) -> pd.Series:
+        import codecs
+
+        def one(data, name):
+            if data is None:
+                return None
+            try:
+                codecs.lookup(name or "utf-8")
+            except LookupError:
+                name = "utf-8"
+            return bytes(data).decode(name or "utf-8", "replace")
+
+        return pd.Series([one(b, c) for b, c in zip(bodies, charsets)], dtype="object")
+
+    return read(body, charset)
+
+
+def in_batches(rows: DataFrame, order: str, size: int, run: Callable[[DataFrame], DataFrame], each: Callable[[int, DataFrame], None] | None = None) -> int:
+    """H4: run over consecutive batches of rows by the order column; each gets a batch's number and its stored result. How many
+    batches there were."""
+    from quillmine.operators.tracking import batch_number, positions
+    from quillmine.sources.shared import stored
+
+    numbered = positions(rows, order, name="_place").withColumn("_batch", batch_number(F.col("_place"), size)).drop("_place")
+    n = (numbered.agg(F.max("_batch")).first()[0] if rows.columns else None)
+    n = 0 if n is None else n + 1
+    for k in range(n):
+        result = stored(run(numbered.where(F.col("_batch") == k).drop("_batch")), "header-batch")
+        if each:
+            each(k, result)
+    return n

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmine.sources.shared import stored
+
 
 def _text(c: Column) -> Column:
     return c.cast("string")
@@ -79,21 +81,35 @@ def with_row_number(rows: DataFrame, order: list, name: str, partition_by: list
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*(partition_by or [])).orderBy(*order)))
 
 
-def positions(rows: DataFrame, order: str, name: str = "position", bucket_rows: int = 1 << 16) -> DataFrame:
-    """Row numbers from 0 by a unique order column, without one task for all rows: rows go to ranges of the column, ranges are
-    counted (a small table), and numbers run within each."""
-    n = rows.count()
-    buckets = max(1, min(4096, -(-n // bucket_rows)))
-    if buckets == 1:
-        return rows.withColumn(name, F.row_number().over(Window.orderBy(order)).cast("long") - 1)
-    bounds = rows.select(F.expr(f"approx_percentile(`{order}`, array({', '.join(str(k / buckets) for k in range(1, buckets))}), 100000)").alias("b")).first()[0]
-    lits = F.array(*[F.lit(b) for b in sorted(set(bounds))])
-    ranged = rows.withColumn("_range", F.size(F.filter(lits, lambda b: b < F.col(order))))
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    # at most 4096 rows
-    starts = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_start"))
-    numbered = ranged.withColumn("_in", F.row_number().over(Window.partitionBy("_range").orderBy(order)))
-    return numbered.join(F.broadcast(starts), "_range").withColumn(name, F.col("_start") + F.col("_in") - 1).drop("_range", "_start", "_in")
+def in_ranges(rows: DataFrame, *order: str) -> DataFrame:
+    """rows in ranges of the order columns, of any type, sorted within and stored, with _part (ranges in order) and _at (place
+    in the range, from 0). The order columns should tell rows apart: equal ones share a range, in no fixed order."""
+    ranged = rows.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    # an id of its own is the number of the partition above 33 bits for the place in it
+    numbered = ranged.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    return stored(numbered, "ranges")
+
+
+def _before(ranged: DataFrame, amount: Column) -> DataFrame:
+    """_part and _base: what the amounts of all earlier ranges add up to. A row for each range, so one task orders them."""
+    totals = ranged.groupBy("_part").agg(F.sum(amount).alias("_total"))
+    return totals.select("_part", (F.sum("_total").over(Window.orderBy("_part")) - F.col("_total")).alias("_base"))
+
+
+def positions(rows: DataFrame, *order: str, name: str = "position") -> DataFrame:
+    """Row numbers from 0 by order columns of any type, nulls first, the same way at every size: no task orders more than a
+    range of the rows, and the sizes of ranges are added up."""
+    ranged = in_ranges(rows, *order)
+    bases = F.broadcast(_before(ranged, F.lit(1).cast("long")))
+    return ranged.join(bases, "_part").withColumn(name, F.col("_base") + F.col("_at")).drop("_part", "_at", "_base")
+
+
+def running_total(rows: DataFrame, amount: str, *order: str, name: str) -> DataFrame:
+    """rows with the sum of the amounts of all rows before, in the order of the columns."""
+    ranged = in_ranges(rows, *order)
+    bases = F.broadcast(_before(ranged, F.col(amount)))
+    within = F.sum(amount).over(Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)) - F.col(amount)
+    return ranged.withColumn(name, within).join(bases, "_part").withColumn(name, F.col(name) + F.col("_base")).drop("_part", "_at", "_base")
 
 
 def batch_number(position: Column, size: int) -> Column:
@@ -123,8 +139,8 @@ def run_counters(outcomes: DataFrame, status: str, statuses) -> DataFrame:
 
 def event_shards(events: DataFrame, order: str, flush_size: int) -> DataFrame:
     """Events with the name of the file they are flushed to."""
-    numbered = positions(events, order, "_at")
-    return numbered.withColumn("shard", F.format_string("events-%06d.jsonl", batch_number(F.col("_at"), flush_size) + 1)).drop("_at")
+    numbered = positions(events, order, name="_place")
+    return numbered.withColumn("shard", F.format_string("events-%06d.jsonl", batch_number(F.col("_place"), flush_size) + 1)).drop("_place")
 
 
 def completed_steps(names: DataFrame, column: str = "name") -> DataFrame:
@@ -134,16 +150,61 @@ def completed_steps(names: DataFrame, column: str = "name") -> DataFrame:
 
 
 def retained_steps(steps: DataFrame, keep: int, best: int | None = None) -> DataFrame:
-    """Step, is_latest, kept: the last `keep` and the best."""
-    newest = Window.orderBy(F.col("step").desc())
-    rank = F.row_number().over(newest)
-    return steps.select("step", (rank == 1).alias("is_latest"), ((rank <= keep) | (F.lit(False) if best is None else F.col("step") == best)).alias("kept"))
+    """Step, is_latest, kept: the last `keep` different steps and the best. Only these come to the driver."""
+    last = [r.step for r in steps.select("step").distinct().orderBy(F.col("step").desc()).limit(max(keep, 1)).collect()]
+    kept = [*last[:keep], *([] if best is None else [best])]
+    return steps.select("step", F.col("step").eqNullSafe(F.lit(last[0] if last else None)).alias("is_latest"), F.col("step").isin(kept).alias("kept"))
 
 
 def evictions(files: DataFrame, limit: int, protected: Column | None = None) -> DataFrame:
     """Files with evicted: the oldest go until the rest is within the limit; a protected file stays."""
     kept = F.lit(False) if protected is None else F.coalesce(protected, F.lit(False))
-    rows = files.withColumn("_kept", kept).withColumn("_loose", F.when(~F.col("_kept"), F.col("size")).otherwise(0))
-    over = F.sum("size").over(Window.partitionBy()) - limit
-    gone_before = F.coalesce(F.sum("_loose").over(Window.orderBy("modified", "name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.withColumn("evicted", ~F.col("_kept") & (gone_before < over)).drop("_kept", "_loose")
+    over = (files.agg(F.sum("size")).first()[0] or 0) - limit
+    rows = files.withColumn("_kept", kept).withColumn("_loose", F.when(F.col("_kept"), F.lit(0).cast("long")).otherwise(F.col("size").cast("long")))
+    rows = running_total(rows, "_loose", "modified", "name", name="_gone")
+    return rows.withColumn("evicted", ~F.col("_kept") & (F.col("_gone") < over)).drop("_kept", "_loose", "_gone")
+
+
+def first_rows(rows: DataFrame, order: str, limit: int | None = None) -> DataFrame:
+    """the first `limit` rows in the order of the column that holds the input's order; None: all."""
+    if limit is not None and limit < 0:
+        raise ValueError("the limit must not be negative")
+    return rows if limit is None else rows.orderBy(order).limit(limit)
+
+
+def is_given(rows: DataFrame, column: str) -> Column:
+    """neither null, nor an empty text, nor zero, nor false. (NaN is given.)"""
+    kind = rows.schema[column].dataType.simpleString()
+    c = F.col(column)
+    if kind in ("string", "binary"):
+        some = F.length(c) > 0
+    elif kind == "boolean":
+        some = c
+    elif kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal"):
+        some = c != 0
+    else:
+        some = c.isNotNull()
+    return F.coalesce(some, F.lit(False))
+
+
+def with_required(rows: DataFrame, *columns: str) -> DataFrame:
+    """rows that have all the required fields."""
+    found = F.lit(True)
+    for c in columns:
+        found = found & is_given(rows, c)
+    return rows.where(found)
+
+
+def missing_names(expected: Column, own: Column) -> Column:
+    """Expected names that are not among the own ones, in the order they are expected, each once."""
+    return F.array_except(expected, F.coalesce(own, F.array().cast("array<string>")))
+
+
+def missing_columns(rows: DataFrame, expected: list[str]) -> list[str]:
+    """Required columns that a table lacks, sorted."""
+    return sorted(set(expected) - set(rows.columns))
+
+
+def value_counts(rows: DataFrame, column: str, name: str = "n") -> DataFrame:
+    """A3: how often each value occurs, nulls included."""
+    return rows.groupBy(column).agg(F.count(F.lit(1)).alias(name))

@@ -26,3 +26,32 @@ def word_candidates(docs: DataFrame, text_column: str = "text", least: int = 2)
 
     words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col(text_column)), F.lit(f"[{WORD}]+"), F.lit(0))).alias("token"))
     return words.groupBy("token").agg((-F.count(F.lit(1))).alias("place")).where(F.col("place") <= -least)
+
+
+def in_order(vocabulary: DataFrame) -> DataFrame:
+    """By id."""
+    return vocabulary.orderBy("id")
+
+
+def coverage(base: DataFrame, extended: DataFrame) -> DataFrame:
+    """Sizes of a vocabulary before and after, and what was added, in one row."""
+    n = extended.join(base.select("token", F.lit(True).alias("_old")), "token", "left").agg(F.count_if(F.col("_old").isNotNull()).alias("base"), F.count(F.lit(1)).alias("final"))
+    return n.select("base", "final", (F.col("final") - F.col("base")).alias("added"))
+
+
+def number_words(words: DataFrame) -> DataFrame:
+    """token, id: distinct words by their order, from 0 without gaps."""
+    from quillmine.operators.tracking import positions
+
+    return positions(words.select("token").distinct(), "token", name="id")
+
+
+def masked(windows: DataFrame, ids: str, seed: int, mask_id: int, vocabulary_size: int, share: float = 0.15) -> DataFrame:
+    """H15's input: windows with masked (ids that a model sees) and labels (-100 where nothing is asked). Of the `share` of
+    places drawn by a hash of seed, window and place, eight in ten hold mask_id, one a random id, one the id itself."""
+    one = 1 << 30
+    luck = lambda name, x, i: F.pmod(F.xxhash64(F.lit(seed), F.lit(name), F.col(ids), i, x), F.lit(one))
+    drawn = lambda x, i: luck("drawn", x, i) < int(share * one)
+    kind = lambda x, i: F.pmod(luck("kind", x, i), F.lit(10))
+    seen = lambda x, i: F.when(~drawn(x, i) | (kind(x, i) == 9), x).when(kind(x, i) == 8, F.pmod(luck("other", x, i), F.lit(vocabulary_size)).cast("int")).otherwise(F.lit(mask_id))
+    return windows.withColumn("masked", F.transform(ids, seen)).withColumn("labels", F.transform(ids, lambda x, i: F.when(drawn(x, i), x).otherwise(F.lit(-100))))

@@ -188,7 +188,26 @@ def run_summary(spark, sf_dir):
 
 @query("status_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def status_counts(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return tracking.value_counts(table(spark, sf_dir, "events"), "event_type")
+
+
+@query("head_limit", "SELECT event_id, event_type FROM events ORDER BY event_id LIMIT 77")
+def head_limit(spark, sf_dir):
+    """F1."""
+    return tracking.first_rows(table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id", 77)
+
+
+@query("required_fields", "SELECT doc_id FROM documents WHERE doc_id <> 0 AND doc_id % 4 > 1")
+def required_fields(spark, sf_dir):
+    """rows without a URL or id go, as do empty ones and zero."""
+    url = F.when(F.col("doc_id") % 4 == 0, None).when(F.col("doc_id") % 4 == 1, "").otherwise("u")
+    return tracking.with_required(table(spark, sf_dir, "documents").select("doc_id", url.alias("url")), "doc_id", "url").select("doc_id")
+
+
+@query("shard_assignment_of_text", "SELECT key, ((row_number() OVER (ORDER BY key) - 1) // 100)::BIGINT AS shard FROM (SELECT lang || '-' || doc_id AS key FROM documents)")
+def shard_assignment_of_text(spark, sf_dir):
+    """K1, W11 by ids that are text."""
+    return sinks.sharded(table(spark, sf_dir, "documents").select(F.concat_ws("-", "lang", F.col("doc_id").cast("string")).alias("key")), "key", 100)
 
 
 @query("event_shards", "SELECT event_id, printf('events-%06d.jsonl', ((row_number() OVER (ORDER BY event_id) - 1) // 500 + 1)::BIGINT) AS shard FROM events")
@@ -221,8 +240,14 @@ c AS (SELECT token, -count(*) AS place FROM (SELECT unnest(regexp_extract_all(lo
 n AS (SELECT token, row_number() OVER (ORDER BY place, token) AS r FROM c WHERE token NOT IN (SELECT token FROM base))
 SELECT token, id::BIGINT AS id FROM base UNION ALL SELECT token, (r - 1 + (SELECT count(*) FROM base))::BIGINT AS id FROM n WHERE r <= 500""")
 def vocab_extension(spark, sf_dir):
-    from pyspark.sql import Window
-
-    words = vocabulary.word_candidates(table(spark, sf_dir, "benchmark"), least=1).select("token")
-    base = words.withColumn("id", F.row_number().over(Window.orderBy("token")) - 1)
+    base = vocabulary.number_words(vocabulary.word_candidates(table(spark, sf_dir, "benchmark"), least=1))
     return vocabulary.merged(base, vocabulary.word_candidates(table(spark, sf_dir, "documents")), 500)
+
+
+@query("vocab_coverage", f"""
+WITH v AS ({ORACLE_SQL['vocab_extension']}), b AS (SELECT count(DISTINCT token) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS token FROM benchmark))
+SELECT (SELECT n FROM b) AS base, (SELECT count(*) FROM v) AS final, (SELECT count(*) FROM v) - (SELECT n FROM b) AS added""")
+def vocab_coverage(spark, sf_dir):
+    """A12."""
+    base = vocabulary.number_words(vocabulary.word_candidates(table(spark, sf_dir, "benchmark"), least=1))
+    return vocabulary.coverage(base, vocabulary.merged(base, vocabulary.word_candidates(table(spark, sf_dir, "documents")), 500))

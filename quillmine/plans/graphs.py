@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quillmine.operators import graph
 from quillmine.plans.corpus import table
+from quillmine.sources.shared import stored
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -59,10 +60,7 @@ def graph_pagerank_step(spark, sf_dir):
 r AS (SELECT node AS source, node, 0 AS distance FROM d UNION SELECT r.source, b.dst, r.distance + 1 FROM r JOIN b ON r.node = b.src WHERE r.distance < 24),
 m AS (SELECT source, node, min(distance) AS distance FROM r GROUP BY 1, 2) SELECT source AS node, round(1.0::DOUBLE / nullif(sum(distance), 0), 9) AS closeness FROM m GROUP BY 1""")
 def graph_closeness(spark, sf_dir):
-    from quillmine.sources.shared import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    edges = trade_edges(spark, sf_dir).checkpoint()
+    edges = stored(trade_edges(spark, sf_dir), "edges")
     return graph.closeness(edges, graph.degrees(edges).select("node")).select("node", F.round("closeness", 9).alias("closeness"))
 
 

@@ -7,9 +7,9 @@ from pyspark.sql import types as S
 
 from quillmine.functions import nested
 from quillmine.functions import text as T
-from quillmine.operators import batching, model, paragraphs
+from quillmine.operators import batching, model, paragraphs, tracking
 from quillmine.plans.corpus import table
-from quillmine.plans.texts import LINES_SQL, TOKEN_SQL
+from quillmine.plans.texts import CHUNKS_SQL, LINES_SQL, TOKEN_SQL
 from quillmine.sources import files, sinks
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -59,12 +59,12 @@ def clean_texts(spark, sf_dir):
     return files.clean_texts(spark, f"{sf_dir}/documents.parquet").select(F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
-@query("chunk_lines")
+@query("chunk_lines", f"SELECT to_json({{'doc_id': doc_id, 'chunk_id': chunk_id, 'p_from': p_from, 'p_to': p_to, 'text': text}})::VARCHAR AS value FROM ({CHUNKS_SQL.replace('1200', '4000')})")
 def chunk_lines(spark, sf_dir):
     return sinks.chunk_lines(paragraphs.chunk_table(table(spark, sf_dir, "documents"), 4000))
 
 
-@query("request_lines")
+@query("request_lines", f"""SELECT to_json({{'custom_id': custom_id, 'method': 'POST', 'url': '/v1/chat/completions', 'body': {{'model': 'a-model', 'messages': [{{'role': 'system', 'content': 'Extract.'}}, {{'role': 'user', 'content': labelled_text}}]}}}})::VARCHAR AS value FROM ({CHUNKS_SQL.replace('1200', '4000')})""")
 def request_lines(spark, sf_dir):
     return sinks.request_lines(paragraphs.chunk_table(table(spark, sf_dir, "documents"), 4000), "a-model", "Extract.")
 
@@ -75,14 +75,19 @@ def token_totals(spark, sf_dir):
     return batching.batch_table(table(spark, sf_dir, "documents"), 500, 0).groupBy("doc_id").agg(F.sum("tokens").alias("tokens"))
 
 
-@query("prompt_preview", f"SELECT doc_id::VARCHAR AS document_id, count(*) AS targets FROM ({LINES_SQL}) GROUP BY 1")
+CONTRACT_SQL = """{"additionalProperties": false, "properties": {"observations": {"items": {"additionalProperties": false, "properties": {"conviction_law_articles": {"items": {"type": ["string", "null"]}, "type": ["array", "null"]}, "extraction": {"additionalProperties": false, "properties": {"reasoning_part": {"additionalProperties": false, "properties": {"guilt_status": {"type": ["string", "null"]}}, "required": [], "type": "object"}}, "required": ["reasoning_part"], "type": "object"}, "paragraph_index": {"type": "integer"}, "source_quote": {"type": "string"}}, "required": ["paragraph_index", "source_quote", "extraction"], "type": "object"}, "type": "array"}}, "required": ["observations"], "type": "object"}"""
+
+
+@query("prompt_preview", f"""
+SELECT doc_id::VARCHAR AS document_id, count(*) AS targets, md5('Quote.' || chr(10) || chr(10) || 'Contract:' || chr(10) || '{CONTRACT_SQL}' || chr(10) || chr(10) || 'Targets:' || chr(10)
+  || string_agg('[paragraph_id=' || i || '] ' || p, chr(10) ORDER BY i)) AS prompt_md5 FROM ({LINES_SQL}) GROUP BY 1""")
 def prompt_preview(spark, sf_dir):
-    """All map prompts without a call; each paragraph is the target of one."""
+    """All map prompts without a call, under a budget that takes a document whole; each paragraph is a target."""
     rows = paragraphs.paragraph_table(table(spark, sf_dir, "documents")).withColumn("section", F.lit("descriptive"))
     kind = S.StructType([S.StructField("guilt_status", S.StringType())])
     contract = nested.struct_contract(nested.observation_schema(kind, "reasoning_part"))
-    prompts = model.map_prompts(rows, 1000, 100, {"reasoning": "Quote."}, contract)
-    return prompts.groupBy("document_id").agg(F.sum(F.size("targets")).alias("targets"))
+    prompts = model.map_prompts(rows, 10**9, 100, {"reasoning": "Quote."}, contract)
+    return prompts.select("document_id", F.size("targets").cast("long").alias("targets"), F.md5(F.col("prompt").cast("binary")).alias("prompt_md5"))
 
 
 @query("extra_prompt", "SELECT DISTINCT conv_id::VARCHAR AS document_id, '{\"n\": 1}' AS payload FROM conversations WHERE role = 'user'")
@@ -97,7 +102,26 @@ def extra_prompt(spark, sf_dir):
 def missing_fields(spark, sf_dir):
     """Expected fields that a record lacks."""
     own = F.when(F.col("o_orderkey") % 2 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("c"), F.lit("b"), F.lit("a")))
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(F.array_except(F.array(F.lit("a"), F.lit("b"), F.lit("c")), own), ",").alias("missing"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(tracking.missing_names(F.array(F.lit("a"), F.lit("b"), F.lit("c")), own), ",").alias("missing"))
+
+
+@query("artifact_listing", """
+SELECT 'v2/' || doc_id || CASE doc_id % 3 WHEN 0 THEN '/_document.json' ELSE '/notes.bin' END AS name, CASE doc_id % 3 WHEN 0 THEN 'application/json' ELSE 'application/octet-stream' END AS content_type FROM documents WHERE doc_id % 3 <> 1""")
+def artifact_listing(spark, sf_dir):
+    """K8: what of an artifact tree is published, and as what."""
+    tail = F.when(F.col("doc_id") % 3 == 0, "/_document.json").when(F.col("doc_id") % 3 == 1, "/result.parquet").otherwise("/notes.bin")
+    return sinks.artifact_listing(table(spark, sf_dir, "documents").select(F.concat(F.lit("v2/"), F.col("doc_id").cast("string"), tail).alias("name")))
+
+
+@query("article_search", """
+SELECT o_orderkey, o_orderstatus AS status, o_orderkey % 4 = 0 OR o_orderkey % 3 = 0 AS found FROM orders""")
+def article_search(spark, sf_dir):
+    """A value at a dotted path, and a search for an article at any depth."""
+    key = F.col("o_orderkey")
+    deep = F.struct(F.array(F.struct(F.when(key % 4 == 0, "185").otherwise("1").alias("article"))).alias("laws"), F.struct(F.col("o_orderstatus").alias("status"), F.when(key % 3 == 0, "185").alias("article")).alias("inner"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", deep.alias("v"))
+    kind = rows.schema["v"].dataType
+    return rows.select("o_orderkey", nested.at_path(F.col("v"), kind, "inner.status")[0].alias("status"), nested.has_equal(F.col("v"), kind, "article", F.lit("185")).alias("found"))
 
 
 @query("blank_fields", "SELECT doc_id, (doc_id % 3 = 0)::BOOLEAN AS shallow, (doc_id % 3 = 0)::BOOLEAN AND lang = 'en' AS deep FROM documents")

@@ -49,7 +49,7 @@ def paragraph_offsets(spark, sf_dir):
     return paragraphs.offset_table(table(spark, sf_dir, "documents")).select("doc_id", "p", "start", "end", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
-@query("char_chunks", f"""
+CHUNKS_SQL = f"""
 WITH RECURSIVE b AS ({BLOCKS_SQL}), s AS (
   SELECT doc_id, ps, 1 AS p, 1 AS chunk, length(ps[1]) AS held FROM b WHERE len(ps) > 0
   UNION ALL
@@ -57,7 +57,10 @@ WITH RECURSIVE b AS ({BLOCKS_SQL}), s AS (
   FROM s WHERE p < len(ps))
 SELECT doc_id, doc_id || '_c' || lpad(chunk::VARCHAR, 3, '0') AS custom_id, chunk AS chunk_id, min(p)::INTEGER AS p_from, max(p)::INTEGER AS p_to,
   string_agg(ps[p], chr(10) || chr(10) ORDER BY p) AS text, string_agg('[p' || p || '] ' || ps[p], chr(10) || chr(10) ORDER BY p) AS labelled_text
-FROM s GROUP BY doc_id, chunk""")
+FROM s GROUP BY doc_id, chunk"""
+
+
+@query("char_chunks", CHUNKS_SQL)
 def char_chunks(spark, sf_dir):
     return paragraphs.chunk_table(table(spark, sf_dir, "documents"), 1200)
 
@@ -185,10 +188,14 @@ def object_uris(spark, sf_dir):
 
 
 @query("json_payload_parse", """
-SELECT event_id, CASE WHEN event_id % 4 < 2 THEN json_extract(props, '$.k')::BIGINT END AS k, CASE event_id % 4 WHEN 2 THEN 'broken object' WHEN 3 THEN 'not JSON or cut off' END AS error FROM events""")
+SELECT event_id, CASE WHEN event_id % 5 IN (0, 1, 4) THEN json_extract(props, '$.k')::BIGINT END AS k, CASE event_id % 5 WHEN 2 THEN 'broken object' WHEN 3 THEN 'not JSON or cut off' END AS error FROM events""")
 def json_payload_parse(spark, sf_dir):
-    props, kind = F.col("props"), F.col("event_id") % 4
-    said = F.when(kind == 0, props).when(kind == 1, F.concat(F.lit("\n```JSON\n"), props, F.lit("\n```  "))).when(kind == 2, F.concat(F.lit("{x "), props)).otherwise(F.concat(props, F.lit(" and more")))
+    """Plain, fenced, broken, followed by text, and broken in a way that the repair mends."""
+    props, kind = F.col("props"), F.col("event_id") % 5
+    said = (
+        F.when(kind == 0, props).when(kind == 1, F.concat(F.lit("\n```JSON\n"), props, F.lit("\n```  "))).when(kind == 2, F.concat(F.lit("{x "), props))
+        .when(kind == 3, F.concat(props, F.lit(" and more"))).otherwise(F.regexp_replace(props, r"\}$", ", }"))
+    )
     return table(spark, sf_dir, "events").select("event_id", nested.parsed_object(said, "k long").alias("p")).select("event_id", "p.value.k", "p.error")
 
 
@@ -267,31 +274,93 @@ def compact_json(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", nested.compact_json(value).alias("compact"))
 
 
+ARGUMENT = S.StructType([S.StructField("paragraph_index", S.IntegerType()), S.StructField("source_quote", S.StringType())])
+PART = S.StructType([S.StructField("arguments", S.ArrayType(ARGUMENT)), S.StructField("article", S.StringType())])
+#: What the stand-in models below do, by the paragraph's number: quotes the paragraph (3, 4), nothing to say (1), an outer quote
+#: that is not in it (2), a nested one that is not (0).
+VERDICT_SQL = "CASE i % 5 WHEN 0 THEN 'nested' WHEN 1 THEN 'dropped' WHEN 2 THEN 'outer' ELSE 'kept' END"
+
+
 @query("map_reduce_extract", f"""
-SELECT doc_id::VARCHAR AS document_id, count(*) AS kept FROM ({LINES_SQL}) GROUP BY 1""")
+WITH l AS (SELECT doc_id, i, p, {VERDICT_SQL} AS v FROM ({LINES_SQL})),
+d AS (SELECT doc_id, count(*) FILTER (v = 'kept') AS kept, count(*) FILTER (v = 'dropped') AS dropped, count(*) FILTER (v IN ('nested', 'outer')) AS ungrounded,
+  string_agg(i || CASE v WHEN 'nested' THEN ': reasoning.arguments[0].source_quote' ELSE ': source_quote' END, ',' ORDER BY i) FILTER (v IN ('nested', 'outer')) AS refused,
+  string_agg(i || ':' || md5(substr(p, 1, 40)), ',' ORDER BY i) FILTER (v = 'kept') AS cited FROM l GROUP BY doc_id)
+SELECT doc_id::VARCHAR AS document_id, kept, dropped, ungrounded, coalesce(refused, '') AS refused,
+  CASE WHEN kept > 0 THEN cited || CASE WHEN kept % 4 = 3 THEN ',999999:' || md5('x') ELSE '' END END AS cited,
+  CASE WHEN kept = 0 THEN NULL WHEN kept % 4 = 3 THEN 'paragraph not observed: 999999' ELSE '' END AS errors FROM d""")
 def map_reduce_extract(spark, sf_dir):
-    """The extraction with a stand-in for the model that quotes each target paragraph's start."""
-    kind = S.StructType([S.StructField("arguments", S.ArrayType(S.StructType([S.StructField("paragraph_index", S.IntegerType()), S.StructField("source_quote", S.StringType())])))])
+    """The extraction with stand-ins for the models, which err: answers to be mended, quotes of nothing, records without
+    content, and results that cite what was not observed."""
     rows = paragraphs.paragraph_table(table(spark, sf_dir, "documents")).withColumn("section", F.lit("reasoning"))
-    found = model.map_reduce(rows, kind, "reasoning", quoting_model, joining_model, budget=2000, overlap=50)
-    return found.select("document_id", "kept")
+    found = model.map_reduce(rows, PART, "reasoning", erring_model, joining_model, budget=2000, overlap=50)
+    where = F.transform("problems", lambda e: F.when(F.contains(e, F.lit("arguments[0]")), F.concat(F.substring_index(e, ":", 1), F.lit(": reasoning.arguments[0].source_quote"))).otherwise(F.concat(F.substring_index(e, ":", 1), F.lit(": source_quote"))))
+    cited = F.array_join(F.transform(F.from_json("result", PART)["arguments"], lambda x: F.concat_ws(":", x["paragraph_index"].cast("string"), F.md5(x["source_quote"].cast("binary")))), ",")
+    return found.select("document_id", "kept", "dropped", "ungrounded", F.array_join(where, ",").alias("refused"), cited.alias("cited"), F.array_join("errors", ",").alias("errors"))
+
+
+@query("document_chain", f"""
+WITH c AS (SELECT conv_id, turn + 1 AS i, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS p, {ROLE_SQL} AS section FROM conversations),
+v AS (SELECT *, {VERDICT_SQL} AS v FROM c),
+s AS (SELECT conv_id, section, count(*) FILTER (v = 'kept') AS kept, count(*) FILTER (v IN ('nested', 'outer')) AS bad, string_agg(i::VARCHAR, ',' ORDER BY i) FILTER (v = 'kept') AS cited FROM v GROUP BY ALL),
+r AS (SELECT *, kept > 0 AND kept % 4 <> 3 AS given, bad + CASE WHEN kept % 4 = 3 THEN 1 ELSE 0 END AS n FROM s)
+SELECT t.*, sum(n)::BIGINT AS n_errors, sum(n) = 0 AS complete, max(CASE WHEN section = 'introductory' AND given THEN cited END) AS introductory, max(CASE WHEN section = 'reasoning' AND given THEN cited END) AS reasoning,
+  max(CASE WHEN section = 'operative' AND given THEN cited END) AS operative
+FROM (SELECT conv_id::VARCHAR AS document_id, md5(string_agg(p, chr(10) || chr(10) ORDER BY i)) AS text_md5 FROM c GROUP BY 1) t JOIN r ON r.conv_id::VARCHAR = t.document_id GROUP BY ALL""")
+def document_chain(spark, sf_dir):
+    """Three sections in turn, one row a document."""
+    got = model.extraction_chain(turns(spark, sf_dir), {s: (f"{s}_part", PART) for s in ("introductory", "reasoning", "operative")}, erring_model, joining_model, budget=2000, overlap=50)
+    cited = [F.array_join(F.transform(F.col(f"{s}_part.arguments"), lambda x: x["paragraph_index"].cast("string")), ",").alias(s) for s in ("introductory", "reasoning", "operative")]
+    return got.select("document_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.size("errors").cast("long").alias("n_errors"), "complete", *cited)
+
+
+def turns(spark, sf_dir):
+    """Conversations as documents of paragraphs in three sections."""
+    section = F.when(F.col("role") == "system", "introductory").when(F.col("role") == "user", "reasoning").otherwise("operative")
+    return table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("document_id"), (F.col("turn") + 1).cast("int").alias("paragraph_index"), section.alias("section"), T.one_line(F.col("text")).alias("text"))
+
+
+@query("batch_outcomes", "SELECT conv_id::VARCHAR AS document_id, CASE WHEN conv_id % 3 = 0 THEN 'error' ELSE 'success' END AS status, CASE WHEN conv_id % 3 <> 0 THEN '{\"n\": ' || conv_id || '}' END AS result FROM conversations GROUP BY conv_id")
+def batch_outcomes(spark, sf_dir):
+    """H13 with a stand-in that breaks down for some documents."""
+    prompts = turns(spark, sf_dir).groupBy("document_id").agg(F.max("document_id").alias("prompt"))
+    return model.outcomes(prompts, lambda messages: "no object" if int(messages[0]["content"].split()[0]) % 3 == 0 else f'{{"n": {messages[0]["content"]}}}', retries=0).drop("error")
+
+
+@query("anchor_table", """
+SELECT o_orderkey::VARCHAR AS document_id, o_orderkey % 2 = 0 AS found_article, CASE WHEN o_orderkey % 3 = 0 THEN 'arguments' ELSE '' END AS missing, o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0 AS passed FROM orders""")
+def anchor_table(spark, sf_dir):
+    """Articles and paths that results must hold."""
+    key = F.col("o_orderkey")
+    own = F.when(key % 3 == 0, F.array().cast("array<struct<paragraph_index:int,source_quote:string>>")).otherwise(F.array(F.struct(F.lit(1).alias("paragraph_index"), F.lit("q").alias("source_quote"))))
+    result = F.struct(own.alias("arguments"), F.when(key % 2 == 0, "185").otherwise("186").alias("article"))
+    rows = table(spark, sf_dir, "orders").select(key.cast("string").alias("document_id"), result.alias("result"))
+    anchors = rows.select("document_id", F.lit("185").alias("article"), F.array(F.lit("arguments"), F.lit("article")).alias("paths"))
+    return model.anchor_report(rows, PART, anchors).select("document_id", "found_article", F.array_join("missing_paths", ",").alias("missing"), "passed")
 
 
-def quoting_model(messages: list[dict[str, str]]) -> str:
+def erring_model(messages: list[dict[str, str]]) -> str:
     import json
     import re
 
     targets = messages[-1]["content"].split("\n\nTargets:\n", 1)[1]
     found = []
     for number, text in re.findall(r"^\[paragraph_id=(\d+)\] (.*)$", targets, re.M):
-        quote = text[:40]
-        record = {"paragraph_index": int(number), "source_quote": quote}
-        found.append(record | {"extraction": {"reasoning": {"arguments": [record]}}, "conviction_law_articles": []})
-    return "```json\n" + json.dumps({"observations": found}, ensure_ascii=False) + "\n```"
+        n, quote = int(number), text[:40]
+        record = {"paragraph_index": n, "source_quote": "¤ not there" if n % 5 == 0 else quote}
+        content = {"arguments": [] if n % 5 == 1 else [record], "article": None}
+        section = re.search(r'"([a-z]+)": \{"additionalProperties": false, "properties": \{"arguments"', messages[-1]["content"]).group(1)
+        found.append({"paragraph_index": n, "source_quote": "¤ not there" if n % 5 == 2 else quote, "extraction": {section: content}, "conviction_law_articles": []})
+    body = json.dumps({"observations": found}, ensure_ascii=False)
+    # some answers have to be mended
+    return "```json\n" + (body[:-2] + ",]}" if len(found) % 2 else body) + "\n```"
 
 
 def joining_model(messages: list[dict[str, str]]) -> str:
     import json
 
     kept = json.loads(messages[-1]["content"])
-    return json.dumps({"arguments": [{"paragraph_index": k["paragraph_index"], "source_quote": k["source_quote"]} for k in kept]}, ensure_ascii=False)
+    cited = [{"paragraph_index": k["paragraph_index"], "source_quote": k["source_quote"]} for k in kept]
+    if len(kept) % 4 == 3:
+        cited.append({"paragraph_index": 999999, "source_quote": "x"})
+    return json.dumps({"arguments": cited, "article": None}, ensure_ascii=False)

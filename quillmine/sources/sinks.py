@@ -3,28 +3,58 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmine.operators.tracking import batch_number, positions
+from quillmine.sources.shared import exists, matching, remove, stored
 
 
 def sharded(rows: DataFrame, order: str, shard_rows: int) -> DataFrame:
     """K1: rows with shard, slices of shard_rows by the order column."""
-    return positions(rows, order, "_at").withColumn("shard", batch_number(F.col("_at"), shard_rows)).drop("_at")
-
-
-def write_corpus(rows: DataFrame, path: str, order: str, shard_rows: int = 1000, compression: str = "zstd") -> None:
-    """Rows with split and error, as clean/split=.../shard=... and errors/shard=.... Shards written before stay (only the
-    partitions of this run are replaced)."""
-    shards = sharded(rows, order, shard_rows).persist()
-    try:
-        out = {"compression": compression, "partitionOverwriteMode": "dynamic"}
-        shards.where("error is null").drop("error").repartition("split", "shard").write.options(**out).mode("overwrite").partitionBy("split", "shard").parquet(f"{path}/clean")
-        shards.where("error is not null").select("doc_id", "shard", "error").repartition("shard").write.options(**out).mode("overwrite").partitionBy("shard").parquet(f"{path}/errors")
-    finally:
-        shards.unpersist()
+    return positions(rows, order, name="_place").withColumn("shard", batch_number(F.col("_place"), shard_rows)).drop("_place")
+
+
+#: Columns that a corpus adds to its manifest; the last one tells refused rows from clean ones.
+CLEANED = ("text", "text_hash", "char_count", "split", "error")
+
+
+def write_corpus(manifest: DataFrame, path: str, order: str, clean: Callable[[DataFrame], DataFrame] | None = None, shard_rows: int = 1000, compression: str = "zstd", splits: tuple[str, ...] = ("train", "validation")) -> int:
+    """Manifest rows in shards of shard_rows by the order column; clean gives them split and error (it may be left out
+    where they have these). Written are clean/split=S/shard=N, errors/shard=N and, once both are there, done/shard=N.
+
+    A shard with a marker is neither computed nor written again. Of a shard without one, what an earlier run left goes
+    first, so no row is in two places. A shard of which a split or the errors are empty has an empty file there. Returns
+    how many shards were written."""
+    spark = manifest.sparkSession
+    shards = sharded(manifest, order, shard_rows)
+    done = {int(p.rsplit("=", 1)[1]) for p in matching(spark, f"{path}/done/shard=*")}
+    wanted = sorted({r.shard for r in shards.select("shard").distinct().toLocalIterator()} - done)
+    if not wanted:
+        return 0
+    for left in [*matching(spark, f"{path}/clean/split=*/shard=*"), *matching(spark, f"{path}/errors/shard=*")]:
+        if int(left.rsplit("=", 1)[1]) not in done:
+            remove(spark, left)
+    marked = spark.createDataFrame([(n,) for n in sorted(done)], "shard long")
+    rows = shards.join(F.broadcast(marked), "shard", "left_anti")
+    rows = stored(clean(rows) if clean else rows, "cleaned")
+    out = {"compression": compression}
+    sound, refused = rows.where("error is null").drop("error"), rows.where("error is not null").select(order, "shard", "error")
+    sound.repartition("split", "shard").write.options(**out).mode("append").partitionBy("split", "shard").parquet(f"{path}/clean")
+    refused.repartition("shard").write.options(**out).mode("append").partitionBy("shard").parquet(f"{path}/errors")
+    # empty files for what no row went to: few, a small write each
+    have = {p.rsplit("/", 2)[1] + "/" + p.rsplit("/", 1)[1] for p in matching(spark, f"{path}/clean/split=*/shard=*")}
+    bad = {int(p.rsplit("=", 1)[1]) for p in matching(spark, f"{path}/errors/shard=*")}
+    for n in wanted:
+        for split in splits:
+            if f"split={split}/shard={n}" not in have:
+                sound.drop("split", "shard").limit(0).coalesce(1).write.options(**out).mode("overwrite").parquet(f"{path}/clean/split={split}/shard={n}")
+        if n not in bad:
+            refused.drop("shard").limit(0).coalesce(1).write.options(**out).mode("overwrite").parquet(f"{path}/errors/shard={n}")
+    spark.createDataFrame([(n, n) for n in wanted], "shard long, number long").repartition("shard").write.mode("append").partitionBy("shard").parquet(f"{path}/done")
+    return len(wanted)
 
 
 def append(rows: DataFrame, table: str, replace: bool = False) -> int:
@@ -55,21 +85,60 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").text(path)
 
 
-def write_marker(spark: SparkSession, path: str, value: dict) -> None:
-    """K6: a small JSON file with sorted keys."""
+def write_marker(spark: SparkSession, path: str, value: dict, replace: bool = False) -> bool:
+    """K6: a small JSON file with sorted keys. One that is there stays unless replace is set; whether it was written."""
+    if exists(spark, path) and not replace:
+        return False
     text = json.dumps(value, ensure_ascii=False, sort_keys=True, indent=2)
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
-
-
-def check_identity(spark: SparkSession, path: str, identity: str) -> None:
-    """K9: written on the first run; later runs must have the same."""
-    from py4j.protocol import Py4JJavaError
-    from pyspark.errors import AnalysisException
-
-    try:
-        found = spark.read.text(path).first()[0]
-    except (AnalysisException, Py4JJavaError):
-        spark.createDataFrame([(identity,)], "value string").coalesce(1).write.text(path)
-        return
-    if found != identity:
+    return True
+
+
+#: Content types by suffix.
+CONTENT_TYPES = {".json": "application/json", ".jsonl": "application/x-ndjson", ".txt": "text/plain; charset=utf-8", ".parquet": "application/vnd.apache.parquet"}
+
+
+def artifact_listing(names: DataFrame, left_out: tuple[str, ...] = ("result.parquet",)) -> DataFrame:
+    """K8: which files of an artifact tree are published (all but those left out), with their content types."""
+    kind = F.lit("application/octet-stream")
+    for suffix, says in CONTENT_TYPES.items():
+        kind = F.when(F.lower("name").endswith(suffix), says).otherwise(kind)
+    base = F.substring_index("name", "/", -1)
+    return names.where(~base.isin(*left_out)).withColumn("content_type", kind)
+
+
+def copy_tree(spark: SparkSession, source: str, target: str, left_out: tuple[str, ...] = ("result.parquet",)) -> int:
+    """K8: the files of a folder written below another one, contents as they are; how many."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
+    root = source.rstrip("/")
+    name = F.regexp_replace("path", r"^[a-z]+:/*(?=/)", "")
+    kept = artifact_listing(files.select(F.substring_index(name, root + "/", -1).alias("name"), "content"), left_out)
+    rows = stored(kept, "tree")
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    for r in rows.toLocalIterator():  # a document's artifacts: a few small files
+        place = hadoop.Path(f"{target.rstrip('/')}/{r.name}")
+        out = place.getFileSystem(conf).create(place, True)
+        try:
+            out.write(bytearray(r.content))
+        finally:
+            out.close()
+    return rows.count()
+
+
+def write_result_log(results: DataFrame, folder: str, when: str) -> str:
+    """Results as one CSV with a header, in a folder named by the time; its path."""
+    path = f"{folder.rstrip('/')}/results_{when}"
+    results.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    return path
+
+
+def check_identity(spark: SparkSession, path: str, identity: str, manifest: dict | None = None) -> None:
+    """K9: the identity of a run, and its manifest, written on the first run; later runs must have the same."""
+    if not exists(spark, path):
+        value = {"identity": identity, **({"manifest": manifest} if manifest is not None else {})}
+        write_marker(spark, path, value)
+    found = json.loads("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
+    if found["identity"] != identity:
         raise ValueError(f"{path} was made with other settings")
+    if manifest is not None and found.get("manifest") != json.loads(json.dumps(manifest)):
+        raise ValueError(f"{path} was made from another manifest")

@@ -4,6 +4,7 @@ import hashlib
 import json
 import math
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -146,12 +147,34 @@ def test_tracking(spark):
     assert sorted(r.v for r in tracking.missing_in(left, spark.createDataFrame([(2,)], "id long"), "id").collect()) == ["a", "b"]
     assert {(r.c, r.n) for r in tracking.category_frequency(spark.createDataFrame([("x",), ("x",), (None,)], "c string"), "c").collect()} == {("x", 2), (None, 0)}
     rows = spark.range(1000).withColumn("id", F.col("id") * 3)
-    assert all(r.position == r.id // 3 for r in tracking.positions(rows, "id", bucket_rows=100).collect())
+    assert all(r.position == r.id // 3 for r in tracking.positions(rows, "id").collect())
     with pytest.raises(ValueError):
         tracking.table_or_empty(spark, "t", "bad name")
     assert tracking.table_or_empty(spark, "no_such_table", "id").count() == 0
 
 
+def test_positions_of_any_type_and_size(spark):
+    """Text, null and composite ids; one path at every size."""
+    for n in (0, 1, 7, 200_000):
+        rows = spark.range(n).select(F.when(F.col("id") != 3, F.concat(F.lit("d"), (F.col("id") * 7919 % 200_003).cast("string"))).alias("key"))
+        got = {r.position: r.key for r in tracking.positions(rows.repartition(5), "key").collect()}
+        plain = sorted((r.key for r in rows.collect()), key=lambda k: (k is not None, k or ""))
+        assert [got[k] for k in range(n)] == plain and len(got) == n
+    pairs = spark.createDataFrame([(k % 3, f"n{k}", k) for k in range(500)], "a int, b string, size long")
+    got = [r.gone for r in tracking.running_total(pairs, "size", "a", "b", name="gone").orderBy("a", "b").collect()]
+    sizes = [k for _, _, k in sorted((k % 3, f"n{k}", k) for k in range(500))]
+    assert got == [sum(sizes[:k]) for k in range(500)]
+
+
+def test_first_steps_of_a_run(spark):
+    rows = spark.createDataFrame([(1, "u", 0.0), (2, "", float("nan")), (0, "v", 1.0), (None, "w", 1.0), (5, None, 2.0), (6, "x", None)], "id int, url string, x double")
+    assert [r.id for r in tracking.with_required(rows, "id", "url").orderBy("id").collect()] == [1, 6]
+    assert [r.id for r in rows.where(tracking.is_given(rows, "x")).orderBy("id").collect()] == [None, 0, 2, 5]
+    assert [r.id for r in tracking.first_rows(rows.where("id is not null"), "id", 2).collect()] == [0, 1] and tracking.first_rows(rows, "id").count() == 6
+    assert tracking.missing_columns(rows, ["z", "id", "a"]) == ["a", "z"]
+    assert one(spark, tracking.missing_names(F.split("e", ","), F.split("o", ",")), e="b,a,b,c", o="a") == ["b", "c"]
+
+
 def test_lowest_ranked(spark):
     items = [(f"d{k}", "ab"[k % 2]) for k in range(40)]
     got = sampling.lowest_ranked(spark.createDataFrame(items, "id string, kind string"), "id", 7, 5, ["kind"]).collect()
@@ -199,6 +222,7 @@ def test_header_tables(spark):
 
 def test_json_answers(spark):
     parse = lambda t: one(spark, nested.parsed_object(F.col("t"), "a int"), t=t)
+    assert parse('{"a": 3,}').value.a == 3 and parse('{"a": 3,').error == "not JSON or cut off"
     assert parse('```json\n{"a": 1}\n```').value.a == 1 and parse('{"a": 1').error == "not JSON or cut off" and parse("[1]").error == "not an object" and parse('{"a" 1}').error == "broken object"
     assert one(spark, nested.repaired(F.col("t")), t='{"a": [1,],}') == '{"a": [1]}'
     assert one(spark, nested.text_field(F.col("t")), t='["ст. 65 КК України", null, " ст. 75 КК України "]') == "ст. 65 КК України; ст. 75 КК України"
@@ -241,6 +265,47 @@ def test_grounding(spark):
         assert one(spark, grounding.longest_prefix(F.col("q"), F.col("s")), q=q, s=s) == expected
 
 
+def test_nested_grounding(spark):
+    """Records inside an observation: foreign paragraphs, missing and wrong quotes, in lists and structs at any depth."""
+    record = S.StructType([S.StructField("paragraph_index", S.IntegerType()), S.StructField("source_quote", S.StringType())])
+    kind = S.StructType([S.StructField("list", S.ArrayType(S.StructType([*record, S.StructField("deep", record)]))), S.StructField("one", record)])
+    schema = S.StructType([S.StructField("name", S.StringType()), S.StructField("v", kind)])
+    cases = {
+        "fine": ((1, "red fox", None), None), "no quote for the outer one": ((1, None, None), None), "another paragraph": ((2, "blue", None), None),
+        "another without a quote": ((2, " ", None), "v.list[0]: source_quote is required for another paragraph"), "unknown": ((7, "red", None), "v.list[0]: paragraph_index must name a target"),
+        "wrong quote": ((1, "blue", None), "v.list[0]: not a quote"), "no number": ((None, "red", None), "v.list[0]: paragraph_index must name a target"), "deep": ((1, "red", (2, "fox")), "v.list[0].deep: not a quote"),
+    }
+    df = spark.createDataFrame([(n, ([v], (1, "a red"))) for n, (v, _) in cases.items()], schema)
+    texts = F.array(F.lit("a red fox"), F.lit("the blue sky"))
+    error = grounding.nested_error(nested.citations(F.col("v"), kind, F.lit("v")), F.lit(1), F.array(F.lit(1), F.lit(2)), texts)
+    for r in df.select("name", error.alias("e")).collect():
+        wanted = cases[r.name][1]
+        assert r.e is None if wanted is None else r.e.startswith(wanted), (r.name, r.e)
+    other = spark.createDataFrame([(([(1, "red", None)], (2, "")),), (None,)], S.StructType([S.StructField("v", kind)]))
+    assert [r.e for r in other.select(error.alias("e")).collect()] == ["v.one: source_quote is required for another paragraph", None]
+
+
+def test_calls_and_their_context(spark):
+    from quillmine.operators import model
+
+    prompts = spark.createDataFrame([("d", "one two three")], "document_id string, prompt string")
+    asked = lambda answer, **call: model.answered(prompts, lambda messages: answer, **call).first()
+    assert asked('{"a": 1}', context_tokens=10, most_new_tokens=7).error is None
+    assert asked('{"a": 1}', context_tokens=10, most_new_tokens=8).calls == 0
+    assert json.loads(asked('{"a": 1,}').answer) == {"a": 1} and asked('{"a": 1').calls == 2 and asked("[1]", retries=0).error == "the answer must be an object"
+
+
+def test_masking(spark):
+    from quillmine.operators import vocabulary
+
+    df = spark.createDataFrame([(k, [int(x) for x in range(1000, 1100)]) for k in range(100)], "n int, ids array<int>")
+    rows = vocabulary.masked(df.withColumn("ids", F.transform("ids", lambda x: x + F.col("n"))), "ids", 5, 3, 500).collect()
+    asked = [(x, m, y) for r in rows for x, m, y in zip(r.ids, r.masked, r.labels)]
+    drawn = [(x, m) for x, m, y in asked if y != -100]
+    assert all(y in (-100, x) and (y != -100 or m == x) for x, m, y in asked) and 0.13 < len(drawn) / len(asked) < 0.17
+    assert 0.75 < sum(m == 3 for _, m in drawn) / len(drawn) < 0.85 and 0.06 < sum(m == x for x, m in drawn) / len(drawn) < 0.14
+
+
 def test_listings(spark):
     names = spark.createDataFrame([("1/a.rtf",), ("1/b.RTF",), ("2/c.txt",), ("p/9/result.parquet",), ("p/9/x/result.parquet",)], "name string")
     assert sorted(r.doc_id for r in files.listed_ids(names).collect()) == ["a", "b"]
@@ -253,15 +318,42 @@ def test_files_sinks_and_streams(spark, tmp_path):
     (tmp_path / "in" / "7.rtf").write_bytes(rb"{\rtf1 a\par b}")
     assert [(r.doc_id, r.text) for r in files.rtf_documents(spark, str(tmp_path / "in")).collect()] == [("7", "a\nb")]
     rows = spark.createDataFrame([(k, f"t{k}", "train" if k % 3 else "validation", "bad" if k == 4 else None) for k in range(10)], "doc_id long, text string, split string, error string")
-    sinks.write_corpus(rows, str(tmp_path / "out"), "doc_id", shard_rows=4)
+    assert sinks.write_corpus(rows, str(tmp_path / "out"), "doc_id", shard_rows=4) == 3
     back = spark.read.parquet(str(tmp_path / "out" / "clean"))
     assert back.count() == 9 and {r.shard for r in back.collect()} == {0, 1, 2}
     assert [t.text for t in files.clean_texts(spark, str(tmp_path / "out" / "clean"), 3).collect()] and spark.read.parquet(str(tmp_path / "out" / "errors")).count() == 1
+    assert all((tmp_path / "out" / "clean" / f"split={split}" / f"shard={n}").is_dir() for split in ("train", "validation") for n in range(3)) and all((tmp_path / "out" / "errors" / f"shard={n}").is_dir() for n in range(3))
+    # a rerun leaves finished shards alone and computes only the others, without leftovers of theirs
+    calls = spark.sparkContext.accumulator(0)
+
+    def worse(df):
+        @F.udf("string")
+        def refuse(k):
+            calls.add(1)
+            return "now bad"
+
+        return df.drop("error").withColumn("error", refuse("doc_id"))
+
+    shutil.rmtree(tmp_path / "out" / "done" / "shard=1")
+    assert sinks.write_corpus(rows, str(tmp_path / "out"), "doc_id", worse, shard_rows=4) == 1 and calls.value == 4
+    assert sinks.write_corpus(rows, str(tmp_path / "out"), "doc_id", worse, shard_rows=4) == 0
+    clean, errors = spark.read.parquet(str(tmp_path / "out" / "clean")), spark.read.parquet(str(tmp_path / "out" / "errors"))
+    assert sorted(r.doc_id for r in clean.collect()) == [0, 1, 2, 3, 8, 9] and sorted(r.doc_id for r in errors.collect()) == [4, 5, 6, 7]
+    assert sinks.write_marker(spark, str(tmp_path / "m"), {"b": 1}) and not sinks.write_marker(spark, str(tmp_path / "m"), {"b": 2})
+    (tmp_path / "tree" / "sub").mkdir(parents=True)
+    (tmp_path / "tree" / "sub" / "a.json").write_bytes(b"{}")
+    (tmp_path / "tree" / "result.parquet").write_bytes(b"x")
+    assert sinks.copy_tree(spark, str(tmp_path / "tree"), str(tmp_path / "copy")) == 1 and (tmp_path / "copy" / "sub" / "a.json").read_bytes() == b"{}"
+    assert spark.read.option("header", "true").csv(sinks.write_result_log(rows, str(tmp_path / "log"), "20240101")).count() == 10
     settings = config.PreparationSettings()
     sinks.check_identity(spark, str(tmp_path / "id"), config.identity(settings))
     sinks.check_identity(spark, str(tmp_path / "id"), config.identity(settings))
     with pytest.raises(ValueError):
         sinks.check_identity(spark, str(tmp_path / "id"), config.identity(settings, more=1))
+    sinks.check_identity(spark, str(tmp_path / "id2"), "x", {"rows": 3})
+    sinks.check_identity(spark, str(tmp_path / "id2"), "x", {"rows": 3})
+    with pytest.raises(ValueError, match="another manifest"):
+        sinks.check_identity(spark, str(tmp_path / "id2"), "x", {"rows": 4})
     source, target = str(tmp_path / "s"), str(tmp_path / "t")
     for start in (0, 5):
         spark.range(start, start + 5).write.mode("append").parquet(source)
