@@ -1,70 +1,20 @@
-"""What several operators share: the shared folder, text columns, folds of rows."""
+"""What several operators share: text columns, folds of rows, samples, stored tables."""
 
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmine.sources.shared import release, remove, stored, stored_at  # noqa: F401
+
 #: A word: a run without ASCII white space (Java and RE2 agree on this class).
 WORD = r"[^\x20\x09-\x0D]+"
 #: The same class for Python's bytes; bytes.split() without arguments cuts at exactly these six bytes.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a local run has one of this machine's own;
-    on a cluster that is an error, as each executor would write to its own disk."""
-    set_dir = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if not set_dir:
-        set_dir = context.getCheckpointDir()
-    if not set_dir:
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        set_dir = "file://" + tempfile.mkdtemp(prefix="quillmine-")
-        context.setCheckpointDir(set_dir)
-    elif not context.getCheckpointDir():
-        context.setCheckpointDir(set_dir)
-    return set_dir
-
-
-#: Tables of this process that stored() wrote and nobody has removed yet.
-_WRITTEN: list[str] = []
-
-
-def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """df written once as Parquet into the shared folder and read again, and its path: later steps survive lost executors
-    without computing df anew, and a partition's rows stay as they were."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/quillmine/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """stored_at() for a table that the caller's result still reads: release() removes it once that result is used."""
-    return stored_at(df, name)[0]
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a stored table that nothing reads any more."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-    if path in _WRITTEN:
-        _WRITTEN.remove(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Deletes all stored tables of this process; results that read them cannot be used afterwards."""
-    for path in list(_WRITTEN):
-        remove(spark, path)
-
-
 def quoted(name: str) -> str:
     """A column's name as Spark reads it, whatever signs it holds."""
     return "`" + name.replace("`", "``") + "`"

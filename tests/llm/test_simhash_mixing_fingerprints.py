@@ -233,16 +233,17 @@ def test_mixed_texts_hold_the_words_taken(spark, sf):
 
 
 def plain_sums(text):
+    """(pieces, 128 counts of bits, 32 lanes modulo 2^16 in the order of the hexadecimal digits)."""
     pieces = re.findall(r"[^\n.!?]+[.!?]*|[.!?]+", text)
-    lanes = np.zeros(128, np.int64)
+    counts, lanes = np.zeros(128, np.int64), np.zeros(32, np.int64)
     for p in pieces:
-        h = hashlib.md5(p.encode()).digest()
-        a, b = int.from_bytes(h[:8], "big"), int.from_bytes(h[8:], "big")
-        for k, v in enumerate((a, b)):
+        first, second = hashlib.sha256(b"0" + p.encode()).digest(), hashlib.sha256(b"1" + p.encode()).digest()
+        for k, v in enumerate((int.from_bytes(first[:8], "big"), int.from_bytes(first[8:16], "big"))):
             for j in range(32):
-                lanes[k * 64 + 2 * j] += v >> (32 + j) & 1
-                lanes[k * 64 + 2 * j + 1] += v >> j & 1
-    return len(pieces), lanes
+                counts[k * 64 + 2 * j] += v >> (32 + j) & 1
+                counts[k * 64 + 2 * j + 1] += v >> j & 1
+        lanes = (lanes + np.frombuffer(first + second, ">u2")) % 65536
+    return len(pieces), counts, lanes
 
 
 def test_fingerprints_by_plain_loops(spark, sf):
@@ -250,10 +251,10 @@ def test_fingerprints_by_plain_loops(spark, sf):
         rows = sorted(((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()), reverse=True)
         got = {r.doc_id: r for r in fingerprints.compared(docs).collect()}
         assert len(got) == len(rows)
-        hexes = lambda s: f"{s[0]:016x}" + "".join(f"{s[1][2 * k]:08x}{s[1][2 * k + 1]:08x}" for k in range(64))
+        hexes = lambda s: f"{s[0]:016x}" + "".join(f"{s[1][2 * k]:08x}{s[1][2 * k + 1]:08x}" for k in range(64)) + "".join(f"{x:04x}" for x in s[2])
 
         def near(a, b):
-            if a[0] == b[0] and (a[1] == b[1]).all():
+            if hexes(a) == hexes(b):
                 return 1.0
             fa, fb = 2 * a[1] - a[0], 2 * b[1] - b[0]
             return max(0.0, 1 - float(((fa - fb) ** 2).sum()) / float((fa**2).sum() + (fb**2).sum()))
@@ -311,3 +312,32 @@ def test_rows_with_maps_and_dotted_names_are_mixed(spark):
     assert out.columns == docs.columns
     for r in out.collect():
         assert r.m == {"a": r.doc_id} and set(r.text.split()) <= set(rows[r.doc_id][1].split())
+
+
+def test_sums_wrap_and_groups_add_up(spark, monkeypatch):
+    """Texts of many pieces, in groups of few: lanes pass 2^16 many times."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(fingerprints, "WIDE_GROUP", 7)
+    texts = ["".join(f"piece {k % 500} of {n}.\n" for k in range(n)) for n in (0, 1, 126, 127, 128, 300, 2000)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")
+    for r in df.select("k", fingerprints.lane_sums(fingerprints.piece_hashes(F.col("text"))).alias("s")).collect():
+        n, counts, lanes = plain_sums(texts[r.k])
+        got = [x & (1 << 64) - 1 for x in r.s]
+        assert got[0] == n and [y for x in got[1:65] for y in (x >> 32, x & 0xFFFFFFFF)] == counts.tolist()
+        assert [x >> at & 0xFFFF for x in got[65:] for at in (48, 32, 16, 0)] == lanes.tolist()
+
+
+def test_next_rows_where_many_share_an_id(spark, monkeypatch):
+    """Null ids and one common id are cut into buckets by ties; the order is that of a plain sort."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(fingerprints, "BUCKET_ROWS", 8)
+    monkeypatch.setattr(fingerprints, "QUANTILES", 4)
+    rows = [(k, f"t{k}") for k in range(60)] + [(17, f"same {k}") for k in range(100)] + [(None, f"none {k}") for k in range(90)] + [(-5, "x"), ((1 << 63) - 1, "top")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("tie", F.xxhash64("text"))
+    buckets = fingerprints.bucketed(df)[0].groupBy("bucket").count().collect()
+    assert max(r["count"] for r in buckets) <= 40 and len(buckets) > 20
+    plain = sorted(((r.doc_id, r.tie, r.text) for r in df.collect()), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    got = {r.text: r.next_text for r in fingerprints.with_next(df, ["text"]).collect()}
+    assert got == {text: plain[(k + 1) % len(plain)][2] for k, (_, _, text) in enumerate(plain)}
