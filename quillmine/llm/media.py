@@ -2,8 +2,9 @@
 
 A payload is the text's UTF-8 bytes and spaces up to a positive multiple of 192; each byte is one sample. The stored file
 is read back with the wave module, cut into overlapping frames, transformed (short-time Fourier), and the strongest bin
-of each band of a frame that stands out is a peak. Each peak is paired with those of the next frames; a pair is a
-landmark, held as two parallel arrays: the frame of its first peak, and a code of both bins and the frames between.
+of each band of a frame that stands out is a peak. Each peak is paired with those of its band in the next frames and with
+that of the next band; a pair is a landmark, held as two parallel arrays: the frame of its first peak, and a code of both
+bins and the frames between.
 """
 
 from __future__ import annotations
@@ -59,13 +60,15 @@ def peaks(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per frame and band the strongest bin, and whether it stands out. Frames overlap by half and are taken some thousand
     at a time, so a very long file needs little memory."""
     n = len(samples) // BLOCK
-    blocks = (samples[: n * BLOCK].astype(np.float32) - 128.0).reshape(n, BLOCK)
-    if n == 1:
-        blocks, n = np.concatenate([blocks, np.zeros_like(blocks)]), 2
+    blocks = samples[: n * BLOCK].reshape(n, BLOCK)
+    if n == 1:  # in the middle of a frame of spaces, where the window is open
+        blocks, n = np.pad(blocks.reshape(-1), BLOCK // 2, constant_values=32).reshape(2, BLOCK), 2
     best, strong = np.empty((n - 1, len(BANDS)), np.int32), np.empty((n - 1, len(BANDS)), bool)
     for at in range(0, n - 1, FRAMES_AT_ONCE):
-        part = blocks[at : at + FRAMES_AT_ONCE + 1]
-        frames = np.concatenate([part[:-1], part[1:]], axis=1) * _WINDOW
+        part = blocks[at : at + FRAMES_AT_ONCE + 1].astype(np.float32)
+        frames = np.concatenate([part[:-1], part[1:]], axis=1)
+        frames -= frames.mean(axis=1, keepdims=True)
+        frames *= _WINDOW
         power = np.abs(np.fft.rfft(frames, axis=1))
         for k, (low, high) in enumerate(BANDS):
             band = power[:, low:high]
@@ -76,18 +79,26 @@ def peaks(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def landmarks(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(frame, code) of each pair of peaks of one band that lie 1 to REACH frames apart, by frame, band and distance."""
+    """(frame, code) of each pair of peaks, by frame, band and distance: of one band 1 to REACH frames apart, or of a band and
+    the next one in the same frame (distance 0). A file without any pair, such as a short one without strong peaks, has the
+    strongest bins of its first frame in place of peaks, so every file has landmarks."""
     best, strong = peaks(samples)
     times, codes, order = [], [], []
+
+    def pairs(t, band, other, gap):
+        times.append(t)
+        codes.append((best[t, band] << 12) | (other << 3) | gap)
+        order.append((t * len(BANDS) + band) * (REACH + 1) + gap)
+
+    t, band = np.nonzero(strong[:, :-1] & strong[:, 1:])
+    pairs(t, band, best[t, band + 1], 0)
     for gap in range(1, REACH + 1):
         if len(best) > gap:
-            both = strong[:-gap] & strong[gap:]
-            t, band = np.nonzero(both)
-            times.append(t)
-            codes.append((best[t, band] << 12) | (best[t + gap, band] << 3) | gap)
-            order.append((t * len(BANDS) + band) * (REACH + 1) + gap)
-    if not times:
-        return np.empty(0, np.int32), np.empty(0, np.int32)
+            t, band = np.nonzero(strong[:-gap] & strong[gap:])
+            pairs(t, band, best[t + gap, band], gap)
+    if not any(map(len, times)):
+        band = np.arange(len(BANDS) - 1)
+        pairs(np.zeros_like(band), band, best[0, 1:], 0)
     by = np.argsort(np.concatenate(order), kind="stable")
     return np.concatenate(times)[by].astype(np.int32), np.concatenate(codes)[by].astype(np.int32)
 
@@ -105,7 +116,7 @@ def media_columns(docs: DataFrame, with_media: bool = True) -> DataFrame:
     and its landmarks (`times`, `codes`).
 
     Null text counts as empty: its payload is 192 spaces. A null doc_id is kept, repeated rows give equal rows, an empty
-    table gives no rows, other columns are ignored. A text within one block has one frame and so no landmarks.
+    table gives no rows, other columns are ignored. A text within two blocks has one frame; it has landmarks as any other.
     """
 
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
