@@ -8,12 +8,14 @@ logistic regression on the same sample weighs them, beside the logarithm of the
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmine.llm.common import bounded_sample, give_back_memory, in_fold, row_columns, row_struct
+from quillmine.llm.common import bounded_sample, give_back_memory, in_fold, row_columns, row_struct, stored
 
 SIZES = (3, 4, 5, 6, 7)
 TABLE_BITS = 20
@@ -76,47 +78,86 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(margin, -40, 40))))
 
 
-def fit(rows: list[tuple[str | None, int]]) -> Model:
-    """rows: (text, label). With one label only, a constant."""
-    n_of = [sum(label == k for _, label in rows) for k in (0, 1)]
-    if not all(n_of):
-        return Model(np.empty(0), np.empty(0), 3.0 if n_of[1] else -3.0, 0.0)
-    docs = np.zeros((2, 1 << TABLE_BITS), np.int32)
-    for text, label in rows:
-        docs[label, gram_counts(text)[0]] += 1
+def slot_counts(rows: DataFrame) -> DataFrame:
+    """slot, n0, n1: in how many texts of each label (column label) an n-gram of that slot is. Tasks sum up their own first."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        docs = np.zeros((2, 1 << TABLE_BITS), np.int32)
+        for batch in batches:
+            for text, label in zip(batch["text"], batch["label"]):
+                docs[label, gram_counts(text)[0]] += 1
+        slots = np.flatnonzero(docs.any(axis=0))
+        if len(slots):
+            yield pd.DataFrame({"slot": slots, "n0": docs[0, slots], "n1": docs[1, slots]})
+        give_back_memory()
+
+    return rows.select("text", "label").mapInPandas(count, "slot long, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+
+def chosen_slots(slots: np.ndarray, docs: np.ndarray, n_of: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(slots that are features, in order; their log-count ratios). docs: texts of each label that have the slot."""
     # ratio of the shares of documents of each label that hold the n-gram, and how sure it is
     ratio = np.log((docs[1] + SMOOTHING) / (n_of[1] + 2 * SMOOTHING)) - np.log((docs[0] + SMOOTHING) / (n_of[0] + 2 * SMOOTHING))
     z = np.abs(ratio) / np.sqrt(1 / (docs[1] + SMOOTHING) + 1 / (docs[0] + SMOOTHING))
     z[docs.sum(axis=0) < LEAST_DOCS] = 0
-    chosen = np.argsort(-z, kind="stable")[:FEATURES]
-    chosen = np.sort(chosen[z[chosen] >= LEAST_Z])
-    place = np.full(1 << TABLE_BITS, -1)
-    place[chosen] = np.arange(len(chosen))
-    wanted = place >= 0
-    columns, values, row_of, lengths = [], [], [], []
-    for k, (text, _) in enumerate(rows):
-        slots, counts, length = gram_counts(text, wanted)
-        columns.append(place[slots].astype(np.int32))
-        values.append((np.log1p(counts) * ratio[slots]).astype(np.float32))
-        row_of.append(np.full(len(slots), k, np.int32))
-        lengths.append(length)
-    columns, values, row_of = np.concatenate(columns), np.concatenate(values), np.concatenate(row_of)
-    lengths, label = np.array(lengths), np.array([x for _, x in rows], np.float64)
-    centre = lengths.mean()
+    best = np.lexsort((slots, -z))[:FEATURES]
+    best = best[z[best] >= LEAST_Z]
+    best = best[np.argsort(slots[best])]
+    return slots[best], ratio[best]
+
+
+def sparse_rows(rows: DataFrame, chosen: np.ndarray, ratio: np.ndarray) -> DataFrame:
+    """doc_id, label, length, places, values: what a text has of the chosen slots, as bytes."""
+    shared = rows.sparkSession.sparkContext.broadcast((chosen, ratio))
+
+    def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chosen, ratio = shared.value
+        place = np.full(1 << TABLE_BITS, -1, np.int32)
+        place[chosen] = np.arange(len(chosen))
+        wanted = place >= 0
+        for batch in batches:
+            out = []
+            for text in batch["text"]:
+                slots, counts, length = gram_counts(text, wanted)
+                at = place[slots]
+                out.append((length, at.tobytes(), (np.log1p(counts) * ratio[at]).astype(np.float32).tobytes()))
+            yield pd.DataFrame({"key": batch["key"], "label": batch["label"], **{name: [x[k] for x in out] for k, name in enumerate(("length", "places", "values"))}})
+        give_back_memory()
+
+    rows = rows.select(F.col("doc_id").cast("string").alias("key"), "text", "label")
+    return rows.mapInPandas(convert, "key string, label int, length double, places binary, values binary").orderBy("key")
+
+
+def fit(rows: DataFrame) -> Model:
+    """rows: doc_id, text, label (0 or 1), a bounded number. With one label only, a constant. Texts stay on executors: what comes
+    to the driver is a row for each slot of the table, and each text's share of the chosen ones."""
+    found = dict(rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect())
+    n_of = [found.get(k, 0) for k in (0, 1)]
+    if not all(n_of):
+        return Model(np.empty(0), np.empty(0), 3.0 if n_of[1] else -3.0, 0.0)
+    counted = slot_counts(rows).where(F.col("n0") + F.col("n1") >= LEAST_DOCS).toArrow()
+    docs = np.stack([counted.column(n).to_numpy().astype(np.float64) for n in ("n0", "n1")])
+    chosen, ratio = chosen_slots(counted.column("slot").to_numpy(), docs, n_of)
+    got = sparse_rows(rows, chosen, ratio).toArrow()
+    columns, values = [np.frombuffer(x, np.int32) for x in got.column("places").to_pylist()], [np.frombuffer(x, np.float32) for x in got.column("values").to_pylist()]
+    row_of = np.repeat(np.arange(len(columns), dtype=np.int32), [len(x) for x in columns])
+    columns, values = np.concatenate(columns), np.concatenate(values)
+    lengths, label = got.column("length").to_numpy(), got.column("label").to_numpy().astype(np.float64)
+    centre, n = lengths.mean(), len(lengths)
     # every label has the same total weight while fitting; the sample keeps few rows of the common one
     weight = np.where(label == 1, 0.5 / n_of[1], 0.5 / n_of[0])
     w, rest = np.zeros(len(chosen)), np.zeros(2)
     first, second = np.zeros(len(chosen) + 2), np.zeros(len(chosen) + 2)
     for step in range(1, STEPS + 1):
-        margin = np.bincount(row_of, values * w[columns], len(rows)) + rest[0] + rest[1] * (lengths - centre)
+        margin = np.bincount(row_of, values * w[columns], n) + rest[0] + rest[1] * (lengths - centre)
         error = weight * (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - label)
         slope = np.concatenate([np.bincount(columns, values * error[row_of], len(chosen)) + RIDGE * w, [error.sum(), (error * (lengths - centre)).sum()]])
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         move = 0.03 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         w, rest = w - move[:-2], rest - move[-2:]
-    margin = np.bincount(row_of, values * w[columns], len(rows)) + rest[0] + rest[1] * (lengths - centre)
+    margin = np.bincount(row_of, values * w[columns], n) + rest[0] + rest[1] * (lengths - centre)
     cut = best_cut(margin, label)
-    return Model(chosen, w * ratio[chosen], float(rest[0] - rest[1] * centre - cut), float(rest[1]))
+    return Model(chosen, w * ratio, float(rest[0] - rest[1] * centre - cut), float(rest[1]))
 
 
 def best_cut(margin: np.ndarray, label: np.ndarray) -> float:
@@ -140,8 +181,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample_of_label: int = SAM
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_of_label: int = SAMPLE_OF_LABEL) -> Model:
-    rows = training_rows(docs, labels, sample_of_label).orderBy("doc_id")
-    return fit([(r.text, r.label) for r in rows.toLocalIterator()])
+    return fit(stored(training_rows(docs, labels, sample_of_label), "labelled-sample"))
 
 
 def score_column(text: Column, model: Model, spark) -> Column:
