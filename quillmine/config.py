@@ -26,6 +26,7 @@ def normal_prefix(prefix: str) -> str:
 class PreparationSettings:
     """Corpus preparation."""
 
+    # The defaults.
     validation_fraction: float = 0.01
     other_fraction: float = 0.10
     least_characters: int = 200
@@ -51,6 +52,7 @@ class PreparationSettings:
 class ExtractionSettings:
     """F8: batches and calls of the extraction."""
 
+    # The defaults.
     batch_tokens: int = 6000
     overlap_tokens: int = 256
     context_tokens: int = 131_072

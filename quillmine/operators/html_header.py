@@ -18,6 +18,7 @@ ROW_TYPE = "array<struct<text:string,cells:array<string>,bold_values:array<strin
 #: Labels as they stand in the pages.
 CATEGORY, PROCEEDING, REGISTER = "Категорія справи", "Номер судового провадження", "Номер кримінального провадження в ЄРДР"
 DATES = ("Надіслано судом", "Зареєстровано", "Забезпечено надання загального доступу")
+CATEGORY_PATTERN = r"(?U)Категорія\s+справи(?:\s*№)?\s*(.*)$"
 REVIEW_ROOT = "https://reyestr.court.gov.ua/Review/"
 
 
@@ -111,8 +112,7 @@ def value_in_row(row: Column, label: str, stops: tuple[str, ...] = ()) -> Column
 
 def category_in_row(row: Column) -> Column:
     """T21."""
-    pattern = r"(?U)Категорія\s+справи(?:\s*№)?\s*(.*)$"
-    in_text = lambda c: F.nullif(T.without_case_number(F.regexp_extract(c, pattern, 1)), F.lit(""))
+    in_text = lambda c: F.nullif(T.without_case_number(F.regexp_extract(c, CATEGORY_PATTERN, 1)), F.lit(""))
     cells = row["cells"]
 
     def of_cell(cell, i):

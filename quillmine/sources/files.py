@@ -86,3 +86,17 @@ def object_name(prefix: str, catalog: Column, file_name: Column) -> Column:
     """prefix/catalog/file, slashes in the catalog as underscores."""
     lead = re.sub("/+$", "", prefix.strip("/"))
     return F.concat_ws("/", F.lit(lead) if lead else F.lit(None).cast("string"), F.nullif(F.regexp_replace(catalog, r"[/\\]", "_"), F.lit("")), file_name)
+
+
+def copy_blob(spark: SparkSession, source: str, target: str, replace: bool = False, chunk: int = 1 << 20) -> bool:
+    """One object copied as a stream, a chunk at a time, between any stores that Spark reads; one that is there stays unless
+    replace is set. Whether it was copied; a source that is not there is an error."""
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    places = [hadoop.fs.Path(x) for x in (source, target)]
+    stores = [p.getFileSystem(conf) for p in places]
+    if not stores[0].exists(places[0]):
+        raise FileNotFoundError(source)
+    if stores[1].exists(places[1]) and not replace:
+        return False
+    hadoop.io.IOUtils.copyBytes(stores[0].open(places[0]), stores[1].create(places[1], True), chunk, True)
+    return True

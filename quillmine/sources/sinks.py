@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmine.operators.tracking import batch_number, positions
+from quillmine.operators.tracking import batch_number, event_shards, positions, value_counts
 from quillmine.sources.shared import exists, matching, remove, stored
 
 
@@ -64,6 +65,41 @@ def append(rows: DataFrame, table: str, replace: bool = False) -> int:
     return n
 
 
+def disposition(requested: str, first: bool, workers: int = 1) -> str:
+    """K3: how a batch is written: the first as requested (append, truncate or empty), later ones appended; only appending
+    goes with more than one worker."""
+    if requested not in ("append", "truncate", "empty"):
+        raise ValueError(f"no such disposition: {requested}")
+    if requested != "append" and workers > 1:
+        raise ValueError("more than one worker can only append")
+    return requested if first else "append"
+
+
+def insert_results(results: DataFrame, table: str, when: str | None = None) -> int:
+    """document_id and result (JSON) with inserted_at, into a table that is made if there is none; how many."""
+    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*){0,2}", table):
+        raise ValueError(f"not a table's name: {table!r}")
+    spark = results.sparkSession
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (document_id STRING NOT NULL, result STRING, inserted_at TIMESTAMP) USING parquet")
+    at = F.current_timestamp() if when is None else F.lit(when).cast("timestamp")
+    rows = results.select(F.col("document_id").cast("string").alias("document_id"), F.col("result").cast("string").alias("result"), at.alias("inserted_at"))
+    rows = stored(rows, "results")
+    rows.write.mode("append").saveAsTable(table)
+    return rows.count()
+
+
+def write_run_log(events: DataFrame, folder: str, order: str, status: str, flush_size: int) -> dict:
+    """Events as events-000001.jsonl and so on, flush_size lines each in order, and summary.json with the counts of each
+    status. Returns the summary."""
+    shards = stored(event_shards(events, order, flush_size), "events")
+    lines = shards.select("shard", order, F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"}).alias("value"))
+    lines.repartition("shard").sortWithinPartitions("shard", order).select("shard", "value").write.mode("overwrite").partitionBy("shard").text(folder + "/events")
+    counts = {r[status]: r.n for r in value_counts(shards, status).collect()}
+    summary = {"total": sum(counts.values()), "by_status": {str(k): counts[k] for k in sorted(counts, key=str)}}
+    write_marker(events.sparkSession, folder + "/summary.json", summary, replace=True)
+    return summary
+
+
 def create_if_absent(rows: DataFrame, path: str) -> None:
     """K4, K7: written only where nothing is yet; the writer's commit makes it appear at once."""
     rows.write.mode("ignore").parquet(path)

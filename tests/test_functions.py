@@ -361,6 +361,27 @@ def test_files_sinks_and_streams(spark, tmp_path):
     assert sorted(r.twice for r in spark.read.parquet(target).collect()) == list(range(0, 20, 2))
 
 
+def test_logs_results_and_blobs(spark, tmp_path):
+    events = spark.createDataFrame([(k, "ok" if k % 3 else "failed") for k in range(25)], "n long, status string")
+    summary = sinks.write_run_log(events, str(tmp_path / "log"), "n", "status", 10)
+    assert summary == {"total": 25, "by_status": {"failed": 9, "ok": 16}}
+    lines = spark.read.text(str(tmp_path / "log" / "events")).groupBy("shard").count().collect()
+    assert {r.shard: r["count"] for r in lines} == {"events-000001.jsonl": 10, "events-000002.jsonl": 10, "events-000003.jsonl": 5}
+    (tmp_path / "a").write_bytes(b"x" * 3000)
+    assert files.copy_blob(spark, str(tmp_path / "a"), str(tmp_path / "b"), chunk=100) and (tmp_path / "b").read_bytes() == b"x" * 3000
+    assert not files.copy_blob(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+    with pytest.raises(FileNotFoundError):
+        files.copy_blob(spark, str(tmp_path / "none"), str(tmp_path / "c"))
+    assert [sinks.disposition("truncate", k == 0) for k in range(2)] == ["truncate", "append"]
+    with pytest.raises(ValueError):
+        sinks.disposition("empty", True, workers=2)
+    messages = F.array(F.struct(F.lit("user").alias("role"), F.lit("two words").alias("content")), F.struct(F.lit("assistant").alias("role"), F.lit("one").alias("content")))
+    assert one(spark, T.chat_token_count(messages)) == 3 and one(spark, T.chat_token_count(messages, lambda m: F.lit("a b c d"))) == 4
+    frequency = tracking.category_frequency(spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "c string"), "c").collect()
+    assert [(r.c, r.n) for r in frequency] == [("c", 2), ("a", 1), ("b", 1), (None, 0)]
+    assert [r.id for r in vocabulary.in_order(spark.createDataFrame([("b", 1), ("a", 2), ("c", 0)], "token string, id long")).collect()] == [0, 1, 2]
+
+
 def test_settings():
     config.PreparationSettings().validate()
     config.ExtractionSettings().validate()
