@@ -108,8 +108,8 @@ def similar_links(sets: list[np.ndarray], prints: np.ndarray, split: int | None,
 
 
 def text_links(members: DataFrame, width: int, similarity: float, radius: int) -> DataFrame:
-    """members: centre, copy (the text's digest), text, one row per copy and centre. Links (node, other) between copies of one
-    centre."""
+    """members: centre, copy (the text's digest), text, chunks (into which the centre's texts are cut), one row per copy and
+    centre. Links (node, other) between copies of one centre."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names: list[str] = []
@@ -139,9 +139,7 @@ def text_links(members: DataFrame, width: int, similarity: float, radius: int) -
         names, sets = [], []
         give_back_memory()
 
-    sizes = members.groupBy("centre").agg(F.greatest(F.count(F.lit(1)) / TEXTS, F.sum(F.octet_length("text")) / TEXT_BYTES).alias("size"))
-    chunks = sizes.select("centre", F.when(F.col("size") <= 1, 1).otherwise(F.ceil(2 * F.col("size"))).cast("int").alias("chunks"))
-    rows = dealt(members.join(chunks, "centre"), ["centre"], F.xxhash64("copy"), F.col("chunks")).select("centre", "low", "high", "side", "copy", "text")
+    rows = dealt(members, ["centre"], F.xxhash64("copy"), F.col("chunks")).select("centre", "low", "high", "side", "copy", "text")
     return rows.mapInPandas(compare, "node string, other string").dropDuplicates()
 
 
@@ -168,15 +166,19 @@ def deduplicated(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMI
     """
     columns, keys = docs.columns, ["no_id", "id_key", "copy"]
     known_by = _keys(F.col("doc_id"), F.col("text"))
-    rows = stored(docs.select(*known_by, sketch_column(F.col("text").cast("string"), width).alias("sketch")), "sketches")
+    n_bytes = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0))
+    rows = stored(docs.select(*known_by, n_bytes.alias("n_bytes"), sketch_column(F.col("text").cast("string"), width).alias("sketch")), "sketches")
     # one row per text: a large group of exact copies is one node
-    texts = rows.groupBy("copy").agg(F.min(F.struct("no_id", "id_key")).alias("first"), F.first("sketch").alias("sketch"))
+    texts = rows.groupBy("copy").agg(F.min(F.struct("no_id", "id_key")).alias("first"), F.first("n_bytes").alias("n_bytes"), F.first("sketch").alias("sketch"))
     # the number only leads to candidates; two texts that share it by chance are told apart by their shingles
-    texts = stored(texts.select("copy", F.conv(F.substring("copy", 1, 16), 16, -10).cast("long").alias("node"), "first", "sketch.fingerprint", "sketch.bands"), "texts")
+    texts = stored(texts.select("copy", F.conv(F.substring("copy", 1, 16), 16, -10).cast("long").alias("node"), "first", "n_bytes", "sketch.fingerprint", "sketch.bands"), "texts")
     # two similar texts that share a bucket are linked to the same least node there, or one of them is that node
     found = stored(bucket_links(texts.select("node", "fingerprint", F.explode("bands").alias("key")), radius, joined=False), "candidate-links")
     pairs = found.select("node", F.col("other").alias("centre")).unionByName(found.select(F.col("other").alias("node"), F.col("other").alias("centre")).distinct())
-    members = stored(texts.select("copy", "node").join(pairs, "node").select("copy", "centre"), "members")
+    members = texts.select("copy", "node", "n_bytes").join(pairs, "node").select("copy", "centre", "n_bytes")
+    size = F.greatest(F.count(F.lit(1)) / TEXTS, F.sum("n_bytes") / TEXT_BYTES)
+    crowded = members.groupBy("centre").agg(size.alias("size")).where("size > 1").select("centre", F.ceil(2 * F.col("size")).cast("int").alias("chunks"))
+    members = stored(members.join(crowded, "centre", "left").select("copy", "centre", F.coalesce("chunks", F.lit(1)).alias("chunks")), "members")
     firsts = texts.select("first.*", "copy").join(members.select("copy").distinct().withColumn("candidate", F.lit(True)), "copy", "left").withColumn("candidate", F.coalesce("candidate", F.lit(False)))
     # the texts move once, whatever the tables' sizes; rows that are not the first of their text go
     first_rows = stored(docs.select(row_struct(columns), *known_by).join(firsts.hint("merge"), keys), "first-rows")
