@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +43,8 @@ COUNTED_BYTES = 64 << 20
 NEAR, KEYED = 2, 3
 #: Bytes of text for each part of the tree, and codes in a row of a part.
 BYTES_A_PART, CODES_A_ROW = 1 << 25, 1 << 18
-#: Rows whose codes are made together.
-ROWS_AT_ONCE = 1000
+#: Rows whose codes are made together; rows and bytes of text that are packed into one stretch about.
+ROWS_AT_ONCE, STRETCH_ROWS, STRETCH_BYTES = 1000, 250, 1 << 19
 #: Texts in a part; with DEPTH + 1 symbols their number fits one 64-bit word.
 TEXTS = 1 << 7
 FOLD, HELD_OUT = 10, 0
@@ -232,8 +232,15 @@ def _summed_words(held: list[pa.Table]) -> pa.Table:
 
 
 def counted(texts: DataFrame, parts: int, depth: int = DEPTH) -> DataFrame:
-    """Rows of COUNTS over all normal texts: different codes in order and their counts, words and their counts. Each task sums
-    up its own first, then each part those of all tasks."""
+    """Rows of COUNTS over all normal texts that count: different codes in order and their counts, words and their counts. Each
+    task sums up its own first, then each part those of all tasks."""
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch["texts"].to_pylist():
+                for rows in pa.ipc.open_stream(blob):
+                    rows = rows.filter(pc.invert(rows["held_out"]))
+                    yield from (rows.slice(at, ROWS_AT_ONCE) for at in range(0, len(rows), ROWS_AT_ONCE))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, counts, size = [], [], 0
@@ -249,7 +256,7 @@ def counted(texts: DataFrame, parts: int, depth: int = DEPTH) -> DataFrame:
             held.clear()
             return pa.RecordBatch.from_pylist([_row(part, words=w.take(at), word_counts=n[at]) for part, at in word_parts(w, parts)], _COUNTS)
 
-        for batch in (rows.slice(at, ROWS_AT_ONCE) for rows in batches for at in range(0, len(rows), ROWS_AT_ONCE)):
+        for batch in stretches(batches):
             found = words_of(batch["text"])[0].value_counts()
             held.append(pa.table({"w": found.field("values"), "n": found.field("counts")}))
             n_held += len(found)
@@ -318,7 +325,7 @@ def counted(texts: DataFrame, parts: int, depth: int = DEPTH) -> DataFrame:
             yield settle()
         give_back_memory()
 
-    return texts.select("text").mapInArrow(count, COUNTS).repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, COUNTS)
+    return texts.select("texts").mapInArrow(count, COUNTS).repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, COUNTS)
 
 
 class Tree:
@@ -479,23 +486,60 @@ def log_scores(known: np.ndarray, logs: np.ndarray, texts: list[bytes], depth: i
     return total
 
 
+TEXTS_SCHEMA = "number long, n_training long, n_bytes long, texts binary"
+
+
+def packed_texts(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked_texts(blobs) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in blobs.to_pylist()]).combine_chunks()
+
+
 def normal_rows(docs: DataFrame) -> DataFrame:
-    """doc_id (as text), held_out, text in normal form, and place, a number of its own."""
+    """Stretches of rows, each a compressed table of doc_id (as text), held_out and text in normal form, with a number of its
+    own, how many rows count and how many bytes its texts have."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], normal(batch["text"]), batch["place"]], ["doc_id", "held_out", "text", "place"])
+        part, k = TaskContext.get().partitionId(), 0
+        held: list[pa.RecordBatch] = []
+        size = n = 0
+
+        def settle():
+            nonlocal held, size, n, k
+            table = pa.Table.from_batches(held)
+            training = len(table) - (pc.sum(table["held_out"]).as_py() or 0)
+            out = pa.RecordBatch.from_pylist([{"number": (part << 33) + k, "n_training": training, "n_bytes": size, "texts": packed_texts(table)}], _TEXTS)
+            held, size, n, k = [], 0, 0, k + 1
+            return out
+
+        for batch in (rows.slice(at, STRETCH_ROWS) for rows in batches for at in range(0, len(rows), STRETCH_ROWS)):
+            texts = normal(batch["text"])
+            held.append(pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], texts], ["doc_id", "held_out", "text"]))
+            size += pc.sum(pc.binary_length(texts)).as_py() or 0
+            n += len(texts)
+            if size >= STRETCH_BYTES or n >= 16 * STRETCH_ROWS:
+                yield settle()
+        if n:
+            yield settle()
         give_back_memory()
 
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), in_fold(F.col("doc_id"), FOLD, HELD_OUT).alias("held_out"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("place"))
-    return rows.mapInArrow(convert, "doc_id string, held_out boolean, text string, place long")
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), in_fold(F.col("doc_id"), FOLD, HELD_OUT).alias("held_out"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(convert, TEXTS_SCHEMA)
+
+
+_TEXTS = pa.schema([("number", pa.int64()), ("n_training", pa.int64()), ("n_bytes", pa.int64()), ("texts", pa.binary())])
 
 
 def asking(parts: int, depth: int) -> Callable[[pa.Table], pa.Table]:
     """A chunk's texts -> a row for each part with the chunk's different codes and words of that part."""
 
     def ask(chunk: pa.Table) -> pa.Table:
-        texts = whole(chunk["text"])
+        texts = whole(unpacked_texts(chunk["texts"])["text"])
         codes, words = different(pc.cast(texts, pa.binary()).to_pylist(), depth), words_of(texts)[0].unique()
         rows: dict[int, dict] = {part: {"codes": packed(codes[at], True)} for part, at in by_part(codes, parts, depth)}
         for part, at in word_parts(words, parts):
@@ -517,21 +561,22 @@ def scored(docs: DataFrame, depth: int = DEPTH, least_share: float = 0.0, diverg
     """
     spark = docs.sparkSession
     rows = stored(normal_rows(docs), "normal-texts")
-    n_training, n_bytes = rows.agg(F.count_if(~F.col("held_out")), F.sum(F.octet_length("text"))).first()
+    n_training, n_bytes = (x or 0 for x in rows.agg(F.sum("n_training"), F.sum("n_bytes")).first())
     cores = spark.sparkContext.defaultParallelism
-    n_tasks, parts, n_chunks = (max(-(-(n_bytes or 0) // size), cores) for size in (COUNTED_BYTES, BYTES_A_PART, CHUNK_BYTES))
-    counts = stored(counted(rows.where(~F.col("held_out")).coalesce(n_tasks), parts, depth), "counts")
+    n_tasks, parts, n_chunks = (max(-(-n_bytes // size), cores) for size in (COUNTED_BYTES, BYTES_A_PART, CHUNK_BYTES))
+    counts = stored(counted(rows.coalesce(n_tasks), parts, depth), "counts")
     tree, least = head(counts, depth, least_share, divergence)
     near = spark.sparkContext.broadcast(tree)
     word_tokens, types = counts.agg(F.sum("n_words"), F.sum("n_types")).first()
     n, v = (word_tokens or 0) + n_training, (types or 0) + (n_training > 0)
-    # by a number of the row's own, so that equal rows spread like any others; all uses below share this one shuffle
-    chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("place"), F.lit(n_chunks)).cast("int")).drop("place").repartition(n_chunks, "chunk")
-    asked = chunked.select("chunk", "text").groupBy("chunk").applyInArrow(asking(parts, depth), "part int, chunk int, codes binary, words binary")
+    # by a stretch's number, so that equal rows spread like any others; both uses below share this one shuffle
+    chunked = rows.select(F.pmod(F.xxhash64("number"), F.lit(n_chunks)).cast("int").alias("chunk"), "texts").repartition(n_chunks, "chunk")
+    asked = chunked.groupBy("chunk").applyInArrow(asking(parts, depth), "part int, chunk int, codes binary, words binary")
     answers = answered(asked, counts, parts, near, depth, least, divergence)
 
     def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         scale = np.log10(max(n, 1) + 0.1 * (v + 1)) if n else np.log10(0.1 * (v + 1))
+        chunk = unpacked_texts(chunk["texts"])
         texts = whole(chunk["text"])
         words, sizes = words_of(texts)
         codes, logs, known, known_counts = [], [], [], []

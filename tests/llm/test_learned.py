@@ -47,6 +47,29 @@ def test_ngrams_do_not_depend_on_chunks(monkeypatch):
     assert all(np.array_equal(a, b) for a, b in zip(whole, toxicity.gram_counts(text)))
 
 
+def test_features_by_plain_counts(spark):
+    """Slots, ratios and values of a fit, by plain code over the same texts."""
+    r = np.random.default_rng(9)
+    rows = [(k, " ".join(r.choice(["bad", "worse", "vile"] if k % 3 == 0 and i % 4 == 0 else ["tree", "road", "house", "sky"]) for i in range(30)), int(k % 3 == 0)) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(3)
+    plain = [collections.Counter(), collections.Counter()]
+    for _, text, label in rows:
+        plain[label].update(set(toxicity.gram_counts(text)[0].tolist()))
+    got = {x.slot: (x.n0, x.n1) for x in toxicity.slot_counts(df).collect()}
+    assert got == {s: (plain[0][s], plain[1][s]) for s in {*plain[0], *plain[1]}}
+    slots = np.array(sorted(got))
+    chosen, ratio = toxicity.chosen_slots(slots, np.array([[got[s][k] for s in slots.tolist()] for k in (0, 1)], float), [40, 20])
+    for s, x in zip(chosen.tolist(), ratio.tolist()):
+        n0, n1 = got[s]
+        assert x == pytest.approx(math.log((n1 + 0.5) / 21) - math.log((n0 + 0.5) / 41)) and abs(x) / math.sqrt(1 / (n1 + 0.5) + 1 / (n0 + 0.5)) >= toxicity.LEAST_Z and n0 + n1 >= toxicity.LEAST_DOCS
+    for x in toxicity.sparse_rows(df, chosen, ratio).collect():
+        counts = dict(zip(*(v.tolist() for v in toxicity.gram_counts(rows[int(x.key)][1])[:2])))
+        assert np.frombuffer(x.places, np.int32).tolist() == [k for k, s in enumerate(chosen.tolist()) if s in counts]
+        assert np.frombuffer(x["values"], np.float32).tolist() == pytest.approx([math.log1p(counts[s]) * ratio[k] for k, s in enumerate(chosen.tolist()) if s in counts], rel=1e-5)
+    model = toxicity.fit(df)
+    assert all((model.score(text) >= 0.5) == label for _, text, label in rows)
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = documents(spark, BIG), spark.read.parquet(f"{BIG}/labels.parquet")
     got = {r.doc_id: r for r in toxicity.scored(docs, labels).collect()}
@@ -489,6 +512,8 @@ def test_packed_arrays_come_back():
 
 def test_many_equal_rows_spread_over_chunks(spark, monkeypatch):
     monkeypatch.setattr(suffix_tree, "CHUNK_BYTES", 1000)
+    monkeypatch.setattr(suffix_tree, "STRETCH_ROWS", 4)
+    monkeypatch.setattr(suffix_tree, "STRETCH_BYTES", 200)
     rows = [(1, "the same words in every row")] * 300 + [(2, "other words"), (10, None)]
     got = suffix_tree.scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert collections.Counter(r.doc_id for r in got) == {1: 300, 2: 1, 10: 1} and len({r.score for r in got if r.doc_id == 1}) <= 2
