@@ -22,6 +22,8 @@ WIDE_GROUP, EVEN = 1 << 15, 0x0000FFFF0000FFFF
 LONGS, COUNTS, LANES = "abcdefgh", 64, 8
 #: Buckets of neighbouring ids: cells between quantiles, cut so that a bucket holds about BUCKET_ROWS; bytes of text a task.
 QUANTILES, BUCKET_ROWS, TASK_BYTES = 256, 1 << 14, 1 << 26
+#: Tasks for each core at least, so that none waits long for the last one.
+TASKS_A_CORE = 6
 
 
 def _long(x: int) -> Column:
@@ -144,7 +146,7 @@ def bucketed(rows: DataFrame) -> tuple[DataFrame, int]:
     by_tie = _long(parts - 1) - F.least(_long(parts - 1), F.floor((F.col("tie") / F.lit(2.0**64) + 0.5) * parts))
     part = F.when(alone, by_tie).otherwise(F.coalesce(by_id, _long(0)))
     rows = rows.withColumn("cell", cell.cast("long")).withColumn("bucket", F.col("cell") * max(parts, per_cell) + part).drop("cell")
-    return rows, max(1, -(-(size or 0) // TASK_BYTES))
+    return rows, max(-(-(size or 0) // TASK_BYTES), TASKS_A_CORE * rows.sparkSession.sparkContext.defaultParallelism)
 
 
 def with_next(rows: DataFrame, carried: list[str], prepare=lambda rows: rows) -> DataFrame:
