@@ -1,11 +1,11 @@
-"""The thin queries op1 to op10: each applies its operator, with production parameters, to a whole table."""
+"""The thin queries op1 to op13: each applies its operator, with production parameters, to a whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmine.llm import fingerprints, language, media, mixing, packing, pii, simhash, suffix_tree, toxicity, urls
+from quillmine.llm import fingerprints, language, media, mixing, packing, pii, repair, simhash, suffix_tree, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op2_suffix_tree, op3_simhash, op4_mixing, op5_packing, op6_language, op7_personal_data, op8_url_filter, op9_fingerprints, op10_toxicity)}
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return repair.report(repair.damaged(conversations), conversations)
+
+
+QUERIES = {f.__name__: f for f in (op1_media_columns, op2_suffix_tree, op3_simhash, op4_mixing, op5_packing, op6_language, op7_personal_data, op8_url_filter, op9_fingerprints, op10_toxicity, op12_conversation_repair)}
 #: The other operators rest on hashes, models or tokenizers that SQL lacks; tests hold them against plain code.
 ORACLE_SQL: dict[str, str] = {"op9_fingerprints": fingerprints.compared_sql()}
