@@ -9,7 +9,6 @@ holds just what a final file must hold stays. Nothing but lists of files, bounde
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -157,8 +156,9 @@ def rewrite(spark: SparkSession, table: Table, rows: DataFrame, bucket: Column,
     return found
 
 
-def id_digests(rows: DataFrame, bucket: Column, keys: list[int]) -> DataFrame:
-    """bucket, n_rows, ids_sha256 of each file: ids in the order of the file, which the task of its bucket reads as a stream."""
+def id_digests(rows: DataFrame, keys: list[int]) -> DataFrame:
+    """rows: bucket, place, id. bucket, n_rows, ids_sha256 of each file: ids in the order of the file, which the task of its bucket
+    reads as a stream."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sha, n, number = hashlib.sha256(), 0, None
@@ -171,8 +171,7 @@ def id_digests(rows: DataFrame, bucket: Column, keys: list[int]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([n], pa.int64()), pa.array([sha.hexdigest()])], names=["bucket", "n_rows", "ids_sha256"])
         give_back_memory()
 
-    own = rows.select(bucket.alias("bucket"), "place", own_key().cast("long").alias("id"))
-    return dealt(own, F.col("bucket"), keys).sortWithinPartitions("place").select("bucket", "id").mapInArrow(digest, "bucket int, n_rows long, ids_sha256 string")
+    return dealt(rows, F.col("bucket"), keys).sortWithinPartitions("place").select("bucket", "id").mapInArrow(digest, "bucket int, n_rows long, ids_sha256 string")
 
 
 def co_bucketed(spark: SparkSession, sales: DataFrame, lines: DataFrame, folder: str) -> DataFrame:
@@ -207,14 +206,13 @@ def co_bucketed(spark: SparkSession, sales: DataFrame, lines: DataFrame, folder:
         told = spark.createDataFrame(told, "table_name string, bucket int, path string, rewritten boolean").withColumn("columns", F.lit(",".join(t.columns)))
         # the bucket of a file that stayed is looked up by its number
         held = F.get(F.array(*[F.lit(staying.get((t.name, k))).cast("int") for k in range(NUMBERS)]), F.col("number"))
-        for files, number in ((stay, held), (new[t.name], F.col("number"))):
-            if files:
-                found.append(id_digests(t.read(spark, [p for _, p in files]), number, keys).join(F.broadcast(told), "bucket"))
+        ids = [t.read(spark, [p for _, p in files]).select(b.cast("int").alias("bucket"), "place", own_key().cast("long").alias("id")) for files, b in ((stay, held), (new[t.name], F.col("number")))]
+        found.append(id_digests(ids[0].unionByName(ids[1]), keys).join(F.broadcast(told), "bucket"))
     lineage = cell.groupBy("table_name", "bucket").agg(F.array_sort(F.collect_list(F.struct("number", "n"))).alias("came"))
     lines_of = F.array_join(F.transform("came", lambda x: F.concat_ws(":", x["number"].cast("string"), x["n"].cast("string"))), ",")
     lineage = lineage.select("table_name", "bucket", F.sha2(lines_of.cast("binary"), 256).alias("lineage_sha256"))
     joined = cell.groupBy("bucket").agg(F.sum("joined").alias("n_joined"))
-    files = functools.reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], "bucket int, n_rows long, ids_sha256 string, table_name string, path string, rewritten boolean, columns string")
+    files = found[0].unionByName(found[1])
     return files.join(lineage, ["table_name", "bucket"]).join(joined, "bucket").select("table_name", "path", "columns", "ids_sha256", "lineage_sha256", F.col("bucket").cast("long").alias("bucket"), "n_rows", "n_joined", "rewritten")
 
 
