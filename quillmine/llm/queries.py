@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmine.llm import bucketing, fingerprints, language, media, mixing, packing, pii, repair, simhash, suffix_tree, toxicity, urls
+from quillmine.llm import bucketing, fingerprints, language, media, mixing, packing, pii, quality, repair, simhash, suffix_tree, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("n_lines", "n_letters", "n_upper", "n_digits", "n_marks", "n_distinct", "n_bare")
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = _table(spark, sf_dir, "conversations")
     return repair.report(repair.damaged(conversations), conversations)
@@ -67,6 +71,6 @@ def op13_co_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bucketing.co_bucketed(spark, _table(spark, sf_dir, "sales"), _table(spark, sf_dir, "sale_lines"), bucketing.new_folder(spark))
 
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op2_suffix_tree, op3_simhash, op4_mixing, op5_packing, op6_language, op7_personal_data, op8_url_filter, op9_fingerprints, op10_toxicity, op12_conversation_repair, op13_co_bucketed)}
+QUERIES = {f.__name__: f for f in (op1_media_columns, op2_suffix_tree, op3_simhash, op4_mixing, op5_packing, op6_language, op7_personal_data, op8_url_filter, op9_fingerprints, op10_toxicity, op11_quality_rules, op12_conversation_repair, op13_co_bucketed)}
 #: The other operators rest on hashes, models or tokenizers that SQL lacks; tests hold them against plain code.
 ORACLE_SQL: dict[str, str] = {"op9_fingerprints": fingerprints.compared_sql()}
