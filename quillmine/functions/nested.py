@@ -245,6 +245,31 @@ def merge_conflicts(current: Column, incoming: Column, kind: S.DataType, path: s
     return F.when(clash, F.array(F.lit(path))).otherwise(F.array().cast("array<string>"))
 
 
+def merged_all(rows: DataFrame, keys: list[str], order: str, value: str, block: int = 256) -> DataFrame:
+    """The fold of all values of a key in the order of a column: keys, value, conflicts (the paths at which values differ,
+    sorted). Rows of one order go by the value's own order.
+
+    What a merge keeps does not depend on where a sequence is cut: the longest text and the first other value are the same
+    either way, as are lists without repeats. So stretches of `block` orders are folded on their own, in one pass each, and
+    then their results, and a key of very many rows is not one task's; order must be a whole number."""
+    kind = rows.schema[value].dataType
+    part = F.floor(F.col(order) / block)
+    firsts = rows.groupBy(*keys, part.alias("_part")).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.col(value).alias("value")))).alias("all"))
+    folded = firsts.select(*keys, "_part", fold_values(F.transform("all", lambda x: x["value"]), kind).alias("fold"))
+    parts = folded.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_part", "fold"))).alias("all"))
+    whole = fold_values(F.transform("all", lambda x: x["fold"]["value"]), kind)
+    paths = F.array_sort(F.array_distinct(F.concat(F.flatten(F.transform("all", lambda x: x["fold"]["conflicts"])), F.col("whole.conflicts"))))
+    return parts.withColumn("whole", whole).select(*keys, F.col("whole.value").alias(value), paths.alias("conflicts"))
+
+
+def fold_values(values: Column, kind: S.DataType) -> Column:
+    """value and conflicts (distinct paths) of an array's values merged from first to last."""
+    empty = F.array().cast("array<string>")
+    start = F.struct(F.lit(None).cast(kind).alias("value"), empty.alias("conflicts"))
+    step = lambda s, x: F.struct(merged(s["value"], x, kind).alias("value"), F.array_union(s["conflicts"], F.coalesce(merge_conflicts(s["value"], x, kind, "$"), empty)).alias("conflicts"))
+    return F.aggregate(values, start, step)
+
+
 def paragraph_indexes(value: Column, kind: S.StructType) -> Column:
     """A10: the distinct paragraph_index values at any depth, ascending."""
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmine.sources.shared import stored
+from quillmine.functions.hashing import permuted, stable_hash
+from quillmine.operators.tracking import positions
+from quillmine.sources.shared import remove, stored, stored_at
 
 
 def simple_edges(edges: DataFrame) -> DataFrame:
@@ -55,16 +61,27 @@ def pagerank_step(edges: DataFrame, ranks: DataFrame, damping: float, n: int | N
     return ranks.select("node").join(given, "node", "left").select("node", (F.coalesce("given", F.lit(0.0)) * damping + (1 - damping) / n).alias("rank"))
 
 
-def pagerank(edges: DataFrame, damping: float = 0.8, steps: int = 1) -> DataFrame:
-    """`steps` of G3 from equal ranks. Edges and nodes are worked out once."""
-    edges = stored(simple_edges(edges), "edges")
-    ranks = stored(degrees(edges).select("node"), "nodes")
-    n = ranks.count()
-    ranks = ranks.withColumn("rank", F.lit(1.0 / n if n else 0.0))
-    for k in range(steps):
-        ranks = pagerank_step(edges, ranks, damping, n)
-        if k < steps - 1:
-            ranks = stored(ranks, "ranks")
+def pagerank(edges: DataFrame, damping: float = 0.8, steps: int = 1, tolerance: float | None = None, nodes: DataFrame | None = None) -> DataFrame:
+    """Node, rank after at most `steps` of G3 from equal ranks; with a tolerance it ends at the first step that changes all
+    ranks together by less. nodes (column node) may hold nodes without edges: what these have is spread over all nodes.
+
+    Edges are stored once, with the degree where they lead from; a step is one join and one sum, stored, and removes the one
+    before. Nothing but the change and the spread mass, a number each, comes to the driver."""
+    simple = stored(simple_edges(edges), "edges")
+    linked = simple.select(F.explode(F.array("src", "dst")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    links = stored(both_ways(simple).join(linked, F.col("src") == F.col("node")).select("src", "dst", "degree"), "links")
+    nodes = stored((linked if nodes is None else nodes).select("node").distinct().join(linked, "node", "left"), "nodes")
+    n = nodes.count()
+    ranks, path = stored_at(nodes.select("node", F.lit(1.0 / n if n else 0.0).alias("rank")), "ranks")
+    for _ in range(steps):
+        given = links.join(ranks, F.col("src") == F.col("node")).groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("rank") / F.col("degree")).alias("given"))
+        lost = nodes.where("degree is null").join(ranks, "node").agg(F.sum("rank").alias("lost")).first().lost or 0.0
+        rank = damping * (F.coalesce("given", F.lit(0.0)) + lost / max(n, 1)) + (1 - damping) / max(n, 1)
+        moved, after = stored_at(ranks.withColumnRenamed("rank", "before").join(given, "node", "left").select("node", rank.alias("rank"), F.abs(rank - F.col("before")).alias("change")), "ranks")
+        remove(edges.sparkSession, path)
+        ranks, path = moved.select("node", "rank"), after
+        if tolerance is not None and (moved.agg(F.sum("change").alias("change")).first().change or 0.0) < tolerance:
+            break
     return ranks
 
 
@@ -96,8 +113,39 @@ def missing_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def negative_sample(nodes: DataFrame, edges: DataFrame, count: int, seed: int) -> DataFrame:
-    """`count` of the missing edges by a hash."""
-    return missing_edges(nodes, edges).orderBy(F.xxhash64(F.lit(seed), "src", "dst"), "src", "dst").limit(count)
+    """Src < dst and draw of `count` missing edges (all, where there are fewer), each as likely as any other.
+
+    Pairs of nodes have ranks from 0; a seeded permutation of the ranks says in which order they are drawn, so none is drawn
+    twice. Drawn ranks become pairs of places and these nodes; pairs that are edges go, and more are drawn while too few are
+    left. No step has more rows than nodes, edges or about count divided by the share of pairs without an edge."""
+    spark = nodes.sparkSession
+    places = stored(positions(nodes.select("node").distinct(), "node", name="place"), "places")
+    known = simple_edges(edges).join(places.select(F.col("node").alias("src")), "src", "left_semi").join(places.select(F.col("node").alias("dst")), "dst", "left_semi")
+    known = stored(known.select("src", "dst"), "known")
+    n = places.count()
+    pairs = n * (n - 1) // 2
+    free = pairs - known.count()
+    want = min(count, free)
+    low, high = (places.select(F.col("place").alias(p), F.col("node").alias(c)) for p, c in (("low", "src"), ("high", "dst")))
+    draws = min(pairs, math.ceil(1.1 * want * pairs / max(free, 1)) + 16) if want > 0 else 0
+    while True:
+        rank = permuted(F.col("id"), pairs, seed)
+        drawn = spark.range(draws).select(F.col("id").alias("draw"), *pair_of(rank))
+        found, path = stored_at(drawn.join(low, "low").join(high, "high").join(known, ["src", "dst"], "left_anti").select("src", "dst", "draw"), "drawn")
+        if draws >= pairs or found.count() >= want:
+            break
+        remove(spark, path)
+        draws = min(pairs, 2 * draws)
+    return positions(found, "draw", name="place").where(F.col("place") < want).select("src", "dst", "draw")
+
+
+def pair_of(rank: Column) -> list[Column]:
+    """low < high of the pair with this rank: rank = high * (high - 1) / 2 + low. The root is put right by one either way, as
+    a double holds it only nearly."""
+    below = lambda h: F.shiftright(h * (h - 1), 1)
+    near = F.floor((1 + F.sqrt(8 * rank.cast("double") + 1)) / 2).cast("long")
+    high = F.when(below(near) > rank, near - 1).when(below(near + 1) <= rank, near + 1).otherwise(near)
+    return [(rank - below(high)).alias("low"), high.alias("high")]
 
 
 def can_be_negative(pairs: DataFrame, edges: DataFrame) -> DataFrame:
@@ -127,3 +175,42 @@ def accuracy(rows: DataFrame, score: str, label: str) -> DataFrame:
 def perplexity(loss: Column) -> Column:
     """A11."""
     return F.when(loss < 50, F.exp(loss)).otherwise(F.lit(float("inf")))
+
+
+def initial_embeddings(nodes: DataFrame, size: int, seed: int) -> DataFrame:
+    """Node, embedding of `size` numbers from 0 to 1, even and reproducible for each node."""
+    part = lambda k: (stable_hash(F.concat_ws("/", F.col("node").cast("string"), k.cast("string")), seed) % (1 << 32)).cast("double") / float(1 << 32)
+    return nodes.select("node", F.transform(F.sequence(F.lit(0), F.lit(size - 1)), part).alias("embedding"))
+
+
+def principal_components(rows: DataFrame, vector: str, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(centre, components as rows, each one's share of the variance). Tasks add up vectors and their products, so what
+    comes to the driver is bounded by the square of the dimension; null vectors are left out. A component's largest part is
+    positive, so that its direction is fixed."""
+    size = rows.where(F.col(vector).isNotNull()).select(F.size(vector).alias("size")).first().size
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, gram = 0, np.zeros(size), np.zeros((size, size))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
+            n, total, gram = n + len(x), total + x.sum(axis=0), gram + x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.tolist()]), pa.array([gram.ravel().tolist()])], names=["n", "total", "gram"])
+
+    parts = rows.where(F.col(vector).isNotNull()).select(F.col(vector).cast("array<double>")).mapInArrow(products, "n long, total array<double>, gram array<double>")
+    # the parts are added up by place, which is a row for each of them, and not gathered
+    sums = parts.select(F.posexplode(F.concat(F.array(F.col("n").cast("double")), "total", "gram")).alias("at", "value")).groupBy("at").agg(F.sum("value").alias("value"))
+    flat = np.zeros(1 + size + size * size)
+    for r in sums.collect():
+        flat[r["at"]] = r["value"]
+    n, centre = flat[0], flat[1 : size + 1] / flat[0]
+    spread, axes = np.linalg.eigh(flat[size + 1 :].reshape(size, size) / n - np.outer(centre, centre))
+    axes = axes.T[::-1][:k]
+    axes = axes * np.sign(axes[np.arange(len(axes)), np.abs(axes).argmax(axis=1)])[:, None]
+    return centre, axes, spread[::-1][:k] / spread.sum()
+
+
+def projected(rows: DataFrame, vector: str, k: int) -> DataFrame:
+    """Rows with plane, their k coordinates along the principal components."""
+    centre, axes, _ = principal_components(rows, vector, k)
+    along = lambda axis: F.aggregate(F.zip_with(F.col(vector), F.array(*[F.lit(float(a)) for a in axis]), lambda x, a: x.cast("double") * a), F.lit(-float(axis @ centre)), lambda s, x: s + x)
+    return rows.withColumn("plane", F.when(F.col(vector).isNotNull(), F.array(*[along(axis) for axis in axes])))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from quillmine.functions import text as T
 
@@ -25,15 +28,22 @@ def numbered_document(docs: DataFrame, id_column: str = "doc_id", text_column: s
     return rows.select("document_id", F.size("parts").alias("paragraph_count"), F.array_join(numbered, "\n").alias("numbered_text"), F.array_join("parts", "\n\n").alias("text"))
 
 
+def offsets_of(sizes) -> np.ndarray:
+    """Where each paragraph starts, two characters between neighbours."""
+    sizes = np.asarray(sizes, np.int64) + SEPARATOR
+    return np.cumsum(sizes) - sizes
+
+
+@F.pandas_udf(S.ArrayType(S.LongType()))
+def _offsets(column: pd.Series) -> pd.Series:
+    return column.map(offsets_of, na_action="ignore")
+
+
 def with_offsets(parts: Column) -> Column:
-    """P (from 1), start, end, section_tag, text of each paragraph as they lie in the text joined by blank lines."""
-    placed = F.aggregate(
-        F.transform(parts, F.length),
-        F.array(F.lit(0)),
-        lambda starts, n: F.concat(starts, F.array(F.element_at(starts, -1) + n + SEPARATOR)),
-    )
+    """P (from 1), start, end, section_tag, text of each paragraph as they lie in the text joined by blank lines. The starts
+    are one running sum over the lengths, so the work grows with a document's paragraphs and not with their square."""
     return F.transform(
-        F.arrays_zip(parts.alias("text"), F.slice(placed, 1, F.size(parts)).alias("start")),
+        F.arrays_zip(parts.alias("text"), _offsets(F.transform(parts, F.length)).alias("start")),
         lambda x, i: F.struct((i + 1).alias("p"), x["start"].alias("start"), (x["start"] + F.length(x["text"])).alias("end"), T.section_tag(x["text"]).alias("section_tag"), x["text"].alias("text")),
     )
 
@@ -46,29 +56,28 @@ def offset_table(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return rows.select("doc_id", (F.col("at") + 1).alias("p"), (end - F.length("text")).alias("start"), end.alias("end"), T.section_tag(F.col("text")).alias("section_tag"), "text")
 
 
+def chunks_of(sizes, max_chars: int) -> list[tuple[int, int, int]]:
+    """(chunk_id, p_from, p_to) over paragraphs of these sizes; each end is found by bisection in the running sums."""
+    upto = np.concatenate([[0], np.cumsum(np.asarray(sizes, np.int64) + SEPARATOR)])
+    found, at, n = [], 0, len(upto) - 1
+    while at < n:
+        room = max_chars + (0 if at else SEPARATOR)
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] + room, side="right")) - 1)
+        found.append((len(found) + 1, at + 1, end))
+        at = end
+    return found
+
+
 def char_chunks(parts: Column, max_chars: int) -> Column:
     """Chunks of paragraphs up to max_chars: chunk_id, p_from, p_to. A single longer paragraph is a chunk. The two
     characters between paragraphs count towards a paragraph even where it then opens a chunk."""
-    empty = F.array().cast("array<struct<chunk_id:int,p_from:int,p_to:int>>")
-    start = F.struct(empty.alias("done"), F.lit(1).alias("first"), F.lit(0).alias("held"), F.lit(0).alias("at"))
-
-    def step(s, n):
-        at = s["at"] + 1
-        add = n + F.when(at > s["first"], F.lit(SEPARATOR)).otherwise(F.lit(0))
-        cut = (at > s["first"]) & (s["held"] + add > max_chars)
-        chunk = F.struct((F.size(s["done"]) + 1).alias("chunk_id"), s["first"].alias("p_from"), s["at"].alias("p_to"))
-        return F.struct(
-            F.when(cut, F.concat(s["done"], F.array(chunk))).otherwise(s["done"]).alias("done"),
-            F.when(cut, at).otherwise(s["first"]).alias("first"),
-            F.when(cut, add).otherwise(s["held"] + add).alias("held"),
-            at.alias("at"),
-        )
-
-    def finish(s):
-        last = F.struct((F.size(s["done"]) + 1).alias("chunk_id"), s["first"].alias("p_from"), s["at"].alias("p_to"))
-        return F.when(s["at"] >= s["first"], F.concat(s["done"], F.array(last))).otherwise(s["done"])
-
-    return F.aggregate(F.transform(parts, F.length), start, step, finish)
+
+    @F.pandas_udf("array<struct<chunk_id:int,p_from:int,p_to:int>>")
+    def cut(column: pd.Series) -> pd.Series:
+        names = ("chunk_id", "p_from", "p_to")
+        return column.map(lambda sizes: [dict(zip(names, c)) for c in chunks_of(sizes, max_chars)], na_action="ignore")
+
+    return cut(F.transform(parts, F.length))
 
 
 def chunk_table(docs: DataFrame, max_chars: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

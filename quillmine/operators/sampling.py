@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmine.functions.hashing import stable_hash
+from quillmine.operators.tracking import batch_number, positions, worker_of
 
 
 def lowest_ranked(rows: DataFrame, id_column: str, seed: Column | int, count: Column | int, stratum: list[str] | None = None, tie: list[str] | None = None) -> DataFrame:
@@ -19,9 +20,16 @@ def lowest_ranked(rows: DataFrame, id_column: str, seed: Column | int, count: Co
     return rows.withColumn("rank", rank).where(F.col("rank") <= count)
 
 
-def shuffled(rows: DataFrame, id_column: str, seed: int, epoch: int) -> DataFrame:
-    """A reproducible order for each epoch."""
-    return rows.withColumn("shuffle_key", F.xxhash64(F.lit(seed), F.lit(epoch), F.col(id_column))).orderBy("shuffle_key", id_column)
+def shuffled(rows: DataFrame, id_column: str, seed: int, epoch: int, shard_rows: int = 1000, batch_rows: int = 32, workers: int = 1) -> DataFrame:
+    """Rows with shard, worker, batch and place, the order of one epoch: shards (slices of shard_rows by id) are dealt to
+    workers, each worker's shards are shuffled, and rows within batches of batch_rows of a shard. Orders are by SHA-256 of the
+    epoch's seed and the shard's or row's name. place counts over all rows, worker by worker; no task orders more than a range."""
+    numbered = positions(rows, id_column, name="_place")
+    shard = batch_number(F.col("_place"), shard_rows)
+    numbered = numbered.withColumn("shard", shard).withColumn("worker", worker_of(F.col("shard"), workers))
+    numbered = numbered.withColumn("batch", batch_number(F.col("_place") % shard_rows, batch_rows)).drop("_place")
+    keyed = numbered.withColumns({"_shard_key": stable_hash(F.col("shard"), seed + epoch), "_row_key": stable_hash(F.col(id_column), seed + epoch)})
+    return positions(keyed, "worker", "_shard_key", "shard", "batch", "_row_key", id_column, name="place").drop("_shard_key", "_row_key")
 
 
 def mixture_manifest(rows: DataFrame, id_column: str, kind_column: str, main_kind, other_kinds, other_fraction: float, seed: int, limit: int | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmine.functions.rows import packed, quoted, unpacked
 from quillmine.sources.shared import stored
 
 
@@ -81,35 +82,47 @@ def with_row_number(rows: DataFrame, order: list, name: str, partition_by: list
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*(partition_by or [])).orderBy(*order)))
 
 
-def in_ranges(rows: DataFrame, *order: str) -> DataFrame:
+def in_ranges(rows: DataFrame, *order: str | Column) -> DataFrame:
     """rows in ranges of the order columns, of any type, sorted within and stored, with _part (ranges in order) and _at (place
     in the range, from 0). The order columns should tell rows apart: equal ones share a range, in no fixed order."""
-    ranged = rows.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    order = [F.col(quoted(c)) if isinstance(c, str) else c for c in order]
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     # an id of its own is the number of the partition above 33 bits for the place in it
     numbered = ranged.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     return stored(numbered, "ranges")
 
 
+def _packed_ranges(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """in_ranges() of rows as one column, so that a table may have columns of any name."""
+    return in_ranges(rows.select(packed(rows.columns)), *[F.col("row").getField(c) for c in order])
+
+
 def _before(ranged: DataFrame, amount: Column) -> DataFrame:
     """_part and _base: what the amounts of all earlier ranges add up to. A row for each range, so one task orders them."""
     totals = ranged.groupBy("_part").agg(F.sum(amount).alias("_total"))
     return totals.select("_part", (F.sum("_total").over(Window.orderBy("_part")) - F.col("_total")).alias("_base"))
 
 
+def _with(columns: list[str], name: str, value: Column) -> list[Column]:
+    """The packed row's columns with one more, which takes the place of one of that name."""
+    return [*unpacked([c for c in columns if c != name]), value.alias(name)]
+
+
 def positions(rows: DataFrame, *order: str, name: str = "position") -> DataFrame:
     """Row numbers from 0 by order columns of any type, nulls first, the same way at every size: no task orders more than a
-    range of the rows, and the sizes of ranges are added up."""
-    ranged = in_ranges(rows, *order)
+    range of the rows, and the sizes of ranges are added up. Columns may have any names; one called `name` is replaced."""
+    ranged = _packed_ranges(rows, order)
     bases = F.broadcast(_before(ranged, F.lit(1).cast("long")))
-    return ranged.join(bases, "_part").withColumn(name, F.col("_base") + F.col("_at")).drop("_part", "_at", "_base")
+    return ranged.join(bases, "_part").select(*_with(rows.columns, name, F.col("_base") + F.col("_at")))
 
 
 def running_total(rows: DataFrame, amount: str, *order: str, name: str) -> DataFrame:
-    """rows with the sum of the amounts of all rows before, in the order of the columns."""
-    ranged = in_ranges(rows, *order)
-    bases = F.broadcast(_before(ranged, F.col(amount)))
-    within = F.sum(amount).over(Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)) - F.col(amount)
-    return ranged.withColumn(name, within).join(bases, "_part").withColumn(name, F.col(name) + F.col("_base")).drop("_part", "_at", "_base")
+    """rows with the sum of the amounts of all rows before, in the order of the columns. Names as for positions()."""
+    ranged = _packed_ranges(rows, order)
+    own = F.col("row").getField(amount)
+    bases = F.broadcast(_before(ranged, own))
+    within = F.sum(own).over(Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)) - own
+    return ranged.withColumn("_within", within).join(bases, "_part").select(*_with(rows.columns, name, F.col("_within") + F.col("_base")))
 
 
 def batch_number(position: Column, size: int) -> Column:
@@ -143,6 +156,13 @@ def event_shards(events: DataFrame, order: str, flush_size: int) -> DataFrame:
     return numbered.withColumn("shard", F.format_string("events-%06d.jsonl", batch_number(F.col("_place"), flush_size) + 1)).drop("_place")
 
 
+def series(pairs: DataFrame, keys: list[str], step: str, before: str, value: str) -> DataFrame:
+    """Keys, step, value of a series that is told in pairs (the value before, the value at a step): the first pair's earlier
+    value, one step back, then each pair's later one."""
+    first = pairs.groupBy(*keys).agg((F.min(step) - 1).alias(step), F.min_by(before, step).alias("value"))
+    return first.unionByName(pairs.select(*keys, step, F.col(value).alias("value")))
+
+
 def completed_steps(names: DataFrame, column: str = "name") -> DataFrame:
     """Steps of checkpoints that have their success marker, ascending."""
     step = F.regexp_extract(column, r"(?:^|/)checkpoint-(\d+)/_SUCCESS$", 1)

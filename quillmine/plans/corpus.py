@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmine.config import PreparationSettings
-from quillmine.functions import hashing
+from quillmine.functions import hashing, mojibake
 from quillmine.functions import text as T
 from quillmine.operators import sampling, tracking, vocabulary
 from quillmine.sources import sinks
+from quillmine.sources.shared import ensure_checkpoint_dir
 
 QUERIES, ORACLE_SQL = {}, {}
 LATIN = PreparationSettings(script="Latin", least_characters=200, validation_fraction=0.10)
@@ -88,6 +91,17 @@ def mojibake_fix(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.repair_cp1251(broken).alias("repaired"))
 
 
+@query("mojibake_chain", "SELECT doc_id, md5(CASE doc_id % 4 WHEN 3 THEN 'Вирок суду № ' || doc_id || ' — «' || lang || '»' ELSE text END) AS mended FROM documents")
+def mojibake_chain(spark, sf_dir):
+    """T2's first step: whole texts whose bytes were read wrongly not at all, once and twice over, and Cyrillic ones."""
+    text = F.col("text")
+    cyrillic = F.concat(F.lit("Вирок суду № "), F.col("doc_id").cast("string"), F.lit(" — «"), F.col("lang"), F.lit("»"))
+    once = mojibake.misread(text, "cp1252")
+    broken = F.when(F.col("doc_id") % 4 == 3, mojibake.misread(cyrillic, "cp1251")).when(F.col("doc_id") % 4 == 2, mojibake.misread(once, "cp1252")).when(F.col("doc_id") % 4 == 1, once).otherwise(text)
+    rows = table(spark, sf_dir, "documents").select("doc_id", broken.alias("broken"))
+    return rows.select("doc_id", F.md5(mojibake.mend(F.col("broken")).cast("binary")).alias("mended"))
+
+
 @query("text_fingerprint", "SELECT 'doc' || doc_id || '_' || substr(sha1(text), 1, 12) AS name, sha256(text) AS text_hash, length(text)::BIGINT AS char_count FROM documents")
 def text_fingerprint(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -108,9 +122,23 @@ def stratified_sample(spark, sf_dir):
     return sampling.mixture_manifest(table(spark, sf_dir, "documents"), "doc_id", "lang", "en", ["fr", "de", "es"], 0.1, 42)
 
 
-@query("shuffled_epoch")
+@query("shuffled_epoch", f"""
+WITH p AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS p FROM documents), s AS (SELECT doc_id, lang, p // 100 AS shard, (p // 100) % 3 AS worker, (p % 100) // 32 AS batch FROM p)
+SELECT doc_id, lang, shard, worker, batch, row_number() OVER (ORDER BY worker, {HASH_SQL.format(seed=43, id='shard')}, shard, batch, {HASH_SQL.format(seed=43, id='doc_id')}, doc_id) - 1 AS place FROM s""")
 def shuffled_epoch(spark, sf_dir):
-    return sampling.shuffled(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", 42, 1)
+    return sampling.shuffled(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", 42, 1, 100, 32, 3)
+
+
+@query("written_corpus")
+def written_corpus(spark, sf_dir):
+    """K1: the cleaned corpus written in shards to a new folder, and what is read back from there."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    split = hashing.split_of(F.col("doc_id"), LATIN.validation_fraction, LATIN.seed)
+    sinks.write_corpus(docs, folder, "doc_id", lambda rows: cleaned(rows).withColumn("split", split).select("doc_id", "shard", "split", F.col("clean").alias("text"), "text_hash", "char_count", "error"), 100)
+    clean = spark.read.parquet(f"{folder}/clean").select("doc_id", F.col("shard").cast("long").alias("shard"), "split", "text_hash", F.lit(None).cast("string").alias("error"))
+    refused = spark.read.parquet(f"{folder}/errors").select("doc_id", F.col("shard").cast("long").alias("shard"), F.lit("error").alias("split"), F.lit(None).cast("string").alias("text_hash"), "error")
+    return clean.unionByName(refused)
 
 
 @query("missing_ids", "SELECT doc_id, lang FROM documents WHERE doc_id IS NOT NULL AND doc_id::VARCHAR NOT IN (SELECT doc_id::VARCHAR FROM labels WHERE doc_id IS NOT NULL)")

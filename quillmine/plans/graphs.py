@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quillmine.operators import graph
+from quillmine.functions.hashing import permuted_sql
+from quillmine.operators import graph, tracking
 from quillmine.plans.corpus import table
 from quillmine.sources.shared import stored
 
@@ -47,7 +49,7 @@ def graph_degree(spark, sf_dir):
 @query("graph_clustering", f"""WITH {EDGES_SQL}, t AS (SELECT x.src AS node, count(*) AS twice FROM b x JOIN b y ON x.src = y.src AND x.dst <> y.dst JOIN b z ON z.src = x.dst AND z.dst = y.dst GROUP BY 1)
 SELECT d.node, degree, coalesce(twice, 0) // 2 AS triangles, round(CASE WHEN degree < 2 THEN 0 ELSE coalesce(twice, 0)::DOUBLE / (degree * (degree - 1)) END, 9) AS coefficient FROM d LEFT JOIN t ON d.node = t.node""")
 def graph_clustering(spark, sf_dir):
-    return graph.clustering(trade_edges(spark, sf_dir)).select("node", "degree", "triangles", F.round("coefficient", 9).alias("coefficient"))
+    return graph.clustering(stored(trade_edges(spark, sf_dir), "edges")).select("node", "degree", "triangles", F.round("coefficient", 9).alias("coefficient"))
 
 
 @query("graph_pagerank_step", f"""WITH {EDGES_SQL}, n AS (SELECT count(*) AS n FROM d)
@@ -56,6 +58,46 @@ def graph_pagerank_step(spark, sf_dir):
     return graph.pagerank(trade_edges(spark, sf_dir), 0.8, 1).select("node", F.round("rank", 9).alias("rank"))
 
 
+RANK_STEPS = 40
+
+
+@query("graph_pagerank", f"""WITH RECURSIVE {EDGES_SQL}, m AS (SELECT n_nationkey::BIGINT AS node FROM nation), n AS (SELECT count(*)::DOUBLE AS n FROM m),
+r AS (SELECT 0 AS step, node, 1 / n AS rank FROM m, n UNION ALL
+  SELECT s.step + 1, m.node, 0.8::DOUBLE * (coalesce(g.given, 0) + coalesce(s.lost, 0) / n) + 0.2::DOUBLE / n
+  FROM m CROSS JOIN n CROSS JOIN (SELECT max(step) AS step, sum(CASE WHEN degree IS NULL THEN rank END) AS lost FROM r LEFT JOIN d ON d.node = r.node) s
+  LEFT JOIN (SELECT b.dst, sum(r.rank / d.degree) AS given FROM r JOIN b ON b.src = r.node JOIN d ON d.node = r.node GROUP BY 1) g ON g.dst = m.node WHERE s.step < {RANK_STEPS})
+SELECT node, round(rank, 9) AS rank FROM r WHERE step = {RANK_STEPS}""")
+def graph_pagerank(spark, sf_dir):
+    """G4 until ranks stand still; nations without an edge spread theirs."""
+    nodes = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("node"))
+    return graph.pagerank(trade_edges(spark, sf_dir), 0.8, 100, 1e-11, nodes).select("node", F.round("rank", 9).alias("rank"))
+
+
+@query("negative_sample", f"""WITH {EDGES_SQL}, i AS (SELECT node, row_number() OVER (ORDER BY node) - 1 AS i FROM d), p AS (SELECT (count(*) * (count(*) - 1)) // 2 AS p FROM d),
+q AS (SELECT (y.i * (y.i - 1)) // 2 + x.i AS r, x.node AS src, y.node AS dst FROM i x JOIN i y ON x.i < y.i),
+k AS (SELECT k AS draw, {permuted_sql('k', 'p', 7)} AS r FROM p, LATERAL (SELECT unnest(range(p)) AS k))
+SELECT src, dst, draw FROM k JOIN q USING (r) WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.src = q.src AND e.dst = q.dst) ORDER BY draw LIMIT 60""")
+def negative_sample(spark, sf_dir):
+    """As many pairs without an edge as asked for, without making all of them."""
+    edges = stored(trade_edges(spark, sf_dir), "edges")
+    return graph.negative_sample(graph.degrees(edges).select("node"), edges, 60, 7)
+
+
+@query("embedding_plane")
+def embedding_plane(spark, sf_dir):
+    """Embeddings along their two principal components."""
+    rows = graph.projected(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), "embedding", 2)
+    return rows.select("vec_id", "label", F.round(F.col("plane")[0], 6).alias("x"), F.round(F.col("plane")[1], 6).alias("y"))
+
+
+@query("initial_embeddings", """
+SELECT c_custkey AS node, k, ((('0x' || substr(sha256('5:' || c_custkey || '/' || k), 1, 16))::UBIGINT % 4294967296)::DOUBLE / 4294967296) AS value FROM customer, (SELECT unnest(range(8)) AS k)""")
+def initial_embeddings(spark, sf_dir):
+    """Where a node's vector starts."""
+    nodes = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("node"))
+    return graph.initial_embeddings(nodes, 8, 5).select("node", F.posexplode("embedding").alias("k", "value")).withColumn("k", F.col("k").cast("long"))
+
+
 @query("graph_closeness", f"""WITH RECURSIVE {EDGES_SQL},
 r AS (SELECT node AS source, node, 0 AS distance FROM d UNION SELECT r.source, b.dst, r.distance + 1 FROM r JOIN b ON r.node = b.src WHERE r.distance < 24),
 m AS (SELECT source, node, min(distance) AS distance FROM r GROUP BY 1, 2) SELECT source AS node, round(1.0::DOUBLE / nullif(sum(distance), 0), 9) AS closeness FROM m GROUP BY 1""")
@@ -98,7 +140,7 @@ def embedding_accuracy(spark, sf_dir):
 
 @query("labelled_edges", f"WITH {EDGES_SQL} SELECT src, dst, 1 AS label FROM e UNION ALL SELECT x.node, y.node, 0 FROM d x JOIN d y ON x.node < y.node WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.src = x.node AND e.dst = y.node)")
 def labelled_edges(spark, sf_dir):
-    edges = trade_edges(spark, sf_dir)
+    edges = stored(trade_edges(spark, sf_dir), "edges")
     return graph.labelled_edges(edges, graph.missing_edges(graph.degrees(edges).select("node"), edges))
 
 
@@ -109,35 +151,17 @@ def perplexity(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.when(p == float("inf"), p).otherwise(scaled).alias("scaled_perplexity"))
 
 
-#: Published counts as (before, in the year) pairs for 2021-2025, local and appeal courts.
-PENDING = ((3_223_428, 3_585_213), (4_556_521, 3_282_175), (3_282_175, 4_622_827), (4_622_827, 4_790_485), (4_790_485, 5_172_363))
-PENDING_APPEAL = ((375_383, 383_551), (396_458, 300_493), (300_493, 366_446), (366_446, 409_265), (409_265, 517_768))
-TAKEN = ((3_199_752, 3_730_037), (3_918_432, 2_537_114), (2_567_114, 4_063_353), (4_063_353, 4_096_499), (4_096_499, 4_397_098))
-TAKEN_APPEAL = ((278_457, 332_130), (332_130, 224_650), (224_650, 288_730), (288_730, 326_307), (326_307, 420_892))
-PROCESSED = ((3_048_734, 3_576_440), (3_764_903, 2_675_004), (2_675_004, 3_910_346), (3_910_346, 3_983_480), (3_983_480, 4_172_512))
-PROCESSED_APPEAL = ((263_869, 314_714), (314_714, 223_028), (223_028, 283_180), (283_180, 312_168), (312_168, 359_871))
-LEFT = ((538_751, 580_152), (791_618, 607_171), (607_171, 712_481), (712_481, 807_005), (807_005, 999_851))
-LEFT_APPEAL = ((37_458, 43_401), (81_744, 77_465), (77_465, 83_266), (83_226, 97_097), (97_097, 157_897))
-MEASURES = {"pending": (PENDING, PENDING_APPEAL), "taken": (TAKEN, TAKEN_APPEAL), "processed": (PROCESSED, PROCESSED_APPEAL), "left": (LEFT, LEFT_APPEAL)}
-
-
-def series(pairs: tuple[tuple[int, int], ...]) -> list[int]:
-    """The first pair's earlier value, then each pair's later one."""
-    return [pairs[0][0], *(later for _, later in pairs)]
-
-
-def _series_sql() -> str:
-    parts = []
-    for name, (local, appeal) in MEASURES.items():
-        for k in range(6):
-            a, b = (p[0][0] if k == 0 else p[k - 1][1] for p in (local, appeal))
-            parts.append(f"('{name}', {2020 + k}, {a}::BIGINT, {b}::BIGINT)")
-    return f"SELECT measure, year, local, appeal, local + appeal AS stacked FROM (VALUES {', '.join(parts)}) v(measure, year, local, appeal)"
+YEARS_SQL = """y AS (SELECT o_orderpriority AS measure, o_orderstatus AS court, year(o_orderdate)::INTEGER AS year, count(*) AS n FROM orders GROUP BY 1, 2, 3),
+pairs AS (SELECT measure, court, year, lag(n) OVER w AS before, n FROM y WINDOW w AS (PARTITION BY measure, court ORDER BY year))"""
 
 
-@query("court_series", _series_sql())
+@query("court_series", f"""WITH {YEARS_SQL}, s AS (SELECT measure, court, year - 1 AS year, before AS value FROM (SELECT *, row_number() OVER (PARTITION BY measure, court ORDER BY year) AS k FROM pairs WHERE before IS NOT NULL) WHERE k = 1
+  UNION ALL SELECT measure, court, year, n FROM pairs WHERE before IS NOT NULL)
+SELECT measure, year, sum(value) FILTER (WHERE court = 'F')::BIGINT AS local, sum(value) FILTER (WHERE court = 'O')::BIGINT AS appeal, sum(value)::BIGINT AS stacked FROM s GROUP BY 1, 2""")
 def court_series(spark, sf_dir):
-    rows = [(name, court, 2020 + k, v) for name, courts in MEASURES.items() for court, pairs in zip(("local", "appeal"), courts) for k, v in enumerate(series(pairs))]
-    df = spark.createDataFrame(rows, "measure string, court string, year int, value long")
+    """A14 over orders: each year has its own count beside that of the year before, and a series is made of the pairs."""
+    years = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("measure"), F.col("o_orderstatus").alias("court"), F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = years.withColumn("before", F.lag("n").over(Window.partitionBy("measure", "court").orderBy("year"))).where("before is not null")
+    rows = tracking.series(pairs, ["measure", "court"], "year", "before", "n")
     of = lambda c: F.sum(F.when(F.col("court") == c, F.col("value")))
-    return df.groupBy("measure", "year").agg(of("local").alias("local"), of("appeal").alias("appeal"), F.sum("value").alias("stacked"))
+    return rows.groupBy("measure", "year").agg(of("F").alias("local"), of("O").alias("appeal"), F.sum("value").alias("stacked"))

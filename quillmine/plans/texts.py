@@ -49,6 +49,13 @@ def paragraph_offsets(spark, sf_dir):
     return paragraphs.offset_table(table(spark, sf_dir, "documents")).select("doc_id", "p", "start", "end", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+@query("paragraph_offsets_in_place", ORACLE_SQL["paragraph_offsets"])
+def paragraph_offsets_in_place(spark, sf_dir):
+    """W4 without leaving the document's row."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.inline(paragraphs.with_offsets(T.blank_line_paragraphs(T.normalize_light(F.col("text"))))))
+    return rows.select("doc_id", "p", "start", "end", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 CHUNKS_SQL = f"""
 WITH RECURSIVE b AS ({BLOCKS_SQL}), s AS (
   SELECT doc_id, ps, 1 AS p, 1 AS chunk, length(ps[1]) AS held FROM b WHERE len(ps) > 0
@@ -245,6 +252,19 @@ def deep_merge(spark, sf_dir):
     return both.select("conv_id", "turn", F.md5(F.col("m.text").cast("binary")).alias("text_md5"), F.array_join("m.roles", ",").alias("roles"), (F.size("c") > 0).alias("conflict"))
 
 
+@query("merged_conversations", """
+WITH r AS (SELECT conv_id, role, min(turn) AS first FROM conversations GROUP BY 1, 2), roles AS (SELECT conv_id, string_agg(role, ',' ORDER BY first) AS roles FROM r GROUP BY 1)
+SELECT c.conv_id, first(role ORDER BY length(role) DESC, turn) AS role, md5(first(text ORDER BY length(text) DESC, turn)) AS text_md5, first(length(text) ORDER BY turn)::INTEGER AS size, any_value(roles) AS roles,
+  concat_ws(',', CASE WHEN count(DISTINCT length(text)) > 1 THEN '$.inner.size' END, CASE WHEN count(DISTINCT role) > 1 THEN '$.role' END, CASE WHEN count(DISTINCT text) > 1 THEN '$.text' END) AS conflicts
+FROM conversations c JOIN roles USING (conv_id) GROUP BY 1""")
+def merged_conversations(spark, sf_dir):
+    """A9 over all partial results of a key in one ordered fold, with the paths at which they differ."""
+    own = F.struct("role", "text", F.struct(F.length("text").alias("size"), F.array("role").alias("roles")).alias("inner"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", own.alias("payload"))
+    found = nested.merged_all(rows, ["conv_id"], "turn", "payload")
+    return found.select("conv_id", "payload.role", F.md5(F.col("payload.text").cast("binary")).alias("text_md5"), "payload.inner.size", F.array_join("payload.inner.roles", ",").alias("roles"), F.array_join("conflicts", ",").alias("conflicts"))
+
+
 @query("grounding_verdict", f"""
 SELECT doc_id, CASE WHEN one = '' THEN 'empty quote' WHEN doc_id % 3 < 2 THEN 'grounded' ELSE 'refused' END AS verdict
 FROM (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS one, regexp_extract_all(text, '{TOKEN_SQL}') AS t FROM documents)""")

@@ -69,3 +69,28 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that fit a glob pattern."""
     found, store = _path(spark, pattern)
     return [status.getPath().toString() for status in (store.globStatus(found) or [])]
+
+
+def _uri(path: str) -> str:
+    return "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
+
+
+def put_file(path: str, content: bytes) -> None:
+    """Writes one file from a task, under another name first, so that it appears whole or not at all, and again after a retry."""
+    from pyarrow import fs
+
+    store, place = fs.FileSystem.from_uri(_uri(path))
+    store.create_dir(place.rsplit("/", 1)[0], recursive=True)
+    aside = f"{place.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+    with store.open_output_stream(aside) as out:
+        out.write(content)
+    store.move(aside, place)
+
+
+def clear_folder(path: str) -> None:
+    """Takes the files out of a folder, from a task."""
+    from pyarrow import fs
+
+    store, place = fs.FileSystem.from_uri(_uri(path))
+    if store.get_file_info(place).type == fs.FileType.Directory:
+        store.delete_dir_contents(place)

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import io
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmine.operators.tracking import batch_number, event_shards, positions, value_counts
-from quillmine.sources.shared import exists, matching, remove, stored
+from quillmine.sources.shared import clear_folder, exists, put_file, stored
 
 
 def sharded(rows: DataFrame, order: str, shard_rows: int) -> DataFrame:
@@ -24,38 +28,53 @@ CLEANED = ("text", "text_hash", "char_count", "split", "error")
 
 def write_corpus(manifest: DataFrame, path: str, order: str, clean: Callable[[DataFrame], DataFrame] | None = None, shard_rows: int = 1000, compression: str = "zstd", splits: tuple[str, ...] = ("train", "validation")) -> int:
     """Manifest rows in shards of shard_rows by the order column; clean gives them split and error (it may be left out
-    where they have these). Written are clean/split=S/shard=N, errors/shard=N and, once both are there, done/shard=N.
+    where they have these). Written are clean/split=S/shard=N, errors/shard=N and, once both are there, done/shard=N with the
+    numbers of rows.
 
-    A shard with a marker is neither computed nor written again. Of a shard without one, what an earlier run left goes
-    first, so no row is in two places. A shard of which a split or the errors are empty has an empty file there. Returns
-    how many shards were written."""
+    A shard with a marker is neither computed nor written again; a shard without one takes the place of what an earlier run
+    left of it. A shard of which a split or the errors are empty has an empty file there, written by a task. The number of
+    Spark jobs does not depend on that of shards, and no list of shards comes to the driver. Returns how many were written."""
     spark = manifest.sparkSession
-    shards = sharded(manifest, order, shard_rows)
-    done = {int(p.rsplit("=", 1)[1]) for p in matching(spark, f"{path}/done/shard=*")}
-    wanted = sorted({r.shard for r in shards.select("shard").distinct().toLocalIterator()} - done)
-    if not wanted:
-        return 0
-    for left in [*matching(spark, f"{path}/clean/split=*/shard=*"), *matching(spark, f"{path}/errors/shard=*")]:
-        if int(left.rsplit("=", 1)[1]) not in done:
-            remove(spark, left)
-    marked = spark.createDataFrame([(n,) for n in sorted(done)], "shard long")
-    rows = shards.join(F.broadcast(marked), "shard", "left_anti")
+    rows = sharded(manifest, order, shard_rows)
+    if exists(spark, f"{path}/done"):
+        rows = rows.join(spark.read.schema("shard long").parquet(f"{path}/done").select("shard").distinct(), "shard", "left_anti")
     rows = stored(clean(rows) if clean else rows, "cleaned")
-    out = {"compression": compression}
+    of_split = [F.count_if(F.col("error").isNull() & (F.col("split") == s)).alias(s) for s in splits]
+    counts = stored(rows.groupBy("shard").agg(F.count_if(F.col("error").isNotNull()).alias("errors"), *of_split), "counts")
+    n = counts.count()
+    if not n:
+        return 0
     sound, refused = rows.where("error is null").drop("error"), rows.where("error is not null").select(order, "shard", "error")
-    sound.repartition("split", "shard").write.options(**out).mode("append").partitionBy("split", "shard").parquet(f"{path}/clean")
-    refused.repartition("shard").write.options(**out).mode("append").partitionBy("shard").parquet(f"{path}/errors")
-    # empty files for what no row went to: few, a small write each
-    have = {p.rsplit("/", 2)[1] + "/" + p.rsplit("/", 1)[1] for p in matching(spark, f"{path}/clean/split=*/shard=*")}
-    bad = {int(p.rsplit("=", 1)[1]) for p in matching(spark, f"{path}/errors/shard=*")}
-    for n in wanted:
-        for split in splits:
-            if f"split={split}/shard={n}" not in have:
-                sound.drop("split", "shard").limit(0).coalesce(1).write.options(**out).mode("overwrite").parquet(f"{path}/clean/split={split}/shard={n}")
-        if n not in bad:
-            refused.drop("shard").limit(0).coalesce(1).write.options(**out).mode("overwrite").parquet(f"{path}/errors/shard={n}")
-    spark.createDataFrame([(n, n) for n in wanted], "shard long, number long").repartition("shard").write.mode("append").partitionBy("shard").parquet(f"{path}/done")
-    return len(wanted)
+    out = {"compression": compression, "partitionOverwriteMode": "dynamic"}
+    sound.repartition("split", "shard").write.options(**out).mode("overwrite").partitionBy("split", "shard").parquet(f"{path}/clean")
+    refused.repartition("shard").write.options(**out).mode("overwrite").partitionBy("shard").parquet(f"{path}/errors")
+    folder = lambda *names: F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in names], F.col("shard").cast("string"))
+    empty = [F.when(F.col(s) == 0, F.struct(folder(f"{path}/clean/split={s}/shard=").alias("path"), F.lit(True).alias("sound"))) for s in splits]
+    empty.append(F.when(F.col("errors") == 0, F.struct(folder(f"{path}/errors/shard=").alias("path"), F.lit(False).alias("sound"))))
+    write_empty(counts.select(F.inline(F.array_compact(F.array(*empty)))), {True: sound.drop("split", "shard"), False: refused.drop("shard")}, compression)
+    counts.repartition("shard").write.mode("append").partitionBy("shard").parquet(f"{path}/done")
+    return n
+
+
+def write_empty(folders: DataFrame, tables: dict[bool, DataFrame], compression: str) -> int:
+    """Folders (path, sound) get a file without rows, with the columns of their table; how many. Tasks write them."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schemas = {k: to_arrow_schema(t.schema) for k, t in tables.items()}
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        contents = {}
+        for k, schema in schemas.items():
+            out = io.BytesIO()
+            pq.write_table(schema.empty_table(), out, compression=compression)
+            contents[k] = out.getvalue()
+        for batch in batches:
+            for path, sound in zip(batch["path"], batch["sound"]):
+                clear_folder(path)
+                put_file(f"{path}/part-empty.parquet", contents[bool(sound)])
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    return folders.mapInPandas(write, "n long").agg(F.sum("n").alias("n")).first().n or 0
 
 
 def append(rows: DataFrame, table: str, replace: bool = False) -> int:
@@ -144,21 +163,20 @@ def artifact_listing(names: DataFrame, left_out: tuple[str, ...] = ("result.parq
 
 
 def copy_tree(spark: SparkSession, source: str, target: str, left_out: tuple[str, ...] = ("result.parquet",)) -> int:
-    """K8: the files of a folder written below another one, contents as they are; how many."""
+    """K8: the files of a folder written below another one, contents as they are; how many. Tasks read and write them, each file
+    under another name until it is whole; contents don't pass the driver."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
-    root = source.rstrip("/")
-    name = F.regexp_replace("path", r"^[a-z]+:/*(?=/)", "")
-    kept = artifact_listing(files.select(F.substring_index(name, root + "/", -1).alias("name"), "content"), left_out)
-    rows = stored(kept, "tree")
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-    for r in rows.toLocalIterator():  # a document's artifacts: a few small files
-        place = hadoop.Path(f"{target.rstrip('/')}/{r.name}")
-        out = place.getFileSystem(conf).create(place, True)
-        try:
-            out.write(bytearray(r.content))
-        finally:
-            out.close()
-    return rows.count()
+    root = re.sub(r"^[a-z]+:/*(?=/)", "", source.rstrip("/"))
+    kept = artifact_listing(files.select(F.substring_index("path", root + "/", -1).alias("name"), "content"), left_out)
+    base = target.rstrip("/")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column(0), batch.column(1)):
+                put_file(f"{base}/{name.as_py()}", content.as_py())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    return kept.select("name", "content").mapInArrow(write, "n long").agg(F.sum("n").alias("n")).first().n or 0
 
 
 def write_result_log(results: DataFrame, folder: str, when: str) -> str:
