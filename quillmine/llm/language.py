@@ -18,7 +18,11 @@ from pyspark.sql import functions as F
 
 from quillmine.llm.common import give_back_memory, in_fold
 
-WINDOW, HIDDEN = 64, 8
+WINDOW = 64
+#: Hidden units of a direction: eight, and eight more for each eightfold number of languages.
+HIDDEN, MOST_HIDDEN = 8, 32
+#: Languages that are learned at most: those with the most documents.
+MOST_LANGUAGES = 2000
 #: Documents of each language that are learned from at most, and windows of each.
 DOCS_OF_LANGUAGE, WINDOWS_OF_DOC = 250, 4
 STEPS, BATCH, RATE = 220, 192, 0.02
@@ -54,10 +58,14 @@ def windows(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return flat.reshape(n, WINDOW), lengths
 
 
+def hidden_units(n_labels: int) -> int:
+    return min(MOST_HIDDEN, HIDDEN * max(1, int(np.ceil(np.log2(max(2, n_labels)) / 3))))
+
+
 def start(n_labels: int, seed: int = 7) -> dict[str, np.ndarray]:
     """Axis 0 is the direction: forwards, backwards. Gates lie side by side: update, reset, new state."""
     r = np.random.default_rng(seed)
-    h = HIDDEN
+    h = hidden_units(n_labels)
     return {
         "in": r.normal(0, 0.3, (2, 256, 3 * h)), "gates": r.normal(0, h**-0.5, (2, h, 2 * h)), "new": r.normal(0, h**-0.5, (2, h, h)),
         "out": r.normal(0, 0.3, (2, h, n_labels)), "bias": np.zeros(n_labels),
@@ -71,7 +79,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def loss_and_slopes(p: dict[str, np.ndarray], batch: np.ndarray, mask: np.ndarray, labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean cross entropy over labelled positions, and its slopes by backpropagation through time. batch, mask: (n, steps)."""
     n, steps = batch.shape
-    h = HIDDEN
+    h = p["new"].shape[1]
     ways = [np.arange(steps), np.arange(steps)[::-1]]
     states, kept = np.zeros((2, steps, n, h)), []
     before = np.zeros((2, n, h))
@@ -150,7 +158,7 @@ class Model:
 
     def read(self, batch: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Probabilities of the labels at every position: (windows, WINDOW, labels)."""
-        p, (n, steps), h = self.p, batch.shape, HIDDEN
+        p, (n, steps), h = self.p, batch.shape, self.p["new"].shape[1]
         part = np.any(lengths < steps)
         states = np.empty((2, steps, n, h), np.float32)
         # a sigmoid is a tanh of half its argument
@@ -233,20 +241,21 @@ class Model:
 
 
 def training_windows(docs: DataFrame, docs_of_language: int = DOCS_OF_LANGUAGE) -> DataFrame:
-    """(lang, piece): stretches of texts at pseudorandom places, from docs_of_language documents of each language outside
-    the held-out fold (all, where there are fewer). Every language is learned, however rare; only stretches are ordered and
-    gathered, so the sample takes at most docs_of_language * WINDOWS_OF_DOC * WINDOW characters a language."""
+    """(lang, piece): stretches of texts at pseudorandom places, from docs_of_language different documents (id and text) of each
+    language outside the held-out fold (all, where there are fewer). Every language is learned, however rare and however often
+    its rows repeat an id; beyond MOST_LANGUAGES those with the most documents. Only stretches are ordered and gathered, so the
+    sample takes at most docs_of_language * WINDOWS_OF_DOC * WINDOW characters a language."""
     named = docs.select(F.col("lang").cast("string").alias("lang"), "doc_id", F.col("text").cast("string").alias("text")).where(F.col("lang").isNotNull() & ~in_fold(F.col("doc_id"), FOLD, HELD_OUT))
-    usable = named.where(F.col("text").rlike(r"\p{L}"))
-    luck = F.pmod(F.xxhash64(F.lit("language"), F.col("doc_id")), F.lit(1 << 20))
-    # the counts need no text, and one row per language; with the margin nearly all texts of a large table go before they are ordered
-    margin = F.lit(4.0 * docs_of_language * (1 << 20))
-    share = F.broadcast(named.groupBy("lang").agg((margin / F.count(F.lit(1))).alias("share")))
-    drawn = usable.withColumn("luck", luck).join(share, "lang").where(F.col("luck") < F.col("share"))
-    at = lambda k: F.pmod(F.xxhash64(F.lit("window"), F.col("doc_id"), k), F.greatest(F.lit(1), F.length("text") - WINDOW)) + 1
+    usable = named.where(F.col("text").rlike(r"\p{L}")).withColumn("key", F.xxhash64(F.lit("language"), "doc_id", "text"))
+    # different documents are counted, about; the margin is far wider than the count's error, and equal rows are one below
+    counted = usable.groupBy("lang").agg(F.approx_count_distinct("key", 0.02).alias("n")).orderBy(F.col("n").desc(), "lang").limit(MOST_LANGUAGES)
+    share = F.broadcast(counted.select("lang", (F.lit(4.0 * docs_of_language * (1 << 20)) / F.col("n")).alias("share")))
+    luck = F.pmod("key", F.lit(1 << 20))
+    drawn = usable.join(share, "lang").where(luck < F.col("share"))
+    at = lambda k: F.pmod(F.xxhash64(F.lit("window"), F.col("key"), k), F.greatest(F.lit(1), F.length("text") - WINDOW)) + 1
     pieces = F.transform(F.sequence(F.lit(1), F.lit(WINDOWS_OF_DOC)), lambda k: F.substring(F.col("text"), at(k).cast("int"), F.lit(WINDOW)))
-    drawn = drawn.select("lang", "luck", "doc_id", pieces.alias("pieces"))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("luck", "doc_id", "pieces"))
+    drawn = drawn.select("lang", "key", pieces.alias("pieces")).groupBy("lang", "key").agg(F.min("pieces").alias("pieces"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 20)), "key"))
     return drawn.withColumn("place", first).where(F.col("place") <= docs_of_language).select("lang", F.explode("pieces").alias("piece"))
 
 
