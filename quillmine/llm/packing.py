@@ -25,8 +25,8 @@ END_ID = 0
 ROWS_AT_ONCE = 250
 VOCABULARY = "byte_bpe_50k"
 #: A run of white space from this length on goes to the JSON file's own tokenizer: the faster library goes back over such
-#: a run once for each character and fails beyond some hundred thousand.
-LONG_RUN = 1 << 15
+#: a run once for each character, so its time grows with the square of the run.
+LONG_RUN = 512
 _LONG_RUN = re.compile(r"\s{%d}" % LONG_RUN)
 #: doc_id crosses Python as text: beside nulls pandas would hold it as a float.
 TOKEN_SCHEMA = "part int, part_start long, doc_id string, n_ids long, ids binary"
