@@ -180,7 +180,15 @@ def compared(docs: DataFrame) -> DataFrame:
     hash of their text; a single document is its own next; an empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = with_next(rows.withColumn("tie", F.xxhash64("text")), ["text", "sums", "square"], with_sums)
+    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("row_id", F.monotonically_increasing_id())
+    # of equal rows that would fill a bucket all but one have an equal row next; there is at most one such row for each bucket
+    often = rows.groupBy("doc_id", "tie").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("kept")).where(F.col("n") > BUCKET_ROWS)
+    often = F.broadcast(often.select(F.col("doc_id").alias("often_id"), F.col("tie").alias("often_tie"), "kept"))
+    rows = rows.join(often, F.col("doc_id").eqNullSafe(F.col("often_id")) & (F.col("tie") == F.col("often_tie")), "left")
+    repeats, carried = F.coalesce(F.col("row_id") != F.col("kept"), F.lit(False)), ["text", "sums", "square"]
+    same = with_sums(rows.where(repeats).select("doc_id", "text", "tie"))
+    same = same.select("*", *[F.col(c).alias(f"next_{c}") for c in carried])
+    rows = with_next(rows.where(~repeats).select("doc_id", "text", "tie"), carried, with_sums).unionByName(same)
     rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("cut", F.floor(F.col("n_chars") / 3).cast("int"))
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - F.col("cut")).cast("int")), F.substring("next_text", F.lit(1), F.col("cut")))
     rows = rows.withColumn("edited", edited).drop("text", "next_text")
