@@ -93,6 +93,7 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
 
 
 _LOOSE_AT = re.compile(r" ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]+(?:(?:\.| ?(?:\(dot\)|\[dot\]|\{dot\}) ?| dot )[A-Za-z0-9-]+)+| at [A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+|＠[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", re.I)
+_LOOSE_IP = re.compile(r"(?<![0-9])[0-9]{1,3}(?:(?: ?(?:\[\.\]|\(\.\)|\[dot\]|\(dot\)) ?| dot )[0-9]{1,3}){3}(?![0-9])", re.I)
 _RUN = re.compile(r"[0-9]+(?:[\x20().\-/‐-–]{1,3}[0-9]+)*")
 _GROUP = re.compile("[0-9]+")
 #: Digits that a number has at most, and code points that it takes at most: a run is read from each of its groups up to these.
@@ -132,7 +133,7 @@ def candidates(text: str | None) -> list[tuple[str, int, int]]:
     """High recall: (kind, start, end), which may overlap each other."""
     if not text:
         return []
-    found = []
+    found = [("ip", *m.span()) for m in _LOOSE_IP.finditer(text)] if ("." in text or "dot" in text) and _DIGIT.search(text) else []
     if "at" in text or "AT" in text or "At" in text or "aT" in text or "＠" in text:
         for m in _LOOSE_AT.finditer(text):
             start = m.start()
@@ -168,23 +169,27 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
     ]
 
 
-def loosened(text: str, kind: str, start: int, end: int, luck: int) -> list[tuple[str, str, int, int]]:
-    """A pattern's span in looser spellings, each as (text around it, kind, start, end)."""
-    span = text[start:end]
+def spellings(kind: str, span: str) -> list[str]:
+    """A pattern's span in looser spellings."""
+    digits = re.sub("[^0-9]", "", span)
     if kind == "email":
         local, _, domain = span.partition("@")
-        forms = [f"{local} (at) {domain}", f"{local}[at]{domain.replace('.', '[dot]')}", f"{local} at {domain.replace('.', ' dot ')}"]
-    elif kind == "card":
-        digits = re.sub("[^0-9]", "", span)
-        forms = [sep.join(digits[k : k + 4] for k in range(0, len(digits), 4)) for sep in ("/", ".", "–")]
-    elif kind == "phone":
-        forms = [span.replace(" ", "/"), span.replace("-", "–"), "(" + span.lstrip("+")]
-        forms = [f for f in forms if f != span and f.count("(") <= 2]
-    else:
-        return []
-    form = forms[luck % len(forms)] if forms else None
-    if form is None:
+        return [f"{local} (at) {domain}", f"{local}[at]{domain.replace('.', '[dot]')}", f"{local} at {domain.replace('.', ' dot ')}", f"{local}＠{domain}"]
+    if kind == "card":
+        return [sep.join(digits[k : k + 4] for k in range(0, len(digits), 4)) for sep in ("/", ".", "–", " - ")]
+    if kind == "ip":
+        return [sep.join(span.split(".")) for sep in ("[.]", " . ", "(dot)", "[dot]")]
+    forms = [span.replace(" ", "/"), span.replace("-", "–"), "(" + span.lstrip("+"), f"00{digits[:2]} {digits[2:4]} {digits[4:8]} {digits[8:]}".strip(), f"(0{digits[2:4]}) {digits[4:8]}-{digits[8:] or digits[:2]}"]
+    return [f for f in forms if f != span and f.count("(") <= 2]
+
+
+def loosened(text: str, kind: str, start: int, end: int, luck: int, left_out: int | None = None) -> list[tuple[str, str, int, int]]:
+    """A pattern's span in one of its looser spellings, as (text around it, kind, start, end). left_out: the number of a spelling
+    that is not used, so that it can be measured unseen."""
+    forms = [f for k, f in enumerate(spellings(kind, text[start:end])) if k != left_out]
+    if not forms:
         return []
+    form = forms[luck % len(forms)]
     before, after = text[max(0, start - 24) : start], text[end : end + 24]
     return [(before + form + after, kind, len(before), len(before) + len(form))]
 
@@ -200,7 +205,7 @@ class Model:
         ones the longest."""
         base = base_spans(text)
         kept = list(base)
-        taken = sorted((a, b) for _, a, b in base)
+        taken = united(base)
         proposed = [c for c in candidates(text) if self.thresholds.get(c[0], 2.0) <= 1 and not overlaps(taken, c)]
         if proposed:
             p = np.concatenate([self.forest.probability(np.array([features(text, *c) for c in proposed[at : at + AT_ONCE]], np.float64)) for at in range(0, len(proposed), AT_ONCE)])
@@ -213,22 +218,33 @@ class Model:
         return sorted(kept, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
+def united(spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """The stretches that spans take together, in order; patterns of two kinds may overlap each other."""
+    found: list[tuple[int, int]] = []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if found and a < found[-1][1]:
+            found[-1] = found[-1][0], max(b, found[-1][1])
+        else:
+            found.append((a, b))
+    return found
+
+
 def overlaps(taken: list[tuple[int, int]], span: tuple[str, int, int]) -> bool:
-    """taken: in order of starts. Patterns of two kinds may overlap each other, so a few before the place are looked at."""
+    """taken: stretches in order that don't overlap each other, so the last one that begins before the span's end decides."""
     _, start, end = span
     at = bisect_left(taken, (end, 0))
-    return any(b > start for _, b in taken[max(0, at - 4) : at])
+    return at > 0 and taken[at - 1][1] > start
 
 
-def examples(text: str, luck: int) -> list[tuple[str, list[float], int, bool]]:
+def examples(text: str, luck: int, left_out: int | None = None) -> list[tuple[str, list[float], int, bool]]:
     """Labelled candidates of one text, as (kind, features, label, whether it is a looser one): what a pattern takes is personal
     data and so is its looser spelling; what the patterns refuse is not, unless a word before it hints at its kind: that is
     left out, as nothing decides it."""
     base = base_spans(text)
-    taken = sorted((a, b) for _, a, b in base)
+    taken = united(base)
     out = []
     for kind, start, end in base:
-        for around, k, a, b in loosened(text, kind, start, end, luck):
+        for around, k, a, b in loosened(text, kind, start, end, luck, left_out):
             out.append((k, features(around, k, a, b), 1, True))
             # parts of a number are not the number
             out += [(k2, features(around, k2, a2, b2), 0, True) for k2, a2, b2 in candidates(around) if (k2, a2, b2) != (k, a, b) and a <= a2 and b2 <= b]
@@ -337,7 +353,9 @@ def spans_as_text(spans: Column) -> Column:
 
 
 def without_personal_data(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """docs with every span replaced by its kind in brackets, and n_chars set anew where that column exists and text changed."""
+    """docs with every span replaced by its kind in brackets, and n_chars set anew where that column exists and text changed. A
+    null text stays null and an empty one empty; repeated rows are kept and changed alike; an empty table gives no rows; other
+    columns may have any names and are kept."""
     shared = _shared(docs, model)
 
     @F.pandas_udf("string")
