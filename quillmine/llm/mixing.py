@@ -104,9 +104,14 @@ def mixture(docs: DataFrame, row_id: str | None = None, block_words: int = BLOCK
     """
     own = [F.col(row_id).alias("row_id")] if row_id else []
     sizes = docs.select(*own, F.xxhash64("doc_id", "source", "text").alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
-    sizes = stored(sizes, "sizes")
+    sizes = stored(sizes.withColumn("spread", F.monotonically_increasing_id()), "sizes")
     n_buckets = max(1, -(-sizes.count() // BUCKET_ROWS))
-    sizes = sizes.withColumn("bucket", F.pmod(F.xxhash64("row_key", "doc_id"), F.lit(n_buckets)))
+    # equal rows that would fill a bucket are dealt over all; there are at most four for each bucket
+    often = sizes.groupBy("row_key", "doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET_ROWS // 4)
+    often = F.broadcast(often.select(F.col("row_key").alias("often"), F.col("doc_id").alias("often_id")))
+    sizes = sizes.join(often, (F.col("row_key") == F.col("often")) & F.col("doc_id").eqNullSafe(F.col("often_id")), "left")
+    bucket = F.xxhash64("row_key", "doc_id", F.when(F.col("often").isNotNull(), F.col("spread")).otherwise(F.lit(0).cast("long")))
+    sizes = sizes.withColumn("bucket", F.pmod(bucket, F.lit(n_buckets))).drop("often", "often_id")
     totals = sizes.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     sources = stored(targets(totals.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, share, most_repeats), "sources")
     # offsets in two steps: buckets within a source (one row per bucket), then documents within a bucket
@@ -167,5 +172,7 @@ def dealt(docs: DataFrame, shard_slots: int = SHARD_SLOTS, **parameters) -> Data
 
 
 def mixed(docs: DataFrame, **parameters) -> DataFrame:
-    """The mix itself, as dealt() orders it, with the documents' columns."""
+    """The mix itself, as dealt() orders it, with the documents' columns: a row per document and slot. Documents with a null or
+    empty text are in no slot; a null source is one of its own; repeated rows each count; an empty table gives no rows; other
+    columns may have any names and are kept."""
     return dealt(docs, **parameters).select(*row_columns(docs.columns))

@@ -21,8 +21,8 @@ SIZES = (3, 4, 5, 6, 7)
 TABLE_BITS = 20
 #: Labelled rows of each label that the model is fitted on at most.
 SAMPLE_OF_LABEL = 2500
-#: Features kept at most, by how many standard errors the log-count ratio is from chance.
-FEATURES, LEAST_Z, LEAST_DOCS = 10_000, 2.5, 3
+#: A feature's log-count ratio is so many standard errors from chance, and so many of the sample's texts have it.
+LEAST_Z, LEAST_DOCS = 2.5, 3
 SMOOTHING = 0.5
 STEPS, RIDGE = 250, 2e-3
 #: Bytes hashed at once.
@@ -94,13 +94,14 @@ def slot_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text", "label").mapInPandas(count, "slot long, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def chosen_slots(slots: np.ndarray, docs: np.ndarray, n_of: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(slots that are features, in order; their log-count ratios). docs: texts of each label that have the slot."""
+def chosen_slots(slots: np.ndarray, docs: np.ndarray, n_of: list[int], most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(slots that are features, in order; their log-count ratios): all that are sure enough, or the `most` surest of them.
+    docs: texts of each label that have the slot."""
     # ratio of the shares of documents of each label that hold the n-gram, and how sure it is
     ratio = np.log((docs[1] + SMOOTHING) / (n_of[1] + 2 * SMOOTHING)) - np.log((docs[0] + SMOOTHING) / (n_of[0] + 2 * SMOOTHING))
     z = np.abs(ratio) / np.sqrt(1 / (docs[1] + SMOOTHING) + 1 / (docs[0] + SMOOTHING))
     z[docs.sum(axis=0) < LEAST_DOCS] = 0
-    best = np.lexsort((slots, -z))[:FEATURES]
+    best = np.lexsort((slots, -z))[:most]
     best = best[z[best] >= LEAST_Z]
     best = best[np.argsort(slots[best])]
     return slots[best], ratio[best]
@@ -209,7 +210,8 @@ def scored(docs: DataFrame, labels: DataFrame, sample_of_label: int = SAMPLE_OF_
 
 
 def accepted(docs: DataFrame, labels: DataFrame, sample_of_label: int = SAMPLE_OF_LABEL) -> DataFrame:
-    """docs without those that the classifier rejects."""
+    """docs without those that the classifier rejects, columns as they are. Null and empty texts are scored as texts without
+    n-grams; repeated rows go or stay together; without labels of both kinds all have one score; an empty table gives no rows."""
     model = train(docs, labels, sample_of_label)
     columns = docs.columns
     rows = docs.select(row_struct(columns), score_column(F.col("text").cast("string"), model, docs.sparkSession).alias("score"))
