@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmine.llm.common import give_back_memory, row_columns, row_struct, stored
-from quillmine.llm.simhash import SEED, bucket_links, components, dealt, near_pairs, spanning
+from quillmine.llm.simhash import SEED, bucket_links, components, crowded_links, in_groups, near_pairs, spanning
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Two texts at the least similarity differ in 10 of 64 bits on average; beyond this many lies about one pair in 10^6.
@@ -107,40 +107,53 @@ def similar_links(sets: list[np.ndarray], prints: np.ndarray, split: int | None,
     return found
 
 
+def text_groups(batches: Iterator[pd.DataFrame], by: list[str], width: int) -> Iterator[tuple[tuple, list[str], list[np.ndarray], np.ndarray, int | None]]:
+    """(group, nodes, shingles of each, fingerprints, where the second side begins) of groups of two texts and more, from
+    batches of node, text, the columns that tell groups apart and, if there is one, side, in order."""
+    names: list[str] = []
+    sets: list[np.ndarray] = []
+    prints: list[int] = []
+    sides: list[int] = []
+    group = None
+    for batch in batches:
+        for own, node, text, side in zip(zip(*[batch[c] for c in by]), batch["node"], batch["text"], batch["side"] if "side" in batch else [0] * len(batch)):
+            if own != group:
+                if len(names) > 1:
+                    yield group, names, sets, np.array(prints, np.int64).view(np.uint64), sides.index(1) if 1 in sides else None
+                names, sets, prints, sides, group = [], [], [], [], own
+            hashes = shingle_hashes(text, width)
+            names.append(node)
+            sides.append(side)
+            prints.append(sketch_print(hashes))
+            sets.append(np.unique(hashes))
+    if len(names) > 1:
+        yield group, names, sets, np.array(prints, np.int64).view(np.uint64), sides.index(1) if 1 in sides else None
+
+
 def text_links(members: DataFrame, width: int, similarity: float, radius: int) -> DataFrame:
-    """members: centre, copy (the text's digest), text, chunks (into which the centre's texts are cut), one row per copy and
-    centre. Links (node, other) between copies of one centre."""
+    """members: key, node (the text's digest), text, chunks (into which the key's texts are cut), one row per text and key.
+    Links (node, other) between texts of one key, whose components are those of all similar pairs of it."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names: list[str] = []
-        sets: list[np.ndarray] = []
-        prints: list[int] = []
-        sides: list[int] = []
-        group = None
-
-        def settle() -> pd.DataFrame:
-            split = sides.index(1) if 1 in sides else None
-            found = similar_links(sets, np.array(prints, np.int64).view(np.uint64), split, similarity, radius) if len(sets) > 1 and split != 0 else []
-            return pd.DataFrame({"node": [names[i] for i, _ in found], "other": [names[j] for _, j in found]}, columns=["node", "other"], dtype="object")
-
-        for batch in batches:
-            for centre, low, high, side, copy, text in zip(batch["centre"], batch["low"], batch["high"], batch["side"], batch["copy"], batch["text"]):
-                if (centre, low, high) != group:
-                    if len(names) > 1:
-                        yield settle()
-                    names, sets, prints, sides, group = [], [], [], [], (centre, low, high)
-                hashes = shingle_hashes(text, width)
-                names.append(copy)
-                sides.append(side)
-                prints.append(sketch_print(hashes))
-                sets.append(np.unique(hashes))
-        if len(names) > 1:
-            yield settle()
-        names, sets = [], []
+        for _, names, sets, prints, split in text_groups(batches, ["key", "low", "high"], width):
+            found = similar_links(sets, prints, split, similarity, radius) if split != 0 else []
+            yield pd.DataFrame({"node": [names[i] for i, _ in found], "other": [names[j] for _, j in found]}, columns=["node", "other"], dtype="object")
+        give_back_memory()
+
+    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (key, _), names, sets, prints, _ in text_groups(batches, ["key", "part"], width):
+            found = np.array(similar_links(sets, prints, None, similarity, radius), np.int64).reshape(-1, 2)
+            root = spanning(len(names), found[:, 0], found[:, 1])
+            moved = np.flatnonzero(root != np.arange(len(names)))
+            yield pd.DataFrame({"key": np.full(len(moved), key, np.int64), **{c: pd.Series([names[k] for k in which], dtype="object") for c, which in (("node", moved), ("root", root[moved]))}})
         give_back_memory()
 
-    rows = dealt(members, ["centre"], F.xxhash64("copy"), F.col("chunks")).select("centre", "low", "high", "side", "copy", "text")
-    return rows.mapInPandas(compare, "node string, other string").dropDuplicates()
+    cross = lambda rows: in_groups(rows).select("key", "low", "high", "side", "node", "text").mapInPandas(compare, "node string, other string")
+    roots = lambda rows: rows.repartition("key", "part").sortWithinPartitions("key", "part").select("key", "part", "node", "text").mapInPandas(label, "key long, node string, root string")
+    alone = members.where("chunks = 1").select("key", "node", "text", F.lit(0).alias("low"), F.lit(0).alias("high"), F.lit(0).alias("side"))
+    crowded = members.where("chunks > 1")
+    found = cross(alone)
+    return (found if crowded.isEmpty() else found.unionByName(crowded_links(crowded, ["text"], roots, cross))).dropDuplicates()
 
 
 def sketch_print(hashes: np.ndarray) -> int:
@@ -185,7 +198,7 @@ def deduplicated(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMI
     if first_rows.count() > texts.count():  # rows of one id and text
         first_rows = stored(first_rows.groupBy(*keys, "candidate").agg(F.first("row").alias("row")), "first-rows")
     candidates = first_rows.where("candidate").select("copy", F.col("row").getField("text").cast("string").alias("text"))
-    linked = components(text_links(stored(candidates.join(members, "copy"), "candidates"), width, similarity, radius))
+    linked = components(text_links(stored(candidates.join(members, "copy").select(F.col("centre").alias("key"), F.col("copy").alias("node"), "text", "chunks"), "candidates"), width, similarity, radius))
     classes = firsts.where("candidate").join(linked.withColumnRenamed("node", "copy"), "copy", "left").withColumn("class", F.coalesce("root", "copy"))
     kept = classes.groupBy("class").agg(F.min(F.struct("no_id", "id_key", "copy")).alias("first")).select("first.copy")
     alone = first_rows.where("not candidate").select("row")

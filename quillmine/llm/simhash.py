@@ -3,7 +3,8 @@
 Fingerprints cut into radius + k blocks of bits agree on k of them if they are within the radius, so every link lies
 within a bucket of one of the keys made of k blocks. k follows the number of fingerprints: radius 3 takes 4 keys of 16
 bits, 10 of 25 or 20 of 31, and a bucket of evenly spread fingerprints stays small. Buckets are dealt out as a table of
-distinct fingerprints; a bucket with many is cut into chunks, and pairs of chunks are dealt out. In a task, fingerprints
+distinct fingerprints; a bucket with many is cut into chunks, whose components are joined by their first nodes, so that
+only what stays outside the largest component is compared with every chunk. In a task, fingerprints
 lie in bit planes; distances of one block to another add up plane by plane in carry-save counters, 64 at a time, and a
 block is abandoned once every counter is above the radius. A block gives a spanning set of its links, not every pair.
 Stars of links are then merged to components by joins.
@@ -11,13 +12,13 @@ Stars of links are then merged to components by joins.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmine.llm.common import give_back_memory, remove, stored, stored_at
@@ -25,6 +26,8 @@ from quillmine.llm.common import give_back_memory, remove, stored, stored_at
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Fingerprints that are compared at once, and the size from which a bucket is cut into chunks.
 BLOCK = 1024
+#: Components of chunks, the largest of a key, whose first nodes are compared to join them.
+SEEDS = 512
 #: Rows of small groups that are compared together.
 TOGETHER = 256
 #: Rows of one fingerprint that are joined in one slice.
@@ -196,14 +199,14 @@ def key_columns(fingerprint: Column, way: tuple[list[tuple[int, int]], int]) ->
     return out
 
 
-def dealt(rows: DataFrame, key: list[str], spread: Column, chunks: Column) -> DataFrame:
+def with_pairs(rows: DataFrame, spread: Column, chunks: Column) -> DataFrame:
     """rows with low, high, side: all of a key's rows meet in the groups (key, low, high), each of at most two of the key's
     chunks; side 0 is the chunk low, side 1 the chunk high, and where low = high all is side 0. spread deals rows over
     chunks; the number of chunks must be the same for a key's rows."""
     chunk = F.pmod(spread, chunks).cast("int")
     # a chunk meets each chunk once
     meet = F.transform(F.sequence(F.lit(0), chunks.cast("int") - 1), lambda j: F.struct(F.least(j, chunk).alias("low"), F.greatest(j, chunk).alias("high"), (chunk > j).cast("int").alias("side")))
-    return rows.withColumn("pair", F.explode(meet)).select("*", "pair.*").drop("pair").repartition(*key, "low", "high").sortWithinPartitions(*key, "low", "high", "side")
+    return rows.withColumn("pair", F.explode(meet)).select("*", "pair.*").drop("pair")
 
 
 def block_compare(radius: int, joined: bool):
@@ -259,14 +262,87 @@ def block_compare(radius: int, joined: bool):
     return compare
 
 
+def group_roots(radius: int):
+    """A function over batches (node, fingerprint, key, part) in order -> (key, node, root): of each group the least node of its
+    component for all nodes but that."""
+
+    def roots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = np.empty((0, 4), np.int64)
+
+        def settle(rows: np.ndarray) -> pd.DataFrame:
+            node, root = block_links(rows[:, :2], None, radius)
+            return pd.DataFrame({"key": rows[0, 2], "node": node.astype(np.int64), "root": root.astype(np.int64)})
+
+        for batch in batches:
+            rows = np.concatenate([last, batch[["node", "fingerprint", "key", "part"]].to_numpy(np.int64)])
+            edges = [0, *(np.flatnonzero((rows[1:, 2:] != rows[:-1, 2:]).any(axis=1)) + 1).tolist(), len(rows)]
+            for low, high in zip(edges[:-2], edges[1:-1]):
+                if high - low > 1:
+                    yield settle(rows[low:high])
+            last = rows[edges[-2] :]
+        if len(last) > 1:
+            yield settle(last)
+        give_back_memory()
+
+    return roots
+
+
+def crowded_links(members: DataFrame, payload: list[str], roots: Callable[[DataFrame], DataFrame], cross: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links (node, other) of keys that hold more than one task compares: members has key, node, chunks and payload columns.
+
+    First each chunk is linked on its own, then the first nodes of the largest of what came out, so that a key's like members
+    become one component without a pair of chunks. Only members that are not in a key's largest component are still compared
+    with all others: with each other, and with each chunk of the component. So no link is lost, what is dealt out follows the
+    number of members where they are alike, and all members of that component are linked to one node.
+
+    roots: rows with key, part -> (key, node, root) of each group (key, part), for nodes that are not their root.
+    cross: rows with key, low, high, side -> links (node, other) of each group, between its sides where it has two."""
+    own = members.withColumn("part", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    local = stored(roots(own.select("key", "part", "node", *payload)), "local-roots")
+    sizes = local.groupBy("key", "root").agg((F.count(F.lit(1)) + 1).alias("size"))
+    largest = sizes.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.col("size").desc(), "root"))).where(F.col("place") <= SEEDS)
+    largest = stored(largest.select("key", "root", "size"), "seeds")
+    seeds = members.join(largest.select("key", F.col("root").alias("node")), ["key", "node"], "left_semi").withColumn("part", F.lit(0))
+    joined = roots(seeds.select("key", "part", "node", *payload)).select("key", F.col("node").alias("root"), F.col("root").alias("hub"))
+    hubs = stored(largest.join(joined, ["key", "root"], "left").withColumn("hub", F.coalesce("hub", "root")), "hubs")
+    best = hubs.groupBy("key", "hub").agg(F.sum("size").alias("size")).groupBy("key").agg(F.max_by("hub", F.struct("size", "hub")).alias("hub"))
+    inside = hubs.join(best, ["key", "hub"]).select("key", "root", "hub")
+    placed = own.select("key", "node", "part", "chunks").join(local, ["key", "node"], "left").withColumn("root", F.coalesce("root", "node"))
+    placed = stored(placed.join(inside, ["key", "root"], "left").select("key", "node", "part", "chunks", "hub"), "placed")
+    inner = placed.where("hub is not null and node <> hub").select("node", F.col("hub").alias("other"))
+    outer = placed.where("hub is null").select("key", "node", "chunks")
+    shares = placed.groupBy("key").agg(F.count_if(F.col("hub").isNull()).alias("n_outer"), F.count(F.lit(1)).alias("n"), F.max("chunks").alias("chunks")).where("n_outer > 0")
+    shares = stored(shares.select("key", F.greatest(F.lit(1), F.ceil(F.col("n_outer") / F.col("n") * F.col("chunks"))).cast("int").alias("own_chunks")), "rest")
+    alike = members.select("key", "node", *payload)
+    outer = alike.join(outer.join(shares, "key"), ["key", "node"])
+    among = with_pairs(outer, F.xxhash64("node"), F.col("own_chunks")).select("key", "low", "high", "side", "node", *payload)
+    # a chunk of the rest meets a chunk of the component in the group (chunk, -1 - chunk of the rest)
+    turn = lambda k: (-1 - k).cast("int")
+    meets = outer.withColumn("low", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("high", turn(F.pmod(F.xxhash64("node"), F.col("own_chunks"))))
+    meets = meets.select("key", "low", "high", F.lit(1).alias("side"), "node", *payload)
+    met = alike.join(placed.where("hub is not null").join(shares, "key").select("key", "node", "part", "own_chunks"), ["key", "node"])
+    met = met.withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("own_chunks") - 1)))
+    met = met.select("key", F.col("part").alias("low"), turn(F.col("turn")).alias("high"), F.lit(0).alias("side"), "node", *payload)
+    return inner.unionByName(cross(among.unionByName(meets).unionByName(met)))
+
+
+def in_groups(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "side")
+
+
 def bucket_links(keyed: DataFrame, radius: int, joined: bool) -> DataFrame:
     """keyed: node, fingerprint, key. Links (node, other) whose components are those of all pairs that share a key and are
-    within the radius: at most one link per node and group."""
+    within the radius: at most one link per node and group. Two such nodes of a key are linked to one node there."""
+    names = ["node", "fingerprint", "key", "low", "high", "side"]
+    cross = lambda rows: in_groups(rows).select(*names).mapInPandas(block_compare(radius, joined), "node long, other long")
+    roots = lambda rows: rows.repartition("key", "part").sortWithinPartitions("key", "part").select("node", "fingerprint", "key", "part").mapInPandas(group_roots(radius), "key long, node long, root long")
     crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK)
-    crowded = crowded.select("key", F.ceil(F.col("members") / (BLOCK // 2)).cast("int").alias("chunks"))
-    keyed = keyed.join(crowded, "key", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    rows = dealt(keyed, ["key"], F.xxhash64("node"), F.col("chunks")).select("node", "fingerprint", "key", "low", "high", "side")
-    return rows.mapInPandas(block_compare(radius, joined), "node long, other long").dropDuplicates()
+    crowded = stored(crowded.select("key", F.ceil(F.col("members") / (BLOCK // 2)).cast("int").alias("chunks")), "crowded-keys")
+    alone = lambda rows: rows.select("node", "fingerprint", "key", F.lit(0).alias("low"), F.lit(0).alias("high"), F.lit(0).alias("side"))
+    if crowded.isEmpty():
+        return cross(alone(keyed)).dropDuplicates()
+    found = crowded_links(stored(keyed.join(crowded, "key"), "crowded-members"), ["fingerprint"], roots, cross)
+    return found.unionByName(cross(alone(keyed.join(crowded, "key", "left_anti")))).dropDuplicates()
 
 
 def links(nodes: DataFrame, radius: int = RADIUS, way: tuple | None = None) -> DataFrame:
