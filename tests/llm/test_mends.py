@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillmine.llm import fingerprints, language, mixing, packing, pii, toxicity
+from quillmine.llm import fingerprints, language, mixing, packing, pii, simhash, toxicity
 from quillmine.llm.common import in_fold
 from tests.llm.helpers import rows_of
 
@@ -40,6 +40,35 @@ def test_seventy_languages_are_told_apart():
     assert np.mean([got == w for (got, _), w in zip(model.predict(list(texts)), want)]) > 0.8
 
 
+def test_a_crowded_key_of_like_nodes_is_dealt_in_proportion(spark, monkeypatch):
+    """Fingerprints about one centre, all in one bucket: what tasks compare grows as their number does, and links stay whole."""
+    monkeypatch.setattr(simhash, "BLOCK", 64)
+    dealt, plain = {}, simhash.in_groups
+
+    def counted(rows):
+        dealt["n"] = dealt.get("n", 0) + rows.count()
+        return plain(rows)
+
+    monkeypatch.setattr(simhash, "in_groups", counted)
+    luck = np.random.default_rng(2)
+    counts = []
+    for n in (1000, 4000):
+        values = {0}
+        while len(values) < n - 4:
+            values.add(int(sum(1 << int(b) for b in luck.choice(40, luck.integers(1, 7), replace=False))))
+        values |= {(1 << 60) - 1, (1 << 59) - 1, (1 << 50) - 3, (1 << 45) - 1}
+        rows = spark.createDataFrame([(v, v, 1) for v in values], "node long, fingerprint long, key long")
+        dealt.clear()
+        links = simhash.bucket_links(rows, 8, True)
+        roots = {r.node: r.root for r in simhash.components(links).collect()}
+        counts.append(dealt["n"])
+        a, b = simhash.near_pairs(np.array(sorted(values), np.uint64), np.array(sorted(values), np.uint64), 8)
+        want = simhash.spanning(len(values), a, b)
+        order = sorted(values)
+        assert [roots.get(v, v) for v in order] == [order[k] for k in want]
+    assert counts[1] < 6 * max(counts[0], 1)
+
+
 def test_equal_rows_fill_all_buckets_of_the_mix(spark, monkeypatch):
     rows = [(5, "one two three", "a")] * 3000 + [(k, f"w{k} x", "a") for k in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
