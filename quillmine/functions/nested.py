@@ -68,21 +68,28 @@ def generated_text(response: Column) -> Column:
 def json_body(answer: Column) -> Column:
     """The answer without white space around it and without a code fence that encloses all of it."""
     bare = T.strip(answer)
-    fenced = F.regexp_extract(bare, r"(?is)\A```(?:json)?\s*(.*?)\s*```\z", 1)
-    return F.when(bare.rlike(r"(?is)\A```(?:json)?\s*.*?\s*```\z"), fenced).otherwise(bare)
+    fence = r"(?is)\A```(?:json)?\s*(.*?)\s*```\z"
+    # most answers have no fence, and then no pattern is tried
+    return F.when(bare.startswith("```") & bare.rlike(fence), F.regexp_extract(bare, fence, 1)).otherwise(bare)
+
+
+def _one_value(body: Column) -> Column:
+    """Whether a text is one JSON value and nothing behind it."""
+    return F.coalesce(F.size(F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))).cast("array<variant>")) == 1, F.lit(False))
 
 
 def parsed_object(answer: Column, schema: str, repair: Callable[[str], str | None] | None = None) -> Column:
     """struct(value, error): the object under the schema, or why there is none. A broken text that ends as an object does
-    goes through repair first (repair_object if none is given); one that is cut off is never mended."""
-    body = repaired(json_body(answer), repair or repair_object)
-    value = F.from_json(body, schema, {"mode": "PERMISSIVE"})
-    # one value and nothing behind it
-    alone = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))).cast("array<variant>")
-    valid = F.coalesce(F.size(alone) == 1, F.lit(False)) & F.try_parse_json(body).isNotNull() & (~body.startswith("{") | body.endswith("}"))
-    is_object = body.startswith("{")
-    error = F.when(~valid & body.endswith("}"), F.lit("broken object")).when(~valid, F.lit("not JSON or cut off")).when(~is_object, F.lit("not an object"))
-    return F.struct(F.when(error.isNull(), value).alias("value"), error.alias("error"))
+    goes through repair first (repair_object if none is given); one that is cut off is never mended.
+
+    Each body is parsed once to judge it: that a text ending in a brace did not go to the repair says that it is sound."""
+    plain = json_body(answer)
+    mended = repaired_or_empty(plain, repair or repair_object)
+    body = F.when(mended.isNull() | (mended == ""), plain).otherwise(mended)
+    ends = body.endswith("}")
+    valid = F.when(mended == "", F.lit(False)).when(mended.isNull() & ends, F.lit(True)).otherwise(_one_value(body)) & (~body.startswith("{") | ends)
+    error = F.when(~valid & ends, F.lit("broken object")).when(~valid, F.lit("not JSON or cut off")).when(~body.startswith("{"), F.lit("not an object"))
+    return F.struct(F.when(error.isNull(), F.from_json(body, schema, {"mode": "PERMISSIVE"})).alias("value"), error.alias("error"))
 
 
 def repair_object(body: str) -> str | None:
@@ -98,15 +105,21 @@ def repair_object(body: str) -> str | None:
     return None
 
 
-def repaired(body: Column, repair=repair_object) -> Column:
-    """The repair step of N2; only broken texts that end with } go through Python."""
+def repaired_or_empty(body: Column, repair=repair_object) -> Column:
+    """The repair step of N2: what a broken text that ends with } is mended to, empty if it cannot be; null for all others,
+    which don't go through Python."""
 
     @F.pandas_udf("string")
     def mend(texts: pd.Series) -> pd.Series:
-        return texts.map(repair, na_action="ignore")
+        return texts.map(lambda t: repair(t) or "", na_action="ignore")
 
-    broken = F.try_parse_json(body).isNull() & body.endswith("}")
-    return F.coalesce(mend(F.when(broken, body)), body)
+    return mend(F.when(body.endswith("}") & ~_one_value(body), body))
+
+
+def repaired(body: Column, repair=repair_object) -> Column:
+    """The text mended where it is broken and can be mended, else as it is."""
+    mended = repaired_or_empty(body, repair)
+    return F.when(mended.isNull() | (mended == ""), body).otherwise(mended)
 
 
 def text_of_list(value: Column) -> Column:

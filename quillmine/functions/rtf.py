@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pandas as pd
 from pyspark.sql import Column
@@ -14,8 +15,9 @@ HIDDEN = frozenset("fonttbl colortbl stylesheet info pict header footer headerl
 BREAKS = {"par": "\n", "line": "\n", "row": "\n", "sect": "\n", "page": "\n", "tab": "\t", "cell": "|", "emdash": "—", "endash": "–", "lquote": "‘", "rquote": "’", "ldblquote": "“", "rdblquote": "”", "bullet": "•"}
 
 
-def rtf_text(data: bytes | None, code_page: str | None = None, errors: str = "replace") -> str | None:
-    """data: RTF as bytes. code_page: of escaped bytes, else the document's own (\\ansicpg) or cp1252."""
+def rtf_text(data: bytes | None, code_page: str | None = None, errors: str = "replace", seconds: float | None = None) -> str | None:
+    """data: RTF as bytes. code_page: of escaped bytes, else the document's own (\\ansicpg) or cp1252. A document that takes more
+    than `seconds` raises TimeoutError."""
     if data is None:
         return None
     source = data.decode("latin-1")
@@ -31,7 +33,10 @@ def rtf_text(data: bytes | None, code_page: str | None = None, errors: str = "re
                 out.append(bytes(pending).decode("cp1252", errors))
             pending.clear()
 
-    for m in _TOKEN.finditer(source):
+    ends = None if seconds is None else time.monotonic() + seconds
+    for k, m in enumerate(_TOKEN.finditer(source)):
+        if ends is not None and k % 4096 == 0 and time.monotonic() > ends:
+            raise TimeoutError(f"more than {seconds} seconds")
         word, number, escaped, symbol, brace, plain = m.groups()
         if brace:
             flush()
@@ -78,10 +83,27 @@ def rtf_text(data: bytes | None, code_page: str | None = None, errors: str = "re
 
 
 def text_of_rtf(content: Column, code_page: str | None = None, errors: str = "replace") -> Column:
-    """T9, T10 over a binary column."""
+    """T9 over a binary column."""
 
     @F.pandas_udf("string")
     def read(contents: pd.Series) -> pd.Series:
         return contents.map(lambda x: rtf_text(bytes(x), code_page, errors), na_action="ignore")
 
     return read(content)
+
+
+def converted(content: Column, seconds: float = 60.0, code_page: str | None = None) -> Column:
+    """struct(text, error) of a binary column: a document that takes longer than `seconds` has an error and no text, and
+    the batch goes on with the next. Null stays null in both."""
+
+    @F.pandas_udf("text string, error string")
+    def read(contents: pd.Series) -> pd.DataFrame:
+        out = []
+        for x in contents:
+            try:
+                out.append((None if x is None else rtf_text(bytes(x), code_page, seconds=seconds), None))
+            except TimeoutError as late:
+                out.append((None, str(late)))
+        return pd.DataFrame(out, columns=["text", "error"], dtype="object")
+
+    return read(content)

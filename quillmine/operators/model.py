@@ -38,10 +38,11 @@ def map_prompts(paragraphs: DataFrame, budget: int, overlap: int, instructions:
     return cut.select("document_id", "section", "batch_id", F.transform(F.slice("all", F.col("first"), F.col("last") - F.col("first") + 1), lambda p: p["paragraph_index"]).alias("targets"), F.transform(F.slice("all", F.col("first"), F.col("last") - F.col("first") + 1), lambda p: p["text"]).alias("texts"), prompt.alias("prompt"))
 
 
-def answered(prompts: DataFrame, model: Model, retries: int = 1, context_tokens: int | None = None, most_new_tokens: int = 0, repair: Callable[[str], str | None] = nested.repair_object) -> DataFrame:
+def answered(prompts: DataFrame, model: Model, retries: int = 1, context_tokens: int | None = None, most_new_tokens: int = 0, repair: Callable[[str], str | None] = nested.repair_object, keep_calls: bool = False) -> DataFrame:
     """H7, H8: prompts with answer, calls and error. An answer that is not a JSON object, also after the repair of one that
     ends as an object does, is asked for again, with what was wrong; a prompt that leaves no room in the context for
-    most_new_tokens of answer is an error without a call. Store the result before using it twice."""
+    most_new_tokens of answer is an error without a call. keep_calls adds attempts: what each call was asked, said and why that
+    was not taken. Store the result before using it twice."""
     schema = prompts.schema.simpleString()[len("struct<") : -1]
 
     def read(answer: str) -> str:
@@ -57,24 +58,39 @@ def answered(prompts: DataFrame, model: Model, retries: int = 1, context_tokens:
             raise TypeError("the answer must be an object")
         return json.dumps(value, ensure_ascii=False)
 
-    def ask(prompt: str, size: int) -> tuple[str | None, int, str | None]:
+    def ask(prompt: str, size: int) -> tuple[str | None, int, str | None, list[dict]]:
         if context_tokens is not None and size + most_new_tokens > context_tokens:
-            return None, 0, f"a prompt of {size} tokens and {most_new_tokens} of answer are beyond the context of {context_tokens}"
-        said, problem = prompt, None
+            return None, 0, f"a prompt of {size} tokens and {most_new_tokens} of answer are beyond the context of {context_tokens}", []
+        said, problem, attempts = prompt, None, []
         for call in range(1, retries + 2):
+            response = None
             try:
-                return read(model([{"role": "user", "content": said}])), call, None
+                response = model([{"role": "user", "content": said}])
+                found, problem = read(response), None
             except (TypeError, ValueError) as error:
-                problem = str(error)
-                said = f"{prompt}\n\nThe last answer could not be used: {problem}"
-        return None, retries + 1, problem
+                found, problem = None, str(error)
+            attempts.append({"call": call, "request": said, "response": response, "error": problem})
+            if problem is None:
+                return found, call, None, attempts
+            said = f"{prompt}\n\nThe last answer could not be used: {problem}"
+        return None, retries + 1, problem, attempts
 
     def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             got = [ask(p, n) for p, n in zip(batch["prompt"], batch["_tokens"])]
-            yield batch.drop(columns="_tokens").assign(answer=[g[0] for g in got], calls=[g[1] for g in got], error=[g[2] for g in got])
+            names = ("answer", "calls", "error", "attempts")[: 4 if keep_calls else 3]
+            yield batch.drop(columns="_tokens").assign(**{name: [g[k] for g in got] for k, name in enumerate(names)})
 
-    return prompts.withColumn("_tokens", T.token_count(F.col("prompt"))).mapInPandas(go, f"struct<{schema},answer:string,calls:int,error:string>")
+    calls = ",attempts:array<struct<call:int,request:string,response:string,error:string>>" if keep_calls else ""
+    return prompts.withColumn("_tokens", T.token_count(F.col("prompt"))).mapInPandas(go, f"struct<{schema},answer:string,calls:int,error:string{calls}>")
+
+
+def call_artifacts(answers: DataFrame, keys: list[str]) -> DataFrame:
+    """H7: name, content (JSON with sorted keys) of a file for each call, below a folder for its keys. answers: with attempts."""
+    place = F.concat_ws("/", *[F.regexp_replace(F.col(k).cast("string"), r"[^\w.-]", "_") for k in keys])
+    each = answers.select(place.alias("place"), F.inline("attempts"))
+    name = F.concat(F.col("place"), F.format_string("/call-%03d.json", F.col("call")))
+    return each.select(name.alias("name"), F.to_json(F.struct("call", "error", "request", "response"), {"ignoreNullFields": "false"}).alias("content"))
 
 
 def strip_fence(answer: str) -> str:

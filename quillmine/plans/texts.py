@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
-from quillmine.functions import grounding, nested
+from quillmine.functions import grounding, nested, rtf
 from quillmine.functions import text as T
 from quillmine.operators import batching, html_header, model, paragraphs, sections
 from quillmine.plans.corpus import LIGHT_SQL, table
@@ -347,6 +347,57 @@ def batch_outcomes(spark, sf_dir):
     return model.outcomes(prompts, lambda messages: "no object" if int(messages[0]["content"].split()[0]) % 3 == 0 else f'{{"n": {messages[0]["content"]}}}', retries=0).drop("error")
 
 
+@query("call_artifacts", """
+WITH d AS (SELECT DISTINCT conv_id FROM conversations), c AS (SELECT conv_id, unnest(range(1, CASE WHEN conv_id % 3 = 0 THEN 3 ELSE 2 END)) AS call FROM d)
+SELECT 'v2/' || conv_id || '/call-' || lpad(call::VARCHAR, 3, '0') || '.json' AS name, call::INTEGER AS call, conv_id % 3 = 0 AS refused,
+  conv_id || CASE WHEN call = 2 THEN ' again' ELSE '' END AS asked, CASE WHEN conv_id % 3 = 0 THEN 'no object' ELSE '{"n": ' || conv_id || '}' END AS response FROM c""")
+def call_artifacts(spark, sf_dir):
+    """H7: a file for each call of a stand-in model, with what it was asked and said, also where it is asked again."""
+    prompts = turns(spark, sf_dir).groupBy("document_id").agg(F.max("document_id").alias("prompt"))
+    said = lambda messages: "no object" if int(messages[0]["content"].split()[0]) % 3 == 0 else f'{{"n": {messages[0]["content"].split()[0]}}}'
+    files = model.call_artifacts(model.answered(prompts.withColumn("run", F.lit("v2")), said, keep_calls=True), ["run", "document_id"])
+    call = files.select("name", F.from_json("content", "call int, error string, request string, response string").alias("c"))
+    asked = F.regexp_replace("c.request", r"(?s)\s+The last answer.*", " again")
+    return call.select("name", "c.call", F.col("c.error").isNotNull().alias("refused"), asked.alias("asked"), "c.response")
+
+
+@query("rtf_round_trip", "SELECT doc_id, md5(text) AS text_md5, NULL::VARCHAR AS error FROM documents")
+def rtf_round_trip(spark, sf_dir):
+    """Whole texts written as RTF and read again."""
+    sign = lambda c: F.when(c.isin("\\", "{", "}"), F.concat(F.lit("\\"), c)).when(c == "\n", F.lit("\\par ")).when(c == "\t", F.lit("\\tab ")).when(c >= "\x80", F.concat(F.lit("\\u"), F.ascii(c).cast("string"), F.lit("?"))).otherwise(c)
+    body = F.array_join(F.transform(F.split("text", ""), sign), "")
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("{\\rtf1\\ansi{\\fonttbl{\\f0 Some Font;}}\\f0 "), body, F.lit("}")).cast("binary").alias("content"))
+    read = rows.select("doc_id", rtf.converted(F.col("content")).alias("r"))
+    return read.select("doc_id", F.md5(F.col("r.text").cast("binary")).alias("text_md5"), "r.error")
+
+
+@query("longest_prefix", "SELECT doc_id, least(doc_id % 300, length(one))::INTEGER AS prefix FROM (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS one FROM documents)")
+def longest_prefix(spark, sf_dir):
+    """How far a quote that goes wrong agrees with its source."""
+    one = T.one_line(F.col("text"))
+    quote = F.concat(F.substring(one, F.lit(1), (F.col("doc_id") % 300).cast("int")), F.lit("¤ foreign"))
+    return table(spark, sf_dir, "documents").select("doc_id", grounding.longest_prefix(quote, one).alias("prefix"))
+
+
+@query("within_batch", "SELECT o_orderkey, 1 + (o_orderkey % 3 < 2)::INTEGER AS n_records FROM orders")
+def within_batch(spark, sf_dir):
+    """Records of paragraphs that the batch did not hold go."""
+    index = lambda c: F.struct(c.cast("int").alias("paragraph_index"))
+    records = F.array(index(F.col("o_orderkey") % 3), index(F.lit(None)), index(F.lit(5)))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.size(grounding.within_batch(records, F.array(F.lit(0), F.lit(1)))).alias("n_records"))
+
+
+@query("payload_errors", """
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'payload.a must be a string' WHEN 2 THEN 'unexpected fields: [''c'']' ELSE 'payload.b[1] must be an integer' END AS errors FROM orders""")
+def payload_errors(spark, sf_dir):
+    """What in a payload breaks its schema."""
+    key = F.col("o_orderkey") % 4
+    status = F.concat(F.lit('"'), F.col("o_orderstatus"), F.lit('"'))
+    body = F.when(key == 0, F.concat(F.lit('{"a": '), status, F.lit(', "b": [1, 2]}'))).when(key == 1, F.lit('{"a": 5}')).when(key == 2, F.concat(F.lit('{"a": '), status, F.lit(', "c": 1}'))).otherwise(F.concat(F.lit('{"a": '), status, F.lit(', "b": [1, "x"]}')))
+    schema = S.StructType([S.StructField("a", S.StringType(), False), S.StructField("b", S.ArrayType(S.LongType(), False))])
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(nested.checked_payload(body, schema)["errors"], "; ").alias("errors"))
+
+
 @query("anchor_table", """
 SELECT o_orderkey::VARCHAR AS document_id, o_orderkey % 2 = 0 AS found_article, CASE WHEN o_orderkey % 3 = 0 THEN 'arguments' ELSE '' END AS missing, o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0 AS passed FROM orders""")
 def anchor_table(spark, sf_dir):

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmine.functions.rtf import text_of_rtf
+from quillmine.sources.shared import put_file
 
 #: The columns that registries are read by; others are text.
 REGISTRY = "doc_id string, justice_kind int, category_code string, doc_url string"
@@ -100,3 +103,28 @@ def copy_blob(spark: SparkSession, source: str, target: str, replace: bool = Fal
         return False
     hadoop.io.IOUtils.copyBytes(stores[0].open(places[0]), stores[1].create(places[1], True), chunk, True)
     return True
+
+
+def download(rows: DataFrame, folder: str, opener: Callable | None = None, seconds: float = 60.0, chunk: int = 1 << 20) -> DataFrame:
+    """Rows (url, name) with size and error: each URL streamed by a task into a file below a folder, a chunk at a time; a
+    file appears only when it is whole. opener(url, seconds) gives something to read from (by default urllib's). A URL that
+    fails has an error and no file, and the others go on; a null URL is an error. Store the result before using it twice."""
+    base = folder.rstrip("/")
+
+    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from urllib.request import urlopen
+
+        start = opener or (lambda url, seconds: urlopen(url, timeout=seconds))
+        for batch in batches:
+            out = []
+            for url, name in zip(batch["url"], batch["name"]):
+                try:
+                    if url is None:
+                        raise ValueError("no URL")
+                    with start(url, seconds) as source:
+                        out.append((url, name, put_file(f"{base}/{name}", iter(lambda: source.read(chunk), b"")), None))
+                except (OSError, ValueError) as error:
+                    out.append((url, name, None, str(error)))
+            yield pd.DataFrame(out, columns=["url", "name", "size", "error"]).astype({"size": "Int64"})
+
+    return rows.select("url", "name").mapInPandas(fetch, "url string, name string, size long, error string")

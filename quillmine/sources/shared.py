@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,16 +76,25 @@ def _uri(path: str) -> str:
     return "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
 
 
-def put_file(path: str, content: bytes) -> None:
-    """Writes one file from a task, under another name first, so that it appears whole or not at all, and again after a retry."""
+def put_file(path: str, content: bytes | Iterator[bytes]) -> int:
+    """Writes one file (bytes, or pieces as they come) from a task, under another name first, so that it appears whole or not at
+    all, and again after a retry; its size."""
     from pyarrow import fs
 
     store, place = fs.FileSystem.from_uri(_uri(path))
     store.create_dir(place.rsplit("/", 1)[0], recursive=True)
     aside = f"{place.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
-    with store.open_output_stream(aside) as out:
-        out.write(content)
-    store.move(aside, place)
+    size = 0
+    try:
+        with store.open_output_stream(aside) as out:
+            for piece in [content] if isinstance(content, bytes) else content:
+                size += out.write(piece)
+        store.move(aside, place)
+    except BaseException:
+        if store.get_file_info(aside).type != fs.FileType.NotFound:
+            store.delete_file(aside)
+        raise
+    return size
 
 
 def clear_folder(path: str) -> None:

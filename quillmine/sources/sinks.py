@@ -179,6 +179,20 @@ def copy_tree(spark: SparkSession, source: str, target: str, left_out: tuple[str
     return kept.select("name", "content").mapInArrow(write, "n long").agg(F.sum("n").alias("n")).first().n or 0
 
 
+def write_files(rows: DataFrame, folder: str) -> int:
+    """H7, K7: rows (name, content: text) as a file each below a folder, written by tasks; how many. A file appears whole, and
+    again writes the same."""
+    base = folder.rstrip("/")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column(0), batch.column(1)):
+                put_file(f"{base}/{name.as_py()}", content.as_py().encode("utf-8", "surrogatepass"))
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    return rows.select("name", "content").mapInArrow(write, "n long").agg(F.sum("n").alias("n")).first().n or 0
+
+
 def write_result_log(results: DataFrame, folder: str, when: str) -> str:
     """Results as one CSV with a header, in a folder named by the time; its path."""
     path = f"{folder.rstrip('/')}/results_{when}"

@@ -214,3 +214,56 @@ def test_epochs(spark):
         assert all(list(b) == sorted(b) for b in ([r.batch for r in found if r.shard == s] for s in range(5)))
         orders.append([r.doc_id for r in found])
     assert orders[0] != orders[1] != sorted(orders[1])
+
+
+def test_downloads_by_tasks(spark, tmp_path):
+    from quillmine.sources import files
+    from quillmine.sources.shared import put_file
+
+    (tmp_path / "a.bin").write_bytes(bytes(range(256)) * 9000)
+    rows = spark.createDataFrame([(f"file://{tmp_path}/a.bin", "x/a.bin"), (f"file://{tmp_path}/none", "b"), (None, "c")], "url string, name string")
+    got = {r["name"]: (r["size"], r["error"] is None) for r in files.download(rows, f"file://{tmp_path}/out", chunk=1000).collect()}
+    assert got == {"x/a.bin": (256 * 9000, True), "b": (None, False), "c": (None, False)}
+    assert (tmp_path / "out" / "x" / "a.bin").read_bytes() == (tmp_path / "a.bin").read_bytes() and os.listdir(tmp_path / "out") == ["x"]
+
+    def broken():
+        yield b"some"
+        raise OSError("gone")
+
+    with pytest.raises(OSError):
+        put_file(f"{tmp_path}/half", broken())
+    assert not [n for n in os.listdir(tmp_path) if n == "half" or n.startswith(".")]
+
+
+def test_slow_documents_are_given_up(spark):
+    from quillmine.functions import rtf
+
+    rows = spark.createDataFrame([(1, b"{\\rtf1 a\\par b}"), (2, None), (3, b"{\\rtf1 " + b"\\b x" * 300_000 + b"}")], "k int, c binary")
+    got = {r.k: (r.r.text, r.r.error) for r in rows.select("k", rtf.converted(F.col("c"), 0.0001).alias("r")).collect()}
+    assert got[2] == (None, None) and got[3][0] is None and "seconds" in got[3][1]
+    assert rows.select("k", rtf.converted(F.col("c"), 60).alias("r")).where("k = 1").first().r.text == "a\nb"
+
+
+def test_calls_leave_files(spark, tmp_path):
+    from quillmine.operators import model
+
+    prompts = spark.createDataFrame([("d/1", "good"), ("d2", "bad")], "document_id string, prompt string")
+    said = lambda messages: "{}" if messages[0]["content"].startswith("good") else "no object"
+    answers = model.answered(prompts, said, keep_calls=True)
+    assert model.answered(prompts, said).columns == ["document_id", "prompt", "answer", "calls", "error"]
+    assert sinks.write_files(model.call_artifacts(answers, ["document_id"]), f"file://{tmp_path}/calls") == 3
+    read = lambda *parts: json.loads((tmp_path / "calls").joinpath(*parts).read_text())
+    assert read("d_1", "call-001.json") == {"call": 1, "error": None, "request": "good", "response": "{}"}
+    assert read("d2", "call-002.json")["request"].startswith("bad\n\nThe last answer") and read("d2", "call-001.json")["error"]
+    assert model.answered(prompts, said, context_tokens=0, most_new_tokens=9, keep_calls=True).first().attempts == []
+
+
+def test_answers_are_judged_once(spark):
+    from quillmine.functions import nested
+
+    cases = {'{"k": 1}': (1, None), ' ```json\n{"k": 2}\n``` ': (2, None), '{"k": 3,}': (3, None), '{"k": 4': (None, "not JSON or cut off"), '{k}': (None, "broken object"), "[1]": (None, "not an object"), "": (None, "not JSON or cut off"), '{"k": 5} {"k": 6}': (None, "broken object"), "```{": (None, "not JSON or cut off"), "5": (None, "not an object")}
+    rows = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r.t: (r.p.value.k if r.p.value else None, r.p.error) for r in rows.select("t", nested.parsed_object(F.col("t"), "k long").alias("p")).collect()}
+    assert got == cases
+    one = rows.select(nested.parsed_object(F.col("t"), "k long", lambda t: "{").alias("p"), "t").where("t = '{k}'").first()
+    assert one.p.error is not None
