@@ -174,7 +174,7 @@ def spellings(kind: str, span: str) -> list[str]:
     digits = re.sub("[^0-9]", "", span)
     if kind == "email":
         local, _, domain = span.partition("@")
-        return [f"{local} (at) {domain}", f"{local}[at]{domain.replace('.', '[dot]')}", f"{local} at {domain.replace('.', ' dot ')}", f"{local}＠{domain}"]
+        return [f"{local} (at) {domain}", f"{local}[at]{domain.replace('.', '[dot]')}", f"{local} at {domain.replace('.', ' dot ')}", f"{local}＠{domain}", f"{local} (at) {domain.replace('.', ' (dot) ')}"]
     if kind == "card":
         return [sep.join(digits[k : k + 4] for k in range(0, len(digits), 4)) for sep in ("/", ".", "–", " - ")]
     if kind == "ip":
@@ -183,15 +183,14 @@ def spellings(kind: str, span: str) -> list[str]:
     return [f for f in forms if f != span and f.count("(") <= 2]
 
 
-def loosened(text: str, kind: str, start: int, end: int, luck: int, left_out: int | None = None) -> list[tuple[str, str, int, int]]:
-    """A pattern's span in one of its looser spellings, as (text around it, kind, start, end). left_out: the number of a spelling
-    that is not used, so that it can be measured unseen."""
+def loosened(text: str, kind: str, start: int, end: int, luck: int | None = None, left_out: int | None = None) -> list[tuple[str, str, int, int]]:
+    """A pattern's span in its looser spellings, or in one of them by luck, each as (text around it, kind, start, end). left_out:
+    the number of a spelling that is not used, so that it can be measured unseen."""
     forms = [f for k, f in enumerate(spellings(kind, text[start:end])) if k != left_out]
-    if not forms:
-        return []
-    form = forms[luck % len(forms)]
+    if luck is not None:
+        forms = forms[luck % len(forms) :][:1] if forms else []
     before, after = text[max(0, start - 24) : start], text[end : end + 24]
-    return [(before + form + after, kind, len(before), len(before) + len(form))]
+    return [(before + form + after, kind, len(before), len(before) + len(form)) for form in forms]
 
 
 class Model:
@@ -236,7 +235,7 @@ def overlaps(taken: list[tuple[int, int]], span: tuple[str, int, int]) -> bool:
     return at > 0 and taken[at - 1][1] > start
 
 
-def examples(text: str, luck: int, left_out: int | None = None) -> list[tuple[str, list[float], int, bool]]:
+def examples(text: str, left_out: int | None = None) -> list[tuple[str, list[float], int, bool]]:
     """Labelled candidates of one text, as (kind, features, label, whether it is a looser one): what a pattern takes is personal
     data and so is its looser spelling; what the patterns refuse is not, unless a word before it hints at its kind: that is
     left out, as nothing decides it."""
@@ -244,7 +243,7 @@ def examples(text: str, luck: int, left_out: int | None = None) -> list[tuple[st
     taken = united(base)
     out = []
     for kind, start, end in base:
-        for around, k, a, b in loosened(text, kind, start, end, luck, left_out):
+        for around, k, a, b in loosened(text, kind, start, end, None, left_out):
             out.append((k, features(around, k, a, b), 1, True))
             # parts of a number are not the number
             out += [(k2, features(around, k2, a2, b2), 0, True) for k2, a2, b2 in candidates(around) if (k2, a2, b2) != (k, a, b) and a <= a2 and b2 <= b]
@@ -267,7 +266,7 @@ def example_rows(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, sample_spans
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for text in batch["text"]:
-                found = examples(text, len(text)) if text else []
+                found = examples(text) if text else []
                 if found:  # an empty column would have no type that Arrow takes for lists
                     kinds, x, y, loose = zip(*found)
                     yield pd.DataFrame({"kind": kinds, "x": x, "y": y, "loose": loose, "fold": zlib.crc32(text.encode("utf-8", "surrogatepass")) % FOLDS})
