@@ -145,6 +145,14 @@ def category_frequency(rows: DataFrame, code: str, categories: DataFrame | None
     return counts.orderBy(F.col("n").desc(), F.col(code))
 
 
+def ranked(counts: DataFrame, *tie: str, count: str = "n", name: str = "place") -> DataFrame:
+    """O3: counts with their place from 0, the most first, equal ones by the tie columns (nulls first): the order itself as a
+    column, so that it outlasts a shuffle, and no task orders more than a range."""
+    columns = counts.columns
+    placed = positions(counts.select(packed(columns), (-F.col(quoted(count))).alias("falling"), *[F.col(quoted(c)).alias(f"tie{k}") for k, c in enumerate(tie)]), "falling", *[f"tie{k}" for k in range(len(tie))], name="place")
+    return placed.select(*_with(columns, name, F.col("place")))
+
+
 def run_counters(outcomes: DataFrame, status: str, statuses) -> DataFrame:
     """A3, A4, A5: how many rows have each status, in one row."""
     return outcomes.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.col(status) == s).alias(s) for s in statuses])

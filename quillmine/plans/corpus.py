@@ -198,6 +198,23 @@ def worker_assignment(spark, sf_dir):
     return rows.select("doc_id", tracking.worker_of(F.col("position"), 7).alias("worker"))
 
 
+@query("category_places", "SELECT c_nationkey, n, row_number() OVER (ORDER BY n DESC, c_nationkey NULLS FIRST) - 1 AS place FROM (SELECT c_nationkey, count(c_nationkey) AS n FROM (SELECT c_nationkey FROM customer UNION ALL SELECT NULL) GROUP BY 1)")
+def category_places(spark, sf_dir):
+    """O3: the order of the frequencies as a column."""
+    rows = table(spark, sf_dir, "customer").select("c_nationkey")
+    rows = rows.unionByName(spark.range(1).select(F.lit(None).cast("int").alias("c_nationkey")))
+    return tracking.ranked(tracking.category_frequency(rows, "c_nationkey"), "c_nationkey")
+
+
+@query("word_places", """
+WITH w AS (SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS token FROM documents) GROUP BY 1 HAVING count(*) >= 2)
+SELECT token, n, row_number() OVER (ORDER BY n DESC, token) - 1 AS place FROM w""")
+def word_places(spark, sf_dir):
+    """O3, O4 over all words of a corpus."""
+    words = vocabulary.word_candidates(table(spark, sf_dir, "documents")).select("token", (-F.col("place")).alias("n"))
+    return tracking.ranked(words, "token")
+
+
 @query("category_frequency", """
 SELECT n_nationkey, n_name, n_regionkey, c.n, c.c_nationkey FROM (SELECT c_nationkey, count(c_nationkey) AS n FROM (SELECT c_nationkey FROM customer UNION ALL SELECT NULL) GROUP BY 1) c
 LEFT JOIN nation ON c_nationkey = n_nationkey""")

@@ -58,6 +58,12 @@ def test_positions_with_any_names(spark):
     assert {r._part: r._base for r in total.collect()} == want
 
 
+def test_places_by_falling_count(spark):
+    rows = spark.createDataFrame([("b", 3, "x"), (None, 3, "y"), ("a", 3, "z"), ("c", 9, "w"), ("d", None, "v")], "`k.1` string, n long, falling string")
+    found = tracking.ranked(rows, "k.1", name="falling")
+    assert found.columns == ["k.1", "n", "falling"] and [r["k.1"] for r in sorted(found.collect(), key=lambda r: r.falling)] == ["d", "c", None, "a", "b"]
+
+
 def test_documents_of_very_many_paragraphs(spark):
     one = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(100_000)), lambda k: F.lit("abc")).alias("parts"))
     start = time.time()
