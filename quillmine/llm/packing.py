@@ -28,6 +28,15 @@ VOCABULARY = "byte_bpe_50k"
 #: a run once for each character, so its time grows with the square of the run.
 LONG_RUN = 512
 _LONG_RUN = re.compile(r"\s{%d}" % LONG_RUN)
+
+
+def has_long_run(text: str) -> bool:
+    """Whether the text has LONG_RUN signs of white space in a row. Such a run has two on either side of a multiple of half its
+    length, so most texts are settled by a look at these places."""
+    half = LONG_RUN // 2
+    return any(text[k].isspace() and text[k - 1].isspace() for k in range(half, len(text), half)) and _LONG_RUN.search(text) is not None
+
+
 #: doc_id crosses Python as text: beside nulls pandas would hold it as a float.
 TOKEN_SCHEMA = "part int, part_start long, doc_id string, n_ids long, ids binary"
 
@@ -49,7 +58,7 @@ def encoder(vocabulary: str):
     full: list[Tokenizer] = []  # read on the first text that needs it
 
     def encode(text: str) -> list[int]:
-        if "<|endoftext|>" in text or len(text) >= LONG_RUN and _LONG_RUN.search(text):
+        if "<|endoftext|>" in text or has_long_run(text):
             if not full:
                 full.append(Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json")))
             return full[0].encode(text, add_special_tokens=False).ids

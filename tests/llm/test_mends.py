@@ -153,6 +153,14 @@ def test_long_white_space_takes_time_in_proportion():
     assert ids == Tokenizer.from_file(public_tokenizers.path(f"{packing.VOCABULARY}.json")).encode(text, add_special_tokens=False).ids
 
 
+def test_long_runs_are_seen_wherever_they_lie():
+    luck = random.Random(3)
+    for _ in range(400):
+        text = "x y" * luck.randrange(300) + luck.choice(" \t\n\u2003") * luck.randrange(packing.LONG_RUN - 3, packing.LONG_RUN + 3) + "z  " * luck.randrange(300)
+        assert packing.has_long_run(text) == (packing._LONG_RUN.search(text) is not None)
+    assert not packing.has_long_run("") and packing.has_long_run(" " * packing.LONG_RUN) and not packing.has_long_run(" " * (packing.LONG_RUN - 1))
+
+
 def test_all_sure_grams_are_features():
     docs = np.array([[0.0] * 30_000, [50.0] * 30_000])
     slots = np.arange(30_000)
