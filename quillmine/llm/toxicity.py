@@ -140,23 +140,27 @@ def fit(rows: DataFrame) -> Model:
     docs = np.stack([counted.column(n).to_numpy().astype(np.float64) for n in ("n0", "n1")])
     chosen, ratio = chosen_slots(counted.column("slot").to_numpy(), docs, n_of)
     got = sparse_rows(rows, chosen, ratio).toArrow()
-    columns, values = [np.frombuffer(x, np.int32) for x in got.column("places").to_pylist()], [np.frombuffer(x, np.float32) for x in got.column("values").to_pylist()]
-    row_of = np.repeat(np.arange(len(columns), dtype=np.int32), [len(x) for x in columns])
-    columns, values = np.concatenate(columns), np.concatenate(values)
-    lengths, label = got.column("length").to_numpy(), got.column("label").to_numpy().astype(np.float64)
+    lengths, label = got.column("length").to_numpy().copy(), got.column("label").to_numpy().astype(np.float64)
+    columns, values = (np.concatenate([np.frombuffer(x.as_py(), kind) for x in got.column(name)]) for name, kind in (("places", np.int32), ("values", np.float32)))
+    sizes = np.array([len(x.as_py()) // 4 for x in got.column("places")])
+    del got
+    row_of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    # a part of the sample's n-grams at a time, as each step makes some numbers of eight bytes for every one of them
+    parts = [slice(at, at + CHUNK) for at in range(0, len(columns), CHUNK)]
     centre, n = lengths.mean(), len(lengths)
     # every label has the same total weight while fitting; the sample keeps few rows of the common one
     weight = np.where(label == 1, 0.5 / n_of[1], 0.5 / n_of[0])
     w, rest = np.zeros(len(chosen)), np.zeros(2)
     first, second = np.zeros(len(chosen) + 2), np.zeros(len(chosen) + 2)
+    margins = lambda: sum((np.bincount(row_of[k], values[k] * w[columns[k]], n) for k in parts), rest[0] + rest[1] * (lengths - centre))
     for step in range(1, STEPS + 1):
-        margin = np.bincount(row_of, values * w[columns], n) + rest[0] + rest[1] * (lengths - centre)
+        margin = margins()
         error = weight * (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - label)
-        slope = np.concatenate([np.bincount(columns, values * error[row_of], len(chosen)) + RIDGE * w, [error.sum(), (error * (lengths - centre)).sum()]])
+        slope = np.concatenate([sum((np.bincount(columns[k], values[k] * error[row_of[k]], len(chosen)) for k in parts), RIDGE * w), [error.sum(), (error * (lengths - centre)).sum()]])
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         move = 0.03 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         w, rest = w - move[:-2], rest - move[-2:]
-    margin = np.bincount(row_of, values * w[columns], n) + rest[0] + rest[1] * (lengths - centre)
+    margin = margins()
     cut = best_cut(margin, label)
     return Model(chosen, w * ratio, float(rest[0] - rest[1] * centre - cut), float(rest[1]))
 
