@@ -67,25 +67,25 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     }
 
 
-def openings(host: Column, path: Column) -> dict[str, Column]:
-    """What statistics are kept of: the host's last label, the path's first segment, and both with the sign after them."""
-    suffix, top = F.substring_index(host, ".", -1), F.regexp_extract(path, r"^/([^/]*)", 1)
-    return {"suffix": suffix, "top": top, "stem": F.concat_ws("/", suffix, top, F.regexp_extract(path, r"^/[^/]*/(.?)", 1))}
+def suffixes(host: Column, path: Column) -> dict[str, Column]:
+    """What statistics are kept of: the host's last label and last two, and the path's first segment."""
+    last = lambda n: F.substring_index(host, ".", -n)
+    return {"suffix": last(1), "site": last(2), "top": F.regexp_extract(path, r"^/([^/]*)", 1)}
 
 
 @dataclass
 class Model:
-    """Trees over the lexical features and, for each opening, the share of blocked URLs among those that have it."""
+    """Trees over the lexical features and, for each suffix, the share of blocked URLs among those that have it."""
 
     forest: boosting.Forest
     shares: dict[str, dict[str, float]]
 
 
-def share_tables(openings_of: list[dict[str, str]], labels: np.ndarray, weights: np.ndarray) -> dict[str, dict[str, float]]:
-    """Weighted share of label 1 of each opening, drawn to one half as by two rows."""
+def share_tables(suffixes_of: list[dict[str, str]], labels: np.ndarray, weights: np.ndarray) -> dict[str, dict[str, float]]:
+    """Weighted share of label 1 of each suffix, drawn to one half as by two rows."""
     found = {}
-    for name in openings_of[0] if openings_of else ():
-        keys, place = np.unique([o[name] for o in openings_of], return_inverse=True)
+    for name in suffixes_of[0] if suffixes_of else ():
+        keys, place = np.unique([o[name] for o in suffixes_of], return_inverse=True)
         blocked, all_ = np.bincount(place, labels * weights), np.bincount(place, weights)
         found[name] = dict(zip(keys.tolist(), ((blocked + 1.0) / (all_ + 2.0)).tolist()))
     return found
@@ -93,13 +93,13 @@ def share_tables(openings_of: list[dict[str, str]], labels: np.ndarray, weights:
 
 def train(pages: DataFrame, rules=RULES, sample: int = SAMPLE) -> Model:
     """From at most `sample` rule-labelled URLs, taken by a hash. Both verdicts weigh alike. A URL's own label is not in the
-    shares it is trained with: these come from the other folds, dealt by a hash of the URL."""
+    shares it is trained with: these come from the other folds, dealt by a hash of the host, so a host says nothing of itself."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
     rows = rows.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     ruled = matching_rule(F.col("host"), F.col("path"), rules)[1]
-    features, opened = lexical(F.col("url"), F.col("host"), F.col("path")), openings(F.col("host"), F.col("path"))
+    features, opened = lexical(F.col("url"), F.col("host"), F.col("path")), suffixes(F.col("host"), F.col("path"))
     labelled = bounded_sample(rows.withColumn("ruled", ruled).where(F.col("ruled").isNotNull()), sample, "urls", F.col("url"), F.col("page_id"))
-    fold = F.pmod(F.xxhash64(F.lit("fold"), "url"), F.lit(FOLDS)).cast("int")
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "host"), F.lit(FOLDS)).cast("int")
     known = [r.asDict() for r in labelled.select(fold.alias("fold"), (F.col("ruled") == "block").cast("double").alias("label"), *[c.alias(n) for n, c in (features | opened).items()]).toLocalIterator()]
     if not known:
         return Model(boosting.Forest(-math.log(99)), {})
@@ -130,7 +130,7 @@ def judged(pages: DataFrame, rules=RULES, sample: int = SAMPLE, model: Model | N
     rows = rows.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("ruled", verdict)
-    features, opened = lexical(F.col("url"), F.col("host"), F.col("path")), openings(F.col("host"), F.col("path"))
+    features, opened = lexical(F.col("url"), F.col("host"), F.col("path")), suffixes(F.col("host"), F.col("path"))
     for name, of in opened.items():
         # these tables have at most as many rows as the sample
         table = pages.sparkSession.createDataFrame(sorted(model.shares.get(name, {}).items()), f"{name} string, {name}_share double")

@@ -336,7 +336,7 @@ def test_lexical_features_by_plain_code(spark):
     rows = rows.unionByName(spark.read.parquet(f"{BIG}/pages.parquet").select((F.col("page_id") + 1000).alias("page_id"), "url"))
     rows = rows.withColumn("host", urls.host_of(F.col("url"))).withColumn("path", urls.path_of(F.col("url")))
     of = urls.lexical(F.col("url"), F.col("host"), F.col("path"))
-    opened = urls.openings(F.col("host"), F.col("path"))
+    opened = urls.suffixes(F.col("host"), F.col("path"))
 
     def bits(text):
         counts = collections.Counter(text)
@@ -353,21 +353,23 @@ def test_lexical_features_by_plain_code(spark):
             "page_suffix": 2 if path.endswith("/") else len(re.findall(r"\.[a-z]+$", path)),
         }
         assert {n: r[f"f_{n}"] for n in of} == pytest.approx({n: float(v) for n, v in plain.items()}), url
-        segments = path.split("/")[1:] if path.startswith("/") else []
-        top = segments[0] if segments else ""
-        after = segments[1][:1] if len(segments) > 1 else ""
-        if len(segments) > 2 and segments[1] == "":
-            after = "/"
-        assert [r.f_suffix, r.f_top, r.f_stem] == [host.split(".")[-1], top, f"{host.split('.')[-1]}/{top}/{after}"], url
-
-
-def test_trees_agree_with_rules_on_urls_they_did_not_see(spark):
-    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
-    held = F.crc32(F.col("url").cast("binary")) % 4 == 0
-    model = urls.train(pages.where(~held))
-    got = urls.judged(pages.where(held), model=model).where("rule is not null").select("verdict", "score").collect()
-    right = {v: [(r.score >= 0.5) == (v == "block") for r in got if r.verdict == v] for v in ("allow", "block")}
-    assert len(right["allow"]) >= 15 and all(sum(x) >= 0.9 * len(x) for x in right.values()), {k: (sum(x), len(x)) for k, x in right.items()}
+        top = path.split("/")[1] if path.startswith("/") else ""
+        assert [r.f_suffix, r.f_site, r.f_top] == [host.split(".")[-1], ".".join(host.split(".")[-2:]), top], url
+
+
+def test_trees_judge_hosts_without_rules_by_their_form(spark):
+    rng = np.random.default_rng(8)
+    digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    long = lambda host: f"http://{host}/go/{digits(9)}/{digits(7)}?id={digits(12)}&ref={digits(5)}&s={digits(4)}"
+    short = lambda host: f"https://{host}/about/{'abcdefghij'[rng.integers(10)] * int(rng.integers(1, 6))}.html"
+    rules = tuple(("block", f"pay{k}.test/") for k in range(20)) + tuple(("allow", f"home{k}.test/") for k in range(20))
+    ruled = [form(f"{stem}{k}.test") for stem, form in (("pay", long), ("home", short)) for k in range(20) for _ in range(6)]
+    free = [(form(f"{stem}{k}.{end}"), says) for form, says in ((long, "block"), (short, "allow")) for stem in ("shop", "news") for end in ("zone", "test") for k in range(10)]
+    pages = spark.createDataFrame(list(enumerate(ruled + [url for url, _ in free])), "page_id long, url string")
+    got = {r.page_id: r for r in urls.judged(pages, rules).collect()}
+    assert all(got[k].rule is not None for k in range(len(ruled))) and all(got[len(ruled) + k].rule is None for k in range(len(free)))
+    right = [got[len(ruled) + k].verdict == says for k, (_, says) in enumerate(free)]
+    assert sum(right) >= 0.95 * len(right), (sum(right), len(right))
 
 
 def test_one_verdict_or_none_holds_for_the_rest(spark):
