@@ -38,11 +38,12 @@ def average_degree(edges: DataFrame) -> DataFrame:
 def clustering(edges: DataFrame) -> DataFrame:
     """Node, degree, triangles, coefficient. A triangle is found once: its edges lead from the node of lower degree to
     that of higher, so a node of many edges has few that lead away, and no pair of its neighbours is made that a join on
-    edges does not confirm."""
-    d = degrees(edges)
-    e = simple_edges(edges).join(d.select(F.col("node").alias("src"), F.col("degree").alias("ds")), "src").join(d.select(F.col("node").alias("dst"), F.col("degree").alias("dd")), "dst")
+    edges does not confirm. Edges, and where they lead, are stored once, as three joins read them."""
+    edges = stored(simple_edges(edges), "simple-edges")
+    d = edges.select(F.explode(F.array("src", "dst")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    e = edges.join(d.select(F.col("node").alias("src"), F.col("degree").alias("ds")), "src").join(d.select(F.col("node").alias("dst"), F.col("degree").alias("dd")), "dst")
     up = F.struct("ds", "src") < F.struct(F.col("dd").alias("ds"), F.col("dst").alias("src"))
-    led = e.select(F.when(up, F.col("src")).otherwise(F.col("dst")).alias("a"), F.when(up, F.col("dst")).otherwise(F.col("src")).alias("b"))
+    led = stored(e.select(F.when(up, F.col("src")).otherwise(F.col("dst")).alias("a"), F.when(up, F.col("dst")).otherwise(F.col("src")).alias("b")), "led-edges")
     wedge = led.alias("x").join(led.select(F.col("a"), F.col("b").alias("c")).alias("y"), "a").where("b < c")
     closing = led.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("c"))
     triangles = wedge.join(closing, ["b", "c"]).select(F.explode(F.array("a", "b", "c")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("triangles"))
