@@ -147,7 +147,10 @@ def labelled_edges(spark, sf_dir):
 @query("perplexity", "SELECT event_id, CASE WHEN value / 10 < 50 THEN round(exp(value / 10) / exp(floor(value / 10)), 6) ELSE 'inf'::DOUBLE END AS scaled_perplexity FROM events")
 def perplexity(spark, sf_dir):
     p = graph.perplexity(F.col("value") / 10)
-    scaled = F.round(p / F.exp(F.floor(F.col("value") / 10)), 6)
+    below = F.exp(F.floor(F.col("value") / 10))
+    # far below zero both are zero, or this one is; what is over zero is so by IEEE's rules, as in the SQL
+    over_zero = F.when(p == 0, F.lit(float("nan"))).otherwise(F.lit(float("inf")))
+    scaled = F.when(below == 0, over_zero).otherwise(F.round(F.try_divide(p, below), 6))
     return table(spark, sf_dir, "events").select("event_id", F.when(p == float("inf"), p).otherwise(scaled).alias("scaled_perplexity"))
 
 
