@@ -10,11 +10,13 @@ from __future__ import annotations
 import re
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from quillmine.functions.arrow import mapped
+
 #: Wrong readings that one text can have gone through.
 MOST_READINGS = 4
 CODES = ("cp1252", "cp1251")
@@ -93,9 +95,9 @@ def mended(text: str) -> str:
     return text
 
 
-@F.pandas_udf(StringType())
-def _mended(texts: pd.Series) -> pd.Series:
-    return texts.map(mended, na_action="ignore")
+@F.arrow_udf(StringType())
+def _mended(texts: pa.Array) -> pa.Array:
+    return mapped(texts, mended, pa.string())
 
 
 def mend(c: Column) -> Column:
@@ -114,6 +116,13 @@ LIGATURES = {"ĳ": "ij", "Ĳ": "IJ", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ
 SINGLE_QUOTES, DOUBLE_QUOTES = "ʼ‘’‚‛", "“”„‟"
 
 
+#: plain_signs() sign by sign.
+PLAIN = str.maketrans(
+    dict.fromkeys(SINGLE_QUOTES, "'") | dict.fromkeys(DOUBLE_QUOTES, '"') | {chr(k): chr(k - 0xFEE0) for k in range(0xFF01, 0xFF5F)}
+    | {"\u3000": " ", "\u2028": "\n", "\u2029": "\n", "\x85": "\n", "\ufeff": ""} | LIGATURES
+)
+
+
 def plain_signs(c: Column) -> Column:
     """Ligatures as letters, straight quotes, full-width signs as plain ones, other line ends as line feeds, no byte order
     marks."""
