@@ -39,6 +39,14 @@ def test_mended_and_composed_in_one_step(spark):
     assert plan(rows.select("once")).count("ArrowEvalPython") == 1
 
 
+def test_sieve_asks_for_a_sign_beyond_ascii_first():
+    tried = []
+    for text in ("a" * 50, "a" * 49 + "Ã©"):
+        # where the sieve is tried at all: a lookahead that ends the attempt at ASCII
+        tried.append([m.start() for m in re.finditer(mojibake.SIEVE.split(")", 1)[0] + ")", text)])
+    assert tried == [[], [49, 50]]
+
+
 def test_values_go_through_in_slices():
     from quillmine.functions.arrow import SLICE, mapped
 
