@@ -22,7 +22,11 @@ def tokens_in_order(quote: Column, source: Column) -> Column:
 
 def longest_prefix(quote: Column, source: Column) -> Column:
     """Length of the longest prefix of the quote that the source contains, by bisection (a shorter prefix of a
-    contained one is contained as well)."""
+    contained one is contained as well). Both are computed once, not at each step."""
+    return bound({"quote": quote, "source": source}, lambda x: _bisected(x["quote"], x["source"]))
+
+
+def _bisected(quote: Column, source: Column) -> Column:
     start = F.struct(F.lit(0).alias("low"), F.length(quote).alias("high"))
     steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.length(quote) + F.lit(2.0))).cast("int") + 1))
 
