@@ -47,6 +47,11 @@ def test_sieve_asks_for_a_sign_beyond_ascii_first():
     assert tried == [[], [49, 50]]
 
 
+@pytest.mark.parametrize("name, sign, most", [("longest_prefix", "regexp_replace(text", 2), ("paragraph_offsets_in_place", "upper(", 1)])
+def test_a_text_is_made_ready_once(spark, sf, name, sign, most):
+    assert 1 <= plan(catalogue.QUERIES[name](spark, sf)).split("Initial Plan")[0].count(sign) <= most
+
+
 def test_values_go_through_in_slices():
     from quillmine.functions.arrow import SLICE, mapped
 
