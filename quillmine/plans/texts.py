@@ -11,6 +11,7 @@ from quillmine.functions import text as T
 from quillmine.operators import batching, html_header, model, paragraphs, sections
 from quillmine.plans.corpus import LIGHT_SQL, table
 from quillmine.sources import files
+from quillmine.sources.shared import spread
 
 QUERIES, ORACLE_SQL = {}, {}
 LINES_SQL = f"SELECT doc_id, p, i FROM (SELECT doc_id, list_filter(list_transform(string_split(nfc_normalize({LIGHT_SQL}), chr(10)), lambda x: trim(x, ' ' || chr(9))), lambda x: x <> '') AS ps FROM documents), LATERAL (SELECT unnest(ps) AS p, generate_subscripts(ps, 1) AS i)"
@@ -168,7 +169,9 @@ def header_fields(spark, sf_dir):
         lit("<tr><td>Номер судового провадження</td><td>1-кп/"), key, lit("</td></tr><tr><td>Номер кримінального провадження в ЄРДР: X&amp;"), key, lit("</td></tr></table>"),
     )
     page = F.when(F.col("c_custkey") % 3 == 0, bold).when(F.col("c_custkey") % 3 == 1, plain).otherwise(F.concat(lit("<p>no table</p>"), key))
-    pages = table(spark, sf_dir, "customer").select("c_custkey", page.alias("html"))
+    # a page is made of a short row and takes long to read, so the rows are dealt out before, however few files or row groups hold them
+    rows = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"))
+    pages = rows.select("c_custkey", page.alias("html"))
     return html_header.header_fields(pages).drop("html", "info_table_text", "info_table_rows_json")
 
 

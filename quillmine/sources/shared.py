@@ -23,6 +23,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows dealt evenly over several tasks a core, for work that takes long for the bytes it reads."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+
+
 #: Tables of this process that stored() wrote and nobody has removed yet.
 _WRITTEN: list[str] = []
 

@@ -52,6 +52,10 @@ def test_a_text_is_made_ready_once(spark, sf, name, sign, most):
     assert 1 <= plan(catalogue.QUERIES[name](spark, sf)).split("Initial Plan")[0].count(sign) <= most
 
 
+def test_short_rows_of_long_work_are_dealt_out(spark, sf):
+    assert "RoundRobinPartitioning" in plan(catalogue.QUERIES["header_fields"](spark, sf))
+
+
 def test_values_go_through_in_slices():
     from quillmine.functions.arrow import SLICE, mapped
 
