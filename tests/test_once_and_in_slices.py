@@ -63,3 +63,9 @@ def test_values_go_through_in_slices():
     assert mapped(values, str.upper, pa.string()).to_pylist() == [None, "A", "B"] * SLICE
     assert mapped(values.slice(0, 0), str.upper, pa.string()).to_pylist() == [] and mapped(values.slice(0, 1), str.upper, pa.string()).to_pylist() == [None]
     assert mapped(values, lambda x: len(x or ""), pa.int32(), nulls=True).to_pylist() == [0, 1, 1] * SLICE
+
+
+def test_many_documents_in_one_batch(spark):
+    rows = spark.range(0, 1000, 1, 1).select("id", F.when(F.col("id") % 7 > 0, F.concat(F.lit(r"{\rtf1 n\u233?"), F.col("id").cast("string"), F.lit("}")).cast("binary")).alias("c"))
+    got = rows.select("id", rtf.converted(F.col("c")).alias("r"), rtf.text_of_rtf(F.col("c")).alias("t")).collect()
+    assert all((r.r.text, r.r.error, r.t) == ((f"né{r.id}", None, f"né{r.id}") if r.id % 7 else (None, None, None)) for r in got) and len(got) == 1000
