@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
 from quillmine.functions import grounding, nested
 from quillmine.functions import text as T
+from quillmine.functions.arrow import SLICE
 from quillmine.operators import batching, sections
 from quillmine.sources.shared import stored
 
@@ -75,14 +76,21 @@ def answered(prompts: DataFrame, model: Model, retries: int = 1, context_tokens:
             said = f"{prompt}\n\nThe last answer could not be used: {problem}"
         return None, retries + 1, problem, attempts
 
-    def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    attempt = pa.struct([("call", pa.int32()), ("request", pa.string()), ("response", pa.string()), ("error", pa.string())])
+    added = {"answer": pa.string(), "calls": pa.int32(), "error": pa.string()} | ({"attempts": pa.list_(attempt)} if keep_calls else {})
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [ask(p, n) for p, n in zip(batch["prompt"], batch["_tokens"])]
-            names = ("answer", "calls", "error", "attempts")[: 4 if keep_calls else 3]
-            yield batch.drop(columns="_tokens").assign(**{name: [g[k] for g in got] for k, name in enumerate(names)})
+            kept = batch.drop_columns("_tokens")
+            # only a slice's prompts and answers are Python objects at a time, and the other columns never are
+            for k in range(0, len(batch), SLICE):
+                part = batch.slice(k, SLICE)
+                got = [ask(p, n) for p, n in zip(part.column("prompt").to_pylist(), part.column("_tokens").to_pylist())]
+                new = [pa.array([g[i] for g in got], kind) for i, kind in enumerate(added.values())]
+                yield pa.RecordBatch.from_arrays([*kept.slice(k, SLICE).columns, *new], names=[*kept.schema.names, *added])
 
     calls = ",attempts:array<struct<call:int,request:string,response:string,error:string>>" if keep_calls else ""
-    return prompts.withColumn("_tokens", T.token_count(F.col("prompt"))).mapInPandas(go, f"struct<{schema},answer:string,calls:int,error:string{calls}>")
+    return prompts.withColumn("_tokens", T.token_count(F.col("prompt"))).mapInArrow(go, f"struct<{schema},answer:string,calls:int,error:string{calls}>")
 
 
 def call_artifacts(answers: DataFrame, keys: list[str]) -> DataFrame:
