@@ -22,6 +22,8 @@ def sharded(rows: DataFrame, order: str, shard_rows: int) -> DataFrame:
     return positions(rows, order, name="_place").withColumn("shard", batch_number(F.col("_place"), shard_rows)).drop("_place")
 
 
+#: Shards of which one task writes the files, each a split's, the errors' or a marker.
+TASK_SHARDS = 16
 #: Columns that a corpus adds to its manifest; the last one tells refused rows from clean ones.
 CLEANED = ("text", "text_hash", "char_count", "split", "error")
 
@@ -46,13 +48,15 @@ def write_corpus(manifest: DataFrame, path: str, order: str, clean: Callable[[Da
         return 0
     sound, refused = rows.where("error is null").drop("error"), rows.where("error is not null").select(order, "shard", "error")
     out = {"compression": compression, "partitionOverwriteMode": "dynamic"}
-    sound.repartition("split", "shard").write.options(**out).mode("overwrite").partitionBy("split", "shard").parquet(f"{path}/clean")
-    refused.repartition("shard").write.options(**out).mode("overwrite").partitionBy("shard").parquet(f"{path}/errors")
+    # by number, as adaptive execution would have one task write thousands of files if they are small
+    n_tasks = -(-n // TASK_SHARDS)
+    sound.repartition(n_tasks, "split", "shard").write.options(**out).mode("overwrite").partitionBy("split", "shard").parquet(f"{path}/clean")
+    refused.repartition(n_tasks, "shard").write.options(**out).mode("overwrite").partitionBy("shard").parquet(f"{path}/errors")
     folder = lambda *names: F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in names], F.col("shard").cast("string"))
     empty = [F.when(F.col(s) == 0, F.struct(folder(f"{path}/clean/split={s}/shard=").alias("path"), F.lit(True).alias("sound"))) for s in splits]
     empty.append(F.when(F.col("errors") == 0, F.struct(folder(f"{path}/errors/shard=").alias("path"), F.lit(False).alias("sound"))))
     write_empty(counts.select(F.inline(F.array_compact(F.array(*empty)))), {True: sound.drop("split", "shard"), False: refused.drop("shard")}, compression)
-    counts.repartition("shard").write.mode("append").partitionBy("shard").parquet(f"{path}/done")
+    counts.repartition(n_tasks, "shard").write.mode("append").partitionBy("shard").parquet(f"{path}/done")
     return n
 
 

@@ -69,3 +69,12 @@ def test_many_documents_in_one_batch(spark):
     rows = spark.range(0, 1000, 1, 1).select("id", F.when(F.col("id") % 7 > 0, F.concat(F.lit(r"{\rtf1 n\u233?"), F.col("id").cast("string"), F.lit("}")).cast("binary")).alias("c"))
     got = rows.select("id", rtf.converted(F.col("c")).alias("r"), rtf.text_of_rtf(F.col("c")).alias("t")).collect()
     assert all((r.r.text, r.r.error, r.t) == ((f"né{r.id}", None, f"né{r.id}") if r.id % 7 else (None, None, None)) for r in got) and len(got) == 1000
+
+
+def test_files_of_many_small_shards_are_dealt_over_tasks(spark, tmp_path):
+    n = 8 * sinks.TASK_SHARDS
+    rows = spark.range(n).select("id", F.lit("t").alias("text"), F.lit("train").alias("split"), F.when(F.col("id") % 2 == 0, "no").alias("error"))
+    assert sinks.write_corpus(rows, f"file://{tmp_path}/c", "id", shard_rows=1) == n
+    names = {re.match(r"part-(\d+)", p.name).group(1) for p in (tmp_path / "c/done").glob("shard=*/part-*")}
+    assert len(names) > 4
+    assert spark.read.parquet(f"file://{tmp_path}/c/done").count() == n and spark.read.parquet(f"file://{tmp_path}/c/clean").count() == n // 2
